@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 INTEGER = r"^-?[0-9]+\z"
 DECIMAL = r"^-?[0-9]+\.[0-9]+\z"
 LEADING_ZERO = r"^-?0[0-9]"
-BOOLEAN = r"^(true|false|TRUE|FALSE|True|False)\z"
+BOOLEANS = ("true", "false", "TRUE", "FALSE", "True", "False")
 DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?\z"
 
@@ -18,24 +18,41 @@ def kind(value: Column) -> Column:
     """One of int, dec, bool, date, ts, text; null for null.
 
     The kinds exclude each other, so a value passes through the tests only until one matches.
+    The first character and the length rule most tests out before a pattern has to run.
     Dates and timestamps must also exist: 2026-02-30 is text.
     """
+    numeral = value.substr(1, 1).between("-", "9")
     return (
         F.when(value.isNull(), F.lit(None).cast("string"))
+        .when(~numeral, F.when(value.isin(*BOOLEANS), "bool").otherwise("text"))
         .when(value.rlike(INTEGER), "int")
         .when(value.rlike(DECIMAL), "dec")
-        .when(value.rlike(BOOLEAN), "bool")
-        .when(value.rlike(DATE) & value.try_cast("date").isNotNull(), "date")
-        .when(value.rlike(TIMESTAMP) & value.try_cast("timestamp_ntz").isNotNull(), "ts")
+        .when(
+            (F.length(value) == 10) & value.rlike(DATE) & value.try_cast("date").isNotNull(), "date"
+        )
+        .when(
+            (F.length(value) >= 19)
+            & value.rlike(TIMESTAMP)
+            & value.try_cast("timestamp_ntz").isNotNull(),
+            "ts",
+        )
         .otherwise("text")
     )
 
 
+def has_leading_zero(number: Column) -> Column:
+    """A zero in front of another digit, as only identifiers have."""
+    return (number.startswith("0") | number.startswith("-0")) & number.rlike(LEADING_ZERO)
+
+
 def whole_digits(number: Column) -> Column:
     """Digits before the decimal point."""
-    return F.length(F.replace(F.substring_index(number, ".", 1), F.lit("-"), F.lit("")))
+    dot = F.instr(number, ".")
+    end = F.when(dot > 0, dot - 1).otherwise(F.length(number))
+    return end - number.startswith("-").cast("int")
 
 
 def scale_digits(number: Column) -> Column:
     """Digits after the decimal point."""
-    return F.when(number.contains("."), F.length(F.substring_index(number, ".", -1))).otherwise(0)
+    dot = F.instr(number, ".")
+    return F.when(dot > 0, F.length(number) - dot).otherwise(0)

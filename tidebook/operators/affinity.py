@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.operators.ranking import top_per_group
 
+BROADCAST_REFERENCES = 10_000
+
 
 def purchases(orders: DataFrame, items: DataFrame) -> DataFrame:
     """The non-zero cells of the matrix: who bought what, each pair once.
@@ -30,9 +32,19 @@ def buyers_per_product(pairs: DataFrame) -> DataFrame:
 
 
 def best_sellers(pairs: DataFrame, n: int = 1) -> DataFrame:
-    """The ``n`` products with the most buyers, as reference products."""
+    """The ``n`` products with the most buyers, as reference products.
+
+    Up to ``BROADCAST_REFERENCES`` of them are sent to the pairs; more are joined by shuffle.
+    """
     ranked = buyers_per_product(pairs).orderBy(F.desc("buyers"), F.asc("product_id"))
-    return ranked.limit(n).select("product_id")
+    best = ranked.limit(n).select("product_id")
+    return F.broadcast(best) if n <= BROADCAST_REFERENCES else best
+
+
+def references(spark: SparkSession, product_ids: list[int]) -> DataFrame:
+    """Reference products given by id."""
+    given = spark.createDataFrame([(i,) for i in sorted(set(product_ids))], "product_id bigint")
+    return F.broadcast(given) if len(product_ids) <= BROADCAST_REFERENCES else given
 
 
 def category_leaders(pairs: DataFrame, products: DataFrame) -> DataFrame:

@@ -23,27 +23,35 @@ def dense_months(
 ) -> DataFrame:
     """One row per product and month from ``lo`` to ``hi``; months without a sale count 0.
 
-    Each product's non-empty months are folded into one map (never larger than the number of
-    months), and the grid is unfolded from it after the shuffle. Nothing is crossed, only
-    non-empty cells travel, and a product is kept whether the catalogue or only a sale names it.
+    Only the non-empty cells are shuffled, and one empty cell per catalogued product. Each cell
+    then unfolds, next to its product's others, into itself and the empty months up to the next
+    one, so the grid is never crossed and never travels. A product is kept whether the catalogue
+    or only a sale names it.
     """
     first, last = _month(lo), _month(hi)
-    inside = units.filter(F.col("month").between(first, last))
-    cell = F.when(F.col("month").isNotNull(), F.struct("month", "units"))
-    listed = products.select(
-        "product_id",
-        F.lit(None).cast("date").alias("month"),
-        F.lit(None).cast(units.schema["units"].dataType).alias("units"),
+    empty = F.lit(0).cast(units.schema["units"].dataType)
+    listed = products.select("product_id", first.alias("month"), empty.alias("units"))
+    cells = (
+        units.filter(F.col("month").between(first, last))
+        .unionByName(listed)
+        .groupBy("product_id", "month")
+        .agg(F.sum("units").alias("units"))
     )
-    per_product = (
-        inside.unionByName(listed)
-        .groupBy("product_id")
-        .agg(F.map_from_entries(F.collect_list(cell)).alias("cells"))
+    by_month = Window.partitionBy("product_id").orderBy("month")
+    start = F.when(F.lag("month").over(by_month).isNull(), first).otherwise(F.col("month"))
+    until = F.coalesce(F.add_months(F.lead("month").over(by_month), -1), last)
+    unfolded = cells.select(
+        "product_id", "month", "units", start.alias("start"), until.alias("until")
+    ).select(
+        "product_id",
+        F.explode(F.sequence("start", "until", F.expr("interval 1 month"))).alias("cell_month"),
+        "month",
+        "units",
     )
-    months = F.sequence(first, last, F.expr("interval 1 month"))
-    grid = per_product.select("product_id", "cells", F.explode(months).alias("month"))
-    return grid.select(
-        "product_id", "month", F.coalesce(F.col("cells")[F.col("month")], F.lit(0)).alias("units")
+    return unfolded.select(
+        "product_id",
+        F.col("cell_month").alias("month"),
+        F.when(F.col("cell_month") == F.col("month"), F.col("units")).otherwise(0).alias("units"),
     )
 
 

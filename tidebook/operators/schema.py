@@ -2,59 +2,79 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidebook.functions.text import LEADING_ZERO, kind, scale_digits, whole_digits
+from tidebook.functions.text import has_leading_zero, kind, scale_digits, whole_digits
 
 # A longer run of digits does not fit a bigint, and is an identifier rather than a quantity.
 MAX_BIGINT_DIGITS = 18
 MAX_DECIMAL_DIGITS = 38
 
 
-def profile_columns(df: DataFrame, distinct: bool = False) -> DataFrame:
+def profile_columns(df: DataFrame) -> DataFrame:
     """Counters per column over every row of an all-text table, in one pass.
 
-    The columns are unpivoted inside the scan stage and counted there, so each task sends one
-    row per column. ``distinct`` adds an exact distinct count, which has to shuffle the distinct
-    values of every column; type inference does not need it.
+    The columns are unpivoted inside the scan stage and counted there by hash, so each task sends
+    one row per column. Only counters and lengths are kept: a text minimum per column would turn
+    the counting into a sort of all values (see ``value_ranges``).
     """
-    columns = df.columns
-    values = df.select([F.col(f"`{c}`").cast("string").alias(c) for c in columns]).unpivot(
-        [], [F.col(f"`{c}`") for c in columns], "column_name", "value"
-    )
     value, sort = F.col("value"), F.col("kind")
     number = sort.isin("int", "dec")
-    counters = [
-        F.count("*").alias("n"),
-        F.count_if(value.isNull()).alias("n_null"),
-        F.count_if(sort == "bool").alias("n_bool"),
-        F.count_if(sort == "int").alias("n_int"),
-        F.count_if(sort == "dec").alias("n_dec"),
-        F.count_if(sort == "date").alias("n_date"),
-        F.count_if(sort == "ts").alias("n_ts"),
-        F.count_if(number & value.rlike(LEADING_ZERO)).alias("n_lead0"),
-        F.max(F.length(value)).alias("max_len"),
-        F.max(F.when(number, whole_digits(value))).alias("max_whole"),
-        F.max(F.when(number, scale_digits(value))).alias("max_scale"),
-        F.min(value).alias("min_value"),
-        F.max(value).alias("max_value"),
-    ]
-    if distinct:
-        counters.append(F.count_distinct(value).alias("n_distinct"))
-    return values.withColumn("kind", kind(value)).groupBy("column_name").agg(*counters)
+    return (
+        _long(df)
+        .withColumn("kind", kind(value))
+        .groupBy("column_name")
+        .agg(
+            F.count("*").alias("n"),
+            F.count_if(value.isNull()).alias("n_null"),
+            F.count_if(sort == "bool").alias("n_bool"),
+            F.count_if(sort == "int").alias("n_int"),
+            F.count_if(sort == "dec").alias("n_dec"),
+            F.count_if(sort == "date").alias("n_date"),
+            F.count_if(sort == "ts").alias("n_ts"),
+            F.count_if(number & has_leading_zero(value)).alias("n_lead0"),
+            F.max(F.length(value)).alias("max_len"),
+            F.max(F.when(number, whole_digits(value))).alias("max_whole"),
+            F.max(F.when(number, scale_digits(value))).alias("max_scale"),
+        )
+    )
+
+
+def value_ranges(df: DataFrame) -> DataFrame:
+    """Exact distinct count, smallest and largest text per column.
+
+    Needs the distinct values of every column, which are made unique in every task before the
+    shuffle. Type inference does without it.
+    """
+    distinct = _long(df).filter(F.col("value").isNotNull()).distinct()
+    return distinct.groupBy("column_name").agg(
+        F.count("*").alias("n_distinct"),
+        F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"),
+    )
+
+
+def _long(df: DataFrame) -> DataFrame:
+    """(column_name, value) rows; ``unpivot`` needs all columns to have one type."""
+    names = [F.col(f"`{c}`") for c in df.columns]
+    text = df.select([n.cast("string").alias(c) for n, c in zip(names, df.columns)])
+    return text.unpivot([], names, "column_name", "value")
 
 
-def profile_tables(tables: dict[str, DataFrame], distinct: bool = False) -> DataFrame:
+def profile_tables(
+    tables: dict[str, DataFrame], profile: Callable[[DataFrame], DataFrame] = profile_columns
+) -> DataFrame:
     """The profiles of several tables, with the table name in front."""
     profiles = [
-        profile_columns(df, distinct).select(F.lit(name).alias("table_name"), "*")
-        for name, df in tables.items()
+        profile(df).select(F.lit(name).alias("table_name"), "*") for name, df in tables.items()
     ]
     result = profiles[0]
-    for profile in profiles[1:]:
-        result = result.unionByName(profile)
+    for other in profiles[1:]:
+        result = result.unionByName(other)
     return result
 
 

@@ -6,14 +6,18 @@ they meet, because joining items to orders first would count an order's total on
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidebook.functions.numbers import cents, from_cents, ratio, round2
 from tidebook.operators.ranking import top, with_position
 
-# A ranking of up to this many customers is small enough to be sent to every executor.
+# Up to this many ranked customers, and this many of their orders (two longs each), are small
+# enough to be sent to every executor.
 BROADCAST_CUSTOMERS = 10_000
+BROADCAST_ORDERS = 1_000_000
 
 
 def customer_orders(orders: DataFrame) -> DataFrame:
@@ -40,8 +44,8 @@ def category_diversity(orders: DataFrame, items: DataFrame, products: DataFrame)
     """
     return (
         items.select("order_id", "product_id")
-        .join(products.select("product_id", "category_id"), "product_id")
         .join(orders.select("order_id", "customer_id"), "order_id")
+        .join(products.select("product_id", "category_id"), "product_id")
         .groupBy("customer_id")
         .agg(F.count_distinct("category_id").alias("category_diversity"))
     )
@@ -69,23 +73,49 @@ def loyal_ids(
     """The top ``n`` customers by average ticket, with all their figures.
 
     With a diversity threshold every customer's diversity must be known first. Without one the
-    ranking needs the orders only, and the item tables are read just for the ``n`` winners.
+    ranking needs the orders only, and the items are read just for the orders of the winners.
     """
     if min_categories > 0:
         eligible = customer_profile(orders, items, products).filter(
             F.col("category_diversity") >= min_categories
         )
         return top(eligible, _ticket_order(), n)
-    best = customer_orders(orders).orderBy(*_ticket_order()).limit(n)
-    diversity = category_diversity(orders_of(orders, best, n), items, products)
-    return with_position(_with_diversity(best, diversity), _ticket_order())
+    best = pin(customer_orders(orders).orderBy(*_ticket_order()).limit(n), n)
+    diversity = category_diversity(orders_of(orders, best), items, products)
+    return with_position(_with_diversity(best.customers, diversity), _ticket_order())
+
+
+@dataclass(frozen=True)
+class Ranking:
+    """Ranked customers, and the number of their orders where it is known."""
+
+    customers: DataFrame
+    n_orders: int | None
+
 
+def pin(ranked: DataFrame, n: int) -> Ranking:
+    """Compute a ranking of at most ``n`` rows now, so that its size and orders are known.
 
-def orders_of(orders: DataFrame, customers: DataFrame, n: int) -> DataFrame:
-    """The orders of a ranking of ``n`` customers (semi join)."""
-    ids = customers.select("customer_id")
-    small = F.broadcast(ids) if n <= BROADCAST_CUSTOMERS else ids
-    return orders.join(small, "customer_id", "left_semi")
+    A longer ranking stays a plan and its size unknown.
+    """
+    if n > BROADCAST_CUSTOMERS:
+        return Ranking(ranked, None)
+    rows = ranked.collect()
+    fixed = F.broadcast(ranked.sparkSession.createDataFrame(rows, ranked.schema))
+    return Ranking(fixed, sum(row["frequency"] for row in rows))
+
+
+def orders_of(orders: DataFrame, best: Ranking) -> DataFrame:
+    """The orders of the ranked customers (semi join).
+
+    Few orders are sent to the items, which then need not be shuffled. One of the customers may
+    hold a large share of all orders; beyond the limit both sides are shuffled instead.
+    """
+    chosen = orders.select("order_id", "customer_id").join(
+        best.customers.select("customer_id"), "customer_id", "left_semi"
+    )
+    few = best.n_orders is not None and best.n_orders <= BROADCAST_ORDERS
+    return F.broadcast(chosen) if few else chosen
 
 
 def loyal_customers(
@@ -122,10 +152,10 @@ def loyal_categories(
     Units are added up per product before the product table is joined.
     """
     if min_categories > 0:
-        best = loyal_ids(orders, items, products, min_categories, n)
+        ranked = loyal_ids(orders, items, products, min_categories, n)
     else:
-        best = customer_orders(orders).orderBy(*_ticket_order()).limit(n)
-    chosen = orders_of(orders, best, n).select("order_id")
+        ranked = customer_orders(orders).orderBy(*_ticket_order()).limit(n)
+    chosen = orders_of(orders, pin(ranked, n))
     per_product = (
         items.join(chosen, "order_id").groupBy("product_id").agg(F.sum("quantity").alias("units"))
     )

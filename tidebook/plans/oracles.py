@@ -200,7 +200,7 @@ COLUMN_PROFILE = f"""
 cells AS ({_values()}),
 tested AS (
   SELECT *, regexp_matches(v, '{text.INTEGER}') AS is_int, regexp_matches(v, '{text.DECIMAL}') AS is_dec,
-         regexp_matches(v, '{text.BOOLEAN}') AS is_bool,
+         v IN {text.BOOLEANS} AS is_bool,
          regexp_matches(v, '{text.DATE}') AND TRY_CAST(v AS DATE) IS NOT NULL AS is_date,
          regexp_matches(v, '{text.TIMESTAMP}') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL AS is_ts
   FROM cells),
@@ -212,8 +212,7 @@ column_profile AS (
     COUNT(*) FILTER (WHERE (is_int OR is_dec) AND regexp_matches(v, '{text.LEADING_ZERO}')) AS n_lead0,
     CAST(MAX(length(v)) AS INTEGER) AS max_len,
     CAST(MAX(length(ltrim(split_part(v, '.', 1), '-'))) FILTER (WHERE is_int OR is_dec) AS INTEGER) AS max_whole,
-    CAST(MAX(length(split_part(v, '.', 2))) FILTER (WHERE is_int OR is_dec) AS INTEGER) AS max_scale,
-    MIN(v) AS min_value, MAX(v) AS max_value
+    CAST(MAX(length(split_part(v, '.', 2))) FILTER (WHERE is_int OR is_dec) AS INTEGER) AS max_scale
   FROM tested GROUP BY 1, 2)"""
 
 _identifiers = ", ".join(f"'{c}'" for c in r.TEXT_COLUMNS)
@@ -275,8 +274,9 @@ SELECT weekday, weekday_name, average_sales FROM weekdays ORDER BY average_sales
     "similar_to_reference": SIMILAR_TO_REFERENCE,
     "similar_to_category_leaders": _similar(LEADERS),
     "column_profile": f"WITH {COLUMN_PROFILE} SELECT * FROM column_profile",
-    "column_distinct_counts": f"""WITH cells AS ({_values()})
-SELECT table_name, column_name, COUNT(DISTINCT v) AS n_distinct FROM cells GROUP BY 1, 2""",
+    "column_ranges": f"""WITH cells AS ({_values()})
+SELECT table_name, column_name, COUNT(DISTINCT v) AS n_distinct, MIN(v) AS min_value, MAX(v) AS max_value
+FROM cells GROUP BY 1, 2""",
     "inferred_schema": INFERRED,
     "load_reconcile": RECONCILE,
     "loaded_orders_sql": f"""SELECT o_orderstatus, o_orderpriority, COUNT(*) AS n_orders, {MONEY} AS total_value,

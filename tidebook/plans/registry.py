@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidebook.operators.affinity import best_sellers, buyers_per_product, category_leaders, purchases
 from tidebook.operators.calendar import calendar, observed_bounds
 from tidebook.operators.demand import forecast_error, monthly_units
-from tidebook.operators.schema import infer_types, profile_tables
+from tidebook.operators.schema import infer_types, profile_tables, value_ranges
 from tidebook.plans import customers as cust
 from tidebook.plans import demand, marts, overview, recommend, weekdays
 from tidebook.session import scratch_path
@@ -168,9 +168,8 @@ def column_profile(spark: SparkSession, root: str) -> DataFrame:
     return profile_tables(_text_tables(spark, root))
 
 
-def column_distinct_counts(spark: SparkSession, root: str) -> DataFrame:
-    profile = profile_tables(_text_tables(spark, root), distinct=True)
-    return profile.select("table_name", "column_name", "n_distinct")
+def column_ranges(spark: SparkSession, root: str) -> DataFrame:
+    return profile_tables(_text_tables(spark, root), value_ranges)
 
 
 def inferred_schema(spark: SparkSession, root: str) -> DataFrame:
@@ -281,7 +280,7 @@ QUERIES: dict[str, Query] = {
         similar_to_reference,
         similar_to_category_leaders,
         column_profile,
-        column_distinct_counts,
+        column_ranges,
         inferred_schema,
         load_reconcile,
         loaded_orders_sql,
