@@ -104,17 +104,22 @@ def infer_types(profile: DataFrame, text_columns: list[str] | None = None) -> Da
 
 def infer_schema(df: DataFrame, text_columns: list[str] | None = None) -> T.StructType:
     """Profile an all-text table and return its schema, in the table's column order."""
-    return to_struct(infer_types(profile_columns(df), text_columns), df.columns)
+    types = infer_types(profile_tables({"t": df}), text_columns)
+    return schemas_of(types, {"t": df.columns})["t"]
 
 
-def to_struct(types: DataFrame, columns: list[str]) -> T.StructType:
-    """A schema without constraints: every column may be null.
+def schemas_of(types: DataFrame, columns: dict[str, list[str]]) -> dict[str, T.StructType]:
+    """Schemas without constraints: every column may be null.
 
-    Only one row per column reaches the driver.
+    Only one row per column reaches the driver. A column without a row (empty table) is text.
     """
-    found = {row["column_name"]: row["spark_type"] for row in types.collect()}
-    fields = [T.StructField(c, _parse(found.get(c, "string")), True) for c in columns]
-    return T.StructType(fields)
+    found = {(row["table_name"], row["column_name"]): row["spark_type"] for row in types.collect()}
+    return {
+        table: T.StructType(
+            [T.StructField(c, T.DataType.fromDDL(found.get((table, c), "string")), True) for c in names]
+        )
+        for table, names in columns.items()
+    }
 
 
 def to_ddl(table: str, schema: T.StructType) -> str:
@@ -122,6 +127,3 @@ def to_ddl(table: str, schema: T.StructType) -> str:
     body = ",\n".join(f"  `{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     return f"CREATE TABLE `{table}` (\n{body}\n)"
 
-
-def _parse(name: str) -> T.DataType:
-    return T.DataType.fromDDL(name)

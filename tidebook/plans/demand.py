@@ -21,7 +21,8 @@ def monthly_demand(orders: DataFrame, items: DataFrame, products: DataFrame) ->
 def most_sold(items: DataFrame) -> DataFrame:
     """The product with the most units, the lower id on a tie."""
     units = items.groupBy("product_id").agg(F.sum("quantity").alias("units"))
-    return units.orderBy(F.desc("units"), F.asc("product_id")).limit(1).select("product_id")
+    best = units.orderBy(F.desc("units"), F.asc("product_id")).limit(1)
+    return F.broadcast(best.select("product_id"))
 
 
 def demand_forecast(

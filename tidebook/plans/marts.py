@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidebook.functions.numbers import cents, from_cents, ratio, round2, wide_sum
-from tidebook.plans.weekdays import WORST
-from tidebook.sources.mart_files import Check
+from tidebook.operators.affinity import purchases
+from tidebook.plans.customers import loyal_categories, loyal_customers
+from tidebook.plans.demand import demand_forecast
+from tidebook.plans.overview import sales_cube
+from tidebook.plans.recommend import recommendations
+from tidebook.plans.weekdays import WORST, weekday_average
+from tidebook.sources.mart_files import Check, Mart
 
 
 @dataclass(frozen=True)
@@ -19,12 +25,11 @@ class Contract:
     columns: dict[str, str]
     order: tuple[str, ...]
 
-    @property
-    def names(self) -> list[str]:
-        return list(self.columns.values())
-
-    def apply(self, df: DataFrame) -> DataFrame:
-        return df.select([F.col(ours).alias(published) for ours, published in self.columns.items()])
+    def mart(
+        self, df: DataFrame, checks: list[Check], approved: DataFrame | None = None
+    ) -> Mart:
+        rows = df.select([F.col(ours).alias(published) for ours, published in self.columns.items()])
+        return Mart(rows, self.order, checks, approved)
 
 
 # Headers of the published files.
@@ -148,3 +153,54 @@ def overview_checks(orders: DataFrame) -> list[Check]:
 def error_check() -> Check:
     wrong = F.col("erro_absoluto") != F.abs(F.col("real") - F.col("previsto"))
     return Check("rows with a wrong error", F.count_if(wrong), 0)
+
+
+@dataclass(frozen=True)
+class Sales:
+    """The four entities a set of marts is computed from."""
+
+    orders: DataFrame
+    items: DataFrame
+    products: DataFrame
+    customers: DataFrame
+
+
+def build_marts(
+    sales: Sales,
+    channel: str | None,
+    reference: DataFrame,
+    test_from: date,
+    test_to: date,
+    n_customers: int = 10,
+    neighbours: int = 5,
+) -> dict[str, Mart]:
+    """The six marts; ``reference`` holds the one product forecast and compared with others."""
+    orders, items, products = sales.orders, sales.items, sales.products
+    loyal = loyal_customers(orders, items, products, sales.customers, n=n_customers)
+    categories = loyal_categories(orders, items, products, n=n_customers)
+    pairs = purchases(orders, items)
+    similar = recommendations(pairs, reference, products, neighbours)
+    return {
+        "overview": overview_mart(orders),
+        "loyal_customers": LOYAL_CUSTOMERS.mart(
+            loyal, [*positions_check(n_customers), ticket_check()]
+        ),
+        "loyal_categories": LOYAL_CATEGORIES.mart(categories, ranking_checks("quantidade_itens")),
+        "weekdays": WEEKDAYS.mart(
+            weekday_average(orders, channel), weekday_checks(orders, channel)
+        ),
+        "forecast": forecast_mart(orders, items, reference, test_from, test_to),
+        "recommendations": RECOMMENDATIONS.mart(similar, positions_check(neighbours)),
+    }
+
+
+def overview_mart(orders: DataFrame) -> Mart:
+    return OVERVIEW.mart(overview_rows(sales_cube(orders)), overview_checks(orders))
+
+
+def forecast_mart(
+    orders: DataFrame, items: DataFrame, reference: DataFrame, test_from: date, test_to: date
+) -> Mart:
+    """Only the reference product's items are joined to the orders."""
+    one = items.join(reference, "product_id", "left_semi")
+    return FORECAST.mart(demand_forecast(orders, one, reference, test_from, test_to), [error_check()])

@@ -215,6 +215,12 @@ column_profile AS (
     CAST(MAX(length(split_part(v, '.', 2))) FILTER (WHERE is_int OR is_dec) AS INTEGER) AS max_scale
   FROM tested GROUP BY 1, 2)"""
 
+POSITIONS = ", ".join(
+    f"('{table}', '{column}', {i})"
+    for table, columns in TEXT_TABLES.items()
+    for i, column in enumerate(columns)
+)
+
 _identifiers = ", ".join(f"'{c}'" for c in r.TEXT_COLUMNS)
 INFERRED = f"""WITH {COLUMN_PROFILE}
 SELECT table_name, column_name, CASE
@@ -278,6 +284,11 @@ SELECT weekday, weekday_name, average_sales FROM weekdays ORDER BY average_sales
 SELECT table_name, column_name, COUNT(DISTINCT v) AS n_distinct, MIN(v) AS min_value, MAX(v) AS max_value
 FROM cells GROUP BY 1, 2""",
     "inferred_schema": INFERRED,
+    "schema_ddl": f"""WITH types AS ({INFERRED}), places(table_name, column_name, place) AS (VALUES {POSITIONS})
+SELECT table_name, 'CREATE TABLE `' || table_name || '` (' || chr(10)
+  || string_agg('  `' || column_name || '` ' || spark_type, ',' || chr(10) ORDER BY place)
+  || chr(10) || ')' AS ddl
+FROM types JOIN places USING (table_name, column_name) GROUP BY table_name""",
     "load_reconcile": RECONCILE,
     "loaded_orders_sql": f"""SELECT o_orderstatus, o_orderpriority, COUNT(*) AS n_orders, {MONEY} AS total_value,
   CAST(MIN(o_orderdate) AS DATE) AS first_day, CAST(MAX(o_orderdate) AS DATE) AS last_day
@@ -300,4 +311,12 @@ FROM forecast JOIN best ON product_id = l_partkey""",
     "mart_overview": f"""SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes, o_orderpriority AS canal,
   o_orderstatus AS status, COUNT(*) AS pedidos, {MONEY} AS valor_total,
   round_even({MONEY} / COUNT(*), 2) AS ticket_medio FROM orders GROUP BY 1, 2, 3""",
+    "published_marts": f"""WITH {FORECAST}
+SELECT 'overview' AS table_name, COUNT(*) AS n_rows FROM (
+  SELECT DISTINCT date_trunc('month', o_orderdate), o_orderpriority, o_orderstatus FROM orders)
+UNION ALL SELECT 'loyal_customers', COUNT(*) FROM ({_loyal(0)})
+UNION ALL SELECT 'loyal_categories', COUNT(*) FROM ({_categories(0)})
+UNION ALL SELECT 'weekdays', COUNT(DISTINCT isodow(o_orderdate)) FROM orders
+UNION ALL SELECT 'forecast', COUNT(DISTINCT month) FROM forecast
+UNION ALL SELECT 'recommendations', COUNT(*) FROM ({SIMILAR_TO_REFERENCE})""",
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidebook.functions.dates import month
 from tidebook.functions.numbers import cents, from_cents, ratio, round2, wide_sum
+from tidebook.session import materialize
 
 
 def table_eda(df: DataFrame, value: str) -> DataFrame:
@@ -85,8 +86,8 @@ def status_distribution(cube: DataFrame) -> DataFrame:
 
 
 def sales_overview(orders: DataFrame) -> dict[str, DataFrame]:
-    """The four overview tables. Pass a written cube to the single functions to scan only once."""
-    cube = sales_cube(orders)
+    """The four overview tables. The cube behind three of them is written once and read back."""
+    cube = materialize(sales_cube(orders), "sales_cube")
     return {
         "sales_kpis": sales_kpis(orders),
         "monthly_sales": monthly_sales(cube),

@@ -6,17 +6,22 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidebook.operators.affinity import best_sellers, buyers_per_product, category_leaders, purchases
 from tidebook.operators.calendar import calendar, observed_bounds
 from tidebook.operators.demand import forecast_error, monthly_units
-from tidebook.operators.schema import infer_types, profile_tables, value_ranges
+from tidebook.operators.schema import (
+    infer_types,
+    profile_tables,
+    schemas_of,
+    to_ddl,
+    value_ranges,
+)
 from tidebook.plans import customers as cust
 from tidebook.plans import demand, marts, overview, recommend, weekdays
 from tidebook.session import scratch_path
 from tidebook.sources import csv_tables, star, warehouse
-from tidebook.sources.mart_files import publish_mart, read_mart
+from tidebook.sources.mart_files import Mart, publish_marts, read_mart
 
 PHYSICAL = "1-URGENT"
 TEST_FROM, TEST_TO = date(2001, 5, 1), date(2001, 7, 1)
@@ -179,9 +184,10 @@ def inferred_schema(spark: SparkSession, root: str) -> DataFrame:
 def _load(spark: SparkSession, root: str, names: tuple[str, ...]):
     """Export tables as CSV, infer their schemas from the files, and load them."""
     folder = scratch_path(spark, "load")
-    paths = {name: f"{folder}/raw/{name}" for name in names}
-    for name, path in paths.items():
-        csv_tables.write_text_table(csv_tables.as_exported(star.table(spark, root, name)), path)
+    for name in names:
+        exported = csv_tables.as_exported(star.table(spark, root, name))
+        csv_tables.write_text_table(exported, f"{folder}/raw/{name}")
+    paths = csv_tables.find_tables(spark, f"{folder}/raw")
     schemas = csv_tables.infer_schemas(spark, paths)
     loaded = warehouse.load_all(spark, paths, schemas, f"{folder}/warehouse")
     return csv_tables.read_tables(spark, paths, schemas), loaded
@@ -193,7 +199,7 @@ def load_reconcile(spark: SparkSession, root: str) -> DataFrame:
 
 def loaded_orders_sql(spark: SparkSession, root: str) -> DataFrame:
     _, loaded = _load(spark, root, ("orders",))
-    star.register(spark, {"loaded_orders": loaded["orders"]})
+    warehouse.register({"loaded_orders": loaded["orders"]})
     return spark.sql(
         "SELECT o_orderstatus, o_orderpriority, count(*) AS n_orders,"
         " CAST(sum(o_totalprice) AS DOUBLE) AS total_value,"
@@ -202,54 +208,71 @@ def loaded_orders_sql(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def schema_ddl(spark: SparkSession, root: str) -> DataFrame:
+    """One CREATE TABLE text per table, from the types inferred over all rows."""
+    tables = _text_tables(spark, root)
+    types = infer_types(profile_tables(tables), TEXT_COLUMNS)
+    schemas = schemas_of(types, {name: df.columns for name, df in tables.items()})
+    rows = [(name, to_ddl(name, schema)) for name, schema in schemas.items()]
+    return spark.createDataFrame(rows, "table_name string, ddl string")
+
+
 # Marts: computed, checked, written as CSV and read back
 
 
-def _publish(df: DataFrame, name: str, contract: marts.Contract, checks: list) -> DataFrame:
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    mart = contract.apply(df)
-    publish_mart(mart, path, contract.names, contract.order, checks)
-    return read_mart(spark, path, mart.schema)
+def _published(spark: SparkSession, mart: Mart) -> DataFrame:
+    folder = scratch_path(spark, "marts")
+    publish_marts({"mart": mart}, folder)
+    return read_mart(spark, f"{folder}/mart", mart.rows.schema)
 
 
 def mart_loyal_customers(spark: SparkSession, root: str) -> DataFrame:
     checks = [*marts.positions_check(TOP_CUSTOMERS), marts.ticket_check()]
-    return _publish(
-        loyal_customers_top10(spark, root), "loyal_customers", marts.LOYAL_CUSTOMERS, checks
+    return _published(
+        spark, marts.LOYAL_CUSTOMERS.mart(loyal_customers_top10(spark, root), checks)
     )
 
 
 def mart_loyal_categories(spark: SparkSession, root: str) -> DataFrame:
-    rows = loyal_categories(spark, root)
     checks = marts.ranking_checks("quantidade_itens")
-    return _publish(rows, "loyal_categories", marts.LOYAL_CATEGORIES, checks)
+    return _published(spark, marts.LOYAL_CATEGORIES.mart(loyal_categories(spark, root), checks))
 
 
 def mart_weekdays(spark: SparkSession, root: str) -> DataFrame:
     checks = marts.weekday_checks(star.orders(spark, root), PHYSICAL)
-    return _publish(weekday_avg_sales(spark, root), "weekdays", marts.WEEKDAYS, checks)
+    return _published(spark, marts.WEEKDAYS.mart(weekday_avg_sales(spark, root), checks))
 
 
 def mart_forecast(spark: SparkSession, root: str) -> DataFrame:
-    orders, items, products = _sales(spark, root)
+    orders, items, _ = _sales(spark, root)
     best = demand.most_sold(items)
-    one_item = items.join(F.broadcast(best), "product_id", "left_semi")
-    forecast = demand.demand_forecast(orders, one_item, best, TEST_FROM, TEST_TO)
-    return _publish(forecast, "forecast", marts.FORECAST, [marts.error_check()])
+    return _published(spark, marts.forecast_mart(orders, items, best, TEST_FROM, TEST_TO))
 
 
 def mart_recommendations(spark: SparkSession, root: str) -> DataFrame:
     rows = similar_to_reference(spark, root)
-    return _publish(
-        rows, "recommendations", marts.RECOMMENDATIONS, marts.positions_check(NEIGHBOURS)
-    )
+    checks = marts.positions_check(NEIGHBOURS)
+    return _published(spark, marts.RECOMMENDATIONS.mart(rows, checks))
 
 
 def mart_overview(spark: SparkSession, root: str) -> DataFrame:
-    orders = star.orders(spark, root)
-    rows = marts.overview_rows(overview.sales_cube(orders))
-    return _publish(rows, "overview", marts.OVERVIEW, marts.overview_checks(orders))
+    return _published(spark, marts.overview_mart(star.orders(spark, root)))
+
+
+def published_marts(spark: SparkSession, root: str) -> DataFrame:
+    """All six marts, built, checked and written together: rows per written file set."""
+    orders, items, products = _sales(spark, root)
+    sales = marts.Sales(orders, items, products, star.customers(spark, root))
+    best = demand.most_sold(items)
+    built = marts.build_marts(
+        sales, PHYSICAL, best, TEST_FROM, TEST_TO, TOP_CUSTOMERS, NEIGHBOURS
+    )
+    folder = scratch_path(spark, "marts")
+    publish_marts(built, folder)
+    written = {
+        name: read_mart(spark, f"{folder}/{name}", mart.rows.schema) for name, mart in built.items()
+    }
+    return warehouse.count_rows(written, "n_rows")
 
 
 QUERIES: dict[str, Query] = {
@@ -282,6 +305,7 @@ QUERIES: dict[str, Query] = {
         column_profile,
         column_ranges,
         inferred_schema,
+        schema_ddl,
         load_reconcile,
         loaded_orders_sql,
         mart_loyal_customers,
@@ -290,5 +314,6 @@ QUERIES: dict[str, Query] = {
         mart_forecast,
         mart_recommendations,
         mart_overview,
+        published_marts,
     )
 }

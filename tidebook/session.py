@@ -7,40 +7,48 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# One shuffle partition per this many input bytes, before AQE merges the small ones.
-BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+MEGABYTE = 1024 * 1024
+LARGE_INPUT = 10 * MEGABYTE * MEGABYTE
 
 _local_roots: dict[str, str] = {}
 
 
+def settings_for(input_bytes: int | None = None) -> dict[str, str]:
+    """Settings the plans are written for, given the size of the data a job will read.
+
+    AQE only ever merges shuffle partitions, so the starting number has to be high enough for the
+    data: the default of 200 would put 500 GB into each partition of a 100 TB shuffle. Large
+    inputs also get larger scan and shuffle partitions, to keep the number of tasks in bounds.
+    """
+    settings = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.ui.enabled": "false",
+    }
+    if input_bytes:
+        megabytes = 512 if input_bytes >= LARGE_INPUT else 128
+        partitions = max(200, -(-input_bytes // (megabytes * MEGABYTE)))
+        settings |= {
+            "spark.sql.files.maxPartitionBytes": f"{megabytes}m",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{megabytes // 2}m",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        }
+    return settings
+
+
 def build_session(
     app: str = "tidebook",
     master: str | None = None,
     input_bytes: int | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Start (or get) a session with the settings the plans are written for.
-
-    ``input_bytes`` is the size of the data the job will read. AQE only ever merges shuffle
-    partitions, so the starting number has to be high enough for the data: the default of 200
-    would put 500 GB into each partition of a 100 TB shuffle.
-    """
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.ui.enabled", "false")
-    )
+    """Start (or get) a session with ``settings_for(input_bytes)`` and then ``conf``."""
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    if input_bytes:
-        partitions = max(200, input_bytes // BYTES_PER_SHUFFLE_PARTITION)
-        builder = builder.config(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
-        )
-    for key, value in (conf or {}).items():
+    for key, value in (settings_for(input_bytes) | (conf or {})).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidebook.operators.schema import infer_schema
+from tidebook.operators.schema import infer_types, profile_tables, schemas_of
 
 # A quote inside a quoted field is doubled; blanks are part of the value.
 CSV_DIALECT = {
@@ -19,23 +21,40 @@ CSV_DIALECT = {
 }
 
 
+def find_tables(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Table name to path for everything in ``folder``: one file, or one folder of files, each.
+
+    Spark lists the files, so any file system it can read will do; their contents stay unread and
+    one row per table reaches the driver.
+    """
+    root = re.sub(r"^[a-z0-9]+:/+(?=/)", "", folder.rstrip("/"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    below = F.substring_index(F.substring_index("path", f"{root}/", -1), "/", 1)
+    entries = sorted(row["entry"] for row in files.select(below.alias("entry")).distinct().collect())
+    return {entry.removesuffix(".csv"): f"{folder.rstrip('/')}/{entry}" for entry in entries}
+
+
 def read_text(spark: SparkSession, path: str) -> DataFrame:
     """Every column as text; an empty field is null, a quoted empty field an empty text."""
     return spark.read.options(**CSV_DIALECT).option("inferSchema", "false").csv(path)
 
 
 def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A value that does not fit the schema stops the job instead of turning into null."""
-    return spark.read.options(**CSV_DIALECT).option("mode", "FAILFAST").schema(schema).csv(path)
+    """A value that does not fit the schema, or a file whose header is another one, stops the job.
+
+    The defaults would turn the value into null and read the columns by position.
+    """
+    strict = {"mode": "FAILFAST", "enforceSchema": "false"}
+    return spark.read.options(**CSV_DIALECT, **strict).schema(schema).csv(path)
 
 
 def infer_schemas(
     spark: SparkSession, paths: dict[str, str], text_columns: list[str] | None = None
 ) -> dict[str, T.StructType]:
-    """Schema of every table, each from a scan of all its rows."""
-    return {
-        name: infer_schema(read_text(spark, path), text_columns) for name, path in paths.items()
-    }
+    """Schema of every table from all its rows; one job scans all tables."""
+    texts = {name: read_text(spark, path) for name, path in paths.items()}
+    types = infer_types(profile_tables(texts), text_columns)
+    return schemas_of(types, {name: df.columns for name, df in texts.items()})
 
 
 def read_tables(

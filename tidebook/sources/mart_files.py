@@ -59,9 +59,9 @@ def validate(df: DataFrame, checks: Sequence[Check], approved: DataFrame | None
     return measured["rows"]
 
 
-def write_mart(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[str], rows: int) -> None:
-    """Fixed columns in fixed order, sorted, numbers without exponents."""
-    ordered = df.select(*columns).orderBy(*order)
+def write_mart(df: DataFrame, path: str, order: Sequence[str], rows: int) -> None:
+    """Header CSV with the columns of ``df``, sorted, numbers without exponents."""
+    ordered = df.orderBy(*order)
     printed = ordered.select(
         [
             plain_text(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
@@ -73,19 +73,33 @@ def write_mart(df: DataFrame, path: str, columns: Sequence[str], order: Sequence
     printed.write.mode("errorifexists").options(**CSV_DIALECT).csv(path)
 
 
-def publish_mart(
-    df: DataFrame,
-    path: str,
-    columns: Sequence[str],
-    order: Sequence[str],
-    checks: Sequence[Check],
-    approved: DataFrame | None = None,
-) -> int:
-    """Compute the mart once, check it, and only then write it. Returns the number of rows."""
-    staged = materialize(df.select(*columns), "mart")
-    rows = validate(staged, checks, approved)
-    write_mart(staged, path, columns, order, rows)
-    return rows
+@dataclass(frozen=True)
+class Mart:
+    """A mart to publish: its rows in file column order, the sort of the file, and its checks."""
+
+    rows: DataFrame
+    order: Sequence[str]
+    checks: Sequence[Check] = ()
+    approved: DataFrame | None = None
+
+
+def publish_marts(marts: dict[str, Mart], folder: str) -> dict[str, int]:
+    """Compute every mart once, check them all, and only then write any of them.
+
+    Returns the number of rows per mart. One rejected mart leaves the folder untouched.
+    """
+    staged = {name: materialize(mart.rows, name) for name, mart in marts.items()}
+    counts, problems = {}, []
+    for name, mart in marts.items():
+        try:
+            counts[name] = validate(staged[name], mart.checks, mart.approved)
+        except MartRejected as error:
+            problems.append(f"{name}: {error}")
+    if problems:
+        raise MartRejected(" | ".join(problems))
+    for name, mart in marts.items():
+        write_mart(staged[name], f"{folder}/{name}", mart.order, counts[name])
+    return counts
 
 
 def read_mart(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

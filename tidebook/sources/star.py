@@ -64,8 +64,3 @@ def customers(spark: SparkSession, root: str) -> DataFrame:
         F.col("c_name").alias("customer"),
     )
 
-
-def register(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
-    """Expose typed tables as views, the one base all SQL analyses read."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)

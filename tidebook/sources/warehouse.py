@@ -69,6 +69,12 @@ def open_tables(
     return {name: reader[name].parquet(f"{dest}/{path}") for name, path in tables.items()}
 
 
+def register(tables: dict[str, DataFrame]) -> None:
+    """Expose typed tables as views, the one base all SQL analyses read."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def count_rows(tables: dict[str, DataFrame], column: str) -> DataFrame:
     """One row per table with its number of rows."""
     counts = [
