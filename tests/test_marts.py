@@ -1,0 +1,102 @@
+import glob
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tidebook.plans import marts
+from tidebook.sources.mart_files import Check, Mart, MartRejected, publish_marts, read_mart, validate, write_mart
+
+SCHEMA = "customer_id bigint, cliente string, faturamento_total double, frequencia bigint, ticket_medio double, diversidade_categorias bigint, posicao int"
+ROWS = [
+    (1116, "Zé \"Al\", filho", 655737.2, 16, 40983.57, 14, 2),
+    (22, " Isa", 57758021.43, 26, 2221462.36, 14, 1),
+]
+
+
+def loyal(spark, checks=None, approved=None):
+    df = spark.createDataFrame(ROWS, SCHEMA).repartition(4)
+    return Mart(df, ("posicao",), checks or [*marts.positions_check(2), marts.ticket_check()], approved)
+
+
+def lines(folder):
+    files = glob.glob(f"{folder}/*.csv")
+    assert len(files) == 1
+    with open(files[0], encoding="utf-8") as f:
+        return f.read().splitlines()
+
+
+def test_file_has_fixed_header_order_and_plain_numbers(spark, tmp_path):
+    counts = publish_marts({"loyal": loyal(spark)}, str(tmp_path))
+    assert counts == {"loyal": 2}
+    assert lines(tmp_path / "loyal") == [
+        "customer_id,cliente,faturamento_total,frequencia,ticket_medio,diversidade_categorias,posicao",
+        "22, Isa,57758021.43,26,2221462.36,14,1",
+        '1116,"Zé ""Al"", filho",655737.2,16,40983.57,14,2',
+    ]
+    back = read_mart(spark, f"{tmp_path}/loyal", loyal(spark).rows.schema)
+    assert rows(back) == sorted(ROWS, key=repr)
+
+
+@pytest.mark.parametrize(
+    "check, message",
+    [
+        (lambda: Check("rows", F.count("*"), 3), "rows: expected 3, found 2"),
+        (lambda: Check("sum", F.sum("frequencia"), 41), "sum: expected 41, found 42"),
+        (lambda: Check("missing", F.max(F.lit(None).cast("int")), 1), "missing: expected 1, found None"),
+    ],
+)
+def test_failed_check_writes_nothing(spark, tmp_path, check, message):
+    good, bad = loyal(spark), loyal(spark, [check()])
+    with pytest.raises(MartRejected, match=message):
+        publish_marts({"good": good, "bad": bad}, str(tmp_path))
+    assert os.listdir(tmp_path) == []
+
+
+def test_tolerance(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    assert validate(df, [Check("mean", F.avg("x"), 1.4999, 0.001)]) == 2
+    with pytest.raises(MartRejected):
+        validate(df, [Check("mean", F.avg("x"), 1.49, 0.001)])
+
+
+def test_approved_rows(spark, tmp_path):
+    same = spark.createDataFrame(ROWS, SCHEMA)
+    assert publish_marts({"ok": loyal(spark, approved=same)}, str(tmp_path)) == {"ok": 2}
+    other = spark.createDataFrame([ROWS[0], (*ROWS[1][:2], 1.0, *ROWS[1][3:])], SCHEMA)
+    with pytest.raises(MartRejected, match="1 approved rows missing, 1 rows not approved"):
+        publish_marts({"bad": loyal(spark, approved=other)}, str(tmp_path))
+    assert sorted(os.listdir(tmp_path)) == ["ok"]
+
+
+def test_wrong_ticket_and_gap_in_positions(spark):
+    df = spark.createDataFrame([(1, "a", 10.0, 4, 2.51, 1, 1), (2, "b", 5.0, 1, 5.0, 1, 3)], SCHEMA)
+    with pytest.raises(MartRejected, match="last position.*wrong ticket"):
+        validate(df, [*marts.positions_check(2), marts.ticket_check()])
+    with pytest.raises(MartRejected, match="gaps in positions.*first is not the largest"):
+        validate(df.withColumnRenamed("frequencia", "q").withColumn("q", F.col("q") * F.col("posicao")),
+                 [Check("gaps in positions", F.max("posicao") - F.count_distinct("posicao"), 0),
+                  Check("first is not the largest", F.max("ticket_medio") - F.max_by("ticket_medio", -F.col("posicao")), 0)])
+
+
+def test_large_marts_keep_their_partitions(spark, tmp_path, with_conf):
+    with_conf({"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    df = spark.range(5000).select(F.col("id").alias("posicao"))
+    write_mart(df, str(tmp_path / "m"), ("posicao",), rows=10**6)
+    assert len(glob.glob(f"{tmp_path}/m/*.csv")) > 1
+    assert read_mart(spark, str(tmp_path / "m"), df.schema).count() == 5000
+
+
+HEADERS = {
+    "LOYAL_CUSTOMERS": "customer_id,cliente,faturamento_total,frequencia,ticket_medio,diversidade_categorias,posicao",
+    "LOYAL_CATEGORIES": "category_id,categoria,quantidade_itens,posicao",
+    "WEEKDAYS": "ordem_dia,dia_semana,media_vendas,dias_calendario,dias_sem_venda,valor_total,destaque",
+    "FORECAST": "mes,real,previsto,erro_absoluto",
+    "RECOMMENDATIONS": "posicao,product_id,produto,similaridade",
+}
+
+
+@pytest.mark.parametrize("name", HEADERS)
+def test_published_headers(name):
+    assert ",".join(getattr(marts, name).columns.values()) == HEADERS[name]

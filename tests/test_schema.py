@@ -1,0 +1,179 @@
+import random
+from datetime import date, timedelta
+
+import pytest
+from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidebook.functions.text import has_leading_zero, kind, scale_digits, whole_digits
+from tidebook.operators.schema import infer_schema, infer_types, profile_columns, profile_tables, to_ddl, value_ranges
+
+
+def text_table(spark, columns):
+    names = list(columns)
+    length = max(len(v) for v in columns.values())
+    data = [tuple(columns[n][k] if k < len(columns[n]) else None for n in names) for k in range(length)]
+    return spark.createDataFrame(data, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+
+
+@pytest.mark.parametrize(
+    "value, expected",
+    [
+        ("12", "int"),
+        ("-12", "int"),
+        ("007", "int"),
+        ("12\n", "text"),
+        ("456.5", "dec"),
+        ("-0.50", "dec"),
+        ("52.", "text"),
+        ("2000.", "text"),
+        ("23..7", "text"),
+        (".5", "text"),
+        ("-", "text"),
+        ("--", "text"),
+        ("TRUE", "bool"),
+        ("false", "bool"),
+        ("truue", "text"),
+        ("t", "text"),
+        ("2024-02-29", "date"),
+        ("2023-02-29", "text"),
+        ("2024-1-2", "text"),
+        ("2024-01-02 03:04:05", "ts"),
+        ("2024-01-02 03:04:05.123", "ts"),
+        ("2024-01-02 25:04:05", "text"),
+        (" 143.0", "text"),
+        ("n/a", "text"),
+        ("", "text"),
+        ("FR-10771657", "text"),
+        ("12345-678", "text"),
+        (None, None),
+    ],
+)
+def test_kind(spark, value, expected):
+    df = spark.createDataFrame([(value,)], "v string")
+    assert df.select(kind(F.col("v"))).first()[0] == expected
+
+
+def test_digits(spark):
+    df = spark.createDataFrame([("-012.340",), ("5",), ("-7",), ("0.5",), ("0",), ("00",)], "v string")
+    v = F.col("v")
+    found = df.select(whole_digits(v), scale_digits(v), has_leading_zero(v)).collect()
+    assert [tuple(r) for r in found] == [
+        (3, 3, True),
+        (1, 0, False),
+        (1, 0, False),
+        (1, 1, False),
+        (1, 0, False),
+        (2, 0, True),
+    ]
+
+
+COLUMNS = {
+    "id": (["1", "20", "300"], "bigint"),
+    "parent": ([None, "1", None], "bigint"),
+    "active": (["TRUE", "FALSE", "true"], "boolean"),
+    "hired": (["2024-01-31", None, "2024-02-29"], "date"),
+    "created": (["2024-01-31 10:00:00", "2024-01-31", None], "timestamp_ntz"),
+    "price": (["456.5", "-12.25", "7"], "decimal(5,2)"),
+    "code": (["02428608000147", "10771657000100", "1"], "string"),
+    "zip": (["01310-100", "01310100", "99999"], "string"),
+    "key": (["1" * 44, "2" * 44, None], "string"),
+    "wide": (["1" * 37 + ".5", "1.25", None], "string"),
+    "listed": (["12", "13", "14"], "string"),
+    "mixed": (["1", "x", "2.5"], "string"),
+    "empty": ([None, None, None], "string"),
+}
+
+
+def test_types_of_every_kind(spark):
+    df = text_table(spark, {name: values for name, (values, _) in COLUMNS.items()})
+    schema = infer_schema(df, ["listed"])
+    assert [(f.name, f.dataType.simpleString()) for f in schema] == [(n, t) for n, (_, t) in COLUMNS.items()]
+    assert all(f.nullable for f in schema)
+
+
+def test_all_rows_decide(spark):
+    """One value in the last of many rows turns a number column into text."""
+    df = spark.range(50_000).select(F.col("id").cast("string").alias("v"))
+    assert infer_schema(df)["v"].dataType == T.LongType()
+    odd = df.unionByName(text_table(spark, {"v": ["x"]}))
+    assert infer_schema(odd)["v"].dataType == T.StringType()
+
+
+def test_profile_counts(spark):
+    df = text_table(spark, {"a": ["1", "01", None, "2.50", "x"], "b": ["true", "2024-01-01", "2024-01-01 00:00:00"]})
+    found = {r["column_name"]: r.asDict() for r in profile_columns(df).collect()}
+    a, b = found["a"], found["b"]
+    assert (a["n"], a["n_null"], a["n_int"], a["n_dec"], a["n_lead0"]) == (5, 1, 2, 1, 1)
+    assert (a["max_len"], a["max_whole"], a["max_scale"]) == (4, 2, 2)
+    assert (b["n_bool"], b["n_date"], b["n_ts"], b["n_null"]) == (1, 1, 1, 2)
+    assert rows(value_ranges(df)) == [("a", 4, "01", "x"), ("b", 3, "2024-01-01", "true")]
+
+
+def test_odd_column_names_and_empty_tables(spark):
+    df = text_table(spark, {"a.b": ["1"], "c d": ["x"], "e`f": ["2.5"]})
+    assert [f.dataType.simpleString() for f in infer_schema(df)] == ["bigint", "string", "decimal(2,1)"]
+    assert [f.dataType for f in infer_schema(df.limit(0))] == [T.StringType()] * 3
+
+
+def test_tables_keep_their_names(spark):
+    tables = {"x": text_table(spark, {"id": ["1"]}), "y": text_table(spark, {"id": ["a"]})}
+    types = infer_types(profile_tables(tables))
+    assert rows(types) == [("x", "id", "bigint"), ("y", "id", "string")]
+
+
+def test_ddl(spark):
+    schema = infer_schema(text_table(spark, {"id": ["1"], "price": ["2.50"], "name": ["x"]}))
+    assert to_ddl("t", schema) == "CREATE TABLE `t` (\n  `id` bigint,\n  `price` decimal(3,2),\n  `name` string\n)"
+
+
+CASTS = {"bigint": int, "boolean": str, "string": str}
+VALUES = st.one_of(
+    st.integers(-(10**20), 10**20).map(str),
+    st.decimals(-(10**6), 10**6, places=3).map(str),
+    st.sampled_from(["true", "FALSE", "007", "x", "2024-02-30", "2024-02-28", "", None]),
+    st.dates(date(1900, 1, 1), date(2100, 1, 1)).map(str),
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(VALUES, min_size=1, max_size=8))
+def test_inferred_type_holds_every_value(spark, values):
+    """No value is lost by a cast to the inferred type, and text survives the way back."""
+    df = text_table(spark, {"v": values})
+    inferred = infer_schema(df)["v"].dataType
+    cast = df.select(F.col("v"), F.col("v").try_cast(inferred).alias("c"))
+    assert cast.filter(F.col("v").isNotNull() & F.col("c").isNull()).count() == 0
+
+
+def test_profile_needs_no_sort(spark):
+    from conftest import plan_of
+
+    df = text_table(spark, {"a": ["1"], "b": ["x"]})
+    assert "Sort" not in plan_of(profile_columns(df))
+
+
+def test_profile_against_python(spark):
+    rnd = random.Random(3)
+    start = date(2020, 1, 1)
+    make = [
+        lambda: str(rnd.randint(-999, 9999)),
+        lambda: f"{rnd.randint(0, 99)}.{rnd.randint(0, 99):02d}",
+        lambda: "0" + str(rnd.randint(1, 99)),
+        lambda: str(start + timedelta(rnd.randint(0, 999))),
+        lambda: rnd.choice(["true", "false", "maybe"]),
+        lambda: None,
+    ]
+    values = [rnd.choice(make)() for _ in range(800)]
+    row = profile_columns(text_table(spark, {"v": values})).first()
+    filled = [v for v in values if v is not None]
+    ints = [v for v in filled if v.lstrip("-").isdigit()]
+    decs = [v for v in filled if v.replace(".", "", 1).isdigit() and "." in v]
+    assert row["n"] == 800 and row["n_null"] == 800 - len(filled)
+    assert (row["n_int"], row["n_dec"]) == (len(ints), len(decs))
+    assert row["n_bool"] == sum(v in ("true", "false") for v in filled)
+    assert row["n_date"] == sum(v.count("-") == 2 for v in filled)
+    assert row["n_lead0"] == sum(v[0] == "0" and v[1].isdigit() for v in ints + decs if len(v) > 1)

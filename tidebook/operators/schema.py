@@ -60,7 +60,7 @@ def value_ranges(df: DataFrame) -> DataFrame:
 
 def _long(df: DataFrame) -> DataFrame:
     """(column_name, value) rows; ``unpivot`` needs all columns to have one type."""
-    names = [F.col(f"`{c}`") for c in df.columns]
+    names = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
     text = df.select([n.cast("string").alias(c) for n, c in zip(names, df.columns)])
     return text.unpivot([], names, "column_name", "value")
 
@@ -124,6 +124,8 @@ def schemas_of(types: DataFrame, columns: dict[str, list[str]]) -> dict[str, T.S
 
 def to_ddl(table: str, schema: T.StructType) -> str:
     """``CREATE TABLE`` text for a schema, without keys or NOT NULL."""
-    body = ",\n".join(f"  `{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    quoted = [f.name.replace("`", "``") for f in schema.fields]
+    types = [f.dataType.simpleString() for f in schema.fields]
+    body = ",\n".join(f"  `{name}` {type_name}" for name, type_name in zip(quoted, types))
     return f"CREATE TABLE `{table}` (\n{body}\n)"
 

@@ -100,9 +100,9 @@ def pin(ranked: DataFrame, n: int) -> Ranking:
     """
     if n > BROADCAST_CUSTOMERS:
         return Ranking(ranked, None)
-    rows = ranked.collect()
-    fixed = F.broadcast(ranked.sparkSession.createDataFrame(rows, ranked.schema))
-    return Ranking(fixed, sum(row["frequency"] for row in rows))
+    rows = ranked.toArrow()
+    fixed = F.broadcast(ranked.sparkSession.createDataFrame(rows))
+    return Ranking(fixed, sum(rows["frequency"].to_pylist()))
 
 
 def orders_of(orders: DataFrame, best: Ranking) -> DataFrame:

@@ -21,6 +21,10 @@ CSV_DIALECT = {
 }
 
 
+# With the default marker "" a reader could not tell an empty field (null) from a quoted one.
+READ_DIALECT = CSV_DIALECT | {"nullValue": "\u0000"}
+
+
 def find_tables(spark: SparkSession, folder: str) -> dict[str, str]:
     """Table name to path for everything in ``folder``: one file, or one folder of files, each.
 
@@ -36,7 +40,7 @@ def find_tables(spark: SparkSession, folder: str) -> dict[str, str]:
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
     """Every column as text; an empty field is null, a quoted empty field an empty text."""
-    return spark.read.options(**CSV_DIALECT).option("inferSchema", "false").csv(path)
+    return spark.read.options(**READ_DIALECT).option("inferSchema", "false").csv(path)
 
 
 def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -45,7 +49,7 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     The defaults would turn the value into null and read the columns by position.
     """
     strict = {"mode": "FAILFAST", "enforceSchema": "false"}
-    return spark.read.options(**CSV_DIALECT, **strict).schema(schema).csv(path)
+    return spark.read.options(**READ_DIALECT, **strict).schema(schema).csv(path)
 
 
 def infer_schemas(

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidebook.functions.numbers import plain_text
 from tidebook.session import materialize
-from tidebook.sources.csv_tables import CSV_DIALECT
+from tidebook.sources.csv_tables import CSV_DIALECT, read_typed
 
 # Up to this many rows a mart goes into one file; a larger one keeps its partitions.
 SINGLE_FILE_ROWS = 100_000
@@ -104,4 +104,4 @@ def publish_marts(marts: dict[str, Mart], folder: str) -> dict[str, int]:
 
 def read_mart(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A written mart, typed again."""
-    return spark.read.options(**CSV_DIALECT).option("mode", "FAILFAST").schema(schema).csv(path)
+    return read_typed(spark, path, schema)
