@@ -100,3 +100,9 @@ def test_equal_similarities_rank_by_id(spark):
     pairs = spark.createDataFrame(bought, "customer_id bigint, product_id bigint")
     found = affinity.similar_items(pairs, affinity.references(spark, [0])).orderBy("position")
     assert [r["product_id"] for r in found.collect()] == [4, 9]
+
+
+def test_unlisted_products_stay(spark):
+    pairs = spark.createDataFrame([(1, 0), (1, 7), (1, 1)], "customer_id bigint, product_id bigint")
+    found = recommendations(pairs, affinity.references(spark, [0]), products(spark, [0, 1]), 5)
+    assert rows(found.select("product_id", "product")) == [(1, "product 1"), (7, None)]

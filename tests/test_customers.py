@@ -70,14 +70,23 @@ def test_ranking_and_categories_against_brute_force(spark, monkeypatch, min_cate
     expected_customers, expected_categories = brute_force(raw_orders, raw_items, category, min_categories, 10)
     o, i = orders(spark, raw_orders), items(spark, raw_items)
     p = products(spark, range(26), category)
-    found = cust.loyal_customers(o, i, p, names(spark, range(31)), min_categories, 10)
+    ranking = cust.rank_customers(o, i, p, min_categories, 10)
+    found = cust.loyal_customers(o, i, p, names(spark, range(31)), ranking)
     found = found.orderBy("position").drop("customer")
     assert [tuple(r) for r in found.collect()] == expected_customers
-    categories = cust.loyal_categories(o, i, p, min_categories, 10).select("category_id", "n_items", "position")
+    categories = cust.loyal_categories(o, i, p, ranking).select("category_id", "n_items", "position")
     assert [tuple(r) for r in categories.collect()] == expected_categories
 
 
 def test_ties_fall_back_to_the_customer_id(spark):
     o = orders(spark, [(k, c, "2024-01-01", 10.0, "s", "paid") for k, c in enumerate([5, 3, 9, 1])])
-    found = cust.loyal_ids(o, items(spark, []), products(spark, [1]), n=3)
-    assert rows(found.select("position", "customer_id")) == [(1, 1), (2, 3), (3, 5)]
+    ranking = cust.rank_customers(o, items(spark, []), products(spark, [1]), n=3)
+    assert ranking.n_orders == 3
+    assert rows(ranking.customers.select("position", "customer_id")) == [(1, 1), (2, 3), (3, 5)]
+
+
+def test_unnamed_customers_stay(spark):
+    o = orders(spark, [(k, c, "2024-01-01", 10.0 + c, "s", "paid") for k, c in enumerate([5, 3])])
+    sales = o, items(spark, []), products(spark, [1])
+    found = cust.loyal_customers(*sales, names(spark, [3]), cust.rank_customers(*sales))
+    assert rows(found.select("position", "customer_id", "customer")) == [(1, 5, None), (2, 3, "customer 3")]

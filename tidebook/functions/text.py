@@ -17,26 +17,23 @@ TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6
 def kind(value: Column) -> Column:
     """One of int, dec, bool, date, ts, text; null for null.
 
-    The kinds exclude each other, so a value passes through the tests only until one matches.
-    The first character and the length rule most tests out before a pattern has to run.
-    Dates and timestamps must also exist: 2026-02-30 is text.
+    The kinds exclude each other. Cheap byte tests pick the only kind that is still possible, so
+    at most one pattern runs per value. Dates and timestamps must also exist: 2026-02-30 is text.
     """
-    numeral = value.substr(1, 1).between("-", "9")
+
+    def text_unless(test: Column, name: str) -> Column:
+        return F.when(test, name).otherwise("text")
+
+    def exists(pattern: str, type_name: str) -> Column:
+        return value.rlike(pattern) & value.try_cast(type_name).isNotNull()
+
     return (
         F.when(value.isNull(), F.lit(None).cast("string"))
-        .when(~numeral, F.when(value.isin(*BOOLEANS), "bool").otherwise("text"))
-        .when(value.rlike(INTEGER), "int")
-        .when(value.rlike(DECIMAL), "dec")
-        .when(
-            (F.length(value) == 10) & value.rlike(DATE) & value.try_cast("date").isNotNull(), "date"
-        )
-        .when(
-            (F.length(value) >= 19)
-            & value.rlike(TIMESTAMP)
-            & value.try_cast("timestamp_ntz").isNotNull(),
-            "ts",
-        )
-        .otherwise("text")
+        .when(~value.substr(1, 1).between("-", "9"), text_unless(value.isin(*BOOLEANS), "bool"))
+        .when(value.contains(":"), text_unless(exists(TIMESTAMP, "timestamp_ntz"), "ts"))
+        .when(value.contains("."), text_unless(value.rlike(DECIMAL), "dec"))
+        .when(value.substr(5, 1) == "-", text_unless(exists(DATE, "date"), "date"))
+        .otherwise(text_unless(value.rlike(INTEGER), "int"))
     )
 
 

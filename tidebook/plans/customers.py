@@ -63,28 +63,6 @@ def _with_diversity(customers: DataFrame, diversity: DataFrame) -> DataFrame:
     )
 
 
-def _ticket_order() -> list:
-    return [F.desc("average_ticket"), F.asc("customer_id")]
-
-
-def loyal_ids(
-    orders: DataFrame, items: DataFrame, products: DataFrame, min_categories: int = 0, n: int = 10
-) -> DataFrame:
-    """The top ``n`` customers by average ticket, with all their figures.
-
-    With a diversity threshold every customer's diversity must be known first. Without one the
-    ranking needs the orders only, and the items are read just for the orders of the winners.
-    """
-    if min_categories > 0:
-        eligible = customer_profile(orders, items, products).filter(
-            F.col("category_diversity") >= min_categories
-        )
-        return top(eligible, _ticket_order(), n)
-    best = pin(customer_orders(orders).orderBy(*_ticket_order()).limit(n), n)
-    diversity = category_diversity(orders_of(orders, best), items, products)
-    return with_position(_with_diversity(best.customers, diversity), _ticket_order())
-
-
 @dataclass(frozen=True)
 class Ranking:
     """Ranked customers, and the number of their orders where it is known."""
@@ -93,28 +71,41 @@ class Ranking:
     n_orders: int | None
 
 
-def pin(ranked: DataFrame, n: int) -> Ranking:
-    """Compute a ranking of at most ``n`` rows now, so that its size and orders are known.
+def rank_customers(
+    orders: DataFrame, items: DataFrame, products: DataFrame, min_categories: int = 0, n: int = 10
+) -> Ranking:
+    """The top ``n`` customers by average ticket.
+
+    With a diversity threshold every customer's diversity must be known first. Without one the
+    ranking needs the orders only.
 
-    A longer ranking stays a plan and its size unknown.
+    A ranking of few customers is computed now: then its size and its number of orders are known,
+    and the plans built on it need not repeat it. A longer one stays a plan of unknown size.
     """
+    if min_categories > 0:
+        eligible = customer_profile(orders, items, products).filter(
+            F.col("category_diversity") >= min_categories
+        )
+    else:
+        eligible = customer_orders(orders)
+    ranked = top(eligible, [F.desc("average_ticket"), F.asc("customer_id")], n)
     if n > BROADCAST_CUSTOMERS:
         return Ranking(ranked, None)
     rows = ranked.toArrow()
-    fixed = F.broadcast(ranked.sparkSession.createDataFrame(rows))
+    fixed = F.broadcast(orders.sparkSession.createDataFrame(rows))
     return Ranking(fixed, sum(rows["frequency"].to_pylist()))
 
 
-def orders_of(orders: DataFrame, best: Ranking) -> DataFrame:
+def orders_of(orders: DataFrame, ranking: Ranking) -> DataFrame:
     """The orders of the ranked customers (semi join).
 
     Few orders are sent to the items, which then need not be shuffled. One of the customers may
     hold a large share of all orders; beyond the limit both sides are shuffled instead.
     """
     chosen = orders.select("order_id", "customer_id").join(
-        best.customers.select("customer_id"), "customer_id", "left_semi"
+        ranking.customers.select("customer_id"), "customer_id", "left_semi"
     )
-    few = best.n_orders is not None and best.n_orders <= BROADCAST_ORDERS
+    few = ranking.n_orders is not None and ranking.n_orders <= BROADCAST_ORDERS
     return F.broadcast(chosen) if few else chosen
 
 
@@ -123,13 +114,18 @@ def loyal_customers(
     items: DataFrame,
     products: DataFrame,
     customers: DataFrame,
-    min_categories: int = 0,
-    n: int = 10,
+    ranking: Ranking,
 ) -> DataFrame:
-    """The ranking with customer names, looked up after it has been cut to ``n`` rows."""
-    ranked = loyal_ids(orders, items, products, min_categories, n)
-    small = F.broadcast(ranked) if n <= BROADCAST_CUSTOMERS else ranked
-    return customers.join(small, "customer_id").select(
+    """The ranking with customer names and diversity, looked up for the ranked customers only.
+
+    A customer without a name stays in the ranking.
+    """
+    ranked = ranking.customers
+    if "category_diversity" not in ranked.columns:
+        diversity = category_diversity(orders_of(orders, ranking), items, products)
+        ranked = _with_diversity(ranked, diversity)
+    names = customers.join(ranking.customers.select("customer_id"), "customer_id", "left_semi")
+    return ranked.join(names, "customer_id", "left").select(
         "customer_id",
         "customer",
         "revenue",
@@ -141,21 +137,13 @@ def loyal_customers(
 
 
 def loyal_categories(
-    orders: DataFrame,
-    items: DataFrame,
-    products: DataFrame,
-    min_categories: int = 0,
-    n: int = 10,
+    orders: DataFrame, items: DataFrame, products: DataFrame, ranking: Ranking
 ) -> DataFrame:
-    """Units per category bought by the top ``n`` customers, most bought first.
+    """Units per category bought by the ranked customers, most bought first.
 
     Units are added up per product before the product table is joined.
     """
-    if min_categories > 0:
-        ranked = loyal_ids(orders, items, products, min_categories, n)
-    else:
-        ranked = customer_orders(orders).orderBy(*_ticket_order()).limit(n)
-    chosen = orders_of(orders, pin(ranked, n))
+    chosen = orders_of(orders, ranking).select("order_id")
     per_product = (
         items.join(chosen, "order_id").groupBy("product_id").agg(F.sum("quantity").alias("units"))
     )

@@ -18,11 +18,10 @@ def monthly_demand(orders: DataFrame, items: DataFrame, products: DataFrame) ->
     return dense_months(monthly_units(orders, items), products, lo, hi)
 
 
-def most_sold(items: DataFrame) -> DataFrame:
-    """The product with the most units, the lower id on a tie."""
+def most_sold(items: DataFrame) -> int:
+    """The id of the product with the most units, the lower id on a tie."""
     units = items.groupBy("product_id").agg(F.sum("quantity").alias("units"))
-    best = units.orderBy(F.desc("units"), F.asc("product_id")).limit(1)
-    return F.broadcast(best.select("product_id"))
+    return units.orderBy(F.desc("units"), F.asc("product_id")).first()["product_id"]
 
 
 def demand_forecast(

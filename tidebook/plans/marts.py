@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidebook.functions.numbers import cents, from_cents, ratio, round2, wide_sum
-from tidebook.operators.affinity import purchases
-from tidebook.plans.customers import loyal_categories, loyal_customers
+from tidebook.operators.affinity import purchases, references
+from tidebook.plans.customers import loyal_categories, loyal_customers, rank_customers
 from tidebook.plans.demand import demand_forecast
 from tidebook.plans.overview import sales_cube
 from tidebook.plans.recommend import recommendations
@@ -168,18 +168,19 @@ class Sales:
 def build_marts(
     sales: Sales,
     channel: str | None,
-    reference: DataFrame,
+    reference_id: int,
     test_from: date,
     test_to: date,
     n_customers: int = 10,
     neighbours: int = 5,
 ) -> dict[str, Mart]:
-    """The six marts; ``reference`` holds the one product forecast and compared with others."""
+    """The six marts; the product ``reference_id`` is forecast and compared with the others."""
     orders, items, products = sales.orders, sales.items, sales.products
-    loyal = loyal_customers(orders, items, products, sales.customers, n=n_customers)
-    categories = loyal_categories(orders, items, products, n=n_customers)
-    pairs = purchases(orders, items)
-    similar = recommendations(pairs, reference, products, neighbours)
+    ranking = rank_customers(orders, items, products, n=n_customers)
+    loyal = loyal_customers(orders, items, products, sales.customers, ranking)
+    categories = loyal_categories(orders, items, products, ranking)
+    reference = references(orders.sparkSession, [reference_id])
+    similar = recommendations(purchases(orders, items), reference, products, neighbours)
     return {
         "overview": overview_mart(orders),
         "loyal_customers": LOYAL_CUSTOMERS.mart(
@@ -189,7 +190,7 @@ def build_marts(
         "weekdays": WEEKDAYS.mart(
             weekday_average(orders, channel), weekday_checks(orders, channel)
         ),
-        "forecast": forecast_mart(orders, items, reference, test_from, test_to),
+        "forecast": forecast_mart(orders, items, products, reference_id, test_from, test_to),
         "recommendations": RECOMMENDATIONS.mart(similar, positions_check(neighbours)),
     }
 
@@ -199,8 +200,16 @@ def overview_mart(orders: DataFrame) -> Mart:
 
 
 def forecast_mart(
-    orders: DataFrame, items: DataFrame, reference: DataFrame, test_from: date, test_to: date
+    orders: DataFrame,
+    items: DataFrame,
+    products: DataFrame,
+    reference_id: int,
+    test_from: date,
+    test_to: date,
 ) -> Mart:
-    """Only the reference product's items are joined to the orders."""
-    one = items.join(reference, "product_id", "left_semi")
-    return FORECAST.mart(demand_forecast(orders, one, reference, test_from, test_to), [error_check()])
+    """The product filter goes down to both scans; only its items are joined to the orders."""
+    wanted = F.col("product_id") == reference_id
+    forecast = demand_forecast(
+        orders, items.filter(wanted), products.filter(wanted), test_from, test_to
+    )
+    return FORECAST.mart(forecast, [error_check()])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidebook.operators.affinity import similar_items
 
@@ -14,15 +13,15 @@ def recommendations(
     """The ``k`` nearest products of each reference product, with names.
 
     Names are looked up for the finished ranking only; many products share a name, so nothing
-    is matched by it.
+    is matched by it. A product the catalogue does not list stays in the ranking.
     """
     ranked = similar_items(pairs, references, k)
-    return ranked.join(products.select("product_id", "product"), "product_id").select(
+    return ranked.join(products.select("product_id", "product"), "product_id", "left").select(
         "reference_id",
         "position",
         "product_id",
         "product",
         "co_buyers",
-        F.col("buyers"),
+        "buyers",
         "similarity",
     )

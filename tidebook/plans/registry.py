@@ -103,22 +103,32 @@ def customer_profile(spark: SparkSession, root: str) -> DataFrame:
     return cust.customer_profile(*_sales(spark, root))
 
 
+def _loyal_customers(spark: SparkSession, root: str, min_categories: int) -> DataFrame:
+    sales = _sales(spark, root)
+    ranking = cust.rank_customers(*sales, min_categories, TOP_CUSTOMERS)
+    return cust.loyal_customers(*sales, star.customers(spark, root), ranking)
+
+
+def _loyal_categories(spark: SparkSession, root: str, min_categories: int) -> DataFrame:
+    sales = _sales(spark, root)
+    ranking = cust.rank_customers(*sales, min_categories, TOP_CUSTOMERS)
+    return cust.loyal_categories(*sales, ranking)
+
+
 def loyal_customers_top10(spark: SparkSession, root: str) -> DataFrame:
-    names = star.customers(spark, root)
-    return cust.loyal_customers(*_sales(spark, root), names, n=TOP_CUSTOMERS)
+    return _loyal_customers(spark, root, 0)
 
 
 def loyal_customers_diverse(spark: SparkSession, root: str) -> DataFrame:
-    names = star.customers(spark, root)
-    return cust.loyal_customers(*_sales(spark, root), names, MIN_CATEGORIES, TOP_CUSTOMERS)
+    return _loyal_customers(spark, root, MIN_CATEGORIES)
 
 
 def loyal_categories(spark: SparkSession, root: str) -> DataFrame:
-    return cust.loyal_categories(*_sales(spark, root), n=TOP_CUSTOMERS)
+    return _loyal_categories(spark, root, 0)
 
 
 def loyal_categories_diverse(spark: SparkSession, root: str) -> DataFrame:
-    return cust.loyal_categories(*_sales(spark, root), MIN_CATEGORIES, TOP_CUSTOMERS)
+    return _loyal_categories(spark, root, MIN_CATEGORIES)
 
 
 # Demand
@@ -244,9 +254,9 @@ def mart_weekdays(spark: SparkSession, root: str) -> DataFrame:
 
 
 def mart_forecast(spark: SparkSession, root: str) -> DataFrame:
-    orders, items, _ = _sales(spark, root)
-    best = demand.most_sold(items)
-    return _published(spark, marts.forecast_mart(orders, items, best, TEST_FROM, TEST_TO))
+    sales = _sales(spark, root)
+    best = demand.most_sold(sales[1])
+    return _published(spark, marts.forecast_mart(*sales, best, TEST_FROM, TEST_TO))
 
 
 def mart_recommendations(spark: SparkSession, root: str) -> DataFrame:
