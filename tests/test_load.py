@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from conftest import rows
 
+from tidebook.plans.ingest import ingest
 from tidebook.sources import csv_tables, warehouse
 
 FILES = {
@@ -110,10 +111,13 @@ def test_two_loads_at_once_are_detected(spark, source, tmp_path):
 def test_reconcile(spark, source, tmp_path):
     paths, schemas = prepared(spark, source)
     loaded = warehouse.load_all(spark, paths, schemas, str(tmp_path / "dest"))
-    texts = csv_tables.read_tables(spark, paths, schemas)
-    assert rows(warehouse.reconcile(texts, loaded)) == [("TOTAL", 6, 6, 0), ("people", 3, 3, 0), ("values", 3, 3, 0)]
-    short = {"people": loaded["people"].limit(2), "extra": loaded["values"]}
-    assert rows(warehouse.reconcile(texts, short)) == [
+    source_counts = warehouse.count_rows(csv_tables.read_tables(spark, paths, schemas), "n_source")
+
+    def against(tables):
+        return rows(warehouse.reconcile(source_counts, warehouse.count_rows(tables, "n_loaded")))
+
+    assert against(loaded) == [("TOTAL", 6, 6, 0), ("people", 3, 3, 0), ("values", 3, 3, 0)]
+    assert against({"people": loaded["people"].limit(2), "extra": loaded["values"]}) == [
         ("TOTAL", 6, 5, 1),
         ("extra", 0, 3, -3),
         ("people", 3, 2, 1),
@@ -121,6 +125,17 @@ def test_reconcile(spark, source, tmp_path):
     ]
 
 
+def test_ingest(spark, source, tmp_path):
+    with open(f"{source}/empty.csv", "w") as f:
+        f.write("a,b\n")
+    done = ingest(spark, source, str(tmp_path / "dest"), ["item"])
+    assert rows(done.row_counts) == [("TOTAL", 6, 6, 0), ("empty", 0, 0, 0), ("people", 3, 3, 0), ("values", 3, 3, 0)]
+    assert done.schemas["values"].simpleString() == "struct<item:string,value:string>"
+    assert rows(done.tables["values"]) == [("1", ""), ("2", None), ("3", "x")]
+    with pytest.raises(warehouse.AlreadyLoaded):
+        ingest(spark, source, str(tmp_path / "dest"))
+
+
 def test_views(spark, source, tmp_path):
     paths, schemas = prepared(spark, source)
     warehouse.register(warehouse.load_all(spark, paths, schemas, str(tmp_path / "dest")))

@@ -78,6 +78,11 @@ def profile_tables(
     return result
 
 
+def rows_profiled(profile: DataFrame) -> DataFrame:
+    """Rows per profiled table: every column was counted over all of them."""
+    return profile.groupBy("table_name").agg(F.max("n").alias("n_source"))
+
+
 def infer_types(profile: DataFrame, text_columns: list[str] | None = None) -> DataFrame:
     """The narrowest type that holds every value of each profiled column.
 

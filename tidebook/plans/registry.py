@@ -19,6 +19,7 @@ from tidebook.operators.schema import (
 )
 from tidebook.plans import customers as cust
 from tidebook.plans import demand, marts, overview, recommend, weekdays
+from tidebook.plans.ingest import Ingested, ingest
 from tidebook.session import scratch_path
 from tidebook.sources import csv_tables, star, warehouse
 from tidebook.sources.mart_files import Mart, publish_marts, read_mart
@@ -191,24 +192,21 @@ def inferred_schema(spark: SparkSession, root: str) -> DataFrame:
     return infer_types(profile_tables(_text_tables(spark, root)), TEXT_COLUMNS)
 
 
-def _load(spark: SparkSession, root: str, names: tuple[str, ...]):
-    """Export tables as CSV, infer their schemas from the files, and load them."""
+def _ingest(spark: SparkSession, root: str, names: tuple[str, ...]) -> Ingested:
+    """Export tables as CSV and ingest the files."""
     folder = scratch_path(spark, "load")
     for name in names:
         exported = csv_tables.as_exported(star.table(spark, root, name))
         csv_tables.write_text_table(exported, f"{folder}/raw/{name}")
-    paths = csv_tables.find_tables(spark, f"{folder}/raw")
-    schemas = csv_tables.infer_schemas(spark, paths)
-    loaded = warehouse.load_all(spark, paths, schemas, f"{folder}/warehouse")
-    return csv_tables.read_tables(spark, paths, schemas), loaded
+    return ingest(spark, f"{folder}/raw", f"{folder}/warehouse")
 
 
 def load_reconcile(spark: SparkSession, root: str) -> DataFrame:
-    return warehouse.reconcile(*_load(spark, root, star.STAR_TABLES))
+    return _ingest(spark, root, star.STAR_TABLES).row_counts
 
 
 def loaded_orders_sql(spark: SparkSession, root: str) -> DataFrame:
-    _, loaded = _load(spark, root, ("orders",))
+    loaded = _ingest(spark, root, ("orders",)).tables
     warehouse.register({"loaded_orders": loaded["orders"]})
     return spark.sql(
         "SELECT o_orderstatus, o_orderpriority, count(*) AS n_orders,"

@@ -28,8 +28,7 @@ def load_all(
     written last, as one small file; only with it does the load exist. A failure before that
     leaves nothing visible, and a second load is refused so that no row is loaded twice.
     """
-    if published(spark, dest):
-        raise AlreadyLoaded(f"{dest} already holds a load; nothing was written")
+    require_empty(spark, dest)
     run = f"run-{uuid.uuid4().hex}"
     for name, path in paths.items():
         read_typed(spark, path, schemas[name]).write.mode("errorifexists").parquet(
@@ -42,6 +41,11 @@ def load_all(
     return open_tables(spark, dest, schemas)
 
 
+def require_empty(spark: SparkSession, dest: str) -> None:
+    if published(spark, dest):
+        raise AlreadyLoaded(f"{dest} already holds a load; nothing was written")
+
+
 def published(spark: SparkSession, dest: str) -> dict[str, str]:
     """Table name to folder for a finished load; empty if there is none."""
     try:
@@ -87,15 +91,13 @@ def count_rows(tables: dict[str, DataFrame], column: str) -> DataFrame:
     return result
 
 
-def reconcile(source: dict[str, DataFrame], loaded: dict[str, DataFrame]) -> DataFrame:
+def reconcile(source: DataFrame, loaded: DataFrame) -> DataFrame:
     """Rows per table on both sides, their difference, and a ``TOTAL`` row.
 
-    A table that only one side knows is listed with 0 rows on the other.
+    Takes (table_name, n_source) and (table_name, n_loaded). A table that only one side knows is
+    listed with 0 rows on the other.
     """
-    both = count_rows(source, "n_source").join(
-        count_rows(loaded, "n_loaded"), "table_name", "full_outer"
-    )
-    filled = both.select(
+    filled = source.join(loaded, "table_name", "full_outer").select(
         "table_name",
         F.coalesce("n_source", F.lit(0)).alias("n_source"),
         F.coalesce("n_loaded", F.lit(0)).alias("n_loaded"),
