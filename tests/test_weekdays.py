@@ -52,7 +52,7 @@ def test_every_status_counts(spark):
     assert total == sum(r["total"] for r in two_weeks(spark).collect())
 
 
-@pytest.mark.parametrize("channel", ["store", "online", "none", None])
+@pytest.mark.parametrize("channel", ["store", "online", "none", ["store", "online"], None])
 def test_given_bounds_agree_with_observed_bounds(spark, channel):
     observed = weekday_average(two_weeks(spark), channel)
     given = weekday_average(two_weeks(spark), channel, START, START + timedelta(13))

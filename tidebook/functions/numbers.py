@@ -17,7 +17,7 @@ def cents(amount: Column) -> Column:
 
 
 def wide_sum(whole: Column) -> Column:
-    """Sum of already grouped whole numbers that may exceed 64 bits in total."""
+    """Sum of whole numbers whose total may exceed 64 bits."""
     return F.sum(whole.cast("decimal(20,0)"))
 
 

@@ -133,10 +133,11 @@ def ticket_check() -> Check:
     return Check("rows with a wrong ticket", F.count_if(F.col("ticket_medio") != expected), 0)
 
 
-def weekday_checks(orders: DataFrame, channel: str | None) -> list[Check]:
+def weekday_checks(orders: DataFrame, channel: str | list[str] | None) -> list[Check]:
     """The weekday totals must add up to the channel's orders, counted independently."""
-    wanted = orders if channel is None else orders.filter(F.col("channel") == channel)
-    total = wanted.filter(F.col("order_date").isNotNull()).agg(F.sum(cents(F.col("total")).cast("decimal(20,0)"))).first()[0]
+    wanted = orders if channel is None else orders.filter(F.col("channel").isin(channel))
+    dated = wanted.filter(F.col("order_date").isNotNull())
+    total = dated.agg(wide_sum(cents(F.col("total")))).first()[0]
     average = round2(ratio(F.col("valor_total"), F.col("dias_calendario")))
     return [
         Check("weekdays", F.count("*"), 7),
@@ -167,7 +168,7 @@ class Sales:
 
 def build_marts(
     sales: Sales,
-    channel: str | None,
+    channel: str | list[str] | None,
     reference_id: int,
     test_from: date,
     test_to: date,

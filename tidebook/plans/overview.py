@@ -18,7 +18,7 @@ def table_eda(df: DataFrame, value: str) -> DataFrame:
     by_value = df.agg(
         F.count("*").alias("n_rows"),
         F.count(value).alias("n_values"),
-        F.sum(cents(F.col(value)).cast("decimal(20,0)")).alias("cents"),
+        wide_sum(cents(F.col(value))).alias("cents"),
     )
     return by_value.select(
         "n_rows",

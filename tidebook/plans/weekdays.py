@@ -20,17 +20,17 @@ MEASURES = ["cents", "n_orders"]
 
 def daily_sales(
     orders: DataFrame,
-    channel: str | None = None,
+    channel: str | list[str] | None = None,
     lo: date | None = None,
     hi: date | None = None,
 ) -> DataFrame:
-    """Sales of one channel per day, without missing days.
+    """Sales of one channel (or several) per day, without missing days.
 
     With given bounds the channel and date filters go down to the scan and a calendar is joined.
     Without them the calendar spans all orders, whatever their channel; one pass over the orders
     then collects both the bounds and the channel's sales.
     """
-    wanted = F.lit(True) if channel is None else F.col("channel") == channel
+    wanted = F.lit(True) if channel is None else F.col("channel").isin(channel)
     if lo and hi:
         inside = orders.filter(
             wanted & (F.col("order_date") >= F.lit(lo)) & (F.col("order_date") < F.lit(hi + timedelta(1)))
@@ -60,7 +60,7 @@ def daily_totals(daily: DataFrame) -> DataFrame:
 
 def weekday_average(
     orders: DataFrame,
-    channel: str | None = None,
+    channel: str | list[str] | None = None,
     lo: date | None = None,
     hi: date | None = None,
 ) -> DataFrame:
