@@ -11,7 +11,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "tests",
         "local[8]",
@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.maxMetadataStringLength": "10000",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

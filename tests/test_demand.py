@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from conftest import plan_of, rows
 from entities import items, orders, products
+from pyspark.sql import functions as F
 
 from tidebook.functions.dates import add_months
 from tidebook.operators.demand import dense_months, forecast_error, monthly_units, moving_average
@@ -142,3 +143,17 @@ def test_units_of_unknown_orders_are_not_counted(spark):
     assert rows(units) == [(1, date(2024, 1, 1), 2)]
     dense = dense_months(units, products(spark, [1, 2]), date(2024, 1, 1), date(2024, 2, 1))
     assert rows(dense.select("product_id", "units")) == [(1, 0), (1, 2), (2, 0), (2, 0)]
+
+
+def test_repeated_catalogue_entries_add_no_rows(spark):
+    cells = [(1, date(2024, 1, 1), 5), (2, date(2024, 2, 1), 4)]
+    units = spark.createDataFrame(cells, "product_id bigint, month date, units bigint")
+    dense = dense_months(units, products(spark, [1, 1, 2, 2, 2, 3]), date(2024, 1, 1), date(2024, 2, 1))
+    assert rows(dense.select("product_id", F.month("month"), "units")) == [
+        (1, 1, 5),
+        (1, 2, 0),
+        (2, 1, 0),
+        (2, 2, 4),
+        (3, 1, 0),
+        (3, 2, 0),
+    ]

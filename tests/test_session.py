@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 
 from tidebook import session
@@ -12,26 +14,34 @@ def test_settings_grow_with_the_input():
     assert key not in session.settings_for()
 
 
-class Cluster:
-    """Looks like a session on a cluster without a shared folder."""
-
-    class conf:
-        get = staticmethod(lambda key, default=None: default)
-
-    class sparkContext:
-        master = "yarn"
-        getCheckpointDir = staticmethod(lambda: None)
+def fake(master, configured=None, set_by_call=None):
+    """Stands in for a session: its master, ``spark.checkpoint.dir``, and a folder set in code."""
+    settings = {"spark.checkpoint.dir": configured} if configured else {}
+    context = SimpleNamespace(
+        master=master, applicationId="app", getCheckpointDir=lambda: set_by_call
+    )
+    return SimpleNamespace(conf=settings, sparkContext=context)
 
 
 def test_cluster_needs_a_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.scratch_root(Cluster)
+        session.scratch_root(fake("yarn"))
+
+
+def test_scratch_uses_the_configured_folder():
+    assert session.scratch_root(fake("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert session.scratch_root(fake("local[8]", "/shared")) == "/shared"
+    assert session.scratch_root(fake("yarn", set_by_call="hdfs:///set")) == "hdfs:///set"
+
+
+def test_local_sessions_without_one_keep_a_folder(monkeypatch, tmp_path):
+    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    assert session.scratch_root(fake("local[8]")) == str(tmp_path)
 
 
-def test_scratch_uses_the_configured_folder(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
-    assert session.scratch_path(spark, "x").startswith(f"{root}/tidebook/")
-    assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+def test_scratch_paths_are_unique(spark):
+    first, second = (session.scratch_path(spark, "x") for _ in range(2))
+    assert first != second and first.startswith(session.scratch_root(spark))
 
 
 def test_materialize_keeps_rows_and_types(spark):

@@ -23,28 +23,33 @@ def dense_months(
 ) -> DataFrame:
     """One row per product and month from ``lo`` to ``hi``; months without a sale count 0.
 
-    Only the non-empty cells are shuffled, and one empty cell per catalogued product. Each cell
-    then unfolds, next to its product's others, into itself and the empty months up to the next
-    one, so the grid is never crossed and never travels. A product is kept whether the catalogue
-    or only a sale names it.
+    ``units`` holds the non-empty cells, each once. They are shuffled by product together with
+    one empty cell per catalogued product, and each then unfolds into itself and the empty months
+    up to the next one. The grid is never crossed and never travels. A product is kept whether
+    the catalogue or only a sale names it.
     """
     first, last = _month(lo), _month(hi)
     empty = F.lit(0).cast(units.schema["units"].dataType)
-    listed = products.select("product_id", first.alias("month"), empty.alias("units"))
-    cells = (
-        units.filter(F.col("month").between(first, last))
-        .unionByName(listed)
-        .groupBy("product_id", "month")
-        .agg(F.sum("units").alias("units"))
+    sold = units.filter(F.col("month").between(first, last)).withColumn("listed", F.lit(False))
+    listed = products.select(
+        "product_id", first.alias("month"), empty.alias("units"), F.lit(True).alias("listed")
     )
-    by_month = Window.partitionBy("product_id").orderBy("month")
-    start = F.when(F.lag("month").over(by_month).isNull(), first).otherwise(F.col("month"))
-    until = F.coalesce(F.add_months(F.lead("month").over(by_month), -1), last)
-    unfolded = cells.select(
-        "product_id", "month", "units", start.alias("start"), until.alias("until")
-    ).select(
+    by_month = Window.partitionBy("product_id").orderBy(F.asc("month"), F.desc("listed"))
+    cells = sold.unionByName(listed).select(
         "product_id",
-        F.explode(F.sequence("start", "until", F.expr("interval 1 month"))).alias("cell_month"),
+        "month",
+        "units",
+        "listed",
+        F.lag("month").over(by_month).alias("before"),
+        F.lead("month").over(by_month).alias("after"),
+    )
+    # An empty first cell gives way to a sale in the same month.
+    needed = cells.filter(~F.col("listed") | ~F.col("month").eqNullSafe(F.col("after")))
+    start = F.when(F.col("before").isNull(), first).otherwise(F.col("month"))
+    until = F.coalesce(F.add_months("after", -1), last)
+    unfolded = needed.select(
+        "product_id",
+        F.explode(F.sequence(start, until, F.expr("interval 1 month"))).alias("cell_month"),
         "month",
         "units",
     )
