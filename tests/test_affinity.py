@@ -83,6 +83,13 @@ def test_references_beyond_the_broadcast_limit_are_shuffled(spark, monkeypatch,
     assert rows(small) == rows(large)
 
 
+def test_repeated_references_count_once(spark):
+    pairs = spark.createDataFrame([(1, 0), (1, 2), (2, 0), (2, 2)], "customer_id bigint, product_id bigint")
+    twice = spark.createDataFrame([(0,), (0,)], "product_id bigint")
+    assert rows(affinity.co_buyers(pairs, twice)) == [(0, 2, 2)]
+    assert affinity.similar_items(pairs, twice).first()["similarity"] == 1.0
+
+
 def test_leaders_and_names(spark):
     p = products(spark, range(6), lambda i: i % 2)
     bought = [(1, 0), (2, 0), (1, 2), (2, 2), (3, 4), (1, 1), (1, 3), (2, 3)]

@@ -4,6 +4,7 @@ import pytest
 from conftest import SMALL
 
 from tidebook.__main__ import parser, run
+from tidebook.sources import csv_tables, star
 from tidebook.sources.warehouse import AlreadyLoaded
 
 
@@ -44,3 +45,19 @@ def test_marts(call, tmp_path, capsys):
 def test_query(call, capsys):
     assert call("query", "worst_weekday", SMALL) == 0
     assert "average_sales" in capsys.readouterr().out
+
+
+def test_marts_from_csv_equal_marts_from_parquet(spark, call, tmp_path):
+    """Amounts are decimals after the load and doubles in the parquet tables."""
+    for name in ("orders", "lineitem", "part", "customer"):
+        exported = csv_tables.as_exported(star.table(spark, SMALL, name))
+        csv_tables.write_text_table(exported, f"{tmp_path}/raw/{name}")
+    assert call("load", tmp_path / "raw", tmp_path / "w") == 0
+    options = ["--reference", 7, "--first", "2001-05", "--last", "2001-07", "--channel", "1-URGENT"]
+    call("marts", SMALL, tmp_path / "a", *options)
+    call("marts", "--loaded", tmp_path / "w", tmp_path / "b", *options)
+
+    def files(folder):
+        return {f.split("/")[-2]: open(f).read() for f in glob.glob(f"{tmp_path}/{folder}/*/*.csv")}
+
+    assert files("a") == files("b") and len(files("a")) == 6

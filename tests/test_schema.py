@@ -123,6 +123,9 @@ def test_tables_keep_their_names(spark):
     tables = {"x": text_table(spark, {"id": ["1"]}), "y": text_table(spark, {"id": ["a"]})}
     types = infer_types(profile_tables(tables))
     assert rows(types) == [("x", "id", "bigint"), ("y", "id", "string")]
+    tables = {"x": text_table(spark, {"id": ["1"], "n": ["1"]}), "y": text_table(spark, {"id": ["1"], "n": ["1"]})}
+    types = infer_types(profile_tables(tables), ["x.id", "n"])
+    assert [r[2] for r in rows(types)] == ["string", "string", "bigint", "string"]
 
 
 def test_ddl(spark):

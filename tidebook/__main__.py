@@ -3,6 +3,7 @@
     python -m tidebook schema RAW_FOLDER
     python -m tidebook load RAW_FOLDER WAREHOUSE_FOLDER
     python -m tidebook marts TABLES_FOLDER OUT_FOLDER --reference 17 --first 2001-05 --last 2001-07
+    python -m tidebook --input-gb 100000 marts --loaded WAREHOUSE_FOLDER OUT_FOLDER ...
     python -m tidebook query NAME TABLES_FOLDER
 """
 
@@ -16,10 +17,10 @@ from pyspark.sql import SparkSession
 
 from tidebook.operators.schema import to_ddl
 from tidebook.plans.ingest import ingest
-from tidebook.plans.marts import Sales, build_marts
+from tidebook.plans.marts import build_marts
 from tidebook.plans.registry import QUERIES
 from tidebook.session import build_session
-from tidebook.sources import csv_tables, star
+from tidebook.sources import csv_tables, star, warehouse
 from tidebook.sources.mart_files import publish_marts
 
 
@@ -29,6 +30,7 @@ def _month(text: str) -> date:
 
 def parser() -> argparse.ArgumentParser:
     main = argparse.ArgumentParser(prog="tidebook")
+    main.add_argument("--input-gb", type=int, help="size of the data, to size the shuffles")
     commands = main.add_subparsers(dest="command", required=True)
 
     schema = commands.add_parser("schema", help="print CREATE TABLE texts for a folder of CSV tables")
@@ -42,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     marts = commands.add_parser("marts", help="compute, check and write the six marts")
     marts.add_argument("tables")
     marts.add_argument("out")
+    marts.add_argument("--loaded", action="store_true", help="TABLES is a warehouse made by load")
     marts.add_argument("--channel", nargs="*", default=None, help="channels of the weekday averages")
     marts.add_argument("--reference", type=int, required=True, help="product id")
     marts.add_argument("--first", type=_month, required=True, help="first test month, yyyy-mm")
@@ -66,13 +69,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             print(f"{row['table_name']}: {row['n_source']} read, {row['n_loaded']} loaded")
         return int(any(row["diff"] for row in rows))
     if args.command == "marts":
-        root = args.tables
-        sales = Sales(
-            star.orders(spark, root),
-            star.items(spark, root),
-            star.products(spark, root),
-            star.customers(spark, root),
-        )
+        if args.loaded:
+            sales = star.bind(warehouse.open_tables(spark, args.tables))
+        else:
+            sales = star.sales(spark, args.tables)
         marts = build_marts(sales, args.channel, args.reference, args.first, args.last)
         for name, n in publish_marts(marts, args.out).items():
             print(f"{name}: {n} rows")
@@ -83,7 +83,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def main(arguments: list[str] | None = None) -> int:
     args = parser().parse_args(arguments)
-    return run(build_session(), args)
+    size = args.input_gb * 10**9 if args.input_gb else None
+    return run(build_session(input_bytes=size), args)
 
 
 if __name__ == "__main__":

@@ -62,9 +62,8 @@ def co_buyers(pairs: DataFrame, references: DataFrame) -> DataFrame:
     share of all pairs makes a skewed partition that AQE splits; the counts are combined in every
     task before the last shuffle.
     """
-    wanted = references.select(F.col("product_id").alias("reference_id"))
-    buyers = pairs.join(wanted, pairs["product_id"] == wanted["reference_id"]).select(
-        "customer_id", "reference_id"
+    buyers = pairs.join(references.select("product_id"), "product_id", "left_semi").select(
+        "customer_id", F.col("product_id").alias("reference_id")
     )
     return (
         pairs.join(buyers, "customer_id")

@@ -86,15 +86,17 @@ def rows_profiled(profile: DataFrame) -> DataFrame:
 def infer_types(profile: DataFrame, text_columns: list[str] | None = None) -> DataFrame:
     """The narrowest type that holds every value of each profiled column.
 
-    Identifiers stay text: the columns named in ``text_columns``, numbers with a leading zero,
-    and digit runs too long for a bigint.
+    Identifiers stay text: the columns named in ``text_columns`` (``column`` or
+    ``table.column``), numbers with a leading zero, and digit runs too long for a bigint.
     """
+    name, listed = F.col("column_name"), text_columns or []
+    identifier = name.isin(listed) | F.concat_ws(".", "table_name", name).isin(listed)
     filled = F.col("n") - F.col("n_null")
     numeric = F.col("n_int") + F.col("n_dec")
     digits = F.col("max_whole") + F.col("max_scale")
     decimal = F.concat(F.lit("decimal("), digits, F.lit(","), F.col("max_scale"), F.lit(")"))
     spark_type = (
-        F.when(F.col("column_name").isin(text_columns or []) | (F.col("n_lead0") > 0), "string")
+        F.when(identifier | (F.col("n_lead0") > 0), "string")
         .when(filled == 0, "string")
         .when(F.col("n_bool") == filled, "boolean")
         .when((F.col("n_int") == filled) & (F.col("max_whole") <= MAX_BIGINT_DIGITS), "bigint")
@@ -103,8 +105,7 @@ def infer_types(profile: DataFrame, text_columns: list[str] | None = None) -> Da
         .when(F.col("n_ts") + F.col("n_date") == filled, "timestamp_ntz")
         .otherwise("string")
     )
-    keys = [c for c in ("table_name", "column_name") if c in profile.columns]
-    return profile.select(*keys, spark_type.alias("spark_type"))
+    return profile.select("table_name", "column_name", spark_type.alias("spark_type"))
 
 
 def infer_schema(df: DataFrame, text_columns: list[str] | None = None) -> T.StructType:

@@ -16,6 +16,7 @@ from tidebook.plans.overview import sales_cube
 from tidebook.plans.recommend import recommendations
 from tidebook.plans.weekdays import WORST, weekday_average
 from tidebook.sources.mart_files import Check, Mart
+from tidebook.sources.star import Sales
 
 
 @dataclass(frozen=True)
@@ -156,16 +157,6 @@ def error_check() -> Check:
     return Check("rows with a wrong error", F.count_if(wrong), 0)
 
 
-@dataclass(frozen=True)
-class Sales:
-    """The four entities a set of marts is computed from."""
-
-    orders: DataFrame
-    items: DataFrame
-    products: DataFrame
-    customers: DataFrame
-
-
 def build_marts(
     sales: Sales,
     channel: str | list[str] | None,
@@ -176,9 +167,9 @@ def build_marts(
     neighbours: int = 5,
 ) -> dict[str, Mart]:
     """The six marts; the product ``reference_id`` is forecast and compared with the others."""
-    orders, items, products = sales.orders, sales.items, sales.products
+    orders, items, products, customers = sales
     ranking = rank_customers(orders, items, products, n=n_customers)
-    loyal = loyal_customers(orders, items, products, sales.customers, ranking)
+    loyal = loyal_customers(orders, items, products, customers, ranking)
     categories = loyal_categories(orders, items, products, ranking)
     reference = references(orders.sparkSession, [reference_id])
     similar = recommendations(purchases(orders, items), reference, products, neighbours)

@@ -293,6 +293,7 @@ FROM types JOIN places USING (table_name, column_name) GROUP BY table_name""",
     "loaded_orders_sql": f"""SELECT o_orderstatus, o_orderpriority, COUNT(*) AS n_orders, {MONEY} AS total_value,
   CAST(MIN(o_orderdate) AS DATE) AS first_day, CAST(MAX(o_orderdate) AS DATE) AS last_day
 FROM orders GROUP BY 1, 2""",
+    "loaded_weekday_avg_sales": f"WITH {DAILY}, {WEEKDAY_ROWS} SELECT * FROM weekdays",
     "mart_loyal_customers": f"""SELECT customer_id, customer AS cliente, revenue AS faturamento_total,
   frequency AS frequencia, average_ticket AS ticket_medio, category_diversity AS diversidade_categorias,
   position AS posicao FROM ({_loyal(0)})""",

@@ -37,11 +37,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _sales(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return star.orders(spark, root), star.items(spark, root), star.products(spark, root)
+    """Orders, items and products."""
+    return star.sales(spark, root)[:3]
 
 
 def _pairs(spark: SparkSession, root: str) -> DataFrame:
-    return purchases(star.orders(spark, root), star.items(spark, root))
+    orders, items, _ = _sales(spark, root)
+    return purchases(orders, items)
 
 
 def _text_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -105,9 +107,9 @@ def customer_profile(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _loyal_customers(spark: SparkSession, root: str, min_categories: int) -> DataFrame:
-    sales = _sales(spark, root)
-    ranking = cust.rank_customers(*sales, min_categories, TOP_CUSTOMERS)
-    return cust.loyal_customers(*sales, star.customers(spark, root), ranking)
+    sales = star.sales(spark, root)
+    ranking = cust.rank_customers(*sales[:3], min_categories, TOP_CUSTOMERS)
+    return cust.loyal_customers(*sales, ranking)
 
 
 def _loyal_categories(spark: SparkSession, root: str, min_categories: int) -> DataFrame:
@@ -136,7 +138,8 @@ def loyal_categories_diverse(spark: SparkSession, root: str) -> DataFrame:
 
 
 def monthly_demand(spark: SparkSession, root: str) -> DataFrame:
-    return monthly_units(star.orders(spark, root), star.items(spark, root))
+    orders, items, _ = _sales(spark, root)
+    return monthly_units(orders, items)
 
 
 def monthly_demand_dense(spark: SparkSession, root: str) -> DataFrame:
@@ -167,12 +170,14 @@ def product_buyers(spark: SparkSession, root: str) -> DataFrame:
 
 
 def similar_to_reference(spark: SparkSession, root: str) -> DataFrame:
-    pairs, products = _pairs(spark, root), star.products(spark, root)
+    orders, items, products = _sales(spark, root)
+    pairs = purchases(orders, items)
     return recommend.recommendations(pairs, best_sellers(pairs), products, NEIGHBOURS)
 
 
 def similar_to_category_leaders(spark: SparkSession, root: str) -> DataFrame:
-    pairs, products = _pairs(spark, root), star.products(spark, root)
+    orders, items, products = _sales(spark, root)
+    pairs = purchases(orders, items)
     leaders = category_leaders(pairs, products)
     return recommend.recommendations(pairs, leaders, products, NEIGHBOURS)
 
@@ -216,6 +221,12 @@ def loaded_orders_sql(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def loaded_weekday_avg_sales(spark: SparkSession, root: str) -> DataFrame:
+    """The weekday averages from typed tables that went through CSV."""
+    loaded = _ingest(spark, root, ("orders", "lineitem", "part", "customer")).tables
+    return weekdays.weekday_average(star.bind(loaded).orders, PHYSICAL)
+
+
 def schema_ddl(spark: SparkSession, root: str) -> DataFrame:
     """One CREATE TABLE text per table, from the types inferred over all rows."""
     tables = _text_tables(spark, root)
@@ -269,9 +280,8 @@ def mart_overview(spark: SparkSession, root: str) -> DataFrame:
 
 def published_marts(spark: SparkSession, root: str) -> DataFrame:
     """All six marts, built, checked and written together: rows per written file set."""
-    orders, items, products = _sales(spark, root)
-    sales = marts.Sales(orders, items, products, star.customers(spark, root))
-    best = demand.most_sold(items)
+    sales = star.sales(spark, root)
+    best = demand.most_sold(sales.items)
     built = marts.build_marts(
         sales, PHYSICAL, best, TEST_FROM, TEST_TO, TOP_CUSTOMERS, NEIGHBOURS
     )
@@ -316,6 +326,7 @@ QUERIES: dict[str, Query] = {
         schema_ddl,
         load_reconcile,
         loaded_orders_sql,
+        loaded_weekday_avg_sales,
         mart_loyal_customers,
         mart_loyal_categories,
         mart_weekdays,

@@ -14,19 +14,40 @@ A binding only renames, so filters and column pruning still reach the parquet sc
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+class Sales(NamedTuple):
+    """The four entities the plans work on."""
+
+    orders: DataFrame
+    items: DataFrame
+    products: DataFrame
+    customers: DataFrame
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def orders(spark: SparkSession, root: str) -> DataFrame:
-    """Order priority stands in for the sales channel, which these tables do not have."""
-    return table(spark, root, "orders").select(
+def sales(spark: SparkSession, root: str) -> Sales:
+    """The entities of a folder of parquet tables."""
+    return bind({name: table(spark, root, name) for name in ("orders", "lineitem", "part", "customer")})
+
+
+def bind(tables: dict[str, DataFrame]) -> Sales:
+    """The entities of star tables from anywhere, such as a typed load.
+
+    Order priority stands in for the sales channel and the brand for the category, which these
+    tables do not have. Quantities are whole units stored with decimals; as integers they add up
+    exactly. (l_orderkey, l_linenumber) is not unique: every row is a line of its own.
+    """
+    orders = tables["orders"].select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("order_date"),
@@ -34,33 +55,23 @@ def orders(spark: SparkSession, root: str) -> DataFrame:
         F.col("o_orderpriority").alias("channel"),
         F.col("o_orderstatus").alias("status"),
     )
-
-
-def items(spark: SparkSession, root: str) -> DataFrame:
-    """Quantities are whole units stored as doubles; as integers they add up exactly.
-
-    (l_orderkey, l_linenumber) is not unique here: every row is a line of its own.
-    """
-    return table(spark, root, "lineitem").select(
+    items = tables["lineitem"].select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
     )
-
-
-def products(spark: SparkSession, root: str) -> DataFrame:
-    """The brand stands in for the category; its number is the category id."""
-    return table(spark, root, "part").select(
+    products = tables["part"].select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product"),
         F.substring_index("p_brand", "#", -1).cast("bigint").alias("category_id"),
         F.col("p_brand").alias("category"),
     )
-
-
-def customers(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "customer").select(
+    customers = tables["customer"].select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer"),
     )
+    return Sales(orders, items, products, customers)
 
+
+def orders(spark: SparkSession, root: str) -> DataFrame:
+    return sales(spark, root).orders
