@@ -48,3 +48,9 @@ def rows(df):
 def plan_of(df):
     """The physical plan before it runs."""
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def plan_after(df):
+    """The final adaptive plan, after running the query."""
+    df.collect()
+    return plan_of(df).split("+- == Initial Plan ==")[0]

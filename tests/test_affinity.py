@@ -3,11 +3,12 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import plan_of, rows
+from conftest import SMALL, plan_after, plan_of, rows
 from entities import items, orders, products
 
 from tidebook.operators import affinity
 from tidebook.plans.recommend import recommendations
+from tidebook.plans.registry import QUERIES
 
 # Co-buyers, buyers and published similarity of five products to one with 397 buyers.
 REFERENCE_BUYERS = 397
@@ -72,15 +73,25 @@ def test_neighbours_against_brute_force(spark, seed, hot):
         assert sorted(tuple(r) for r in found.collect()) == brute_force(bought, refs, 5)
 
 
-def test_references_beyond_the_broadcast_limit_are_shuffled(spark, monkeypatch, with_conf):
+def test_only_short_lists_are_broadcast(spark, monkeypatch, with_conf):
     with_conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
     pairs = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, 3)], "customer_id bigint, product_id bigint")
-    small = affinity.similar_items(pairs, affinity.best_sellers(pairs, 1))
-    assert "BroadcastHashJoin" in plan_of(small)
+    best = affinity.best_sellers(pairs, 1)
+    bounded, unbounded = affinity.similar_items(pairs, best, 5, 1), affinity.similar_items(pairs, best)
+    assert "BroadcastHashJoin" in plan_of(bounded)
+    assert "BroadcastHashJoin" not in plan_of(unbounded)
     monkeypatch.setattr(affinity, "BROADCAST_REFERENCES", 0)
-    large = affinity.similar_items(pairs, affinity.best_sellers(pairs, 1))
-    assert "BroadcastHashJoin" not in plan_of(large)
-    assert rows(small) == rows(large)
+    assert "BroadcastHashJoin" not in plan_of(affinity.similar_items(pairs, best, 5, 1))
+    assert rows(bounded) == rows(unbounded)
+
+
+def test_base_tables_are_joined_once(spark):
+    """All uses of the pairs share one shuffle of the joined tables."""
+    plan = plan_of(QUERIES["similar_to_reference"](spark, SMALL))
+    lines = plan.count("lineitem.parquet")
+    shared = plan_after(QUERIES["similar_to_reference"](spark, SMALL))
+    assert lines >= 3 and shared.count("lineitem.parquet") == 1
+    assert shared.count("ReusedExchange") >= 3
 
 
 def test_repeated_references_count_once(spark):

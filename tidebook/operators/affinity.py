@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidebook.operators.ranking import top_per_group
 
+# Up to this many reference products are sent to every executor.
 BROADCAST_REFERENCES = 10_000
 
 
@@ -32,19 +33,14 @@ def buyers_per_product(pairs: DataFrame) -> DataFrame:
 
 
 def best_sellers(pairs: DataFrame, n: int = 1) -> DataFrame:
-    """The ``n`` products with the most buyers, as reference products.
-
-    Up to ``BROADCAST_REFERENCES`` of them are sent to the pairs; more are joined by shuffle.
-    """
+    """The ``n`` products with the most buyers, as reference products."""
     ranked = buyers_per_product(pairs).orderBy(F.desc("buyers"), F.asc("product_id"))
-    best = ranked.limit(n).select("product_id")
-    return F.broadcast(best) if n <= BROADCAST_REFERENCES else best
+    return ranked.limit(n).select("product_id")
 
 
 def references(spark: SparkSession, product_ids: list[int]) -> DataFrame:
     """Reference products given by id."""
-    given = spark.createDataFrame([(i,) for i in sorted(set(product_ids))], "product_id bigint")
-    return F.broadcast(given) if len(product_ids) <= BROADCAST_REFERENCES else given
+    return spark.createDataFrame([(i,) for i in product_ids], "product_id bigint")
 
 
 def category_leaders(pairs: DataFrame, products: DataFrame) -> DataFrame:
@@ -54,16 +50,24 @@ def category_leaders(pairs: DataFrame, products: DataFrame) -> DataFrame:
     return counted.groupBy("category_id").agg(leader.alias("product_id"))
 
 
-def co_buyers(pairs: DataFrame, references: DataFrame) -> DataFrame:
+def co_buyers(
+    pairs: DataFrame, references: DataFrame, max_references: int | None = None
+) -> DataFrame:
     """Dot products of the reference columns with all others: customers who bought both.
 
     The self join is restricted to buyers of a reference, so a customer with a basket of b
     products, r of them references, yields r*b rows and never b*b. A customer holding a large
     share of all pairs makes a skewed partition that AQE splits; the counts are combined in every
     task before the last shuffle.
+
+    ``max_references`` is a known bound on the list. A short list is sent to the pairs, which
+    then need no shuffle to find the buyers; without a bound AQE decides.
     """
-    buyers = pairs.join(references.select("product_id"), "product_id", "left_semi").select(
-        "customer_id", F.col("product_id").alias("reference_id")
+    wanted = references.select(F.col("product_id").alias("reference_id")).distinct()
+    if max_references is not None and max_references <= BROADCAST_REFERENCES:
+        wanted = F.broadcast(wanted)
+    buyers = pairs.join(wanted, F.col("product_id") == F.col("reference_id")).select(
+        "customer_id", "reference_id"
     )
     return (
         pairs.join(buyers, "customer_id")
@@ -73,7 +77,9 @@ def co_buyers(pairs: DataFrame, references: DataFrame) -> DataFrame:
     )
 
 
-def similar_items(pairs: DataFrame, references: DataFrame, k: int = 5) -> DataFrame:
+def similar_items(
+    pairs: DataFrame, references: DataFrame, k: int = 5, max_references: int | None = None
+) -> DataFrame:
     """The ``k`` products most similar to each reference product, the reference left out by id.
 
     Ranking uses co^2/n, which orders like the cosine for a fixed reference but is a single
@@ -84,7 +90,7 @@ def similar_items(pairs: DataFrame, references: DataFrame, k: int = 5) -> DataFr
     reference_counts = counts.select(
         F.col("product_id").alias("reference_id"), F.col("buyers").alias("reference_buyers")
     )
-    scored = co_buyers(pairs, references).join(counts, "product_id")
+    scored = co_buyers(pairs, references, max_references).join(counts, "product_id")
     score = F.col("co_buyers").cast("double") * F.col("co_buyers") / F.col("buyers")
     best = top_per_group(scored, ["reference_id"], [score.desc(), F.asc("product_id")], k)
     norms = F.sqrt(F.col("reference_buyers").cast("double") * F.col("buyers"))

@@ -172,7 +172,7 @@ def build_marts(
     loyal = loyal_customers(orders, items, products, customers, ranking)
     categories = loyal_categories(orders, items, products, ranking)
     reference = references(orders.sparkSession, [reference_id])
-    similar = recommendations(purchases(orders, items), reference, products, neighbours)
+    similar = recommendations(purchases(orders, items), reference, products, neighbours, 1)
     return {
         "overview": overview_mart(orders),
         "loyal_customers": LOYAL_CUSTOMERS.mart(

@@ -8,14 +8,18 @@ from tidebook.operators.affinity import similar_items
 
 
 def recommendations(
-    pairs: DataFrame, references: DataFrame, products: DataFrame, k: int = 5
+    pairs: DataFrame,
+    references: DataFrame,
+    products: DataFrame,
+    k: int = 5,
+    max_references: int | None = None,
 ) -> DataFrame:
     """The ``k`` nearest products of each reference product, with names.
 
     Names are looked up for the finished ranking only; many products share a name, so nothing
     is matched by it. A product the catalogue does not list stays in the ranking.
     """
-    ranked = similar_items(pairs, references, k)
+    ranked = similar_items(pairs, references, k, max_references)
     return ranked.join(products.select("product_id", "product"), "product_id", "left").select(
         "reference_id",
         "position",

@@ -172,7 +172,7 @@ def product_buyers(spark: SparkSession, root: str) -> DataFrame:
 def similar_to_reference(spark: SparkSession, root: str) -> DataFrame:
     orders, items, products = _sales(spark, root)
     pairs = purchases(orders, items)
-    return recommend.recommendations(pairs, best_sellers(pairs), products, NEIGHBOURS)
+    return recommend.recommendations(pairs, best_sellers(pairs), products, NEIGHBOURS, 1)
 
 
 def similar_to_category_leaders(spark: SparkSession, root: str) -> DataFrame:
