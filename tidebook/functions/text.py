@@ -17,8 +17,9 @@ TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6
 def kind(value: Column) -> Column:
     """One of int, dec, bool, date, ts, text; null for null.
 
-    The kinds exclude each other. Cheap byte tests pick the only kind that is still possible, so
-    at most one pattern runs per value. Dates and timestamps must also exist: 2026-02-30 is text.
+    The kinds exclude each other. Cheap comparisons leave at most two patterns to run per value:
+    numbers, dates and times all start with a character from "-" to "9". Dates and timestamps
+    must also exist: 2026-02-30 is text.
     """
 
     def text_unless(test: Column, name: str) -> Column:
@@ -29,11 +30,11 @@ def kind(value: Column) -> Column:
 
     return (
         F.when(value.isNull(), F.lit(None).cast("string"))
-        .when(~value.substr(1, 1).between("-", "9"), text_unless(value.isin(*BOOLEANS), "bool"))
+        .when((value < "-") | (value >= ":"), text_unless(value.isin(*BOOLEANS), "bool"))
+        .when(value.rlike(INTEGER), "int")
         .when(value.contains(":"), text_unless(exists(TIMESTAMP, "timestamp_ntz"), "ts"))
         .when(value.contains("."), text_unless(value.rlike(DECIMAL), "dec"))
-        .when(value.substr(5, 1) == "-", text_unless(exists(DATE, "date"), "date"))
-        .otherwise(text_unless(value.rlike(INTEGER), "int"))
+        .otherwise(text_unless(exists(DATE, "date"), "date"))
     )
 
 
