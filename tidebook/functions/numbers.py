@@ -11,7 +11,8 @@ def cents(amount: Column) -> Column:
 
     Summing doubles gives a last digit that depends on the order in which partitions arrive, and
     so on retries. Whole cents add up exactly in any order, and cost far less per row than
-    ``cast("decimal(18,2)")``, which goes through text.
+    ``cast("decimal(18,2)")``, which goes through text. A 64-bit sum holds 92 quadrillion units
+    per group; totals over all groups use ``wide_sum``.
     """
     return F.rint(amount * 100).cast("bigint")
 

@@ -31,8 +31,12 @@ def dense_months(
     first, last = _month(lo), _month(hi)
     empty = F.lit(0).cast(units.schema["units"].dataType)
     sold = units.filter(F.col("month").between(first, last)).withColumn("listed", F.lit(False))
-    listed = products.select(
-        "product_id", first.alias("month"), empty.alias("units"), F.lit(True).alias("listed")
+    listed = (
+        products.select("product_id")
+        .distinct()
+        .select(
+            "product_id", first.alias("month"), empty.alias("units"), F.lit(True).alias("listed")
+        )
     )
     by_month = Window.partitionBy("product_id").orderBy(F.asc("month"), F.desc("listed"))
     cells = sold.unionByName(listed).select(
