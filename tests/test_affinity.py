@@ -106,6 +106,7 @@ def test_leaders_and_names(spark):
     bought = [(1, 0), (2, 0), (1, 2), (2, 2), (3, 4), (1, 1), (1, 3), (2, 3)]
     pairs = spark.createDataFrame(bought, "customer_id bigint, product_id bigint")
     assert rows(affinity.category_leaders(pairs, p)) == [(0, 0), (1, 3)]
+    assert affinity.count_categories(p) == 2
     found = recommendations(pairs, affinity.category_leaders(pairs, p), p, 1)
     assert rows(found.select("reference_id", "product_id", "product")) == [(0, 2, "product 2"), (3, 0, "product 0")]
 

@@ -50,6 +50,14 @@ def category_leaders(pairs: DataFrame, products: DataFrame) -> DataFrame:
     return counted.groupBy("category_id").agg(leader.alias("product_id"))
 
 
+def count_categories(products: DataFrame) -> int:
+    """Number of categories, counted up to just above ``BROADCAST_REFERENCES``.
+
+    Bounds the number of category leaders before the purchases are touched.
+    """
+    return products.select("category_id").distinct().limit(BROADCAST_REFERENCES + 1).count()
+
+
 def co_buyers(
     pairs: DataFrame, references: DataFrame, max_references: int | None = None
 ) -> DataFrame:

@@ -7,7 +7,13 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidebook.operators.affinity import best_sellers, buyers_per_product, category_leaders, purchases
+from tidebook.operators.affinity import (
+    best_sellers,
+    buyers_per_product,
+    category_leaders,
+    count_categories,
+    purchases,
+)
 from tidebook.operators.calendar import calendar, observed_bounds
 from tidebook.operators.demand import forecast_error, monthly_units
 from tidebook.operators.schema import (
@@ -178,8 +184,8 @@ def similar_to_reference(spark: SparkSession, root: str) -> DataFrame:
 def similar_to_category_leaders(spark: SparkSession, root: str) -> DataFrame:
     orders, items, products = _sales(spark, root)
     pairs = purchases(orders, items)
-    leaders = category_leaders(pairs, products)
-    return recommend.recommendations(pairs, leaders, products, NEIGHBOURS)
+    leaders, n = category_leaders(pairs, products), count_categories(products)
+    return recommend.recommendations(pairs, leaders, products, NEIGHBOURS, n)
 
 
 # Schema and load
