@@ -1,9 +1,12 @@
 import os
+import uuid
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from tidebook.plans.ingest import ingest
 from tidebook.sources import csv_tables, warehouse
@@ -98,6 +101,39 @@ def test_reordered_header_is_refused(spark, tmp_path):
         csv_tables.read_typed(spark, str(folder), schema).collect()
 
 
+def test_line_breaks_inside_fields(spark, tmp_path):
+    """Refused when files are split at line breaks, whole when they are not."""
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "notes.csv").write_text('id,note,n\n1,"two\nlines",7\n2,plain,8\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        ingest(spark, str(folder), str(tmp_path / "a"))
+    done = ingest(spark, str(folder), str(tmp_path / "b"), multiline=True)
+    assert rows(done.tables["notes"]) == [(1, "two\nlines", 7), (2, "plain", 8)]
+    assert rows(done.row_counts) == [("TOTAL", 2, 2, 0), ("notes", 2, 2, 0)]
+
+
+def test_rows_with_missing_fields_are_refused(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "t.csv").write_text("id,a,b\n1,x,y\n2,x\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        ingest(spark, str(folder), str(tmp_path / "a"))
+
+
+FIELD = st.text(st.characters(codec="utf-8", exclude_characters="\x00\r"), max_size=6)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(FIELD, st.none() | st.sampled_from(["01", " x", "1.5", "-", 'a"b', "a,b", "á\n"])), min_size=1, max_size=6))
+def test_any_text_survives_export_and_load(spark, tmp_path, data):
+    folder = str(tmp_path / uuid.uuid4().hex)
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(data)], "k bigint, a string, b string")
+    csv_tables.write_text_table(df.coalesce(1), f"{folder}/raw/t")
+    tables = ingest(spark, f"{folder}/raw", f"{folder}/w", ["a", "b"], multiline=True).tables
+    assert rows(tables["t"]) == rows(df)
+
+
 def test_two_loads_at_once_are_detected(spark, source, tmp_path):
     dest = str(tmp_path / "dest")
     paths, schemas = prepared(spark, source)

@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("warehouse")
     for command in (schema, load):
         command.add_argument("--text", nargs="*", default=[], help="identifier columns to keep as text")
+        command.add_argument("--multiline", action="store_true", help="fields may hold line breaks")
 
     marts = commands.add_parser("marts", help="compute, check and write the six marts")
     marts.add_argument("tables")
@@ -59,11 +60,12 @@ def parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.command == "schema":
         paths = csv_tables.find_tables(spark, args.raw)
-        for name, schema in csv_tables.infer_schemas(spark, paths, args.text).items():
+        schemas = csv_tables.infer_schemas(spark, paths, args.text, args.multiline)
+        for name, schema in schemas.items():
             print(to_ddl(name, schema) + ";\n")
         return 0
     if args.command == "load":
-        counts = ingest(spark, args.raw, args.warehouse, args.text).row_counts
+        counts = ingest(spark, args.raw, args.warehouse, args.text, args.multiline).row_counts
         rows = counts.orderBy("table_name").collect()  # one row per table
         for row in rows:
             print(f"{row['table_name']}: {row['n_source']} read, {row['n_loaded']} loaded")

@@ -20,7 +20,11 @@ class Ingested:
 
 
 def ingest(
-    spark: SparkSession, folder: str, dest: str, text_columns: list[str] | None = None
+    spark: SparkSession,
+    folder: str,
+    dest: str,
+    text_columns: list[str] | None = None,
+    multiline: bool = False,
 ) -> Ingested:
     """Profile, infer, load, reconcile.
 
@@ -30,10 +34,10 @@ def ingest(
     """
     warehouse.require_empty(spark, dest)
     paths = csv_tables.find_tables(spark, folder)
-    texts = {name: csv_tables.read_text(spark, path) for name, path in paths.items()}
+    texts = {name: csv_tables.read_text(spark, path, multiline) for name, path in paths.items()}
     profile = materialize(profile_tables(texts), "profile")
     columns = {name: df.columns for name, df in texts.items()}
     schemas = schemas_of(infer_types(profile, text_columns), columns)
-    tables = warehouse.load_all(spark, paths, schemas, dest)
+    tables = warehouse.load_all(spark, paths, schemas, dest, multiline)
     counted = warehouse.reconcile(rows_profiled(profile), warehouse.count_rows(tables, "n_loaded"))
     return Ingested(tables, schemas, counted)

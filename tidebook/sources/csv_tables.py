@@ -20,9 +20,16 @@ CSV_DIALECT = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
-
-# With the default marker "" a reader could not tell an empty field (null) from a quoted one.
-READ_DIALECT = CSV_DIALECT | {"nullValue": "\u0000"}
+# With the default marker "" a reader could not tell an empty field (null) from a quoted one. A row
+# with another number of fields than the header, or a value that does not fit its type, stops the
+# job; by default it would be filled up with nulls. A file with another header stops it too; by
+# default its columns would be taken by position.
+READ_DIALECT = CSV_DIALECT | {
+    "nullValue": "\u0000",
+    "mode": "FAILFAST",
+    "inferSchema": "false",
+    "enforceSchema": "false",
+}
 
 
 def find_tables(spark: SparkSession, folder: str) -> dict[str, str]:
@@ -38,34 +45,42 @@ def find_tables(spark: SparkSession, folder: str) -> dict[str, str]:
     return {entry.removesuffix(".csv"): f"{folder.rstrip('/')}/{entry}" for entry in entries}
 
 
-def read_text(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text; an empty field is null, a quoted empty field an empty text."""
-    return spark.read.options(**READ_DIALECT).option("inferSchema", "false").csv(path)
+def read_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Every column as text; an empty field is null, a quoted empty field an empty text.
 
+    ``multiline`` allows line breaks inside quoted fields. Each file is then read by one task, as
+    a line break no longer marks a place where a file can be split.
+    """
+    return spark.read.options(**READ_DIALECT, multiLine=multiline).csv(path)
 
-def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A value that does not fit the schema, or a file whose header is another one, stops the job.
 
-    The defaults would turn the value into null and read the columns by position.
-    """
-    strict = {"mode": "FAILFAST", "enforceSchema": "false"}
-    return spark.read.options(**READ_DIALECT, **strict).schema(schema).csv(path)
+def read_typed(
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
+) -> DataFrame:
+    """The same rows with the types of ``schema``."""
+    return spark.read.options(**READ_DIALECT, multiLine=multiline).schema(schema).csv(path)
 
 
 def infer_schemas(
-    spark: SparkSession, paths: dict[str, str], text_columns: list[str] | None = None
+    spark: SparkSession,
+    paths: dict[str, str],
+    text_columns: list[str] | None = None,
+    multiline: bool = False,
 ) -> dict[str, T.StructType]:
     """Schema of every table from all its rows; one job scans all tables."""
-    texts = {name: read_text(spark, path) for name, path in paths.items()}
+    texts = {name: read_text(spark, path, multiline) for name, path in paths.items()}
     types = infer_types(profile_tables(texts), text_columns)
     return schemas_of(types, {name: df.columns for name, df in texts.items()})
 
 
 def read_tables(
-    spark: SparkSession, paths: dict[str, str], schemas: dict[str, T.StructType]
+    spark: SparkSession,
+    paths: dict[str, str],
+    schemas: dict[str, T.StructType],
+    multiline: bool = False,
 ) -> dict[str, DataFrame]:
     """Lazy typed scans, one per table."""
-    return {name: read_typed(spark, path, schemas[name]) for name, path in paths.items()}
+    return {name: read_typed(spark, path, schemas[name], multiline) for name, path in paths.items()}
 
 
 def write_text_table(df: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidebook.sources.csv_tables import read_typed
+from tidebook.sources.csv_tables import read_tables
 
 PUBLISHED = "_published"
 PUBLISHED_SCHEMA = "table_name string, path string"
@@ -20,7 +20,11 @@ class AlreadyLoaded(RuntimeError):
 
 
 def load_all(
-    spark: SparkSession, paths: dict[str, str], schemas: dict[str, T.StructType], dest: str
+    spark: SparkSession,
+    paths: dict[str, str],
+    schemas: dict[str, T.StructType],
+    dest: str,
+    multiline: bool = False,
 ) -> dict[str, DataFrame]:
     """Load every CSV table to parquet below ``dest`` and publish the set.
 
@@ -30,10 +34,8 @@ def load_all(
     """
     require_empty(spark, dest)
     run = f"run-{uuid.uuid4().hex}"
-    for name, path in paths.items():
-        read_typed(spark, path, schemas[name]).write.mode("errorifexists").parquet(
-            f"{dest}/{run}/{name}"
-        )
+    for name, df in read_tables(spark, paths, schemas, multiline).items():
+        df.write.mode("errorifexists").parquet(f"{dest}/{run}/{name}")
     entries = [(name, f"{run}/{name}") for name in paths]
     spark.createDataFrame(entries, PUBLISHED_SCHEMA).coalesce(1).write.mode(
         "errorifexists"
