@@ -17,7 +17,7 @@ ROWS = [
 
 def loyal(spark, checks=None, approved=None):
     df = spark.createDataFrame(ROWS, SCHEMA).repartition(4)
-    return Mart(df, ("posicao",), checks or [*marts.positions_check(2), marts.ticket_check()], approved)
+    return Mart(df, ("posicao",), checks or [*marts.ranking_checks("frequencia", 2), marts.ticket_check()], approved)
 
 
 def lines(folder):
@@ -70,14 +70,29 @@ def test_approved_rows(spark, tmp_path):
     assert sorted(os.listdir(tmp_path)) == ["ok"]
 
 
-def test_wrong_ticket_and_gap_in_positions(spark):
-    df = spark.createDataFrame([(1, "a", 10.0, 4, 2.51, 1, 1), (2, "b", 5.0, 1, 5.0, 1, 3)], SCHEMA)
-    with pytest.raises(MartRejected, match="last position.*wrong ticket"):
-        validate(df, [*marts.positions_check(2), marts.ticket_check()])
-    with pytest.raises(MartRejected, match="gaps in positions.*first is not the largest"):
-        validate(df.withColumnRenamed("frequencia", "q").withColumn("q", F.col("q") * F.col("posicao")),
-                 [Check("gaps in positions", F.max("posicao") - F.count_distinct("posicao"), 0),
-                  Check("first is not the largest", F.max("ticket_medio") - F.max_by("ticket_medio", -F.col("posicao")), 0)])
+@pytest.mark.parametrize(
+    "data, message",
+    [
+        ([(1, 10.0, 4, 2.51, 1)], "rows with a wrong ticket"),
+        ([(1, 10.0, 4, 2.5, 1), (2, 2.0, 1, 2.0, 3)], "gaps in positions.*at most 2 positions"),
+        ([(1, 10.0, 4, 2.5, 1), (2, 2.0, 1, 2.0, 1)], "repeated positions"),
+        ([(1, 10.0, 4, 2.5, 1), (2, 3.0, 1, 3.0, 2)], "best value first"),
+        ([], "first position: expected 1, found None"),
+    ],
+)
+def test_unsound_rankings_are_rejected(spark, data, message):
+    schema = "customer_id bigint, faturamento_total double, frequencia bigint, ticket_medio double, posicao int"
+    checks = [*marts.ranking_checks("ticket_medio", 2), marts.ticket_check()]
+    with pytest.raises(MartRejected, match=message):
+        validate(spark.createDataFrame(data, schema), checks)
+
+
+def test_similarity_checks(spark):
+    schema = "posicao int, similaridade double"
+    good = spark.createDataFrame([(1, 0.5), (2, 0.25)], schema)
+    assert validate(good, marts.similarity_checks(5)) == 2
+    with pytest.raises(MartRejected, match="out of range"):
+        validate(spark.createDataFrame([(1, 1.5)], schema), marts.similarity_checks(5))
 
 
 def test_large_marts_keep_their_partitions(spark, tmp_path, with_conf):

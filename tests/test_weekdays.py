@@ -4,6 +4,7 @@ from datetime import date, timedelta
 import pytest
 from conftest import plan_of, rows
 from entities import orders
+from pyspark.sql import functions as F
 
 from tidebook.functions.dates import WEEKDAY_NAMES
 from tidebook.operators.calendar import calendar
@@ -59,6 +60,19 @@ def test_given_bounds_agree_with_observed_bounds(spark, channel):
     assert rows(observed) == rows(given)
 
 
+@pytest.mark.parametrize("type_name", ["date", "timestamp", "timestamp_ntz"])
+def test_order_dates_of_any_type(spark, type_name):
+    typed = two_weeks(spark).withColumn("order_date", F.col("order_date").cast(type_name))
+    expected = rows(weekday_average(two_weeks(spark), "store"))
+    assert rows(weekday_average(typed, "store")) == expected
+    assert rows(weekday_average(typed, "store", START, START + timedelta(13))) == expected
+
+
+def test_one_bound_is_an_error(spark):
+    with pytest.raises(ValueError, match="both bounds"):
+        daily_sales(two_weeks(spark), lo=START)
+
+
 def test_bounds_reach_beyond_the_orders(spark):
     daily = daily_sales(two_weeks(spark), "store", START - timedelta(3), START + timedelta(20))
     found = daily_totals(daily).collect()

@@ -111,20 +111,29 @@ def overview_rows(cube: DataFrame) -> DataFrame:
     )
 
 
-def positions_check(n: int) -> list[Check]:
-    """Positions are 1..n, each once."""
-    return [
-        Check("positions", F.count_distinct("posicao"), n),
-        Check("last position", F.max("posicao"), n),
+def ranking_checks(metric: str, n: int | None = None) -> list[Check]:
+    """Positions are 1, 2, ... without gaps, up to ``n`` at most, and the best value comes first."""
+    last, best = F.max("posicao"), F.max_by(metric, -F.col("posicao"))
+    checks = [
+        Check("first position", F.min("posicao"), 1),
+        Check("gaps in positions", last - F.count_distinct("posicao"), 0),
+        Check("repeated positions", F.count("*") - F.count_distinct("posicao"), 0),
+        Check("best value first", F.max(metric) == best, True),
     ]
+    return checks if n is None else [*checks, Check(f"at most {n} positions", last <= n, True)]
+
 
+def similarity_checks(n: int) -> list[Check]:
+    """Positions are sound and every similarity lies between 0 and 1.
 
-def ranking_checks(metric: str) -> list[Check]:
-    """Positions are 1..n without gaps, and the best value comes first."""
-    first = F.max_by(metric, -F.col("posicao"))
+    The order is not compared: equal similarities may differ in their last digit.
+    """
+    outside = ~F.col("similaridade").between(0.0, 1.0 + 1e-12)
     return [
-        Check("gaps in positions", F.max("posicao") - F.count_distinct("posicao"), 0),
-        Check("first is not the largest", F.max(metric) - first, 0),
+        Check("first position", F.min("posicao"), 1),
+        Check("positions", F.max("posicao") == F.count_distinct("posicao"), True),
+        Check(f"at most {n} positions", F.max("posicao") <= n, True),
+        Check("similarities out of range", F.count_if(outside), 0),
     ]
 
 
@@ -176,14 +185,14 @@ def build_marts(
     return {
         "overview": overview_mart(orders),
         "loyal_customers": LOYAL_CUSTOMERS.mart(
-            loyal, [*positions_check(n_customers), ticket_check()]
+            loyal, [*ranking_checks("ticket_medio", n_customers), ticket_check()]
         ),
         "loyal_categories": LOYAL_CATEGORIES.mart(categories, ranking_checks("quantidade_itens")),
         "weekdays": WEEKDAYS.mart(
             weekday_average(orders, channel), weekday_checks(orders, channel)
         ),
         "forecast": forecast_mart(orders, items, products, reference_id, test_from, test_to),
-        "recommendations": RECOMMENDATIONS.mart(similar, positions_check(neighbours)),
+        "recommendations": RECOMMENDATIONS.mart(similar, similarity_checks(neighbours)),
     }
 
 

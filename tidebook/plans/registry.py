@@ -252,7 +252,7 @@ def _published(spark: SparkSession, mart: Mart) -> DataFrame:
 
 
 def mart_loyal_customers(spark: SparkSession, root: str) -> DataFrame:
-    checks = [*marts.positions_check(TOP_CUSTOMERS), marts.ticket_check()]
+    checks = [*marts.ranking_checks("ticket_medio", TOP_CUSTOMERS), marts.ticket_check()]
     return _published(
         spark, marts.LOYAL_CUSTOMERS.mart(loyal_customers_top10(spark, root), checks)
     )
@@ -276,7 +276,7 @@ def mart_forecast(spark: SparkSession, root: str) -> DataFrame:
 
 def mart_recommendations(spark: SparkSession, root: str) -> DataFrame:
     rows = similar_to_reference(spark, root)
-    checks = marts.positions_check(NEIGHBOURS)
+    checks = marts.similarity_checks(NEIGHBOURS)
     return _published(spark, marts.RECOMMENDATIONS.mart(rows, checks))
 
 

@@ -30,8 +30,10 @@ def daily_sales(
     Without them the calendar spans all orders, whatever their channel; one pass over the orders
     then collects both the bounds and the channel's sales.
     """
+    if (lo is None) != (hi is None):
+        raise ValueError("give both bounds of the calendar or none")
     wanted = F.lit(True) if channel is None else F.col("channel").isin(channel)
-    if lo and hi:
+    if lo is not None:
         inside = orders.filter(
             wanted & (F.col("order_date") >= F.lit(lo)) & (F.col("order_date") < F.lit(hi + timedelta(1)))
         )
