@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 MEGABYTE = 1024 * 1024
+PARALLEL_JOBS = 8
 LARGE_INPUT = 10 * MEGABYTE * MEGABYTE
 
 _local_roots: dict[str, str] = {}
@@ -84,3 +88,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def run_together(job: Callable[[Any], Any], inputs: Iterable[Any]) -> list[Any]:
+    """Submit independent Spark jobs side by side, so that small ones do not leave a cluster idle.
+
+    Waits for all of them; the first failure is raised afterwards.
+    """
+    with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
+        return list(pool.map(job, inputs))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidebook.functions.numbers import plain_text
-from tidebook.session import materialize
+from tidebook.session import materialize, run_together
 from tidebook.sources.csv_tables import CSV_DIALECT, read_typed
 
 # Up to this many rows a mart goes into one file; a larger one keeps its partitions.
@@ -88,7 +88,8 @@ def publish_marts(marts: dict[str, Mart], folder: str) -> dict[str, int]:
 
     Returns the number of rows per mart. One rejected mart leaves the folder untouched.
     """
-    staged = {name: materialize(mart.rows, name) for name, mart in marts.items()}
+    written = run_together(lambda name: materialize(marts[name].rows, name), marts)
+    staged = dict(zip(marts, written))
     counts, problems = {}, []
     for name, mart in marts.items():
         try:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidebook.session import run_together
 from tidebook.sources.csv_tables import read_tables
 
 PUBLISHED = "_published"
@@ -34,8 +35,11 @@ def load_all(
     """
     require_empty(spark, dest)
     run = f"run-{uuid.uuid4().hex}"
-    for name, df in read_tables(spark, paths, schemas, multiline).items():
-        df.write.mode("errorifexists").parquet(f"{dest}/{run}/{name}")
+    tables = read_tables(spark, paths, schemas, multiline)
+    run_together(
+        lambda name: tables[name].write.mode("errorifexists").parquet(f"{dest}/{run}/{name}"),
+        tables,
+    )
     entries = [(name, f"{run}/{name}") for name in paths]
     spark.createDataFrame(entries, PUBLISHED_SCHEMA).coalesce(1).write.mode(
         "errorifexists"
