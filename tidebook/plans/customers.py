@@ -125,7 +125,7 @@ def loyal_customers(
         diversity = category_diversity(orders_of(orders, ranking), items, products)
         ranked = _with_diversity(ranked, diversity)
     names = customers.join(ranking.customers.select("customer_id"), "customer_id", "left_semi")
-    return ranked.join(names, "customer_id", "left").select(
+    named = ranked.join(names, "customer_id", "left").select(
         "customer_id",
         "customer",
         "revenue",
@@ -134,6 +134,7 @@ def loyal_customers(
         "category_diversity",
         "position",
     )
+    return named.orderBy("position")
 
 
 def loyal_categories(
