@@ -3,6 +3,8 @@ from check_oracles import compare, duckdb_tables
 from conftest import SMALL, plan_of
 
 import __spark_entry__ as registered
+from tidebook.plans.oracles import ORACLES
+from tidebook.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -10,20 +12,22 @@ def connection():
     return duckdb_tables(SMALL)
 
 
-@pytest.mark.parametrize("name", list(registered.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_its_sql(spark, connection, name):
     assert compare(spark, connection, name, SMALL) is None
 
 
 def test_every_query_has_sql():
-    assert registered.queries().keys() == registered.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= registered.queries().items()
+    assert ORACLES.items() <= registered.oracle_sql().items()
 
 
 def test_entry(spark):
     assert registered.entry(spark).count() == 7
 
 
-@pytest.mark.parametrize("name", [n for n in registered.queries() if not n.startswith(("mart", "published", "load"))])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("mart", "published", "load"))])
 def test_plans_stay_in_the_jvm_and_cross_nothing(spark, name):
     plan = plan_of(registered.queries()[name](spark, SMALL))
     for operator in ("Python", "CartesianProduct", "NestedLoopJoin"):
