@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidebook.llm import jaccard_join
+from tidebook.llm import jaccard_join, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,4 +20,13 @@ def op5_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, root, "documents"))
 
 
-QUERIES: dict[str, Query] = {query.__name__: query for query in (op5_jaccard_join,)}
+def repeat_digests(cut: DataFrame) -> DataFrame:
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op9_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    return repeat_digests(substring_dedup.cut_repeats(docs, as_text=False))
+
+
+QUERIES: dict[str, Query] = {query.__name__: query for query in (op5_jaccard_join, op9_substring_dedup)}

@@ -126,11 +126,15 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     m = len(hashes) - n + 1
     if m <= 0:
         return np.empty(0, np.uint64)
-    out = hashes[:m] * np.uint64(_BASE)
-    for k in range(1, n):
-        out += hashes[k : k + m]
-        out ^= out >> np.uint64(32)
-        out *= np.uint64(_BASE)
+    out = np.empty(m, np.uint64)
+    step = max(PIECE_BYTES - n, 1)
+    up, down = (_UP, _DOWN) if n < PIECE_BYTES else (_powers(_BASE, n + step), _powers(_INVERSE, n + step))
+    for i in range(0, m, step):
+        part = hashes[i : i + step + n - 1]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * up[: len(part)], out=sums[1:])
+        count = len(part) - n + 1
+        out[i : i + count] = (sums[n:] - sums[:-n]) * down[:count]
     return mix(out)
 
 
