@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import jaccard_join, substring_dedup
+from tidebook.llm import decontaminate, jaccard_join, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,25 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def contamination_digests(found: DataFrame) -> DataFrame:
+    covered = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    n_hit = F.coalesce(F.size(F.array_distinct(covered)).cast("long"), F.lit(0).cast("long"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.when(F.col("spans").isNull(), F.lit(0).cast("long")).otherwise(n_hit).alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        F.col("spans").isNotNull().alias("contaminated"),
+    )
+
+
+def op3_decontaminate(spark: SparkSession, root: str) -> DataFrame:
+    docs, benchmark = table(spark, root, "documents"), table(spark, root, "benchmark")
+    return contamination_digests(decontaminate.contamination(docs, benchmark))
+
+
 def op5_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, root, "documents"))
 
@@ -29,4 +48,4 @@ def op9_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return repeat_digests(substring_dedup.cut_repeats(docs, as_text=False))
 
 
-QUERIES: dict[str, Query] = {query.__name__: query for query in (op5_jaccard_join, op9_substring_dedup)}
+QUERIES: dict[str, Query] = {query.__name__: query for query in (op3_decontaminate, op5_jaccard_join, op9_substring_dedup)}

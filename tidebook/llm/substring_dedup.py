@@ -15,7 +15,6 @@ same place: the seeds are winnowed anchors, one for some twelve windows.
 
 from __future__ import annotations
 
-import math
 from functools import partial
 
 import numpy as np
@@ -24,15 +23,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.llm.arrow import Batches, batch, binaries, longs, map_batches, run_starts, whole_groups
+from tidebook.llm.arrow import Batches, batch, longs, map_batches, run_starts, whole_groups
+from tidebook.llm.bloom import bloom_filter, passes
 from tidebook.llm.words import EXACT_WORDS, Words, grams, mix, slices, words_of
 from tidebook.session import materialize
 
 WINDOW = 35
 SEED = 12
-# Bits of the filter: at most this many (16 MB), 16 for a repeated seed below that.
+# Bits of the filter: at most this many (16 MB).
 FILTER_BITS = 1 << 27
-PROBES = 3
 # Occurrences of a seed that one task handles; seeds above it, at most SPLIT_SEEDS, are split.
 SHARE = 10_000
 SPLIT_SEEDS = 100_000
@@ -67,36 +66,6 @@ def _count_seeds(batches: Batches, window: int, seed: int) -> Batches:
         yield batch(seed=longs(found), n=longs(times))
 
 
-def _probes(seeds: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [mix(seeds + np.uint64(i + 1)) & np.uint64(bits - 1) for i in range(PROBES)]
-
-
-def _filter_words(batches: Batches, bits: int) -> Batches:
-    """The 64-bit words of the filter that these seeds set, combined within each batch."""
-    for rows in batches:
-        at = np.concatenate(_probes(rows.column("seed").to_numpy().view(np.uint64), bits))
-        at = np.unique(at)
-        place, mask = at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63))
-        runs = run_starts(place)
-        yield batch(place=longs(place[runs]), mask=longs(np.bitwise_or.reduceat(mask, runs) if len(runs) else mask))
-
-
-def _filter(repeated: DataFrame, n_repeated: int) -> np.ndarray:
-    bits = min(FILTER_BITS, 1 << max(16, math.ceil(math.log2(16 * n_repeated + 1))))
-    masks = map_batches(repeated.select("seed"), partial(_filter_words, bits=bits), "place long, mask long")
-    rows = masks.groupBy("place").agg(F.bit_or("mask").alias("mask")).toArrow()
-    out = np.zeros(bits // 64, np.uint64)
-    out[rows.column("place").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64)
-    return out
-
-
-def _passes(found: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    keep = np.ones(len(seeds), bool)
-    for at in _probes(seeds, len(found) * 64):
-        keep &= (found[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-    return keep
-
-
 def _occurrences(batches: Batches, window: int, seed: int, shared: Broadcast) -> Batches:
     """Each occurrence of a seed that passes: document, first window, hashes of its windows."""
     found, split, times = shared.value
@@ -105,7 +74,7 @@ def _occurrences(batches: Batches, window: int, seed: int, shared: Broadcast) ->
         starts, values, places = _seeds(words, window, seed)
         runs = run_starts(places)
         ends = np.concatenate([runs[1:], [len(places)]]).astype(np.int64)
-        keep = _passes(found, values[runs])
+        keep = passes(found, values[runs])
         runs, ends = runs[keep], ends[keep]
         hashes = grams(words.hashes, window)
         lengths = ends - runs
@@ -189,7 +158,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     order = np.argsort(split.column("seed").to_numpy().view(np.uint64))
     shared = spark.sparkContext.broadcast(
         (
-            _filter(repeated, n_repeated),
+            bloom_filter(repeated.select("seed"), n_repeated, FILTER_BITS),
             split.column("seed").to_numpy().view(np.uint64)[order],
             split.column("n").to_numpy()[order],
         )
