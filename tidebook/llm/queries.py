@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import decontaminate, jaccard_join, substring_dedup
+from tidebook.llm import decontaminate, jaccard_join, language_id, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,13 @@ def op3_decontaminate(spark: SparkSession, root: str) -> DataFrame:
     return contamination_digests(decontaminate.contamination(docs, benchmark))
 
 
+def op4_language_id(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "text", "lang")
+    found = language_id.predict(docs, language_id.fit(docs))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 def op5_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, root, "documents"))
 
@@ -48,4 +55,4 @@ def op9_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return repeat_digests(substring_dedup.cut_repeats(docs, as_text=False))
 
 
-QUERIES: dict[str, Query] = {query.__name__: query for query in (op3_decontaminate, op5_jaccard_join, op9_substring_dedup)}
+QUERIES: dict[str, Query] = {query.__name__: query for query in (op3_decontaminate, op4_language_id, op5_jaccard_join, op9_substring_dedup)}
