@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import decontaminate, jaccard_join, language_id, substring_dedup
+from tidebook.llm import decontaminate, jaccard_join, language_id, packing, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,21 @@ def op5_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, root, "documents"))
 
 
+def tokenizer_path() -> str:
+    """The tokenizer file of the packing query; every worker finds it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def piece_digests(pieces: DataFrame) -> DataFrame:
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op6_packing(spark: SparkSession, root: str) -> DataFrame:
+    return piece_digests(packing.pack(table(spark, root, "documents"), tokenizer_path()))
+
+
 def repeat_digests(cut: DataFrame) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
@@ -55,4 +70,4 @@ def op9_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return repeat_digests(substring_dedup.cut_repeats(docs, as_text=False))
 
 
-QUERIES: dict[str, Query] = {query.__name__: query for query in (op3_decontaminate, op4_language_id, op5_jaccard_join, op9_substring_dedup)}
+QUERIES: dict[str, Query] = {query.__name__: query for query in (op3_decontaminate, op4_language_id, op5_jaccard_join, op6_packing, op9_substring_dedup)}
