@@ -1,0 +1,70 @@
+import zlib
+
+import corpus_pipeline
+from test_decontaminate import brute_force as contaminated
+from test_jaccard_join import brute_force as groups
+from test_language_id import BruteForce
+from test_packing import check
+from test_substring_dedup import brute_force as repeats
+
+import __spark_entry__ as registered
+from tidebook.llm.queries import table
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_every_stage_against_brute_force(spark):
+    docs = table(spark, SMALL, "documents")
+    columns = docs.columns
+    benchmark = [(r.item_id, r.text) for r in table(spark, SMALL, "benchmark").collect()]
+    stages = dict(corpus_pipeline.STAGES)
+
+    def applied(name, docs):
+        out = spark.createDataFrame(stages[name](spark, docs, SMALL).collect() or [], docs.schema)
+        assert out.columns == columns
+        return out, {r.doc_id: r for r in out.collect()}
+
+    before = {r.doc_id: r for r in docs.collect()}
+    docs, kept = applied("language_id", docs)
+    learned = [r for r in before.values() if zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and len((r.text or "").encode()) <= 8192]
+    trees = [BruteForce([r.text for r in learned if r.lang == lang]) for lang in sorted({r.lang for r in learned})]
+    expected = {
+        r.doc_id
+        for r in before.values()
+        if r.text and any(c.isalpha() for c in r.text) and min(t.bits(r.text[:3000]) for t in trees) < 8 * len(r.text[:3000].encode())
+    }
+    assert set(kept) == expected and all(kept[i] == before[i] for i in kept)
+
+    before = kept
+    docs, kept = applied("jaccard_join", docs)
+    lowest = {d: c for d, _, c in groups([(r.doc_id, r.text) for r in before.values()])}
+    assert set(kept) == {d for d, c in lowest.items() if d == c} and all(kept[i] == before[i] for i in kept)
+
+    before = kept
+    docs, kept = applied("substring_dedup", docs)
+    left = {d: (n, gone) for d, n, gone, _ in repeats([(r.doc_id, r.text) for r in before.values()])}
+    assert set(kept) == {d for d, (n, gone) in left.items() if gone == 0 or gone < n}
+    for i, r in kept.items():
+        n, gone = left[i]
+        assert len(r.text.split()) == n - gone and r.n_chars == len(r.text) and (gone or r == before[i])
+
+    before = kept
+    docs, kept = applied("decontaminate", docs)
+    hit = {d: bad for d, *_, bad in contaminated([(r.doc_id, r.text) for r in before.values()], benchmark)}
+    assert any(hit.values()) and set(kept) == {d for d, bad in hit.items() if not bad}
+
+    check(stages["packing"](spark, docs, SMALL).collect(), {i: r.text for i, r in kept.items()})
+
+
+def test_run_is_registered(spark):
+    assert registered.queries()["pipeline"] is corpus_pipeline.run
+    assert corpus_pipeline.run(spark, SMALL).count() > 100
+
+
+def test_stages_on_empty_and_odd_rows(spark):
+    docs = table(spark, SMALL, "documents").limit(0)
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", None, "s", 0)], docs.schema)
+    for rows in (docs, odd):
+        for _, stage in corpus_pipeline.STAGES:
+            rows = stage(spark, rows, SMALL)
+        assert rows.count() == 0
