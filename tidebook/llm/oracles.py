@@ -2,4 +2,89 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from tidebook.llm.sharding import SHARDS, SLOTS, lookup_table
+
+# CRC-32 in SQL: the 256 remainders, then one step for each byte of a list.
+CRC_TABLE = """crc AS (
+    SELECT list(c ORDER BY b) AS steps FROM (
+        SELECT b, list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]),
+            lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS c
+        FROM range(256) t(b)))"""
+
+
+def crc32(codes: str) -> str:
+    """CRC-32 of a list of bytes; ``crc`` must be in FROM."""
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b:"
+        " xor(c >> 8, crc.steps[(xor(c, b) & 255) + 1])), 4294967295)"
+    )
+
+
+def ascii_codes(text: str) -> str:
+    return f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+
+
+def utf8_codes(text: str) -> str:
+    digits = "'0123456789ABCDEF'"
+    pair = f"16 * (instr({digits}, substr(hex(encode({text})), 2 * i - 1, 1)) - 1)"
+    pair += f" + instr({digits}, substr(hex(encode({text})), 2 * i, 1)) - 1"
+    return f"list_transform(range(1, octet_length(encode({text})) + 1), lambda i: ({pair})::BIGINT)"
+
+
+SHARDING = f"""
+WITH {CRC_TABLE},
+placed AS (
+    SELECT doc_id, {crc32(ascii_codes("CAST(doc_id AS VARCHAR)"))} % {SLOTS} AS slot
+    FROM documents, crc)
+SELECT doc_id, slot,
+    string_split('{" ".join(SHARDS)}', ' ')[
+        string_split('{" ".join(map(str, lookup_table(SHARDS)))}', ' ')[slot + 1]::INT + 1] AS shard
+FROM placed
+"""
+
+DECONTAMINATE = r"""
+WITH RECURSIVE doc_words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS phrase
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+    SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS phrase
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, sizes WHERE len(w) >= n)),
+found AS (SELECT p.doc_id, p.n, p.i, x.item_id FROM places p JOIN windows x USING (n, phrase)),
+hits AS (SELECT doc_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS word FROM found) GROUP BY doc_id),
+named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc_words d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+SUBSTRING_DEDUP = r"""
+WITH doc_words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, md5(array_to_string(w[i : i + 34], ' ')) AS phrase
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM doc_words WHERE len(w) >= 35)),
+repeated AS (SELECT phrase FROM windows GROUP BY phrase HAVING count(*) > 1),
+gone AS (
+    SELECT doc_id, list(DISTINCT word) AS words
+    FROM (SELECT doc_id, unnest(range(i, i + 35)) AS word FROM windows SEMI JOIN repeated USING (phrase))
+    GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(words), 0) AS BIGINT) AS n_removed,
+    sha256(array_to_string(list_filter(w, lambda x, i: words IS NULL OR NOT list_contains(words, i)), ' ')) AS kept_sha256
+FROM doc_words LEFT JOIN gone USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_decontaminate": DECONTAMINATE,
+    "op8_sharding": SHARDING,
+    "op9_substring_dedup": SUBSTRING_DEDUP,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import decontaminate, jaccard_join, language_id, packing, substring_dedup
+from tidebook.llm import decontaminate, jaccard_join, language_id, packing, sharding, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,9 +65,13 @@ def repeat_digests(cut: DataFrame) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_sharding(spark: SparkSession, root: str) -> DataFrame:
+    return sharding.place(table(spark, root, "documents").select("doc_id"), "doc_id")
+
+
 def op9_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents").select("doc_id", "text")
     return repeat_digests(substring_dedup.cut_repeats(docs, as_text=False))
 
 
-QUERIES: dict[str, Query] = {query.__name__: query for query in (op3_decontaminate, op4_language_id, op5_jaccard_join, op6_packing, op9_substring_dedup)}
+QUERIES: dict[str, Query] = {query.__name__: query for query in (op3_decontaminate, op4_language_id, op5_jaccard_join, op6_packing, op8_sharding, op9_substring_dedup)}
