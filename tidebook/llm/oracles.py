@@ -83,7 +83,51 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(words), 0) A
 FROM doc_words LEFT JOIN gone USING (doc_id)
 """
 
+QUALITY_RULES = rf"""
+WITH {CRC_TABLE},
+docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs),
+hashed AS (SELECT word, {crc32(utf8_codes("word"))} AS h FROM (SELECT DISTINCT word FROM places), crc),
+grams AS (
+    SELECT r, h % 16381 AS b FROM places JOIN hashed USING (word)
+    UNION ALL
+    SELECT a.r, (x.h * 31 + y.h) % 16381
+    FROM places a JOIN places c ON c.r = a.r AND c.i = a.i + 1
+    JOIN hashed x ON x.word = a.word JOIN hashed y ON y.word = c.word),
+good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND toxic = 0),
+counts AS (
+    SELECT b, count(*) AS n_all, count(*) FILTER (g.doc_id IS NOT NULL) AS n_good
+    FROM grams JOIN docs USING (r) LEFT JOIN good g ON g.doc_id = docs.doc_id GROUP BY b),
+totals AS (SELECT sum(n_all)::DOUBLE AS a, sum(n_good)::BIGINT AS g FROM counts),
+weights AS (
+    SELECT b, CAST(round(ln((n_good + 5.0::DOUBLE) / (n_all * g / a + 5.0::DOUBLE)) * 1000000) AS BIGINT) AS weight
+    FROM counts, totals),
+scores AS (SELECT r, count(*) AS n_grams, sum(weight)::BIGINT AS total FROM grams JOIN weights USING (b) GROUP BY r),
+windows AS (SELECT r, i, w[i : i + 2] AS t FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM docs WHERE len(w) > 2)),
+twice AS (SELECT r, t FROM windows GROUP BY r, t HAVING count(*) > 1),
+repeats AS (
+    SELECT r, count(DISTINCT p) AS n FROM (
+        SELECT r, unnest([i, i + 1, i + 2]) AS p FROM windows SEMI JOIN twice USING (r, t)) GROUP BY r),
+lines AS (SELECT r, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM docs),
+base AS (
+    SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+        CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+    FROM docs JOIN lines USING (r) LEFT JOIN repeats USING (r)),
+judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    coalesce(n_grams, 0) AS n_grams,
+    CASE WHEN n_grams > 0 THEN total / (n_grams * 1000000.0::DOUBLE) ELSE 0.0::DOUBLE END AS score,
+    NOT base_failed AND coalesce(total >= -100000 * n_grams, true) AS kept
+FROM judged LEFT JOIN scores USING (r)
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_quality_rules": QUALITY_RULES,
     "op3_decontaminate": DECONTAMINATE,
     "op8_sharding": SHARDING,
     "op9_substring_dedup": SUBSTRING_DEDUP,

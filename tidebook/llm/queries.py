@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import chat_format, decontaminate, jaccard_join, language_id, packing, sharding, substring_dedup
+from tidebook.llm import chat_format, decontaminate, jaccard_join, language_id, packing, quality_rules, sharding, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, root: str) -> DataFrame:
+    return quality_rules.quality(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
 def contamination_digests(found: DataFrame) -> DataFrame:
     covered = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))
     items = F.coalesce("items", F.array().cast("array<string>"))
@@ -89,4 +93,4 @@ def op9_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return repeat_digests(substring_dedup.cut_repeats(docs, as_text=False))
 
 
-QUERIES: dict[str, Query] = {query.__name__: query for query in (op3_decontaminate, op4_language_id, op5_jaccard_join, op6_packing, op7_chat_format, op8_sharding, op9_substring_dedup)}
+QUERIES: dict[str, Query] = {query.__name__: query for query in (op1_quality_rules, op3_decontaminate, op4_language_id, op5_jaccard_join, op6_packing, op7_chat_format, op8_sharding, op9_substring_dedup)}
