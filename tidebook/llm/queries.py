@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import chat_format, decontaminate, jaccard_join, language_id, packing, quality_rules, sharding, substring_dedup
+from tidebook.llm import chat_format, decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_rules, sharding, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,17 @@ def op1_quality_rules(spark: SparkSession, root: str) -> DataFrame:
     return quality_rules.quality(table(spark, root, "documents"), table(spark, root, "labels"))
 
 
+def op2_lm_scoring(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    model, tokens = lm_scoring.fit(docs.filter(F.coalesce(~held_out, F.lit(True))))
+    scored = lm_scoring.score(docs, model, tokens)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )
+
+
 def contamination_digests(found: DataFrame) -> DataFrame:
     covered = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))
     items = F.coalesce("items", F.array().cast("array<string>"))
@@ -93,4 +104,4 @@ def op9_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return repeat_digests(substring_dedup.cut_repeats(docs, as_text=False))
 
 
-QUERIES: dict[str, Query] = {query.__name__: query for query in (op1_quality_rules, op3_decontaminate, op4_language_id, op5_jaccard_join, op6_packing, op7_chat_format, op8_sharding, op9_substring_dedup)}
+QUERIES: dict[str, Query] = {query.__name__: query for query in (op1_quality_rules, op2_lm_scoring, op3_decontaminate, op4_language_id, op5_jaccard_join, op6_packing, op7_chat_format, op8_sharding, op9_substring_dedup)}
