@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import chat_format, decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_rules, sharding, substring_dedup
+from tidebook.llm import chat_format, decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_rules, sharding, substring_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,4 +104,9 @@ def op9_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return repeat_digests(substring_dedup.cut_repeats(docs, as_text=False))
 
 
-QUERIES: dict[str, Query] = {query.__name__: query for query in (op1_quality_rules, op2_lm_scoring, op3_decontaminate, op4_language_id, op5_jaccard_join, op6_packing, op7_chat_format, op8_sharding, op9_substring_dedup)}
+def op10_url_filter(spark: SparkSession, root: str) -> DataFrame:
+    model = url_filter.fit(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, root, "pages").select("page_id", "url"), model)
+
+
+QUERIES: dict[str, Query] = {query.__name__: query for query in (op1_quality_rules, op2_lm_scoring, op3_decontaminate, op4_language_id, op5_jaccard_join, op6_packing, op7_chat_format, op8_sharding, op9_substring_dedup, op10_url_filter)}
