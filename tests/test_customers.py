@@ -64,7 +64,6 @@ def test_ranking_and_categories_against_brute_force(spark, monkeypatch, min_cate
     """``few``: the winners' orders are broadcast; otherwise both sides are shuffled."""
     if not few:
         monkeypatch.setattr(cust, "BROADCAST_ORDERS", 0)
-        monkeypatch.setattr(cust, "BROADCAST_CUSTOMERS", 0)
     raw_orders, raw_items = random_sales(spark, seed=min_categories + few)
     category = lambda p: p % 9
     expected_customers, expected_categories = brute_force(raw_orders, raw_items, category, min_categories, 10)

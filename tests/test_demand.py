@@ -45,15 +45,34 @@ def test_published_forecast(spark):
 
 def test_no_forecast_without_full_history(spark):
     o, i = series(spark)
-    start = date(2025, 10, 1)
-    forecast = demand_forecast(o, i, products(spark, [1]), start, date(2026, 1, 1), series_start=start)
+    first = o.agg({"order_date": "min"}).first()[0]
+    start = first.date().replace(day=1) if hasattr(first, "date") else first.replace(day=1)
+    forecast = demand_forecast(o, i, products(spark, [1]), add_months(start, -2), add_months(start, 3))
     found = forecast.orderBy("month").collect()
-    assert [r["predicted"] for r in found] == [None, None, None, PREDICTED[0]]
+    assert [r["month"] for r in found] == [add_months(start, k) for k in range(4)]
+    assert [r["predicted"] is None for r in found] == [True, True, True, False]
     assert forecast_error(forecast).first()["n_forecasts"] == 1
 
 
+def test_months_after_the_last_order_are_not_scored(spark):
+    o, i = series(spark)
+    assert demand_forecast(o, i, products(spark, [1]), date(2040, 1, 1), date(2040, 3, 1)).count() == 0
+    assert demand_forecast(o.limit(0), i, products(spark, [1]), date(2025, 1, 1), date(2025, 3, 1)).count() == 0
+
+
+def test_fractions_add_up_to_whole_units(spark):
+    o = orders(spark, [(1, 1, "2024-01-15", 1.0, "s", "p")])
+    i = spark.createDataFrame([(1, 1, 2.5), (1, 1, 2.5)], "order_id bigint, product_id bigint, quantity double")
+    assert [r.units for r in monthly_units(o, i).collect()] == [5]
+    with pytest.raises(Exception, match="not whole"):
+        monthly_units(o, i.limit(1)).collect()
+
+
 def test_empty_months_count_as_zero(spark):
-    o = orders(spark, [(1, 1, "2024-01-15", 1.0, "s", "p"), (2, 1, "2024-05-20", 1.0, "s", "p")])
+    o = orders(
+        spark,
+        [(1, 1, "2024-01-15", 1.0, "s", "p"), (2, 1, "2024-05-20", 1.0, "s", "p"), (3, 1, "2024-06-01", 1.0, "s", "p")],
+    )
     i = items(spark, [(1, 1, 9), (2, 1, 4)])
     found = demand_forecast(o, i, products(spark, [1]), date(2024, 4, 1), date(2024, 6, 1))
     assert rows(found.select("month", "actual", "predicted")) == [

@@ -17,6 +17,20 @@ def cents(amount: Column) -> Column:
     return F.rint(amount * 100).cast("bigint")
 
 
+def millionths(value: Column) -> Column:
+    """A value as whole millionths: exact for values of up to six decimals and twelve digits before
+    them, and summed exactly in any order."""
+    return F.rint(value.cast("double") * 1_000_000).cast("bigint")
+
+
+def whole_units(total: Column) -> Column:
+    """Summed millionths as a whole number. Parts may be fractions (2.5 + 2.5); a sum that is not
+    whole stops the query instead of being cut."""
+    units = F.floor(total / 1_000_000).cast("bigint")
+    message = F.concat(F.lit("units are not whole: "), (total / 1_000_000).cast("string"))
+    return F.when(total % 1_000_000 == 0, units).when(total.isNotNull(), F.raise_error(message).cast("bigint"))
+
+
 def wide_sum(whole: Column) -> Column:
     """Sum of whole numbers whose total may exceed 64 bits."""
     return F.sum(whole.cast("decimal(20,0)"))

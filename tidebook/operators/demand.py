@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions.dates import month
+from tidebook.functions.numbers import millionths, whole_units
 
 
 def monthly_units(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Units sold per product and month, for the cells that have any."""
     sold = items.join(orders.select("order_id", "order_date"), "order_id")
     return sold.groupBy("product_id", month(F.col("order_date")).alias("month")).agg(
-        F.sum("quantity").alias("units")
+        whole_units(F.sum(millionths(F.col("quantity")))).alias("units")
     )
 
 

@@ -5,12 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidebook.session import materialize
+
 
 def with_position(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Number a small ranked result 1..n; ``order`` must end in a unique key."""
+    """Number a result of ``limit`` rows 1..n; ``order`` must end in a unique key."""
     return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
 
 
+def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
+    """The same for a result of any size: sorted by ranges, written with each row's range and place
+    in it, and numbered by adding the sizes of the ranges before. ``order`` must end in a unique
+    key; no task sees more than a range, and the list of ranges has a row per task."""
+    place = F.monotonically_increasing_id()
+    ranges = materialize(df.orderBy(*order).withColumn("place", place), "numbered")
+    of = F.shiftright("place", 33)
+    sizes = ranges.groupBy(of.alias("range")).agg(F.count("*").alias("n"))
+    before = F.coalesce(
+        F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    offsets = sizes.select("range", before.alias("before"))
+    within = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    joined = ranges.join(F.broadcast(offsets), of == F.col("range"))
+    return joined.select(*df.columns, (F.col("before") + within + 1).cast("int").alias("position"))
+
+
 def top(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows, numbered. Each task keeps ``n`` rows and only those are merged."""
     return with_position(df.orderBy(*order).limit(n), order)

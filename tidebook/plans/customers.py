@@ -11,12 +11,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.functions.numbers import cents, from_cents, ratio, round2
-from tidebook.operators.ranking import top, with_position
+from tidebook.functions.numbers import cents, from_cents, millionths, ratio, round2, whole_units
+from tidebook.operators.ranking import numbered, top
+from tidebook.session import materialize
 
-# Up to this many ranked customers, and this many of their orders (two longs each), are small
-# enough to be sent to every executor.
-BROADCAST_CUSTOMERS = 10_000
+# Up to this many orders of ranked customers (two longs each) are sent to every executor. The
+# number changes the plan, never the rows.
 BROADCAST_ORDERS = 1_000_000
 
 
@@ -65,10 +65,10 @@ def _with_diversity(customers: DataFrame, diversity: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Ranking:
-    """Ranked customers, and the number of their orders where it is known."""
+    """Ranked customers, and the number of their orders."""
 
     customers: DataFrame
-    n_orders: int | None
+    n_orders: int
 
 
 def rank_customers(
@@ -79,8 +79,8 @@ def rank_customers(
     With a diversity threshold every customer's diversity must be known first. Without one the
     ranking needs the orders only.
 
-    A ranking of few customers is computed now: then its size and its number of orders are known,
-    and the plans built on it need not repeat it. A longer one stays a plan of unknown size.
+    The ranking is written now, so that the plans built on it need not repeat it and know how many
+    orders it stands for.
     """
     if min_categories > 0:
         eligible = customer_profile(orders, items, products).filter(
@@ -89,11 +89,8 @@ def rank_customers(
     else:
         eligible = customer_orders(orders)
     ranked = top(eligible, [F.desc("average_ticket"), F.asc("customer_id")], n)
-    if n > BROADCAST_CUSTOMERS:
-        return Ranking(ranked, None)
-    rows = ranked.toArrow()
-    fixed = F.broadcast(orders.sparkSession.createDataFrame(rows))
-    return Ranking(fixed, sum(rows["frequency"].to_pylist()))
+    ranked = materialize(ranked, "ranking")
+    return Ranking(ranked, ranked.agg(F.coalesce(F.sum("frequency"), F.lit(0))).first()[0])
 
 
 def orders_of(orders: DataFrame, ranking: Ranking) -> DataFrame:
@@ -102,11 +99,12 @@ def orders_of(orders: DataFrame, ranking: Ranking) -> DataFrame:
     Few orders are sent to the items, which then need not be shuffled. One of the customers may
     hold a large share of all orders; beyond the limit both sides are shuffled instead.
     """
-    chosen = orders.select("order_id", "customer_id").join(
-        ranking.customers.select("customer_id"), "customer_id", "left_semi"
-    )
-    few = ranking.n_orders is not None and ranking.n_orders <= BROADCAST_ORDERS
-    return F.broadcast(chosen) if few else chosen
+    # There are no more customers than orders of theirs.
+    customers = ranking.customers.select("customer_id")
+    if ranking.n_orders <= BROADCAST_ORDERS:
+        customers = F.broadcast(customers)
+    chosen = orders.select("order_id", "customer_id").join(customers, "customer_id", "left_semi")
+    return F.broadcast(chosen) if ranking.n_orders <= BROADCAST_ORDERS else chosen
 
 
 def loyal_customers(
@@ -142,16 +140,17 @@ def loyal_categories(
 ) -> DataFrame:
     """Units per category bought by the ranked customers, most bought first.
 
-    Units are added up per product before the product table is joined.
+    Units are added up per product before the product table is joined. Those of products that it
+    does not list stand under a null category.
     """
     chosen = orders_of(orders, ranking).select("order_id")
     per_product = (
-        items.join(chosen, "order_id").groupBy("product_id").agg(F.sum("quantity").alias("units"))
+        items.join(chosen, "order_id").groupBy("product_id").agg(F.sum(millionths(F.col("quantity"))).alias("units"))
     )
     per_category = (
-        per_product.join(products.select("product_id", "category_id", "category"), "product_id")
+        per_product.join(products.select("product_id", "category_id", "category"), "product_id", "left")
         .groupBy("category_id", "category")
-        .agg(F.sum("units").alias("n_items"))
+        .agg(whole_units(F.sum("units")).alias("n_items"))
     )
-    order = [F.desc("n_items"), F.asc("category_id")]
-    return with_position(per_category, order).orderBy("position")
+    order = [F.desc("n_items"), F.asc_nulls_last("category_id"), F.asc_nulls_last("category")]
+    return numbered(per_category, order).orderBy("position")

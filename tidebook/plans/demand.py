@@ -7,7 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.functions.dates import add_months
+from tidebook.functions.dates import add_months, month
+from tidebook.functions.numbers import millionths
 from tidebook.operators.calendar import observed_bounds
 from tidebook.operators.demand import dense_months, monthly_units, moving_average
 
@@ -20,7 +21,7 @@ def monthly_demand(orders: DataFrame, items: DataFrame, products: DataFrame) ->
 
 def most_sold(items: DataFrame) -> int:
     """The id of the product with the most units, the lower id on a tie."""
-    units = items.groupBy("product_id").agg(F.sum("quantity").alias("units"))
+    units = items.groupBy("product_id").agg(F.sum(millionths(F.col("quantity"))).alias("units"))
     return units.orderBy(F.desc("units"), F.asc("product_id")).first()["product_id"]
 
 
@@ -31,20 +32,25 @@ def demand_forecast(
     test_from: date,
     test_to: date,
     window: int = 3,
-    series_start: date | None = None,
 ) -> DataFrame:
     """Actual and predicted units of every product for the months ``test_from`` to ``test_to``.
 
     Only the test months and the ``window`` months before them can matter, so only those orders
-    are read. The test filter comes after the window, which needs the history. Months before
-    ``series_start`` are no history; forecasts that would need them are null.
+    are read. The test filter comes after the window, which needs the history. The series runs from
+    the month of the first order to that of the last, whatever they hold: months before are no
+    history, so forecasts that would need them are null, and months after are not scored.
     """
     lo = add_months(test_from, -window)
-    if series_start and series_start > lo:
-        lo = series_start
     recent = orders.filter(
         (F.col("order_date") >= F.lit(lo)) & (F.col("order_date") < F.lit(add_months(test_to, 1)))
     )
-    dense = dense_months(monthly_units(recent, items), products, lo, test_to)
+    first, last = observed_bounds(orders, "order_date")
+    # Without orders there are no bounds; greatest and least would pass over the null.
+    first = F.when(first.isNotNull(), F.greatest(F.lit(lo), month(first)))
+    last = F.when(last.isNotNull(), F.least(F.lit(test_to), month(last)))
+    inside = first <= last
+    dense = dense_months(
+        monthly_units(recent, items), products.filter(inside), F.when(inside, first), F.when(inside, last)
+    )
     forecast = moving_average(dense, window)
     return forecast.filter(F.col("month").between(F.lit(test_from), F.lit(test_to)))

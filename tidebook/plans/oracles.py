@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from tidebook.functions import text
 from tidebook.functions.dates import WEEKDAY_NAMES
 from tidebook.plans import registry as r
 from tidebook.plans.weekdays import OTHER, WORST
@@ -33,7 +32,8 @@ averages AS (
   SELECT weekday, weekday_name, round_even(total_value / calendar_days, 2) AS average_sales,
          calendar_days, days_without_sales, total_value FROM totals),
 weekdays AS (
-  SELECT *, CASE WHEN average_sales = MIN(average_sales) OVER () THEN '{WORST}' ELSE '{OTHER}' END AS label
+  SELECT *, CASE WHEN ROW_NUMBER() OVER (ORDER BY total_value / calendar_days, weekday) = 1
+    THEN '{WORST}' ELSE '{OTHER}' END AS label
   FROM averages)"""
 
 BOUNDED = DAILY.replace(
@@ -95,7 +95,8 @@ dense AS (
   FROM part CROSS JOIN months
   LEFT JOIN units ON units.product_id = p_partkey AND units.month = months.month)"""
 
-FORECAST = f"""{DENSE},
+def _forecast(first, last) -> str:
+    return f"""{DENSE},
 framed AS (
   SELECT product_id, month, units AS actual,
          CASE WHEN COUNT(*) OVER w = 3 THEN CAST(SUM(units) OVER w AS BIGINT) END AS history
@@ -103,7 +104,10 @@ framed AS (
 forecast AS (
   SELECT product_id, month, actual, history, CAST(history AS DOUBLE) / 3 AS predicted,
          ABS(actual - CAST(history AS DOUBLE) / 3) AS abs_error
-  FROM framed WHERE month BETWEEN DATE '{r.TEST_FROM}' AND DATE '{r.TEST_TO}')"""
+  FROM framed WHERE month BETWEEN DATE '{first}' AND DATE '{last}')"""
+
+
+FORECAST = _forecast(r.TEST_FROM, r.TEST_TO)
 
 ERRORS = """COUNT(*) AS n_forecasts,
   CAST(SUM(ABS(3 * actual - history)) AS DOUBLE) / (3 * COUNT(*)) AS mae,
@@ -187,11 +191,10 @@ TEXT_TABLES = {
 def _values() -> str:
     parts = []
     for table, columns in TEXT_TABLES.items():
-        for column, sort in columns.items():
-            value = f"CAST({column} AS DECIMAL(18,2))" if sort == "amount" else column
+        for column in columns:
             parts.append(
                 f"SELECT '{table}' AS table_name, '{column}' AS column_name,"
-                f" CAST({value} AS VARCHAR) AS v FROM {table}"
+                f" CAST({column} AS VARCHAR) AS v FROM {table}"
             )
     return "\nUNION ALL ".join(parts)
 
@@ -199,17 +202,17 @@ def _values() -> str:
 COLUMN_PROFILE = f"""
 cells AS ({_values()}),
 tested AS (
-  SELECT *, regexp_matches(v, '{text.INTEGER}') AS is_int, regexp_matches(v, '{text.DECIMAL}') AS is_dec,
-         v IN {text.BOOLEANS} AS is_bool,
-         regexp_matches(v, '{text.DATE}') AND TRY_CAST(v AS DATE) IS NOT NULL AS is_date,
-         regexp_matches(v, '{text.TIMESTAMP}') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL AS is_ts
+  SELECT *, regexp_matches(v, '^-?[0-9]+$') AS is_int, regexp_matches(v, '^-?[0-9]+[.][0-9]+$') AS is_dec,
+         v IN ('true', 'false', 'TRUE', 'FALSE', 'True', 'False') AS is_bool,
+         regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') AND TRY_CAST(v AS DATE) IS NOT NULL AS is_date,
+         regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}([.][0-9]{{1,6}})?$') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL AS is_ts
   FROM cells),
 column_profile AS (
   SELECT table_name, column_name, COUNT(*) AS n, COUNT(*) - COUNT(v) AS n_null,
     COUNT(*) FILTER (WHERE is_bool) AS n_bool, COUNT(*) FILTER (WHERE is_int) AS n_int,
     COUNT(*) FILTER (WHERE is_dec) AS n_dec, COUNT(*) FILTER (WHERE is_date) AS n_date,
     COUNT(*) FILTER (WHERE is_ts) AS n_ts,
-    COUNT(*) FILTER (WHERE (is_int OR is_dec) AND regexp_matches(v, '{text.LEADING_ZERO}')) AS n_lead0,
+    COUNT(*) FILTER (WHERE (is_int OR is_dec) AND regexp_matches(v, '^-?0[0-9]')) AS n_lead0,
     CAST(MAX(length(v)) AS INTEGER) AS max_len,
     CAST(MAX(length(ltrim(split_part(v, '.', 1), '-'))) FILTER (WHERE is_int OR is_dec) AS INTEGER) AS max_whole,
     CAST(MAX(length(split_part(v, '.', 2))) FILTER (WHERE is_int OR is_dec) AS INTEGER) AS max_scale
@@ -245,7 +248,7 @@ SIMILAR_TO_REFERENCE = _similar(BEST_SELLER)
 
 ORACLES: dict[str, str] = {
     "order_eda": """SELECT COUNT(*) AS n_rows, CAST(6 AS BIGINT) AS n_columns,
-  round_even(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice), 2) AS mean_value
+  round_even(FSUM(o_totalprice) / COUNT(o_totalprice), 2) AS mean_value
 FROM orders""",
     "sales_kpis": f"""SELECT {MONEY} AS total_value, COUNT(*) AS n_orders,
   COUNT(DISTINCT o_custkey) AS n_customers, round_even({MONEY} / COUNT(*), 2) AS average_ticket
@@ -264,7 +267,8 @@ SELECT date, weekday, weekday_name, n_orders, CAST(amount AS DOUBLE) AS total_va
     "weekday_avg_sales": f"WITH {DAILY}, {WEEKDAY_ROWS} SELECT * FROM weekdays",
     "weekday_avg_sales_bounded": f"WITH {BOUNDED}, {WEEKDAY_ROWS} SELECT * FROM weekdays",
     "worst_weekday": f"""WITH {DAILY}, {WEEKDAY_ROWS}
-SELECT weekday, weekday_name, average_sales FROM weekdays ORDER BY average_sales, weekday LIMIT 1""",
+SELECT weekday, weekday_name, average_sales FROM weekdays WHERE label = '{WORST}'""",
+    "weekday_avg_sales_tied": f"WITH {DAILY.replace(r.PHYSICAL, 'no such channel')}, {WEEKDAY_ROWS} SELECT * FROM weekdays",
     "customer_profile": f"WITH {PROFILE} SELECT * FROM profile",
     "loyal_customers_top10": _loyal(0),
     "loyal_customers_diverse": _loyal(r.MIN_CATEGORIES),
@@ -273,6 +277,8 @@ SELECT weekday, weekday_name, average_sales FROM weekdays ORDER BY average_sales
     "monthly_demand": f"WITH {UNITS} SELECT * FROM units",
     "monthly_demand_dense": f"WITH {DENSE} SELECT * FROM dense",
     "demand_forecast": f"WITH {FORECAST} SELECT * FROM forecast",
+    "demand_forecast_early": f"WITH {_forecast(r.EARLY_FROM, r.EARLY_TO)} SELECT * FROM forecast",
+    "demand_forecast_late": f"WITH {_forecast(r.TEST_TO, r.LATE_TO)} SELECT * FROM forecast",
     "forecast_mae": f"WITH {FORECAST} SELECT {ERRORS} FROM forecast",
     "forecast_mae_by_product": f"WITH {FORECAST} SELECT product_id, {ERRORS} FROM forecast GROUP BY product_id",
     "customer_product_pairs": f"WITH {PAIRS} SELECT * FROM pairs",

@@ -5,25 +5,25 @@ No order status is ever filtered out here or in any other plan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions.dates import month
-from tidebook.functions.numbers import cents, from_cents, ratio, round2, wide_sum
-from tidebook.session import materialize
+from tidebook.functions.numbers import cents, from_cents, millionths, ratio, round2, wide_sum
 
 
 def table_eda(df: DataFrame, value: str) -> DataFrame:
-    """Rows, columns and the mean of one amount column."""
+    """Rows, columns and the mean of one column of numbers, rounded once at the end."""
     by_value = df.agg(
         F.count("*").alias("n_rows"),
         F.count(value).alias("n_values"),
-        wide_sum(cents(F.col(value))).alias("cents"),
+        wide_sum(millionths(F.col(value))).alias("millionths"),
     )
+    total = F.col("millionths").cast("double") / 1_000_000
     return by_value.select(
         "n_rows",
         F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
-        round2(ratio(from_cents(F.col("cents")), F.col("n_values"))).alias("mean_value"),
+        round2(ratio(total, F.col("n_values"))).alias("mean_value"),
     )
 
 
@@ -38,7 +38,7 @@ def sales_kpis(orders: DataFrame) -> DataFrame:
     )
     totals = per_customer.agg(
         wide_sum(F.col("cents")).alias("cents"),
-        F.sum("n").alias("n_orders"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_orders"),
         F.count("customer_id").alias("n_customers"),
     )
     return totals.select(
@@ -50,15 +50,16 @@ def sales_kpis(orders: DataFrame) -> DataFrame:
 
 
 def sales_cube(orders: DataFrame) -> DataFrame:
-    """Orders and value per month, channel and status: the one pass the overviews add up."""
+    """Orders and value per month, channel and status."""
     return orders.groupBy(
         month(F.col("order_date")).alias("month"), "channel", "status"
     ).agg(F.count("*").alias("n_orders"), F.sum(cents(F.col("total"))).alias("cents"))
 
 
-def _totals(cube: DataFrame, key: str) -> DataFrame:
-    summed = cube.groupBy(key).agg(
-        F.sum("n_orders").alias("n_orders"), wide_sum(F.col("cents")).alias("cents")
+def _totals(orders: DataFrame, key: str, of: Column) -> DataFrame:
+    """Orders and value per key, straight from the two columns that they need."""
+    summed = orders.groupBy(of.alias(key)).agg(
+        F.count("*").alias("n_orders"), wide_sum(cents(F.col("total"))).alias("cents")
     )
     value = from_cents(F.col("cents"))
     return summed.select(
@@ -69,28 +70,27 @@ def _totals(cube: DataFrame, key: str) -> DataFrame:
     )
 
 
-def monthly_sales(cube: DataFrame) -> DataFrame:
-    return _totals(cube, "month")
+def monthly_sales(orders: DataFrame) -> DataFrame:
+    return _totals(orders, "month", month(F.col("order_date")))
 
 
-def sales_by_channel(cube: DataFrame) -> DataFrame:
-    return _totals(cube, "channel")
+def sales_by_channel(orders: DataFrame) -> DataFrame:
+    return _totals(orders, "channel", F.col("channel"))
 
 
-def status_distribution(cube: DataFrame) -> DataFrame:
+def status_distribution(orders: DataFrame) -> DataFrame:
     """Orders per status and their share of all orders. The window sees one row per status."""
     everything = F.sum("n_orders").over(Window.partitionBy())
-    return _totals(cube, "status").select(
+    return _totals(orders, "status", F.col("status")).select(
         "status", "n_orders", "total_value", ratio(F.col("n_orders"), everything).alias("share")
     )
 
 
 def sales_overview(orders: DataFrame) -> dict[str, DataFrame]:
-    """The four overview tables. The cube behind three of them is written once and read back."""
-    cube = materialize(sales_cube(orders), "sales_cube")
+    """The four overview tables."""
     return {
         "sales_kpis": sales_kpis(orders),
-        "monthly_sales": monthly_sales(cube),
-        "sales_by_channel": sales_by_channel(cube),
-        "status_distribution": status_distribution(cube),
+        "monthly_sales": monthly_sales(orders),
+        "sales_by_channel": sales_by_channel(orders),
+        "status_distribution": status_distribution(orders),
     }

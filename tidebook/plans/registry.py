@@ -32,6 +32,8 @@ from tidebook.sources.mart_files import Mart, publish_marts, read_mart
 
 PHYSICAL = "1-URGENT"
 TEST_FROM, TEST_TO = date(2001, 5, 1), date(2001, 7, 1)
+EARLY_FROM, EARLY_TO = date(1995, 1, 1), date(1995, 4, 1)
+LATE_TO = date(2001, 12, 1)
 CALENDAR_FROM, CALENDAR_TO = date(1996, 1, 1), date(2000, 12, 31)
 TOP_CUSTOMERS = 10
 MIN_CATEGORIES = 15
@@ -70,15 +72,15 @@ def sales_kpis(spark: SparkSession, root: str) -> DataFrame:
 
 
 def monthly_sales(spark: SparkSession, root: str) -> DataFrame:
-    return overview.monthly_sales(overview.sales_cube(star.orders(spark, root)))
+    return overview.monthly_sales(star.orders(spark, root))
 
 
 def sales_by_channel(spark: SparkSession, root: str) -> DataFrame:
-    return overview.sales_by_channel(overview.sales_cube(star.orders(spark, root)))
+    return overview.sales_by_channel(star.orders(spark, root))
 
 
 def status_distribution(spark: SparkSession, root: str) -> DataFrame:
-    return overview.status_distribution(overview.sales_cube(star.orders(spark, root)))
+    return overview.status_distribution(star.orders(spark, root))
 
 
 # Calendar and weekdays
@@ -156,6 +158,21 @@ def demand_forecast(spark: SparkSession, root: str) -> DataFrame:
     return demand.demand_forecast(*_sales(spark, root), TEST_FROM, TEST_TO)
 
 
+def demand_forecast_early(spark: SparkSession, root: str) -> DataFrame:
+    """The first months of the series, whose history is not complete."""
+    return demand.demand_forecast(*_sales(spark, root), EARLY_FROM, EARLY_TO)
+
+
+def demand_forecast_late(spark: SparkSession, root: str) -> DataFrame:
+    """Test months that reach beyond the last order: those are not scored."""
+    return demand.demand_forecast(*_sales(spark, root), TEST_TO, LATE_TO)
+
+
+def weekday_avg_sales_tied(spark: SparkSession, root: str) -> DataFrame:
+    """A channel without sales: all weekdays tie, one is the worst."""
+    return weekdays.weekday_average(star.orders(spark, root), "no such channel")
+
+
 def forecast_mae(spark: SparkSession, root: str) -> DataFrame:
     return forecast_error(demand_forecast(spark, root))
 
@@ -311,6 +328,7 @@ QUERIES: dict[str, Query] = {
         daily_sales_filled,
         weekday_avg_sales,
         weekday_avg_sales_bounded,
+        weekday_avg_sales_tied,
         worst_weekday,
         customer_profile,
         loyal_customers_top10,
@@ -320,6 +338,8 @@ QUERIES: dict[str, Query] = {
         monthly_demand,
         monthly_demand_dense,
         demand_forecast,
+        demand_forecast_early,
+        demand_forecast_late,
         forecast_mae,
         forecast_mae_by_product,
         customer_product_pairs,

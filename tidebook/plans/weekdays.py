@@ -66,7 +66,10 @@ def weekday_average(
     lo: date | None = None,
     hi: date | None = None,
 ) -> DataFrame:
-    """Per weekday: calendar days, days without a sale, total, mean per calendar day, label."""
+    """Per weekday: calendar days, days without a sale, total, mean per calendar day, label.
+
+    One weekday is the worst: the lowest mean before rounding, the earlier one on a tie.
+    """
     per_weekday = (
         daily_sales(orders, channel, lo, hi)
         .groupBy("weekday", "weekday_name")
@@ -85,16 +88,14 @@ def weekday_average(
         "days_without_sales",
         total.alias("total_value"),
     )
-    lowest = F.min("average_sales").over(Window.partitionBy())
+    # One row per weekday: the window sees seven.
+    mean = F.coalesce(ratio(F.col("total_value"), F.col("calendar_days")), F.lit(0.0))
+    worst = F.min(F.struct(mean, "weekday")).over(Window.partitionBy())["weekday"]
     return averaged.withColumn(
-        "label", F.when(F.col("average_sales") == lowest, WORST).otherwise(OTHER)
+        "label", F.when(F.col("weekday") == worst, WORST).otherwise(OTHER)
     ).orderBy("weekday")
 
 
 def worst_weekday(weekdays: DataFrame) -> DataFrame:
     """The weekday with the lowest average; the earlier one on a tie."""
-    return (
-        weekdays.orderBy(F.asc("average_sales"), F.asc("weekday"))
-        .limit(1)
-        .select("weekday", "weekday_name", "average_sales")
-    )
+    return weekdays.filter(F.col("label") == WORST).select("weekday", "weekday_name", "average_sales")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidebook.functions.numbers import plain_text
 from tidebook.operators.schema import infer_types, profile_tables, schemas_of
 
 # A quote inside a quoted field is doubled; blanks are part of the value.
@@ -38,10 +37,14 @@ def find_tables(spark: SparkSession, folder: str) -> dict[str, str]:
     Spark lists the files, so any file system it can read will do; their contents stay unread and
     one row per table reaches the driver.
     """
-    root = re.sub(r"^[a-z0-9]+:/+(?=/)", "", folder.rstrip("/"))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root = system.resolvePath(path).toUri().getPath().rstrip("/") + "/"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    below = F.substring_index(F.substring_index("path", f"{root}/", -1), "/", 1)
-    entries = sorted(row["entry"] for row in files.select(below.alias("entry")).distinct().collect())
+    # Paths come resolved, with the scheme in front; the root is cut off once, at its first place.
+    rest = F.substring(F.col("path"), F.locate(root, F.col("path")) + len(root), 1 << 30)
+    entry = F.substring_index(rest, "/", 1)
+    entries = sorted(row["entry"] for row in files.select(entry.alias("entry")).distinct().collect())
     return {entry.removesuffix(".csv"): f"{folder.rstrip('/')}/{entry}" for entry in entries}
 
 
@@ -89,11 +92,10 @@ def write_text_table(df: DataFrame, path: str) -> None:
 
 
 def as_exported(df: DataFrame) -> DataFrame:
-    """The columns as an export prints them: amounts with two decimals, the rest as is."""
+    """The columns as an export prints them: numbers with all their digits, the rest as is."""
     return df.select(
         [
-            (F.col(f.name).cast("decimal(18,2)") if isinstance(f.dataType, T.DoubleType) else F.col(f.name))
-            .cast("string")
+            (plain_text(F.col(f.name)) if isinstance(f.dataType, T.DoubleType) else F.col(f.name).cast("string"))
             .alias(f.name)
             for f in df.schema.fields
         ]

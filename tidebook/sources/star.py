@@ -44,8 +44,9 @@ def bind(tables: dict[str, DataFrame]) -> Sales:
     """The entities of star tables from anywhere, such as a typed load.
 
     Order priority stands in for the sales channel and the brand for the category, which these
-    tables do not have. Quantities are whole units stored with decimals; as integers they add up
-    exactly. (l_orderkey, l_linenumber) is not unique: every row is a line of its own.
+    tables do not have. Quantities stay as they are stored. A category's id is the number at the
+    end of its brand, null without one. (l_orderkey, l_linenumber) is not unique: every row is a
+    line of its own.
     """
     orders = tables["orders"].select(
         F.col("o_orderkey").alias("order_id"),
@@ -58,12 +59,12 @@ def bind(tables: dict[str, DataFrame]) -> Sales:
     items = tables["lineitem"].select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.col("l_quantity").alias("quantity"),
     )
     products = tables["part"].select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product"),
-        F.substring_index("p_brand", "#", -1).cast("bigint").alias("category_id"),
+        F.substring_index("p_brand", "#", -1).try_cast("bigint").alias("category_id"),
         F.col("p_brand").alias("category"),
     )
     customers = tables["customer"].select(
