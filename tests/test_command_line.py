@@ -38,8 +38,8 @@ def test_marts(call, tmp_path, capsys):
     options = ["--reference", 7, "--first", "2001-05", "--last", "2001-07", "--channel", "1-URGENT", "2-HIGH"]
     assert call("marts", SMALL, out, *options) == 0
     printed = capsys.readouterr().out.splitlines()
-    assert len(printed) == 6 and "forecast: 3 rows" in printed and "weekdays: 7 rows" in printed
-    assert len(glob.glob(f"{out}/*/*.csv")) == 6
+    assert len(printed) == 7 and "forecast: 3 rows" in printed and "weekdays: 7 rows" in printed
+    assert len(glob.glob(f"{out}/run-*/*/*.csv")) == 7
 
 
 def test_query(call, capsys):
@@ -58,6 +58,6 @@ def test_marts_from_csv_equal_marts_from_parquet(spark, call, tmp_path):
     call("marts", "--loaded", tmp_path / "w", tmp_path / "b", *options)
 
     def files(folder):
-        return {f.split("/")[-2]: open(f).read() for f in glob.glob(f"{tmp_path}/{folder}/*/*.csv")}
+        return {f.split("/")[-2]: open(f).read() for f in glob.glob(f"{tmp_path}/{folder}/run-*/*/*.csv")}
 
-    assert files("a") == files("b") and len(files("a")) == 6
+    assert files("a") == files("b") and len(files("a")) == 7

@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidebook.plans import marts
-from tidebook.sources.mart_files import Check, Mart, MartRejected, publish_marts, read_mart, validate, write_mart
+from tidebook.sources.mart_files import AlreadyPublished, Check, Mart, MartRejected, mart_paths, publish_marts, read_mart, validate, write_mart
 
 SCHEMA = "customer_id bigint, cliente string, faturamento_total double, frequencia bigint, ticket_medio double, diversidade_categorias bigint, posicao int"
 ROWS = [
@@ -30,12 +30,12 @@ def lines(folder):
 def test_file_has_fixed_header_order_and_plain_numbers(spark, tmp_path):
     counts = publish_marts({"loyal": loyal(spark)}, str(tmp_path))
     assert counts == {"loyal": 2}
-    assert lines(tmp_path / "loyal") == [
+    assert lines(mart_paths(spark, str(tmp_path))["loyal"]) == [
         "customer_id,cliente,faturamento_total,frequencia,ticket_medio,diversidade_categorias,posicao",
         "22, Isa,57758021.43,26,2221462.36,14,1",
         '1116,"Zé ""Al"", filho",655737.2,16,40983.57,14,2',
     ]
-    back = read_mart(spark, f"{tmp_path}/loyal", loyal(spark).rows.schema)
+    back = read_mart(spark, mart_paths(spark, str(tmp_path))["loyal"], loyal(spark).rows.schema)
     assert rows(back) == sorted(ROWS, key=repr)
 
 
@@ -66,8 +66,39 @@ def test_approved_rows(spark, tmp_path):
     assert publish_marts({"ok": loyal(spark, approved=same)}, str(tmp_path)) == {"ok": 2}
     other = spark.createDataFrame([ROWS[0], (*ROWS[1][:2], 1.0, *ROWS[1][3:])], SCHEMA)
     with pytest.raises(MartRejected, match="1 approved rows missing, 1 rows not approved"):
-        publish_marts({"bad": loyal(spark, approved=other)}, str(tmp_path))
-    assert sorted(os.listdir(tmp_path)) == ["ok"]
+        publish_marts({"bad": loyal(spark, approved=other)}, str(tmp_path), refresh=True)
+    assert list(mart_paths(spark, str(tmp_path))) == ["ok"]
+
+
+def test_refresh(spark, tmp_path):
+    folder = str(tmp_path)
+    publish_marts({"a": loyal(spark)}, folder)
+    before = mart_paths(spark, folder)
+    with pytest.raises(AlreadyPublished):
+        publish_marts({"a": loyal(spark), "b": loyal(spark)}, folder)
+    assert mart_paths(spark, folder) == before
+    publish_marts({"a": loyal(spark), "b": loyal(spark)}, folder, refresh=True)
+    assert sorted(mart_paths(spark, folder)) == ["a", "b"] and mart_paths(spark, folder)["a"] != before["a"]
+
+
+def test_failed_write_publishes_nothing(spark, tmp_path):
+    broken = Mart(loyal(spark).rows, ("no_such_column",))
+    with pytest.raises(Exception):
+        publish_marts({"a": loyal(spark), "b": broken}, str(tmp_path))
+    assert mart_paths(spark, str(tmp_path)) == {} and not glob.glob(f"{tmp_path}/run-*")
+
+
+def test_forecast_of_an_unknown_product_is_rejected(spark):
+    from datetime import date
+
+    from conftest import SMALL
+
+    from tidebook.sources import star
+
+    orders, items, products, _ = star.sales(spark, SMALL)
+    mart = marts.forecast_mart(orders, items, products, -5, date(2001, 5, 1), date(2001, 7, 1))
+    with pytest.raises(MartRejected, match="months: expected 3, found 0"):
+        validate(mart.rows, mart.checks)
 
 
 @pytest.mark.parametrize(
@@ -95,10 +126,10 @@ def test_similarity_checks(spark):
         validate(spark.createDataFrame([(1, 1.5)], schema), marts.similarity_checks(5))
 
 
-def test_large_marts_keep_their_partitions(spark, tmp_path, with_conf):
+def test_marts_of_several_files(spark, tmp_path, with_conf):
     with_conf({"spark.sql.adaptive.coalescePartitions.enabled": "false"})
     df = spark.range(5000).select(F.col("id").alias("posicao"))
-    write_mart(df, str(tmp_path / "m"), ("posicao",), rows=10**6)
+    write_mart(df, str(tmp_path / "m"), ("posicao",), single_file=False)
     assert len(glob.glob(f"{tmp_path}/m/*.csv")) > 1
     assert read_mart(spark, str(tmp_path / "m"), df.schema).count() == 5000
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import SparkSession
@@ -21,7 +22,7 @@ from tidebook.plans.marts import build_marts
 from tidebook.plans.registry import QUERIES
 from tidebook.session import build_session
 from tidebook.sources import csv_tables, star, warehouse
-from tidebook.sources.mart_files import publish_marts
+from tidebook.sources.mart_files import publish_marts, read_mart
 
 
 def _month(text: str) -> date:
@@ -42,11 +43,13 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--text", nargs="*", default=[], help="identifier columns to keep as text")
         command.add_argument("--multiline", action="store_true", help="fields may hold line breaks")
 
-    marts = commands.add_parser("marts", help="compute, check and write the six marts")
+    marts = commands.add_parser("marts", help="compute, check and write the seven marts")
     marts.add_argument("tables")
     marts.add_argument("out")
     marts.add_argument("--loaded", action="store_true", help="TABLES is a warehouse made by load")
     marts.add_argument("--channel", nargs="*", default=None, help="channels of the weekday averages")
+    marts.add_argument("--approved", help="folder of CSV marts, <name> or <name>.csv, that the rows must equal")
+    marts.add_argument("--refresh", action="store_true", help="replace marts that OUT_FOLDER holds")
     marts.add_argument("--reference", type=int, required=True, help="product id")
     marts.add_argument("--first", type=_month, required=True, help="first test month, yyyy-mm")
     marts.add_argument("--last", type=_month, required=True, help="last test month, yyyy-mm")
@@ -76,7 +79,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         else:
             sales = star.sales(spark, args.tables)
         marts = build_marts(sales, args.channel, args.reference, args.first, args.last)
-        for name, n in publish_marts(marts, args.out).items():
+        paths = csv_tables.find_tables(spark, args.approved) if args.approved else {}
+        if unknown := set(paths) - set(marts):
+            raise ValueError(f"approved rows for unknown marts: {sorted(unknown)}")
+        for name, path in paths.items():
+            marts[name] = replace(marts[name], approved=read_mart(spark, path, marts[name].rows.schema))
+        for name, n in publish_marts(marts, args.out, args.refresh).items():
             print(f"{name}: {n} rows")
         return 0
     QUERIES[args.name](spark, args.tables).show(50, truncate=False)

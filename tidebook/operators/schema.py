@@ -14,6 +14,22 @@ from tidebook.functions.text import has_leading_zero, kind, scale_digits, whole_
 MAX_BIGINT_DIGITS = 18
 MAX_DECIMAL_DIGITS = 38
 
+# Columns that hold identifiers whatever their digits look like - taxpayer numbers,
+# postal codes, barcodes, invoice keys and telephone numbers.
+IDENTIFIERS = (
+    "cpf",
+    "cnpj",
+    "tax_id",
+    "postal_code",
+    "cep",
+    "barcode",
+    "ean",
+    "gtin",
+    "invoice_key",
+    "access_key",
+    "phone",
+)
+
 
 def profile_columns(df: DataFrame) -> DataFrame:
     """Counters per column over every row of an all-text table, in one pass.
@@ -86,11 +102,12 @@ def rows_profiled(profile: DataFrame) -> DataFrame:
 def infer_types(profile: DataFrame, text_columns: list[str] | None = None) -> DataFrame:
     """The narrowest type that holds every value of each profiled column.
 
-    Identifiers stay text: the columns named in ``text_columns`` (``column`` or
-    ``table.column``), numbers with a leading zero, and digit runs too long for a bigint.
+    Identifiers stay text: columns called like one of ``IDENTIFIERS``, those named in
+    ``text_columns`` (``column`` or ``table.column``), numbers with a leading zero, and digit runs
+    too long for a bigint.
     """
     name, listed = F.col("column_name"), text_columns or []
-    identifier = name.isin(listed) | F.concat_ws(".", "table_name", name).isin(listed)
+    identifier = F.lower(name).isin(*IDENTIFIERS) | name.isin(listed) | F.concat_ws(".", "table_name", name).isin(listed)
     filled = F.col("n") - F.col("n_null")
     numeric = F.col("n_int") + F.col("n_dec")
     digits = F.col("max_whole") + F.col("max_scale")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -12,7 +12,7 @@ from tidebook.functions.numbers import cents, from_cents, ratio, round2, wide_su
 from tidebook.operators.affinity import purchases, references
 from tidebook.plans.customers import loyal_categories, loyal_customers, rank_customers
 from tidebook.plans.demand import demand_forecast
-from tidebook.plans.overview import sales_cube
+from tidebook.plans.overview import sales_cube, sales_kpis
 from tidebook.plans.recommend import recommendations
 from tidebook.plans.weekdays import WORST, weekday_average
 from tidebook.sources.mart_files import Check, Mart
@@ -99,6 +99,18 @@ OVERVIEW = Contract(
 )
 
 
+# Nor is that of the totals known.
+KPIS = Contract(
+    {
+        "total_value": "valor_total",
+        "n_orders": "pedidos",
+        "n_customers": "clientes",
+        "average_ticket": "ticket_medio",
+    },
+    ("pedidos",),
+)
+
+
 def overview_rows(cube: DataFrame) -> DataFrame:
     value = from_cents(F.col("cents"))
     return cube.select(
@@ -166,6 +178,21 @@ def error_check() -> Check:
     return Check("rows with a wrong error", F.count_if(wrong), 0)
 
 
+def filled_check(*columns: str) -> Check:
+    """The columns that a row cannot do without have values."""
+    missing = F.count_if(F.greatest(*[F.col(c).isNull() for c in columns], F.lit(False)))
+    return Check(f"rows without {' or '.join(columns)}", missing, 0)
+
+
+def kpi_checks() -> list[Check]:
+    ticket = round2(ratio(F.col("valor_total"), F.col("pedidos")))
+    return [
+        Check("rows", F.count("*"), 1),
+        filled_check("valor_total", "pedidos", "clientes"),
+        Check("rows with a wrong ticket", F.count_if(F.col("ticket_medio") != ticket), 0),
+    ]
+
+
 def build_marts(
     sales: Sales,
     channel: str | list[str] | None,
@@ -174,15 +201,20 @@ def build_marts(
     test_to: date,
     n_customers: int = 10,
     neighbours: int = 5,
+    approved: dict[str, DataFrame] | None = None,
 ) -> dict[str, Mart]:
-    """The six marts; the product ``reference_id`` is forecast and compared with the others."""
+    """The seven marts; the product ``reference_id`` is forecast and compared with the others.
+
+    ``approved`` has the rows that marts must have to be published, by the name of the mart.
+    """
     orders, items, products, customers = sales
     ranking = rank_customers(orders, items, products, n=n_customers)
     loyal = loyal_customers(orders, items, products, customers, ranking)
     categories = loyal_categories(orders, items, products, ranking)
     reference = references(orders.sparkSession, [reference_id])
     similar = recommendations(purchases(orders, items), reference, products, neighbours, 1)
-    return {
+    built = {
+        "kpis": KPIS.mart(sales_kpis(orders), kpi_checks()),
         "overview": overview_mart(orders),
         "loyal_customers": LOYAL_CUSTOMERS.mart(
             loyal, [*ranking_checks("ticket_medio", n_customers), ticket_check()]
@@ -194,6 +226,9 @@ def build_marts(
         "forecast": forecast_mart(orders, items, products, reference_id, test_from, test_to),
         "recommendations": RECOMMENDATIONS.mart(similar, similarity_checks(neighbours)),
     }
+    if unknown := set(approved or {}) - set(built):
+        raise ValueError(f"approved rows for unknown marts: {sorted(unknown)}")
+    return {name: replace(mart, approved=(approved or {}).get(name)) for name, mart in built.items()}
 
 
 def overview_mart(orders: DataFrame) -> Mart:
@@ -213,4 +248,5 @@ def forecast_mart(
     forecast = demand_forecast(
         orders, items.filter(wanted), products.filter(wanted), test_from, test_to
     )
-    return FORECAST.mart(forecast, [error_check()])
+    months = 12 * (test_to.year - test_from.year) + test_to.month - test_from.month + 1
+    return FORECAST.mart(forecast, [Check("months", F.count("*"), months), filled_check("mes", "real"), error_check()])

@@ -318,7 +318,12 @@ FROM forecast JOIN best ON product_id = l_partkey""",
     "mart_overview": f"""SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes, o_orderpriority AS canal,
   o_orderstatus AS status, COUNT(*) AS pedidos, {MONEY} AS valor_total,
   round_even({MONEY} / COUNT(*), 2) AS ticket_medio FROM orders GROUP BY 1, 2, 3""",
+    "mart_kpis": f"""SELECT {MONEY} AS valor_total, COUNT(*) AS pedidos, COUNT(DISTINCT o_custkey) AS clientes,
+  round_even({MONEY} / COUNT(*), 2) AS ticket_medio FROM orders""",
+    "rejected_mart": """SELECT 'mart: 1 approved rows missing, 1 rows not approved' AS message,
+  CAST(0 AS INTEGER) AS n_marts, COUNT(*) AS n_orders FROM orders""",
     "published_marts": f"""WITH {FORECAST}
+SELECT 'kpis' AS table_name, CAST(1 AS BIGINT) AS n_rows UNION ALL
 SELECT 'overview' AS table_name, COUNT(*) AS n_rows FROM (
   SELECT DISTINCT date_trunc('month', o_orderdate), o_orderpriority, o_orderstatus FROM orders)
 UNION ALL SELECT 'loyal_customers', COUNT(*) FROM ({_loyal(0)})
@@ -327,3 +332,5 @@ UNION ALL SELECT 'weekdays', COUNT(DISTINCT isodow(o_orderdate)) FROM orders
 UNION ALL SELECT 'forecast', COUNT(DISTINCT month) FROM forecast
 UNION ALL SELECT 'recommendations', COUNT(*) FROM ({SIMILAR_TO_REFERENCE})""",
 }
+
+ORACLES["approved_mart"] = ORACLES["mart_weekdays"]

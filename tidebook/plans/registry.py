@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidebook.operators.affinity import (
     best_sellers,
@@ -28,7 +30,7 @@ from tidebook.plans import demand, marts, overview, recommend, weekdays
 from tidebook.plans.ingest import Ingested, ingest
 from tidebook.session import scratch_path
 from tidebook.sources import csv_tables, star, warehouse
-from tidebook.sources.mart_files import Mart, publish_marts, read_mart
+from tidebook.sources.mart_files import Mart, MartRejected, mart_paths, publish_marts, read_mart
 
 PHYSICAL = "1-URGENT"
 TEST_FROM, TEST_TO = date(2001, 5, 1), date(2001, 7, 1)
@@ -265,7 +267,7 @@ def schema_ddl(spark: SparkSession, root: str) -> DataFrame:
 def _published(spark: SparkSession, mart: Mart) -> DataFrame:
     folder = scratch_path(spark, "marts")
     publish_marts({"mart": mart}, folder)
-    return read_mart(spark, f"{folder}/mart", mart.rows.schema)
+    return read_mart(spark, mart_paths(spark, folder)["mart"], mart.rows.schema)
 
 
 def mart_loyal_customers(spark: SparkSession, root: str) -> DataFrame:
@@ -301,8 +303,39 @@ def mart_overview(spark: SparkSession, root: str) -> DataFrame:
     return _published(spark, marts.overview_mart(star.orders(spark, root)))
 
 
+def mart_kpis(spark: SparkSession, root: str) -> DataFrame:
+    rows = overview.sales_kpis(star.orders(spark, root))
+    return _published(spark, marts.KPIS.mart(rows, marts.kpi_checks()))
+
+
+def approved_mart(spark: SparkSession, root: str) -> DataFrame:
+    """The weekday mart, published again by a refresh that must give the approved rows."""
+    orders = star.orders(spark, root)
+    checks = marts.weekday_checks(orders, PHYSICAL)
+    mart = marts.WEEKDAYS.mart(weekday_avg_sales(spark, root), checks)
+    folder = scratch_path(spark, "marts")
+    publish_marts({"mart": mart}, folder)
+    approved = read_mart(spark, mart_paths(spark, folder)["mart"], mart.rows.schema)
+    publish_marts({"mart": replace(mart, approved=approved)}, folder, refresh=True)
+    return read_mart(spark, mart_paths(spark, folder)["mart"], mart.rows.schema)
+
+
+def rejected_mart(spark: SparkSession, root: str) -> DataFrame:
+    """What happens to a weekday mart that differs from the approved rows in one day's total."""
+    mart = marts.WEEKDAYS.mart(weekday_avg_sales(spark, root), [])
+    total = F.when(F.col("ordem_dia") == 1, F.col("valor_total") + 1).otherwise(F.col("valor_total"))
+    folder = scratch_path(spark, "marts")
+    try:
+        publish_marts({"mart": replace(mart, approved=mart.rows.withColumn("valor_total", total))}, folder)
+        message = "published"
+    except MartRejected as rejected:
+        message = str(rejected)
+    orders = star.orders(spark, root).agg(F.count("*").alias("n_orders"))
+    return orders.select(F.lit(message).alias("message"), F.lit(len(mart_paths(spark, folder))).alias("n_marts"), "n_orders")
+
+
 def published_marts(spark: SparkSession, root: str) -> DataFrame:
-    """All six marts, built, checked and written together: rows per written file set."""
+    """All seven marts, built, checked and written together: rows per written file set."""
     sales = star.sales(spark, root)
     best = demand.most_sold(sales.items)
     built = marts.build_marts(
@@ -310,9 +343,8 @@ def published_marts(spark: SparkSession, root: str) -> DataFrame:
     )
     folder = scratch_path(spark, "marts")
     publish_marts(built, folder)
-    written = {
-        name: read_mart(spark, f"{folder}/{name}", mart.rows.schema) for name, mart in built.items()
-    }
+    paths = mart_paths(spark, folder)
+    written = {name: read_mart(spark, paths[name], mart.rows.schema) for name, mart in built.items()}
     return warehouse.count_rows(written, "n_rows")
 
 
@@ -359,6 +391,9 @@ QUERIES: dict[str, Query] = {
         mart_forecast,
         mart_recommendations,
         mart_overview,
+        mart_kpis,
+        approved_mart,
+        rejected_mart,
         published_marts,
     )
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -60,17 +63,19 @@ def build_session(
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder on this machine; on a cluster such a
-    folder would not be visible to the other executors, so an unset folder is an error there.
+    Only a session whose executors are threads of this process gets a folder of its own where the
+    setting is missing, removed when the process ends; elsewhere such a folder would not be visible
+    to the other executors, so an unset folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="tidebook-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 
@@ -90,6 +95,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything in a folder, on any file system that Spark writes to."""
+    system, place = _file_system(spark, path)
+    return system.exists(place) and len(system.listStatus(place)) > 0
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove what an own unfinished run has written."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
 def run_together(job: Callable[[Any], Any], inputs: Iterable[Any]) -> list[Any]:
     """Submit independent Spark jobs side by side, so that small ones do not leave a cluster idle.
 

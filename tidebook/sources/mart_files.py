@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -11,17 +12,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidebook.functions.numbers import plain_text
-from tidebook.session import materialize, run_together
+from tidebook.session import discard, holds_files, materialize, run_together
 from tidebook.sources.csv_tables import CSV_DIALECT, read_typed
 
-# Up to this many rows a mart goes into one file; a larger one keeps its partitions.
-SINGLE_FILE_ROWS = 100_000
+PUBLISHED = "_published"
+PUBLISHED_SCHEMA = "sequence bigint, mart string, path string"
 
 
 class MartRejected(ValueError):
     """A mart differs from what was approved; nothing was written."""
 
 
+class AlreadyPublished(RuntimeError):
+    """The folder holds published marts, and a refresh was not asked for."""
+
+
 @dataclass(frozen=True)
 class Check:
     """An aggregate over the mart and the value it must have."""
@@ -59,7 +64,7 @@ def validate(df: DataFrame, checks: Sequence[Check], approved: DataFrame | None
     return measured["rows"]
 
 
-def write_mart(df: DataFrame, path: str, order: Sequence[str], rows: int) -> None:
+def write_mart(df: DataFrame, path: str, order: Sequence[str], single_file: bool) -> None:
     """Header CSV with the columns of ``df``, sorted, numbers without exponents."""
     ordered = df.orderBy(*order)
     printed = ordered.select(
@@ -68,26 +73,37 @@ def write_mart(df: DataFrame, path: str, order: Sequence[str], rows: int) -> Non
             for f in ordered.schema.fields
         ]
     )
-    if rows <= SINGLE_FILE_ROWS:
+    if single_file:
         printed = printed.coalesce(1)
     printed.write.mode("errorifexists").options(**CSV_DIALECT).csv(path)
 
 
 @dataclass(frozen=True)
 class Mart:
-    """A mart to publish: its rows in file column order, the sort of the file, and its checks."""
+    """A mart to publish: its rows in file column order, the sort of the file, and its checks.
+
+    A mart for people is one file; one of unlimited size should be several.
+    """
 
     rows: DataFrame
     order: Sequence[str]
     checks: Sequence[Check] = ()
     approved: DataFrame | None = None
+    single_file: bool = True
 
 
-def publish_marts(marts: dict[str, Mart], folder: str) -> dict[str, int]:
-    """Compute every mart once, check them all, and only then write any of them.
+def publish_marts(marts: dict[str, Mart], folder: str, refresh: bool = False) -> dict[str, int]:
+    """Compute every mart once, check them all, and only then publish all of them together.
 
-    Returns the number of rows per mart. One rejected mart leaves the folder untouched.
+    Returns the number of rows per mart. The files go to a folder of this run; the list of marts,
+    one small file written last, makes them the published ones. A rejected mart or a failure
+    leaves what was published before as it is. Existing marts are only replaced by a ``refresh``;
+    their files stay for those who are reading them.
     """
+    spark = next(iter(marts.values())).rows.sparkSession
+    last, _ = _published(spark, folder)
+    if last and not refresh:
+        raise AlreadyPublished(f"{folder} already holds marts; nothing was written")
     written = run_together(lambda name: materialize(marts[name].rows, name), marts)
     staged = dict(zip(marts, written))
     counts, problems = {}, []
@@ -98,11 +114,38 @@ def publish_marts(marts: dict[str, Mart], folder: str) -> dict[str, int]:
             problems.append(f"{name}: {error}")
     if problems:
         raise MartRejected(" | ".join(problems))
-    for name, mart in marts.items():
-        write_mart(staged[name], f"{folder}/{name}", mart.order, counts[name])
+    run = f"run-{uuid.uuid4().hex}"
+    try:
+        run_together(
+            lambda name: write_mart(staged[name], f"{folder}/{run}/{name}", marts[name].order, marts[name].single_file),
+            marts,
+        )
+    except Exception:
+        discard(spark, f"{folder}/{run}")
+        raise
+    entries = [(last + 1, name, f"{run}/{name}") for name in marts]
+    listed = spark.createDataFrame(entries, PUBLISHED_SCHEMA).coalesce(1)
+    listed.write.mode("append").json(f"{folder}/{PUBLISHED}")
     return counts
 
 
+def _published(spark: SparkSession, folder: str) -> tuple[int, dict[str, str]]:
+    """Number of the last publication, and its marts with their paths; (0, {}) if there is none."""
+    if not holds_files(spark, f"{folder}/{PUBLISHED}"):
+        return 0, {}
+    rows = spark.read.schema(PUBLISHED_SCHEMA).json(f"{folder}/{PUBLISHED}").collect()
+    last = max((r.sequence for r in rows), default=0)
+    latest = {r.mart: f"{folder}/{r.path}" for r in rows if r.sequence == last}
+    if len(latest) != sum(r.sequence == last for r in rows):
+        raise AlreadyPublished(f"{folder} was published by two runs at once; refresh it")
+    return last, latest
+
+
+def mart_paths(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The published marts of a folder and where their files are."""
+    return _published(spark, folder)[1]
+
+
 def read_mart(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A written mart, typed again."""
     return read_typed(spark, path, schema)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidebook.session import run_together
+from tidebook.session import discard, holds_files, run_together
 from tidebook.sources.csv_tables import read_tables
 
 PUBLISHED = "_published"
@@ -17,7 +17,7 @@ PUBLISHED_SCHEMA = "table_name string, path string"
 
 
 class AlreadyLoaded(RuntimeError):
-    """The destination holds a published load."""
+    """The destination holds data."""
 
 
 def load_all(
@@ -31,15 +31,20 @@ def load_all(
 
     Tables are written to a folder of this run that no reader looks at. The list of tables is
     written last, as one small file; only with it does the load exist. A failure before that
-    leaves nothing visible, and a second load is refused so that no row is loaded twice.
+    leaves nothing behind. A destination that holds anything is refused, so that no row is loaded
+    twice or mixed with other data.
     """
     require_empty(spark, dest)
     run = f"run-{uuid.uuid4().hex}"
     tables = read_tables(spark, paths, schemas, multiline)
-    run_together(
-        lambda name: tables[name].write.mode("errorifexists").parquet(f"{dest}/{run}/{name}"),
-        tables,
-    )
+    try:
+        run_together(
+            lambda name: tables[name].write.mode("errorifexists").parquet(f"{dest}/{run}/{name}"),
+            tables,
+        )
+    except Exception:
+        discard(spark, f"{dest}/{run}")
+        raise
     entries = [(name, f"{run}/{name}") for name in paths]
     spark.createDataFrame(entries, PUBLISHED_SCHEMA).coalesce(1).write.mode(
         "errorifexists"
@@ -48,8 +53,8 @@ def load_all(
 
 
 def require_empty(spark: SparkSession, dest: str) -> None:
-    if published(spark, dest):
-        raise AlreadyLoaded(f"{dest} already holds a load; nothing was written")
+    if holds_files(spark, dest):
+        raise AlreadyLoaded(f"{dest} already holds data; nothing was written")
 
 
 def published(spark: SparkSession, dest: str) -> dict[str, str]:
