@@ -4,10 +4,11 @@ Exact: two documents are linked when their shingle sets have a Jaccard similarit
 threshold, and every document gets the smallest id that links reach.
 
 1. Documents with equal sets form one class (a node).
-2. Shingles are counted over all documents in 2**32 hashed slots; the frequent ones are ordered
-   last. With any common order, two sets of similarity s share one of their first
-   size - ceil(s * size) + 1 shingles, so a node is entered in the blocks of these shingles only,
-   and blocks hold nodes that share something rare.
+2. Shingles are counted over all documents in 2**32 hashed slots, and ordered by frequency, the
+   rare ones first; bitmaps of a fixed size tell the levels. With any common order, two sets of
+   similarity s share one of their first size - ceil(s * size) + 1 shingles, so a node is entered
+   in the blocks of these shingles only, and not of those found once. Blocks hold nodes that share
+   something rare.
 3. In a block, nodes sorted by size are packed into leaves. First only each leaf's first node is
    compared with the rest of the leaf and with the next leaf; these few pairs connect the copies.
 4. Blocks that still hold several components get a signature tree: every tree node has the union
@@ -19,9 +20,10 @@ No group is expanded into all its pairs: members that are already connected are
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +39,12 @@ from tidebook.session import materialize
 WORDS = 5
 PERCENT = 80
 LEAF = 16
-# Frequent shingles: in this many documents, and at most so many slots (broadcast: 5 bytes each).
-LEAST_FREQUENT = 32
-FREQUENT_SLOTS = 1 << 21
+# Frequency levels: bitmaps of 2**26 bits (8 MB), each for counts eight times as high as the last.
+FOLD = 64
+LEVELS = 4
+LEVEL_STEP = 8
+THRESHOLDS = tuple(1 << k for k in range(1, 31))
+FULLEST = 0.3
 BUCKETS = 1024
 # Above so many ids, documents are found again by a shuffle instead of a broadcast.
 BROADCAST_IDS = 1_000_000
@@ -84,26 +89,29 @@ def _slots(batches: Batches, n: int) -> Batches:
 
 
 def _counted(batches: Batches) -> Batches:
-    """Slots in many documents; the total of each bucket under slot -1. Rows come by bucket."""
+    """Per bucket and threshold, which groups of ``FOLD`` slots have a slot of such a count.
+
+    Rows come by bucket; one bucket's counters are held at a time.
+    """
     width = (1 << 32) // BUCKETS
-    counts = np.zeros(width, np.int64)
-    for group in whole_groups_streamed(batches):
-        bucket, blobs = group
+    counts = np.zeros(width, np.uint32)
+    for bucket, blobs in _by_bucket(batches):
         counts[:] = 0
         for blob in blobs:
             found, times = np.unique(np.frombuffer(blob, np.uint32) - np.uint32(bucket * width), return_counts=True)
-            counts[found] += times
-        often = np.flatnonzero(counts >= LEAST_FREQUENT)
+            counts[found] += times.astype(np.uint32)
+        highest = counts.reshape(-1, FOLD).max(axis=1)
+        levels = [t for t in THRESHOLDS if t <= highest.max()]
         yield batch(
-            slot=longs(np.concatenate([[-1], often + bucket * width])),
-            n=longs(np.concatenate([[counts.sum()], counts[often]])),
+            bucket=pa.array([bucket] * len(levels), pa.int32()),
+            least=longs(np.array(levels, np.int64)),
+            n=longs(np.array([(highest >= t).sum() for t in levels], np.int64)),
+            bits=binaries([np.packbits(highest >= t, bitorder="little") for t in levels]),
         )
 
 
-def whole_groups_streamed(batches: Batches) -> Iterator[tuple[int, Iterator[bytes]]]:
+def _by_bucket(batches: Batches) -> Iterator[tuple[int, Iterator[bytes]]]:
     """(bucket, its blobs) without holding a bucket's blobs in memory."""
-    from itertools import groupby
-
     rows = (
         (bucket, blob)
         for part in batches
@@ -113,28 +121,46 @@ def whole_groups_streamed(batches: Batches) -> Iterator[tuple[int, Iterator[byte
         yield bucket, (blob for _, blob in group)
 
 
-def frequent_slots(docs: DataFrame, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of the most frequent shingles and the logarithm of their counts.
+@dataclass
+class Levels:
+    """Bitmaps by ascending frequency; ``least`` is the count that the first stands for."""
 
-    At most ``FREQUENT_SLOTS``: a slot needs a share of 1 / FREQUENT_SLOTS of all shingles.
-    """
+    least: int
+    bitmaps: list[np.ndarray]
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """The level of every shingle. Level 0 with ``least`` 2: found in no other document."""
+        at = (hashes >> np.uint64(32)).astype(np.int64) // FOLD
+        level = np.zeros(len(hashes), np.uint8)
+        for bitmap in self.bitmaps:
+            level += (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+        return level
+
+
+def frequency_levels(docs: DataFrame, n: int = WORDS) -> Levels:
+    """Levels of all shingles of all documents. The first has the lowest threshold whose bitmap is
+    not too full to tell anything; there are ``LEVELS`` at most, whatever the input's size."""
     counted = materialize(
         map_batches(
             map_batches(docs.select("text"), partial(_slots, n=n), "bucket int, slots binary")
             .repartition("bucket")
             .sortWithinPartitions("bucket"),
             _counted,
-            "slot long, n long",
+            "bucket int, least long, n long, bits binary",
         ),
-        "slots",
+        "levels",
     )
-    total = counted.filter("slot = -1").agg(F.sum("n")).first()[0] or 0
-    least = max(LEAST_FREQUENT, math.ceil(total / FREQUENT_SLOTS))
-    rows = counted.filter((F.col("slot") >= 0) & (F.col("n") >= least)).toArrow()
-    slots = rows.column("slot").to_numpy().astype(np.uint32)
-    levels = np.log2(rows.column("n").to_numpy()).astype(np.uint8)
-    order = np.argsort(slots)
-    return slots[order], levels[order]
+    used = {r.least: r.n for r in counted.groupBy("least").agg(F.sum("n").alias("n")).collect()}
+    size = (1 << 32) // FOLD
+    useful = sorted(t for t, n_set in used.items() if n_set <= FULLEST * size)
+    chosen = [t for t in useful if t in {useful[0] * LEVEL_STEP**k for k in range(LEVELS)}]
+    bitmaps = []
+    for least in chosen:
+        bitmap = np.zeros((BUCKETS, size // BUCKETS // 8), np.uint8)
+        for r in counted.filter(F.col("least") == least).select("bucket", "bits").toLocalIterator():
+            bitmap[r.bucket] = np.frombuffer(r.bits, np.uint8)
+        bitmaps.append(bitmap.ravel())
+    return Levels(chosen[0] if chosen else 2, bitmaps)
 
 
 # Nodes and their first shingles
@@ -145,20 +171,17 @@ def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def _signed(batches: Batches, n: int, percent: int, frequent: Broadcast) -> Batches:
+def _signed(batches: Batches, n: int, percent: int, shared: Broadcast) -> Batches:
     """Per document: size, fingerprint of the set, and its first shingles in the common order.
 
+    Shingles known to be in no other document are left out: they come first and are in no block.
     A set that this task has entered before gets no second entry.
     """
-    slots, levels = frequent.value
+    levels: Levels = shared.value
     entered: set[int] = set()
     for rows in slices(batches, "text"):
         hashes, ends = shingle_sets(words_of(rows.column("text"), LOWER_WORDS), n)
-        level = np.zeros(len(hashes), np.uint8)
-        if len(slots):
-            own = (hashes >> np.uint64(32)).astype(np.uint32)
-            at = np.minimum(np.searchsorted(slots, own), len(slots) - 1)
-            level = np.where(slots[at] == own, levels[at], 0)
+        level = levels.of(hashes)
         sizes = np.diff(ends)
         firsts, nodes = [], np.zeros(len(sizes), np.uint64)
         sums = _set_prints(hashes, ends)
@@ -169,10 +192,12 @@ def _signed(batches: Batches, n: int, percent: int, frequent: Broadcast) -> Batc
                 continue
             entered.add(int(nodes[i]))
             count = (b - a) - -(-percent * (b - a) // 100) + 1
-            own = hashes[a:b]
-            if level[a:b].any():
-                own = own[np.argsort(level[a:b], kind="stable")]
-            firsts.append(own[:count])
+            alone = int((level[a:b] == 0).sum()) if levels.least == 2 else 0
+            if alone >= count:
+                firsts.append(hashes[:0])
+                continue
+            order = np.argsort(level[a:b], kind="stable")
+            firsts.append(hashes[a:b][order[alone:count]])
         lengths = np.array([len(f) for f in firsts])
         flat = np.concatenate(firsts) if firsts else hashes[:0]
         yield batch(
@@ -358,11 +383,11 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    frequent = spark.sparkContext.broadcast(frequent_slots(docs, n))
+    levels = spark.sparkContext.broadcast(frequency_levels(docs, n))
     signed = materialize(
         map_batches(
             docs,
-            partial(_signed, n=n, percent=percent, frequent=frequent),
+            partial(_signed, n=n, percent=percent, shared=levels),
             "doc_id long, n_shingles long, node long, firsts array<long>",
         ),
         "signed",
