@@ -46,6 +46,9 @@ LEVEL_STEP = 8
 THRESHOLDS = tuple(1 << k for k in range(1, 31))
 FULLEST = 0.3
 BUCKETS = 1024
+# Rows of related blocks in one task, and pairs that it holds back to make them unique.
+SHARE = 50_000
+HELD_PAIRS = 1_000_000
 # Above so many ids, documents are found again by a shuffle instead of a broadcast.
 BROADCAST_IDS = 1_000_000
 
@@ -240,8 +243,8 @@ def _blocks(batches: Batches) -> Batches:
 
 
 def _bitmap(shingles: np.ndarray) -> np.ndarray:
-    """Bits of the shingles in a bitmap of twice to four times as many bits, 64 at least."""
-    bits = 1 << max(6, int(len(shingles) * 2 - 1).bit_length())
+    """Bits of the shingles in a bitmap of 8 to 16 times as many bits, 64 at least."""
+    bits = 1 << max(6, int(len(shingles) * 8 - 1).bit_length())
     flags = np.zeros(bits, np.uint8)
     flags[(shingles % np.uint64(bits)).astype(np.int64)] = 1
     return np.packbits(flags, bitorder="little")
@@ -361,15 +364,43 @@ def _folded(maps: list[bytes]) -> np.ndarray:
 
 
 def _crossing(batches: Batches, percent: int) -> Batches:
-    """Pairs across components that the tree of a block cannot rule out. Sorted by token, size."""
+    """Pairs across components that the trees of the blocks cannot rule out. Rows sorted by token.
+
+    Blocks of the same documents find the same pairs, so pairs are made unique before they leave.
+    """
+    found: list[np.ndarray] = []
+    n = 0
     for rows in whole_groups(batches, "token"):
         token, node, size, part = (rows.column(c).to_numpy() for c in ("token", "node", "n_shingles", "part"))
         maps = rows.column("bitmap").to_pylist()
         edges = np.concatenate([run_starts(token), [len(token)]])
         for a, b in zip(edges[:-1], edges[1:]):
             x, y = _Tree(size[a:b], part[a:b], _folded(maps[a:b])).pairs(percent)
-            if len(x):
-                yield _pairs(node[a:b][x], node[a:b][y])
+            u, v = node[a:b][x], node[a:b][y]
+            found.append(np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1))
+            n += len(u)
+            if n >= HELD_PAIRS:
+                found = [np.unique(np.concatenate(found), axis=0)]
+                if len(found[0]) >= HELD_PAIRS // 2:
+                    yield _pairs(found[0][:, 0], found[0][:, 1])
+                    found = []
+                n = sum(map(len, found))
+    if found:
+        every = np.concatenate(found)
+        yield _pairs(every[:, 0], every[:, 1])
+
+
+def _open_blocks(blocks: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Blocks with several components: (token, node, n_shingles, part, bitmap), sorted by token and
+    size. Blocks with the same first component go to one task, up to ``SHARE`` rows a task."""
+    parted = blocks.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    mixed = parted.groupBy("token").agg(F.min("part").alias("lead"), F.max("part").alias("b"), F.count("*").alias("n"))
+    mixed = mixed.filter("lead <> b").select("token", "lead", "n")
+    shares = mixed.groupBy("lead").agg((F.sum("n") / SHARE + 1).cast("long").alias("shares"))
+    placed = mixed.join(shares, "lead").select("token", "lead", F.pmod("token", "shares").alias("share"))
+    rows = parted.join(placed, "token").join(sets.select("node", "bitmap"), "node")
+    dealt = rows.repartition("lead", "share").sortWithinPartitions("lead", "share", "token", "n_shingles", "node")
+    return dealt.select("token", "node", "n_shingles", "part", "bitmap")
 
 
 def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -408,10 +439,7 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     near = map_batches(by_token(blocks), partial(_chains, percent=percent), "u long, v long")
     links = _verify(near, sets, percent)
     parts = components(links).withColumnRenamed("component", "part")
-    parted = blocks.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    mixed = parted.groupBy("token").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a <> b")
-    open_blocks = parted.join(mixed.select("token"), "token", "left_semi").join(sets.select("node", "bitmap"), "node")
-    crossing = map_batches(by_token(open_blocks), partial(_crossing, percent=percent), "u long, v long")
+    crossing = map_batches(_open_blocks(blocks, parts, sets), partial(_crossing, percent=percent), "u long, v long")
     links = links.union(_verify(crossing, sets, percent))
     groups = components(links)
     placed = signed.select("doc_id", "n_shingles", "node").join(groups, "node", "left")
