@@ -70,10 +70,13 @@ def test_pieces(n):
         assert j >= 16 or j * length >= 0.97 * CAPACITY
 
 
+ENCODER = WordEncoder(PATH)
+
+
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(max_size=60), max_size=4))
+@given(st.lists(st.text(max_size=60) | st.text("aßé÷İ'st.,!? \nx1<|end>", max_size=40), max_size=4))
 def test_words_are_encoded_as_in_whole_texts(texts):
-    got = WordEncoder(PATH).encode([t.encode() for t in texts])
+    got = ENCODER.encode([t.encode() for t in texts])
     for text, ids in zip(texts, got):
         assert np.frombuffer(ids, "<u4").tolist() + [2] == expected_ids(text)
 

@@ -10,6 +10,7 @@ that a task leaves open are packed together, largest piece first, when its input
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache, partial
 
 import numpy as np
@@ -27,47 +28,72 @@ FULL_ENOUGH = 0.97
 SMALL_CLASS = 16
 # Bins of one task are numbered within this range.
 BINS_PER_TASK = 1 << 33
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
 LONGEST_CACHED = 48
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
+# Punctuation that ends a word after a letter is a token of its own, so it may be split off.
+_STOPS = re.compile(rb"(?<=[A-Za-z])([.,;:!?])(?=\s|\Z)")
+# Lower-case letters that neither normalisation nor case folding changes: one run of letters.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
 
 class WordEncoder:
     """Token ids of texts, as little-endian 32-bit numbers, for tokenizers that never join what is
-    on both sides of a blank: each blank-separated word is encoded once and remembered."""
+    on both sides of a blank: each word is encoded once and remembered.
+
+    Words of plain letters are encoded many at a time, as one text, and its ids are cut after the
+    tokens that end a word.
+    """
 
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         # Folded case makes words equal that the tokenizer does not tell apart; control strings,
         # which it takes literally, are left alone.
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        split = [_STOPS.sub(rb" \1", t if b"<|" in t else t.lower()).split() for t in texts]
         known = self.known
-        missing = list({w for words in split for w in words if w not in known})
-        long = {}
-        for i in range(0, len(missing), 4096):
-            part = missing[i : i + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, ids in zip(part, found):
-                (known if len(word) <= LONGEST_CACHED else long)[word] = np.array(ids.ids, "<u4").tobytes()
-        if long:
-            known.update(long)
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in long:
-            del known[word]
         if len(known) > CACHED_WORDS:
             known.clear()
+        missing = set().union(*split) - known.keys()
+        plain = [w for w in missing if _PLAIN.fullmatch(w)]
+        for i in range(0, len(plain), 8192):
+            self._learn_plain(plain[i : i + 8192])
+        rest = [w for w in missing if w not in known]
+        for i in range(0, len(rest), 4096):
+            self._learn(rest[i : i + 4096])
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for word in missing:
+            if len(word) > LONGEST_CACHED:
+                del known[word]
         return out
 
+    def _learn(self, words: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        for word, ids in zip(words, found):
+            self.known[word] = np.array(ids.ids, "<u4").tobytes()
+
+    def _learn_plain(self, words: list[bytes]) -> None:
+        joined = self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0]
+        ids = np.array(joined.ids, "<u4")
+        cuts = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(cuts) != len(words) or cuts[-1] != len(ids):
+            return
+        raw, bounds = ids.tobytes(), (4 * cuts).tolist()
+        self.known.update(zip(words, [raw[a:b] for a, b in zip([0, *bounds], bounds)]))
+
+
+# One for each worker process: what it remembers outlives the task.
+encoder_of = lru_cache(maxsize=2)(WordEncoder)
+
 
 def pieces(n: int, capacity: int = CAPACITY) -> list[int]:
     """Lengths into which n tokens are cut."""
@@ -126,7 +152,7 @@ class _Bins:
 
 def _packed(batches: Batches, path: str, capacity: int) -> Batches:
     bins = _Bins(TaskContext.get().partitionId() * BINS_PER_TASK, capacity)
-    encoder = WordEncoder(path)
+    encoder = encoder_of(path)
     end = np.array([END], "<u4").tobytes()
 
     def rows(done: list[tuple]) -> pa.RecordBatch:
