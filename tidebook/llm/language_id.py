@@ -26,6 +26,7 @@ ORDER = 3
 # The training sample: per language at most so many documents of at most so many bytes.
 SAMPLE_DOCUMENTS = 1000
 SAMPLE_BYTES = 8192
+DRAWN = 4
 UNKNOWN = "und"
 PIECE = 1 << 16
 # A text that no language codes in less than its own bytes is in none of them.
@@ -71,7 +72,11 @@ def training_sample(docs: DataFrame) -> DataFrame:
         & (F.octet_length("text") <= SAMPLE_BYTES)
         & (F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
     )
-    ids = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("draw")).withColumn(
+    # A draw that leaves a few times as many as wanted, so that no task ranks a whole language.
+    drawn = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("draw"))
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    share = (F.col("draw").cast("double") + 2.0**63) / 2.0**64
+    ids = drawn.join(F.broadcast(sizes), "lang").filter(share * F.col("n") < DRAWN * SAMPLE_DOCUMENTS).withColumn(
         "place", F.row_number().over(W.partitionBy("lang").orderBy("draw", "doc_id"))
     )
     chosen = F.broadcast(ids.filter(F.col("place") <= SAMPLE_DOCUMENTS).select("doc_id", "lang").distinct())
