@@ -92,3 +92,26 @@ def test_edges(spark, documents):
     rows = m.score(docs, nothing, no_counts).collect()
     assert len(rows) == 6 and all(r.n_known == 0 and r.score == 0 for r in rows)
     assert all(math.isclose(r.base_score, r.n_tokens * math.log10(0.5 / 0.5)) for r in rows)
+
+
+def test_filter_grows_with_the_corpus(spark, documents):
+    """Its fill does not depend on the number of grams, and unknown grams stay unknown."""
+    for n in (2_000, 200_000):
+        texts = [" ".join(f"w{i}" for i in range(k, k + 1_000)) for k in range(0, n, 1_000)]
+        model, _ = m.fit(documents(texts))
+        assert 0.15 < model.fill < 0.3
+        unknown = m.mix(np.arange(1, 100_001, dtype=np.uint64) << np.uint64(20))
+        assert np.mean(model.levels(unknown) > 0) < 0.01
+
+
+def test_filter_beyond_the_broadcast_bound(spark, small_documents):
+    """Parts that stay in their buckets give the scores of the broadcast ones."""
+    docs = small_documents.select("doc_id", "text").union(spark.createDataFrame([(None, None), (None, "a a"), (1, "zz")], "doc_id long, text string"))
+    results = []
+    for bits in (m.BROADCAST_BITS, 64):
+        model, counts = m.fit(small_documents, bits=bits)
+        assert (model.parts is None) == (bits > 64)
+        results.append(sorted(map(tuple, m.score(docs.repartition(5), model, counts).collect()), key=repr))
+    assert len(results[0]) == docs.count()
+    for a, b in zip(*results):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-9)

@@ -1,17 +1,20 @@
 """LM scoring with a log-frequency Bloom filter of word n-grams.
 
-Words and word pairs of all training documents are counted in 2**32 hashed slots, and the counts
-quantised to logarithmic levels. A slot of level q is entered in the filter q times, with the level
+Words and word pairs of all training documents are counted by their 64-bit hashes, and the counts
+quantised to logarithmic levels. A gram of level q is entered in the filter q times, with the level
 as part of its key; asking for levels 1, 2, ... until one is missing gives its level back, and so
-its count within the factor of a step. The filter has a part for each bucket of slots, made where
-the bucket is counted. Its size is fixed whatever the corpus: as it fills, levels are overrated
-more often, never underrated. It is broadcast, and smoothed probabilities come from its probes.
+its count within the factor of a step, never underrated. The filter has a part for each bucket of
+grams, made where the bucket is counted and sized by what is entered there, so it is equally full
+whatever the corpus. Up to a stated size it is broadcast; beyond it the documents' grams are sent
+to the parts of their buckets and the levels sent back. Smoothed probabilities come from the levels.
 """
 
 from __future__ import annotations
 
+import gc
 import math
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 from functools import partial
 from itertools import groupby
 
@@ -21,14 +24,18 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.llm.arrow import Batches, batch, binaries, longs, map_batches
+from tidebook.llm.arrow import Batches, batch, binaries, longs, map_batches, run_starts
 from tidebook.llm.words import LOWER_WORDS, Words, mix, slices, words_of
 from tidebook.session import materialize
 
-# 2**28 bits (32 MB), in a part per bucket of slots.
-FILTER_BITS = 1 << 28
-BUCKETS = 1024
-PROBES = 2
+# Bits for each level entered. With six probes 22 % are set, and one level in 9,000 is overrated.
+BITS_EACH = 24
+PROBES = 6
+# Filters of up to so many bits (128 MB) are broadcast.
+BROADCAST_BITS = 1 << 30
+# Training tokens for each bucket, whose counts are held in one task.
+TOKENS_PER_BUCKET = 1 << 21
+LEAST_BUCKETS = 16
 # Level q stands for counts of about STEP ** (q - 1).
 STEP = 2.0
 MOST_LEVELS = 48
@@ -60,8 +67,34 @@ def _pairs(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return mix(before * _PAIR + tokens)
 
 
-def _slot(grams: np.ndarray) -> np.ndarray:
-    return (grams >> np.uint64(32)).astype(np.uint32)
+def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets by the upper bits, so sorted grams are sorted by bucket; a power of two of them."""
+    return (grams >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
+
+
+def _by_bucket(grams: np.ndarray, buckets: int) -> tuple[list[int], list[slice]]:
+    """Buckets that sorted grams fall into, and where."""
+    cuts = np.searchsorted(_bucket(grams, buckets), np.arange(buckets + 1)).tolist()
+    full = [i for i in range(buckets) if cuts[i] < cuts[i + 1]]
+    return full, [slice(cuts[i], cuts[i + 1]) for i in full]
+
+
+def _planes(values: np.ndarray) -> np.ndarray:
+    """Bytes of equal weight together: files and shuffles compress the upper ones."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T
+
+
+def _from_planes(blob: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(blob, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
+def _steps(grams: np.ndarray) -> np.ndarray:
+    """Sorted grams as the bytes of their differences."""
+    return _planes(np.diff(grams, prepend=np.uint64(0)))
+
+
+def _from_steps(blob: bytes) -> np.ndarray:
+    return np.cumsum(_from_planes(blob, np.uint64), dtype=np.uint64)
 
 
 def _count_tokens(batches: Batches) -> Batches:
@@ -71,19 +104,17 @@ def _count_tokens(batches: Batches) -> Batches:
         yield batch(gram=longs(found), n=longs(times))
 
 
-def _count_slots(batches: Batches) -> Batches:
-    """Slots of words and pairs with their counts, by bucket."""
-    edges = (np.arange(1, BUCKETS, dtype=np.uint64) * np.uint64((1 << 32) // BUCKETS)).astype(np.uint32)
+def _count_grams(batches: Batches, buckets: int) -> Batches:
+    """Words and pairs with their counts, by bucket."""
     for rows in slices(batches, "text"):
         tokens, offsets = _tokens(words_of(rows.column("text"), LOWER_WORDS))
-        slots, times = np.unique(_slot(np.concatenate([tokens, _pairs(tokens, offsets)])), return_counts=True)
-        cuts = np.searchsorted(slots, edges)
-        parts = list(zip(np.split(slots, cuts), np.split(times.astype(np.uint32), cuts)))
-        full = [i for i, (p, _) in enumerate(parts) if len(p)]
+        found, times = np.unique(np.concatenate([tokens, _pairs(tokens, offsets)]), return_counts=True)
+        times = times.astype(np.uint32)
+        full, places = _by_bucket(found, buckets)
         yield batch(
             bucket=pa.array(full, pa.int32()),
-            slots=binaries([parts[i][0] for i in full]),
-            times=binaries([parts[i][1] for i in full]),
+            grams=binaries([_steps(found[x]) for x in places]),
+            times=binaries([times[x] for x in places]),
         )
 
 
@@ -92,130 +123,276 @@ def _levels(counts: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(np.maximum(counts, 1)) / math.log(STEP) + 1e-9).astype(np.int64)
 
 
-def _places(slots: np.ndarray, level: int | np.ndarray, probe: int, bits: int) -> np.ndarray:
-    """Bits of slots at a level, within the parts of their buckets."""
-    part = bits // BUCKETS
-    key = slots.astype(np.uint64) + ((np.asarray(level) * PROBES + probe).astype(np.uint64) << np.uint64(32))
-    inside = mix(key ^ _PAIR) & np.uint64(part - 1)
-    return (slots // np.uint32((1 << 32) // BUCKETS)).astype(np.int64) * part + inside.astype(np.int64)
+def _places(grams: np.ndarray, level: int, probe: int, bits: int | np.ndarray) -> np.ndarray:
+    """Bits of grams at a level, within parts of so many bits."""
+    return (mix(grams ^ mix(np.array([level * PROBES + probe], np.uint64))) % np.asarray(bits, np.uint64)).astype(np.int64)
 
 
-def _filter_parts(batches: Batches, bits: int) -> Batches:
-    """The filter's part of every bucket. Rows come by bucket; one bucket's counters are held."""
-    width, size = (1 << 32) // BUCKETS, bits // BUCKETS
+def _filter_parts(batches: Batches) -> Batches:
+    """The filter's part of every bucket. Rows come by bucket; one bucket's counts are held."""
     rows = (
         row
         for part in batches
-        for row in zip(*(part.column(c).to_pylist() for c in ("bucket", "slots", "times")))
+        for row in zip(*(part.column(c).to_pylist() for c in ("bucket", "grams", "times")))
     )
-    counts = np.zeros(width, np.uint64)
     for bucket, group in groupby(rows, key=lambda row: row[0]):
-        counts[:] = 0
-        for _, slots, times in group:
-            counts[np.frombuffer(slots, np.uint32) - np.uint32(bucket * width)] += np.frombuffer(times, np.uint32)
-        used = np.flatnonzero(counts)
-        levels = np.minimum(_levels(counts[used]), MOST_LEVELS)
+        blobs = [(_from_steps(grams), np.frombuffer(times, np.uint32)) for _, grams, times in group]
+        grams = np.concatenate([g for g, _ in blobs])
+        order = np.argsort(grams)
+        grams, counts = grams[order], np.concatenate([t for _, t in blobs])[order].astype(np.int64)
+        starts = run_starts(grams)
+        grams, levels = grams[starts], np.minimum(_levels(np.add.reduceat(counts, starts)), MOST_LEVELS)
+        entered = int(levels.sum())
+        size = -(-BITS_EACH * entered // 64) * 64
         flags = np.zeros(size, np.uint8)
         for level in range(1, int(levels.max()) + 1):
-            slots = (used[levels >= level] + bucket * width).astype(np.uint32)
             for probe in range(PROBES):
-                flags[_places(slots, level, probe, bits) - bucket * size] = 1
-        yield batch(bucket=pa.array([bucket], pa.int32()), bits=binaries([np.packbits(flags, bitorder="little")]))
+                flags[_places(grams[levels >= level], level, probe, size)] = 1
+        yield batch(
+            bucket=pa.array([bucket], pa.int32()),
+            size=longs(np.array([size])),
+            n_set=longs(np.array([np.count_nonzero(flags)])),
+            bits=binaries([np.packbits(flags, bitorder="little")]),
+        )
+
+
+def _probed(grams: np.ndarray, bits: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Levels of grams, 0 for unknown ones, by probing one level after the other. A gram's part
+    has ``size`` bits from ``first`` on, none if nothing is known of its bucket."""
+    out = np.zeros(len(grams), np.int64)
+    left = np.flatnonzero(size > 0)
+    for level in range(1, MOST_LEVELS + 1):
+        for probe in range(PROBES):
+            at = first[left] + _places(grams[left], level, probe, size[left])
+            left = left[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+        if not len(left):
+            break
+        out[left] = level
+    return out
 
 
 @dataclass
 class Model:
-    """The filter, and the number of training tokens and of distinct ones."""
+    """The filter, and the number of training tokens and of distinct ones.
 
-    bits: np.ndarray
+    ``starts`` has the first bit of every bucket's part and the end of the last. A filter that is
+    too large to broadcast stays in ``parts`` (bucket, size, n_set, bits). ``fill`` is the share
+    of bits that are set.
+    """
+
+    bits: np.ndarray | None
     n_tokens: int
     n_distinct: int
+    starts: np.ndarray | None = None
+    parts: DataFrame | None = None
+    buckets: int = LEAST_BUCKETS
+    fill: float = 0.0
 
     def levels(self, grams: np.ndarray) -> np.ndarray:
-        """Levels of n-grams, 0 for unknown ones, by probing one level after the other."""
-        out = np.zeros(len(grams), np.int64)
-        left, slots = np.arange(len(grams)), _slot(grams)
-        for level in range(1, MOST_LEVELS + 1):
-            for probe in range(PROBES):
-                at = _places(slots[left], level, probe, len(self.bits) * 8)
-                left = left[(self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
-            if not len(left):
-                break
-            out[left] = level
-        return out
-
-    def counts(self, grams: np.ndarray) -> np.ndarray:
-        """Estimated counts: the middle of the level, on the logarithmic scale; 0 if unknown."""
-        levels = self.levels(grams)
-        return np.where(levels > 1, STEP ** (levels - 0.5), levels)
-
-    def log10(self, tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Levels of n-grams, 0 for unknown ones; of a broadcast filter only."""
+        if self.starts is None:
+            starts, bucket = np.array([0, len(self.bits) * 8]), np.zeros(len(grams), np.int64)
+        else:
+            starts, bucket = self.starts, _bucket(grams, self.buckets)
+        return _probed(grams, self.bits, starts[bucket], np.diff(starts)[bucket])
+
+    def log10(
+        self, tokens: np.ndarray, offsets: np.ndarray, levels: Callable[[np.ndarray], np.ndarray] | None = None
+    ) -> np.ndarray:
         """log10 of every token's probability after the one before it.
 
         A pair's share of its first word's count, and the second word's smoothed share of all
         tokens, are mixed by ``BACKOFF``; a first word counts as often as its pairs do at least.
+        ``levels`` gives the levels of n-grams where the filter is not at hand.
         """
+        counts = partial(_estimated, levels or self.levels)
         singles, where = np.unique(tokens, return_inverse=True)
-        single = self.counts(singles)
+        single = counts(singles)
         pairs, which = np.unique(_pairs(tokens, offsets), return_inverse=True)
-        pair = self.counts(pairs)[which]
+        pair = counts(pairs)[which]
         before = np.empty(len(tokens))
         before[1:] = single[where[:-1]]
-        before[offsets[:-1]] = self.counts(np.array([_END]))[0]
+        before[offsets[:-1]] = counts(np.array([_END]))[0]
         alone = (single[where] + 0.5) / (self.n_tokens + 0.5 * (self.n_distinct + 1))
         joint = pair / np.maximum(np.maximum(before, pair), 1)
         return np.log10((1 - BACKOFF) * joint + BACKOFF * np.minimum(alone, 1))
 
 
-def fit(docs: DataFrame, bits: int = FILTER_BITS) -> tuple[Model, DataFrame]:
-    """The model of all of ``docs`` (text), and the exact counts (gram, n) of its tokens."""
+def _estimated(levels: Callable[[np.ndarray], np.ndarray], grams: np.ndarray) -> np.ndarray:
+    """Estimated counts: the middle of the level, on the logarithmic scale; 0 if unknown."""
+    found = levels(grams)
+    return np.where(found > 1, STEP ** (found - 0.5), found)
+
+
+def fit(docs: DataFrame, bits: int = BROADCAST_BITS) -> tuple[Model, DataFrame]:
+    """The model of all of ``docs`` (text), and the exact counts (gram, n) of its tokens. Filters
+    of up to ``bits`` are broadcast."""
     texts = docs.select("text")
     tokens = map_batches(texts, _count_tokens, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     tokens = materialize(tokens, "tokens")
     total, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    slots = map_batches(texts, _count_slots, "bucket int, slots binary, times binary")
-    by_bucket = slots.repartition("bucket").sortWithinPartitions("bucket")
-    parts = materialize(map_batches(by_bucket, partial(_filter_parts, bits=bits), "bucket int, bits binary"), "filter")
-    out = np.zeros((BUCKETS, bits // BUCKETS // 8), np.uint8)
-    for r in parts.toLocalIterator():
-        out[r.bucket] = np.frombuffer(r.bits, np.uint8)
-    return Model(out.ravel(), total, distinct), tokens
+    buckets = max(LEAST_BUCKETS, 1 << (total // TOKENS_PER_BUCKET).bit_length())
+    grams = map_batches(texts, partial(_count_grams, buckets=buckets), "bucket int, grams binary, times binary")
+    by_bucket = grams.repartition("bucket").sortWithinPartitions("bucket")
+    parts = materialize(map_batches(by_bucket, _filter_parts, "bucket int, size long, n_set long, bits binary"), "filter")
+    size, n_set = parts.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("n_set"), F.lit(0))).first()
+    model = Model(None, total, distinct, buckets=buckets, fill=n_set / max(size, 1))
+    if size > bits:
+        # Nothing refers to the counting shuffle any more, and Spark's cleaner removes its files
+        # when the driver's garbage collection finds that.
+        del grams, by_bucket
+        gc.collect()
+        docs.sparkSession.sparkContext._jvm.System.gc()
+        return replace(model, parts=parts), tokens
+    sizes = np.zeros(buckets + 1, np.int64)
+    for r in parts.select("bucket", "size").toLocalIterator():
+        sizes[r.bucket + 1] = r.size
+    starts = np.cumsum(sizes)
+    out = np.zeros(size // 8, np.uint8)
+    for r in parts.select("bucket", "bits").toLocalIterator():
+        out[starts[r.bucket] // 8 : starts[r.bucket + 1] // 8] = np.frombuffer(r.bits, np.uint8)
+    return replace(model, bits=out, starts=starts), tokens
+
+
+# Filters that are not broadcast
+
+
+def _sliced(batches: Batches) -> Batches:
+    """Documents in slices, a row each: distinct tokens, and each token's place among them."""
+    at = TaskContext.get().partitionId() * ROWS_PER_TASK
+    for rows in slices(batches, "text"):
+        tokens, offsets = _tokens(words_of(rows.column("text"), LOWER_WORDS))
+        distinct, where = np.unique(tokens, return_inverse=True)
+        yield batch(
+            slice=longs(np.array([at])),
+            doc_id=pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows.column("doc_id")),
+            distinct=binaries([_steps(distinct)]),
+            places=binaries([_planes(where.astype(np.uint32))]),
+            ends=binaries([offsets.astype(np.int64)]),
+        )
+        at += 1
+
+
+def _sliced_tokens(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    return _from_steps(row["distinct"])[_from_planes(row["places"], np.uint32)], np.frombuffer(row["ends"], np.int64)
+
+
+def _slice_grams(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """All n-grams that scoring a slice asks for, sorted."""
+    return np.unique(np.concatenate([tokens, _pairs(tokens, offsets), np.array([_END])]))
+
+
+def _rows_of(batches: Batches) -> Iterator[dict]:
+    for part in batches:
+        for i in range(part.num_rows):
+            yield part.slice(i, 1).to_pylist()[0]
+
+
+def _asked(batches: Batches, buckets: int) -> Batches:
+    """The grams of every slice by bucket."""
+    for row in _rows_of(batches):
+        grams = _slice_grams(*_sliced_tokens(row))
+        full, places = _by_bucket(grams, buckets)
+        yield batch(
+            bucket=pa.array(full, pa.int32()),
+            slice=longs(np.full(len(full), row["slice"])),
+            size=longs(np.zeros(len(full), np.int64)),
+            blob=binaries([_steps(grams[x]) for x in places]),
+        )
+
+
+def _answered(batches: Batches) -> Batches:
+    """Levels of the grams asked for. Rows come by bucket, its part of the filter first."""
+    held, size, bits = -1, 0, np.zeros(0, np.uint8)
+    for row in _rows_of(batches):
+        if row["slice"] < 0:
+            held, size, bits = row["bucket"], row["size"], np.frombuffer(row["blob"], np.uint8)
+            continue
+        grams = _from_steps(row["blob"])
+        known = np.full(len(grams), size if row["bucket"] == held else 0)
+        yield batch(
+            slice=longs(np.array([row["slice"]])),
+            bucket=pa.array([row["bucket"]], pa.int32()),
+            levels=binaries([_probed(grams, bits, np.zeros(len(grams), np.int64), known).astype(np.uint8)]),
+        )
+
+
+def _sliced_scores(batches: Batches, shared: Broadcast) -> Batches:
+    """``_scored`` for slices. Rows come by slice, the slice itself before its levels by bucket."""
+    number = TaskContext.get().partitionId() * ROWS_PER_TASK
+    for _, group in groupby(_rows_of(batches), key=lambda row: row["slice"]):
+        head = next(group)
+        tokens, offsets = _sliced_tokens(head)
+        grams = _slice_grams(tokens, offsets)
+        found = np.concatenate([np.frombuffer(row["levels"], np.uint8) for row in group]).astype(np.int64)
+        if len(found) != len(grams):
+            raise ValueError(f"{len(found)} levels for {len(grams)} n-grams")
+        yield _slice_scores(
+            pa.array(head["doc_id"], pa.int64()), tokens, offsets, number, shared.value, lambda g: found[np.searchsorted(grams, g)]
+        )
+        number += len(offsets) - 1
+
+
+def _scored_by_parts(docs: DataFrame, model: Model, shared: Broadcast) -> DataFrame:
+    held = materialize(
+        map_batches(docs, _sliced, "slice long, doc_id array<long>, distinct binary, places binary, ends binary"), "slices"
+    )
+    asked = map_batches(held, partial(_asked, buckets=model.buckets), "bucket int, slice long, size long, blob binary")
+    parts = model.parts.select("bucket", F.lit(-1).cast("long").alias("slice"), "size", F.col("bits").alias("blob"))
+    by_bucket = parts.unionByName(asked).repartition("bucket").sortWithinPartitions("bucket", "slice")
+    answers = map_batches(by_bucket, _answered, "slice long, bucket int, levels binary")
+    both = held.withColumn("bucket", F.lit(-1)).unionByName(answers, allowMissingColumns=True)
+    by_slice = both.repartition("slice").sortWithinPartitions("slice", "bucket")
+    return map_batches(by_slice, partial(_sliced_scores, shared=shared), SCORED)
+
+
+SCORED = (
+    "doc_id long, row long, n_tokens long, score double, head_score double, head_known long,"
+    " rare array<long>, times array<long>"
+)
 
 
 def _scored(batches: Batches, shared: Broadcast) -> Batches:
     """Per document: tokens, the model's score, exact sums over common words, and the others."""
-    model, head, head_counts = shared.value
-    floor = model.n_tokens + 0.5 * (model.n_distinct + 1)
     row = TaskContext.get().partitionId() * ROWS_PER_TASK
     for rows in slices(batches, "text"):
         tokens, offsets = _tokens(words_of(rows.column("text"), LOWER_WORDS))
-        sums = np.concatenate([[0.0], np.cumsum(model.log10(tokens, offsets))]) if model.n_distinct else np.zeros(len(tokens) + 1)
-        distinct, where = np.unique(tokens, return_inverse=True)
-        at = np.minimum(np.searchsorted(head, distinct), max(len(head) - 1, 0))
-        common = (head[at] == distinct) if len(head) else np.zeros(len(distinct), bool)
-        log = np.zeros(len(distinct))
-        if common.any():
-            log[common] = np.log10((head_counts[at[common]] + 0.5) / floor)
-        exact = np.concatenate([[0.0], np.cumsum(log[where])])
-        known = np.concatenate([[0], np.cumsum(common[where])])
-        text = np.repeat(np.arange(rows.num_rows), np.diff(offsets))
-        rare = ~common[where]
-        pairs, times = np.unique(text[rare] * len(distinct) + where[rare], return_counts=True)
-        own, gram = np.divmod(pairs, max(len(distinct), 1))
-        ends = pa.array(np.searchsorted(own, np.arange(rows.num_rows + 1)).astype(np.int32))
-        yield batch(
-            doc_id=rows.column("doc_id"),
-            row=longs(row + np.arange(rows.num_rows)),
-            n_tokens=longs(np.diff(offsets)),
-            score=pa.array(sums[offsets[1:]] - sums[offsets[:-1]]),
-            head_score=pa.array(exact[offsets[1:]] - exact[offsets[:-1]]),
-            head_known=longs(known[offsets[1:]] - known[offsets[:-1]]),
-            rare=pa.ListArray.from_arrays(ends, longs(distinct[gram])),
-            times=pa.ListArray.from_arrays(ends, longs(times)),
-        )
+        yield _slice_scores(rows.column("doc_id"), tokens, offsets, row, shared.value)
         row += rows.num_rows
 
 
+def _slice_scores(
+    doc_id: pa.Array, tokens: np.ndarray, offsets: np.ndarray, row: int, shared: tuple, levels: Callable[[np.ndarray], np.ndarray] | None = None
+) -> pa.RecordBatch:
+    model, head, head_counts = shared
+    floor = model.n_tokens + 0.5 * (model.n_distinct + 1)
+    n = len(doc_id)
+    sums = np.concatenate([[0.0], np.cumsum(model.log10(tokens, offsets, levels))]) if model.n_distinct else np.zeros(len(tokens) + 1)
+    distinct, where = np.unique(tokens, return_inverse=True)
+    at = np.minimum(np.searchsorted(head, distinct), max(len(head) - 1, 0))
+    common = (head[at] == distinct) if len(head) else np.zeros(len(distinct), bool)
+    log = np.zeros(len(distinct))
+    if common.any():
+        log[common] = np.log10((head_counts[at[common]] + 0.5) / floor)
+    exact = np.concatenate([[0.0], np.cumsum(log[where])])
+    known = np.concatenate([[0], np.cumsum(common[where])])
+    text = np.repeat(np.arange(n), np.diff(offsets))
+    rare = ~common[where]
+    pairs, times = np.unique(text[rare] * len(distinct) + where[rare], return_counts=True)
+    own, gram = np.divmod(pairs, max(len(distinct), 1))
+    ends = pa.array(np.searchsorted(own, np.arange(n + 1)).astype(np.int32))
+    return batch(
+        doc_id=doc_id,
+        row=longs(row + np.arange(n)),
+        n_tokens=longs(np.diff(offsets)),
+        score=pa.array(sums[offsets[1:]] - sums[offsets[:-1]]),
+        head_score=pa.array(exact[offsets[1:]] - exact[offsets[:-1]]),
+        head_known=longs(known[offsets[1:]] - known[offsets[:-1]]),
+        rare=pa.ListArray.from_arrays(ends, longs(distinct[gram])),
+        times=pa.ListArray.from_arrays(ends, longs(times)),
+    )
+
+
 def score(docs: DataFrame, model: Model, tokens: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_tokens, n_known, base_score, score.
 
@@ -229,17 +406,14 @@ def score(docs: DataFrame, model: Model, tokens: DataFrame) -> DataFrame:
     head = tokens.filter(F.col("n") >= least).toArrow()
     order = np.argsort(head.column("gram").to_numpy().view(np.uint64))
     shared = docs.sparkSession.sparkContext.broadcast(
-        (model, head.column("gram").to_numpy().view(np.uint64)[order], head.column("n").to_numpy()[order])
-    )
-    scored = materialize(
-        map_batches(
-            docs.select("doc_id", "text"),
-            partial(_scored, shared=shared),
-            "doc_id long, row long, n_tokens long, score double, head_score double, head_known long,"
-            " rare array<long>, times array<long>",
-        ),
-        "scores",
+        (replace(model, parts=None), head.column("gram").to_numpy().view(np.uint64)[order], head.column("n").to_numpy()[order])
     )
+    texts = docs.select("doc_id", "text")
+    if model.parts is None:
+        scored = map_batches(texts, partial(_scored, shared=shared), SCORED)
+    else:
+        scored = _scored_by_parts(texts, model, shared)
+    scored = materialize(scored, "scores")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r"))
     rare = rare.select("row", F.col("r.rare").alias("gram"), F.col("r.times").alias("times"))
     floor = model.n_tokens + 0.5 * (model.n_distinct + 1)
