@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 Batches = Iterator[pa.RecordBatch]
+OFFSET_BYTES = 1 << 31
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -58,7 +59,17 @@ def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Rec
 
 
 def _together(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+    """All rows in one batch. Columns of more bytes than 32-bit offsets reach get 64-bit ones, as
+    Arrow would cut them into several chunks."""
+    table = pa.Table.from_batches(parts)
+    wide = {pa.binary(): pa.large_binary(), pa.string(): pa.large_string()}
+    for i, column in enumerate(table.schema):
+        if column.type in wide and table.column(i).nbytes >= OFFSET_BYTES:
+            table = table.set_column(i, column.name, table.column(i).cast(wide[column.type]))
+    whole = table.combine_chunks().to_batches()
+    if len(whole) != 1:
+        raise ValueError(f"{table.num_rows} rows of one group came back in {len(whole)} batches")
+    return whole[0]
 
 
 def run_starts(keys: np.ndarray) -> np.ndarray:
