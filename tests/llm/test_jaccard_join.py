@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidebook.llm.components import components
 from tidebook.llm.jaccard_join import _Tree, _bitmap, _folded, jaccard_components, one_per_group
@@ -139,3 +140,13 @@ def test_one_per_group(documents):
     docs = documents(["a b c d e f", "a b c d e f", "other text", None, "other text"], [5, 4, 9, 2, None])
     assert sorted((r.doc_id or -1, r.lang) for r in one_per_group(docs).collect()) == [(-1, "en"), (2, "en"), (4, "en"), (9, "en")]
     assert one_per_group(docs).columns == docs.columns
+
+
+def test_one_per_group_tells_rows_of_one_id_apart(documents):
+    texts = ["p q r s t u", "a b c d e f", "v w x y z", "a b c d e f", "g h i j k l", "g h i j k l", "g h i j k l", "", " "]
+    docs = documents(texts, [1, 1, 2, 0, None, None, None, 3, 3]).withColumn("row_key", F.lit(5)).withColumn("key", F.lit(6))
+    got = one_per_group(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id if r.doc_id is not None else -1, r.text) for r in got.collect()) == [
+        (-1, "g h i j k l"), (0, "a b c d e f"), (1, "p q r s t u"), (2, "v w x y z"), (3, ""), (3, " ")
+    ]

@@ -23,6 +23,14 @@ def map_batches(df: DataFrame, function: Callable[[Batches], Batches], schema: s
     return df.mapInArrow(function, schema)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def binaries(parts: list[np.ndarray]) -> pa.Array:
     """One binary value for each array."""
     return pa.array([p.tobytes() for p in parts], pa.binary())

@@ -31,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.llm.arrow import Batches, batch, binaries, longs, map_batches, run_starts, whole_groups
+from tidebook.llm.arrow import Batches, batch, binaries, longs, map_batches, run_starts, unused, whole_groups
 from tidebook.llm.components import components
 from tidebook.llm.words import LOWER_WORDS, Words, grams, mix, slices, words_of
 from tidebook.session import materialize
@@ -205,6 +205,7 @@ def _signed(batches: Batches, n: int, percent: int, shared: Broadcast) -> Batche
         flat = np.concatenate(firsts) if firsts else hashes[:0]
         yield batch(
             doc_id=rows.column("doc_id"),
+            key=rows.column("key"),
             n_shingles=longs(sizes),
             node=longs(nodes),
             firsts=pa.ListArray.from_arrays(
@@ -403,23 +404,16 @@ def _open_blocks(blocks: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFr
     return dealt.select("token", "node", "n_shingles", "part", "bitmap")
 
 
-def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, node, component_id.
-
-    ``node`` is the fingerprint of the shingle set. Words are runs without blanks, A-Z as a-z.
-    A null text is empty; without words the set is empty, linked with nothing, and component_id is
-    the document's own id. Repeated rows and equal ids count as documents of their own. A null id
-    is never the smallest; it is returned only where all ids reached are null. Other columns are
-    ignored. An empty table gives no rows.
-    """
+def _placed(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """One row per row of ``docs``: doc_id, key (of id and text), n_shingles, node, component."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
     levels = spark.sparkContext.broadcast(frequency_levels(docs, n))
     signed = materialize(
         map_batches(
             docs,
             partial(_signed, n=n, percent=percent, shared=levels),
-            "doc_id long, n_shingles long, node long, firsts array<long>",
+            "doc_id long, key long, n_shingles long, node long, firsts array<long>",
         ),
         "signed",
     )
@@ -442,8 +436,20 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     crossing = map_batches(_open_blocks(blocks, parts, sets), partial(_crossing, percent=percent), "u long, v long")
     links = links.union(_verify(crossing, sets, percent))
     groups = components(links)
-    placed = signed.select("doc_id", "n_shingles", "node").join(groups, "node", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "node"))
+    placed = signed.select("doc_id", "key", "n_shingles", "node").join(groups, "node", "left")
+    return placed.withColumn("component", F.coalesce("component", "node"))
+
+
+def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, node, component_id.
+
+    ``node`` is the fingerprint of the shingle set. Words are runs without blanks, A-Z as a-z.
+    A null text is empty; without words the set is empty, linked with nothing, and component_id is
+    the document's own id. Repeated rows and equal ids count as documents of their own. A null id
+    is never the smallest; it is returned only where all ids reached are null. Other columns are
+    ignored. An empty table gives no rows.
+    """
+    placed = _placed(docs, n, percent)
     smallest = placed.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("smallest"))
     alone = F.col("n_shingles") == 0
     return placed.join(smallest, "component", "left").select(
@@ -466,11 +472,21 @@ def _needed_sets(docs: DataFrame, signed: DataFrame, blocks: DataFrame, n: int)
 
 
 def one_per_group(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` without near copies: of every group, one row with the smallest id.
+    """The rows of ``docs`` without near copies: of every group, the row with the smallest id.
 
-    All columns are kept. Documents without words stay. Rows with a null id stay.
+    All columns are kept. Rows are told apart by id and text, so rows of one id may be in different
+    groups; of several texts with the smallest id the one with the smallest hash stays. Documents
+    without words stay. A group that has null ids only keeps one row; beside a named row, rows with
+    a null id stay.
     """
-    groups = jaccard_components(docs, n, percent)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    key = unused("row_key", docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    placed = _placed(docs, n, percent).filter("n_shingles > 0")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    first = materialize(placed.groupBy("component").agg(F.min(order).alias("first")), "first")
+    chosen = first.select(F.col("first.key").alias(key))
+    beside = placed.filter("doc_id IS NULL").join(first.filter("NOT first.unnamed"), "component", "left_semi")
+    wordless = docs.filter(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    kept = keyed.join(chosen, key, "left_semi").dropDuplicates([key])
+    unnamed = keyed.filter("doc_id IS NULL").join(beside.select(F.col("key").alias(key)), key, "left_semi")
+    return kept.unionByName(unnamed).select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(wordless)
