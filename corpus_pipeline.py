@@ -29,9 +29,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their repeated passages; n_chars follows; documents of which nothing is left go."""
-    cut = cut_repeats(docs).filter("n_removed = 0 OR n_removed < n_words")
+    # Other columns are renamed for the time of the cut, as they may be called like its own.
+    names = [c if c in ("doc_id", "text", "n_chars") else f"c{i}" for i, c in enumerate(docs.columns)]
+    renamed = docs.select(*[F.col(f"`{old}`").alias(new) for old, new in zip(docs.columns, names)])
+    cut = cut_repeats(renamed).filter("n_removed = 0 OR n_removed < n_words")
     n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", n_chars).select(docs.columns)
+    cut = cut.withColumn("n_chars", n_chars)
+    return cut.select(*[F.col(new).alias(old) for old, new in zip(docs.columns, names)])
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,17 @@ def test_stages_on_empty_and_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             rows = stage(spark, rows, SMALL)
         assert rows.count() == 0
+
+
+def test_columns_called_like_the_stages_own(spark):
+    """Columns key, spans, n_words and others pass every stage unchanged."""
+    docs = table(spark, SMALL, "documents").limit(60)
+    own = ("key", "spans", "n_words", "n_removed", "node", "row_key", "hit_key")
+    extra = docs.selectExpr("*", *[f"concat('{c}', doc_id) AS {c}" for c in own])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = {r.doc_id: r.text for r in stage(spark, docs, SMALL).collect()}
+        got = stage(spark, extra, SMALL)
+        assert got.columns == extra.columns, name
+        found = got.collect()
+        assert {r.doc_id: r.text for r in found} == plain
+        assert all(r[c] == f"{c}{r.doc_id}" for r in found for c in own)

@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.llm.arrow import Batches, batch, binaries, longs, map_batches
+from tidebook.llm.arrow import Batches, batch, binaries, longs, map_batches, unused
 from tidebook.llm.bloom import bloom_filter, passes
 from tidebook.llm.words import PLAIN_WORDS, mix, slices, words_of
 from tidebook.session import materialize
@@ -205,5 +205,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def clean_of(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs, with all their columns."""
-    hit = contamination(docs, benchmark, window).filter("spans IS NOT NULL").select("key").distinct()
-    return docs.join(hit.hint("shuffle_hash"), F.xxhash64("doc_id", "text") == F.col("key"), "left_anti")
+    key = unused("hit_key", docs.columns)
+    hit = contamination(docs.select("doc_id", "text"), benchmark, window).filter("spans IS NOT NULL")
+    hit = hit.select(F.col("key").alias(key)).distinct()
+    return docs.join(hit.hint("shuffle_hash"), F.xxhash64("doc_id", "text") == F.col(key), "left_anti")
