@@ -21,4 +21,4 @@ def test_query_matches_its_sql(spark, connection, name):
 def test_all_are_registered():
     assert QUERIES.items() <= registered.queries().items()
     assert ORACLES.items() <= registered.oracle_sql().items()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))

@@ -1,0 +1,113 @@
+import math
+
+import numpy as np
+import pytest
+
+from tidebook.llm import whitening
+from tidebook.llm.queries import op13_whitening
+
+SMALL = "/root/testdata/sf0.001"
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def by_hand(vectors, components=4):
+    """Whole numbers in Python, eigenvectors from numpy."""
+    x = [[math.floor(256 * float(np.float32(c))) for c in v] for v in vectors]
+    listed = sorted(set(map(tuple, x)))
+    n, dims = len(listed), len(x[0])
+    sums = [sum(v[d] for v in listed) for d in range(dims)]
+    products = [[sum((n * v[i] - sums[i]) * (n * v[j] - sums[j]) for v in listed) for j in range(dims)] for i in range(dims)]
+    covariance = np.array([[p / n**3 for p in row] for row in products])
+    values, axes = np.linalg.eigh(covariance)
+    values, axes = values[::-1][:components], axes[:, ::-1][:, :components]
+    rows = []
+    for v in x:
+        rows.append((n, sum((n * a - s) ** 2 for a, s in zip(v, sums)), [(a - s / n) for a, s in zip(v, sums)] @ axes / np.sqrt(values)))
+    return rows, values / np.trace(covariance)
+
+
+def check(found, ids, vectors):
+    expected, explained = by_hand(vectors)
+    by_key = {}
+    for r in found:
+        by_key.setdefault(r.vec_id, {})[r.component] = r
+    assert sorted(by_key) == sorted(ids)
+    k = min(4, len(vectors[0]))
+    signs = {}
+    for key, (n, deviation, whitened) in zip(ids, expected):
+        assert sorted(by_key[key]) == list(range(1, k + 1))
+        for c, r in by_key[key].items():
+            assert (r.n, r.deviation) == (n, deviation)
+            assert r.explained == pytest.approx(explained[c - 1], rel=1e-9)
+            assert 0 <= r.identity_error < 1e-9
+            sign = signs.setdefault(c, 1 if r.whitened * whitened[c - 1] >= 0 else -1)
+            assert r.whitened == pytest.approx(sign * whitened[c - 1], abs=1e-7)
+
+
+def test_small_table(spark):
+    found = op13_whitening(spark, SMALL).collect()
+    rows = spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()
+    check(found, [r.vec_id for r in rows], [r.embedding for r in rows])
+
+
+def query(df):
+    model = whitening.fit(df)
+    return whitening.component_rows(whitening.whiten(df.select("vec_id", "embedding"), model), model)
+
+
+def test_nulls_copies_and_wide_ranges(spark):
+    draw = np.random.default_rng(3)
+    good = [[float(x) for x in v] for v in draw.normal(size=(40, 6)) * [1, 100, 0.01, 5, 1, 30] + [0, 5000, 0, -7, 0, 0]]
+    good += good[:15]
+    bad = [None, [], [1.0] * 5 + [None], [float("nan")] * 6, [float("inf"), *[0.0] * 5], [1.0, 2.0]]
+    rows = [(i, v, None) for i, v in enumerate(good)] + [(100 + i, v, 1) for i, v in enumerate(bad)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    check(query(df).collect(), list(range(len(good))), good)
+    nameless = query(df.withColumn("vec_id", df.vec_id * None)).collect()
+    assert len(nameless) == 4 * len(good) and {r.vec_id for r in nameless} == {None}
+
+
+def test_planes_count_every_bit():
+    draw = np.random.default_rng(5)
+    x = np.stack([draw.integers(-300, 300, 130), draw.integers(0, 2, 130), np.full(130, 9), draw.integers(-(1 << 62), 1 << 62, 130)], axis=1)
+    low = x.min(axis=0)
+    bits = np.array([int(b - a).bit_length() for a, b in zip(low, x.max(axis=0))])
+    (out,) = whitening._scatter(iter([whitening.batch(x=whitening.pa.array(x.tolist()))]), low, bits)
+    found = {(r["i"], r["j"]): (int(r["upper"]) << 32) + r["lower"] for r in out.to_pylist()}
+    u = [[int(a) - int(b) for a, b in zip(row, low)] for row in x]
+    for i in range(4):
+        assert found[i, -1] == sum(row[i] for row in u)
+        for j in range(i + 1):
+            assert found[i, j] == sum(row[i] * row[j] for row in u)
+
+
+def test_order_and_partitions_change_nothing(spark):
+    df = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    one, many = whitening.fit(df.coalesce(1)), whitening.fit(df.repartition(7).union(df))
+    assert (one.n, one.sums) == (many.n, many.sums)
+    assert np.array_equal(one.values, many.values) and np.array_equal(one.vectors, many.vectors)
+
+
+def test_without_variance(spark):
+    flat = spark.createDataFrame([(i, [1.0, 2.0], None) for i in range(3)], SCHEMA)
+    found = query(flat).collect()
+    assert len(found) == 6
+    assert all((r.n, r.deviation, r.whitened, r.explained, r.identity_error) == (1, 0, None, None, None) for r in found)
+    line = query(spark.createDataFrame([(i, [float(i), 1.0], None) for i in range(3)], SCHEMA)).collect()
+    assert {(r.component, r.whitened is None, r.explained) for r in line} == {(1, False, 1.0), (2, True, 0.0)}
+
+
+def test_empty_and_clashing_names(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert query(empty).collect() == []
+    assert whitening.fit(empty) is None
+    df = spark.createDataFrame([(i, [float(i), 1.0 / (i + 1)], 5, "a", "b", "c") for i in range(4)], f"{SCHEMA}, x string, n string, whitened string")
+    out = whitening.whiten(df, whitening.fit(df))
+    assert out.columns == ["vec_id", "label", "x", "n", "deviation", "whitened"]
+    assert {(r.x, r.n) for r in out.collect()} == {("a", "b")}
+
+
+def test_deviation_beyond_a_long(spark):
+    df = spark.createDataFrame([(0, [1e15, 0.0]), (1, [-1e15, 1.0]), (2, [0.0, 1e300])], "vec_id long, embedding array<double>")
+    found = query(df).collect()
+    assert {r.deviation for r in found} == {None} and all(math.isfinite(r.whitened) for r in found if r.whitened is not None)

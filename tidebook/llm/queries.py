@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import chat_format, decontaminate, jaccard_join, language_id, lm_scoring, packing, quality_rules, sharding, substring_dedup, url_filter
+from tidebook.llm import chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, lm_scoring, packing, quality_rules, resampling, sharding, substring_dedup, url_filter, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,4 +109,19 @@ def op10_url_filter(spark: SparkSession, root: str) -> DataFrame:
     return url_filter.judge(table(spark, root, "pages").select("page_id", "url"), model)
 
 
-QUERIES: dict[str, Query] = {query.__name__: query for query in (op1_quality_rules, op2_lm_scoring, op3_decontaminate, op4_language_id, op5_jaccard_join, op6_packing, op7_chat_format, op8_sharding, op9_substring_dedup, op10_url_filter)}
+def op11_embedding_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, root, "embeddings"))
+
+
+def op12_resampling(spark: SparkSession, root: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, root, "documents"), table(spark, root, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_whitening(spark: SparkSession, root: str) -> DataFrame:
+    vectors = table(spark, root, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    return whitening.component_rows(whitening.whiten(vectors, model), model)
+
+
+QUERIES: dict[str, Query] = {query.__name__: query for query in (op1_quality_rules, op2_lm_scoring, op3_decontaminate, op4_language_id, op5_jaccard_join, op6_packing, op7_chat_format, op8_sharding, op9_substring_dedup, op10_url_filter, op11_embedding_dedup, op12_resampling, op13_whitening)}
