@@ -3,7 +3,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import SMALL, plan_after, plan_of, rows
+from helpers import SMALL, plan_after, plan_of, rows
 from entities import items, orders, products
 
 from tidebook.operators import affinity

@@ -1,7 +1,7 @@
 import glob
 
 import pytest
-from conftest import SMALL
+from helpers import SMALL
 
 from tidebook.__main__ import parser, run
 from tidebook.sources import csv_tables, star

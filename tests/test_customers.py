@@ -2,7 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import rows
+from helpers import rows
 from entities import items, orders, products
 
 from tidebook.plans import customers as cust

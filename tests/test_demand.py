@@ -3,7 +3,7 @@ from collections import defaultdict
 from datetime import date
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from entities import items, orders, products
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@ import glob
 import os
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tidebook.plans import marts
@@ -91,7 +91,7 @@ def test_failed_write_publishes_nothing(spark, tmp_path):
 def test_forecast_of_an_unknown_product_is_rejected(spark):
     from datetime import date
 
-    from conftest import SMALL
+    from helpers import SMALL
 
     from tidebook.sources import star
 

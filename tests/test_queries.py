@@ -1,6 +1,6 @@
 import pytest
 from check_oracles import compare, duckdb_tables
-from conftest import SMALL, plan_of
+from helpers import SMALL, plan_of
 
 import __spark_entry__ as registered
 from tidebook.plans.oracles import ORACLES

@@ -2,7 +2,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from conftest import rows
+from helpers import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -153,7 +153,7 @@ def test_inferred_type_holds_every_value(spark, values):
 
 
 def test_profile_needs_no_sort(spark):
-    from conftest import plan_of
+    from helpers import plan_of
 
     df = text_table(spark, {"a": ["1"], "b": ["x"]})
     assert "Sort" not in plan_of(profile_columns(df))

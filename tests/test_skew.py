@@ -1,7 +1,7 @@
 """One key holds a third or more of all rows; results must be whole and no task may get it all."""
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from entities import products
 from pyspark.sql import functions as F
 

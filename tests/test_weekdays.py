@@ -2,7 +2,7 @@ from collections import defaultdict
 from datetime import date, timedelta
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from entities import orders
 from pyspark.sql import functions as F
 

@@ -13,10 +13,11 @@ def with_position(df: DataFrame, order: list[Column]) -> DataFrame:
     return df.withColumn("position", F.row_number().over(Window.orderBy(*order)))
 
 
-def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
+def numbered(df: DataFrame, order: list[Column], kind: str = "int") -> DataFrame:
     """The same for a result of any size: sorted by ranges, written with each row's range and place
     in it, and numbered by adding the sizes of the ranges before. ``order`` must end in a unique
-    key; no task sees more than a range, and the list of ranges has a row per task."""
+    key; no task sees more than a range, and the list of ranges has a row per task. ``kind`` is the
+    type of the position: ``long`` where there may be more than 2**31 rows."""
     place = F.monotonically_increasing_id()
     ranges = materialize(df.orderBy(*order).withColumn("place", place), "numbered")
     of = F.shiftright("place", 33)
@@ -27,7 +28,7 @@ def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
     offsets = sizes.select("range", before.alias("before"))
     within = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
     joined = ranges.join(F.broadcast(offsets), of == F.col("range"))
-    return joined.select(*df.columns, (F.col("before") + within + 1).cast("int").alias("position"))
+    return joined.select(*df.columns, (F.col("before") + within + 1).cast(kind).alias("position"))
 
 
 def top(df: DataFrame, order: list[Column], n: int) -> DataFrame:
