@@ -251,7 +251,7 @@ def resample(
     fit = F.col("n_words") >= least_words
     draw = weighed.filter(fit).count() * percent // 100
     order = [F.desc("score"), F.col("doc_id").asc_nulls_last(), F.col("n_features"), F.col("weight")]
-    ranked = numbered(weighed.filter(fit), order).withColumn("position", F.col("position").cast("long"))
+    ranked = numbered(weighed.filter(fit), order, "long")
     rank = F.when(F.col("position") <= draw, F.col("position"))
     drawn = ranked.withColumn("rank", rank).drop("position")
     return drawn.unionByName(weighed.filter(~fit).withColumn("rank", F.lit(None).cast("long")))
