@@ -34,6 +34,8 @@ BUCKET_ROWS = 16
 GROUP = 1024
 SEED = 20_011
 MOST_BITS = 30
+# Above so many crowded buckets they are joined by a shuffle of the vectors instead of a broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 def linkable(column: str | Column) -> Column:
@@ -162,6 +164,9 @@ def _dealt(signed: DataFrame) -> DataFrame:
     entries = signed.select("node", "dims", F.posexplode("signatures").alias("place", "signature"))
     crowded = entries.groupBy("place", "signature", "dims").count().filter(F.col("count") > GROUP)
     groups = crowded.select("place", "signature", "dims", F.ceil(F.col("count") / GROUP).cast("int").alias("groups"))
+    groups = materialize(groups, "crowded")
+    if groups.count() <= BROADCAST_ROWS:
+        groups = F.broadcast(groups)
     every = signed.select("*", F.posexplode("signatures").alias("place", "signature"))
     every = every.join(groups, ["place", "signature", "dims"], "left")
     side = F.coalesce(F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"), F.lit(0))

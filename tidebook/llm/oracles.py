@@ -126,9 +126,67 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged LEFT JOIN scores USING (r)
 """
 
+# All pairs: the query finds its pairs by hashing, and all of them on the given tables.
+EMBEDDING_DEDUP = """
+WITH RECURSIVE rows AS (
+    SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+good AS (
+    SELECT * FROM rows WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.r <> b.r AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reached AS (
+    SELECT r AS a, r AS b FROM rows
+    UNION
+    SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b),
+groups AS (SELECT a, min(vec_id) AS component_id FROM reached JOIN rows ON r = b GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = rows.r) AS n_links, component_id,
+    vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows JOIN groups ON groups.a = rows.r
+"""
+
+RESAMPLING = rf"""
+WITH {CRC_TABLE},
+texts AS (
+    SELECT row_number() OVER () AS r, true AS corpus, doc_id, text FROM documents
+    UNION ALL SELECT -row_number() OVER (), false, NULL, text FROM benchmark),
+cut AS (
+    SELECT r, corpus, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+runs AS (
+    SELECT r, corpus, array_to_string(w[i : i + n - 1], ' ') AS run
+    FROM (SELECT r, corpus, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM cut, range(1, 4) t(n) WHERE len(w) >= n)),
+hashed AS (SELECT run, {crc32(utf8_codes("run"))} % 10000 AS b FROM (SELECT DISTINCT run FROM runs), crc),
+features AS (SELECT r, corpus, b, count(*) AS n FROM runs JOIN hashed USING (run) GROUP BY r, corpus, b),
+counts AS (
+    SELECT b, (sum(n) FILTER (corpus))::DOUBLE AS s, coalesce(sum(n) FILTER (NOT corpus), 0)::DOUBLE AS t
+    FROM features GROUP BY b),
+totals AS (SELECT coalesce(sum(s), 0) AS big_s, coalesce(sum(t), 0) AS big_t FROM counts),
+gains AS (
+    SELECT b, CAST(floor(1000::DOUBLE * ln(((t + 1) * (big_s + 10000)) / ((s + 1) * (big_t + 10000)))) AS BIGINT) AS gain
+    FROM counts, totals WHERE s IS NOT NULL),
+weights AS (
+    SELECT r, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight
+    FROM features JOIN gains USING (b) WHERE corpus GROUP BY r),
+scored AS (
+    SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000::DOUBLE * ln(-ln((CAST('0x' || substr(
+            sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE)))
+            AS BIGINT) AS score
+    FROM cut LEFT JOIN weights USING (r) WHERE corpus),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS p,
+        count(*) OVER (PARTITION BY n_words >= 20) AS many
+    FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND p <= 5 * many // 100 THEN p END AS rank FROM ranked
+"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": QUALITY_RULES,
     "op3_decontaminate": DECONTAMINATE,
     "op8_sharding": SHARDING,
     "op9_substring_dedup": SUBSTRING_DEDUP,
+    "op11_embedding_dedup": EMBEDDING_DEDUP,
+    "op12_resampling": RESAMPLING,
 }
