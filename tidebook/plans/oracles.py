@@ -246,6 +246,23 @@ SELECT table_name, n AS n_source, n AS n_loaded, CAST(0 AS BIGINT) AS diff FROM
 
 SIMILAR_TO_REFERENCE = _similar(BEST_SELLER)
 
+EVENT_VALUES = """
+WITH pairs AS (
+  SELECT user_id AS entity, event_id, unnest([
+    {'a': 'k', 'v': json_extract_string(props, '$.k')}, {'a': 'value', 'v': CAST(value AS VARCHAR)},
+    {'a': 'event_type', 'v': event_type}, {'a': 'is_purchase', 'v': CAST(event_type = 'purchase' AS VARCHAR)},
+    {'a': 'ts', 'v': strftime(ts, '%Y-%m-%d')}, {'a': 'shade', 'v': json_extract_string(props, '$.shade')}]) AS p
+  FROM events),
+typed AS (
+  SELECT entity, event_id, p.a AS attribute,
+    CASE p.a WHEN 'event_type' THEN 'text' WHEN 'is_purchase' THEN 'boolean' WHEN 'shade' THEN NULL ELSE 'number' END AS data_type,
+    CASE WHEN p.a = 'event_type' THEN trim(p.v) END AS value_text,
+    CASE WHEN p.a IN ('k', 'value') THEN TRY_CAST(p.v AS DOUBLE) END AS value_number,
+    CASE WHEN p.a = 'is_purchase' THEN p.v = 'true' END AS value_boolean,
+    CASE WHEN p.a = 'shade' THEN 'unknown attribute' WHEN trim(p.v) IS NULL OR trim(p.v) = '' THEN 'missing'
+      WHEN p.a = 'ts' THEN 'not a number' END AS problem
+  FROM pairs)"""
+
 ORACLES: dict[str, str] = {
     "order_eda": """SELECT COUNT(*) AS n_rows, CAST(6 AS BIGINT) AS n_columns,
   round_even(FSUM(o_totalprice) / COUNT(o_totalprice), 2) AS mean_value
@@ -333,4 +350,15 @@ UNION ALL SELECT 'forecast', COUNT(DISTINCT month) FROM forecast
 UNION ALL SELECT 'recommendations', COUNT(*) FROM ({SIMILAR_TO_REFERENCE})""",
 }
 
+ORACLES["typed_event_values"] = f"{EVENT_VALUES} SELECT * FROM typed"
+ORACLES["event_value_problems"] = f"""{EVENT_VALUES}
+SELECT attribute, problem, COUNT(*) AS n_rows FROM typed GROUP BY ALL"""
+ORACLES["event_value_spellings"] = f"""{EVENT_VALUES},
+spelled AS (SELECT attribute, value_text, COUNT(*) AS n_rows FROM typed WHERE value_text IS NOT NULL GROUP BY ALL)
+SELECT attribute, value_text, n_rows, FIRST_VALUE(value_text) OVER (
+  PARTITION BY attribute, lower(value_text) ORDER BY n_rows DESC, value_text) AS usual FROM spelled"""
+ORACLES["users_wide"] = f"""{EVENT_VALUES}
+SELECT entity, ARG_MIN(value_number, event_id) FILTER (attribute = 'k') AS k,
+  ARG_MIN(value_number, event_id) FILTER (attribute = 'value') AS value, MIN_BY(value_text, event_id) AS event_type,
+  MIN_BY(value_boolean, event_id) AS is_purchase, CAST(NULL AS DOUBLE) AS ts FROM typed GROUP BY entity"""
 ORACLES["approved_mart"] = ORACLES["mart_weekdays"]

@@ -16,6 +16,7 @@ from tidebook.operators.affinity import (
     count_categories,
     purchases,
 )
+from tidebook.operators.attributes import usual_spelling, value_problems
 from tidebook.operators.calendar import calendar, observed_bounds
 from tidebook.operators.demand import forecast_error, monthly_units
 from tidebook.operators.schema import (
@@ -26,7 +27,7 @@ from tidebook.operators.schema import (
     value_ranges,
 )
 from tidebook.plans import customers as cust
-from tidebook.plans import demand, marts, overview, recommend, weekdays
+from tidebook.plans import attributes, demand, marts, overview, recommend, weekdays
 from tidebook.plans.ingest import Ingested, ingest
 from tidebook.session import scratch_path
 from tidebook.sources import csv_tables, star, warehouse
@@ -348,6 +349,24 @@ def published_marts(spark: SparkSession, root: str) -> DataFrame:
     return warehouse.count_rows(written, "n_rows")
 
 
+def typed_event_values(spark: SparkSession, root: str) -> DataFrame:
+    """Properties of events typed by a dictionary; rows that do not fit say why."""
+    return attributes.typed_event_values(spark, root).drop("value")
+
+
+def event_value_problems(spark: SparkSession, root: str) -> DataFrame:
+    return value_problems(attributes.typed_event_values(spark, root))
+
+
+def event_value_spellings(spark: SparkSession, root: str) -> DataFrame:
+    return usual_spelling(attributes.typed_event_values(spark, root))
+
+
+def users_wide(spark: SparkSession, root: str) -> DataFrame:
+    """A row for each user: the values of the first event that has a good one."""
+    return attributes.users_wide(spark, root)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -395,5 +414,9 @@ QUERIES: dict[str, Query] = {
         approved_mart,
         rejected_mart,
         published_marts,
+        typed_event_values,
+        event_value_problems,
+        event_value_spellings,
+        users_wide,
     )
 }
