@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 from pathlib import Path
 
 import numpy as np
@@ -11,16 +13,36 @@ from pyspark.sql import DataFrame
 
 Batches = Iterator[pa.RecordBatch]
 OFFSET_BYTES = 1 << 31
+# Bytes of rows that go to a Python worker at once, and how Spark says that nobody has set a limit.
+BATCH_BYTES = 4 << 20
+LIMIT, UNSET_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def map_batches(df: DataFrame, function: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """``mapInArrow``, with this package importable in the Python workers of a local session."""
+    """``mapInArrow``, with this package importable in the Python workers of a local session.
+
+    A session that has no limit of its own on the bytes of a batch gets one: 10,000 long texts at
+    once are held by the executor, by Arrow and by Python. Workers give freed memory back when a
+    task ends, as they are used again.
+    """
+    if df.sparkSession.conf.get(LIMIT) == UNSET_LIMIT:
+        df.sparkSession.conf.set(LIMIT, str(BATCH_BYTES))
     environment = df.sparkSession.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
     if _ROOT not in paths:
         environment["PYTHONPATH"] = ":".join([*paths, _ROOT])
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(partial(_freeing, function=function), schema)
+
+
+def _freeing(batches: Batches, function: Callable[[Batches], Batches]) -> Batches:
+    try:
+        yield from function(batches)
+    finally:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
 
 
 def unused(name: str, columns: list[str]) -> str:

@@ -8,8 +8,9 @@
    at most ``slack`` for proximity matches. An exact match also compares every word of the window
    with the words that the posting carries.
 
-A common benchmark word has long lists, but they are joined by (window, document, place), never
-by word alone, and only the rarest word of a window brings its list in full.
+For exact matches a common benchmark word's list never leaves the task that holds it: the words
+around each of the postings are compared there, and only documents with a match bring a second list.
+Proximity matches join the lists of both words by (window, document, place).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ from tidebook.llm.words import PLAIN_WORDS, mix, slices, words_of
 from tidebook.session import materialize
 
 WINDOW = 10
+# Documents found are told to all tasks up to this number (8 bytes each); beyond it by a shuffle.
+BROADCAST_KEYS = 1_000_000
 
 
 def _windows(batches: Batches, window: int) -> Batches:
@@ -56,6 +60,14 @@ def _print(words: np.ndarray) -> int:
     return int(value[0])
 
 
+def _prints(words: np.ndarray) -> np.ndarray:
+    """``_print`` of every row of a matrix of words."""
+    value = np.full(len(words), words.shape[1], np.uint64)
+    for column in words.T:
+        value = mix(value * np.uint64(31) + column)
+    return value
+
+
 def _count_terms(batches: Batches, terms: Broadcast) -> Batches:
     for rows in slices(batches, "text"):
         hashes = words_of(rows.column("text"), PLAIN_WORDS).hashes
@@ -154,12 +166,79 @@ def positional_index(docs: DataFrame, anchors: DataFrame, window: int = WINDOW)
     )
 
 
+def _candidates(batches: Batches, window: int, lengths: list[int], shared: Broadcast) -> Batches:
+    """Places around the postings with a context where the words may be a window, with these words.
+
+    A posting has one place for each offset that its word can have in a window of each length; a
+    filter of all windows' hashes is asked, so nearly all that leaves a task is a match.
+    """
+    for rows in batches:
+        terms = rows.column("terms")
+        counts = np.diff(terms.offsets.to_numpy())
+        contexts = rows.column("contexts").flatten()
+        has = np.flatnonzero(pc.binary_length(contexts).to_numpy() > 0)
+        if not len(has):
+            continue
+        around = np.frombuffer(b"".join(contexts.take(pa.array(has)).to_pylist()), np.uint64).reshape(len(has), -1)
+        position = rows.column("positions").flatten().to_numpy()[has]
+        key = np.repeat(rows.column("key").to_numpy(), counts)[has]
+        for length in lengths:
+            for offset in range(length):
+                there = around[:, window - 1 - offset : window - 1 - offset + length]
+                found = np.flatnonzero(passes(shared.value, _prints(there)) & (there != 0).all(axis=1))
+                if len(found):
+                    yield batch(
+                        key=longs(key[found]),
+                        window=longs(_prints(there[found])),
+                        start=longs(position[found] - offset),
+                        offset=pa.array(np.full(len(found), offset, np.int32)),
+                        there=binaries(list(there[found])),
+                    )
+
+
+def exact_matches(index: DataFrame, anchors: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(key, window, start, length, exact): places where windows occur in the indexed documents.
+
+    The lists of the rarest words are compared with the windows where they are stored, and what is
+    left is intersected with the lists of the second rarest words, of the documents in question only:
+    the rows that are shuffled follow the matches, however common the words are.
+    """
+    spark = index.sparkSession
+    first = anchors.filter("rank = 1").select("window", "terms", "length", "offset")
+    lengths = sorted(r["length"] for r in first.select("length").distinct().collect())
+    filled = spark.sparkContext.broadcast(bloom_filter(first.select("window"), first.count()))
+    postings = index.select("key", "terms", "positions", "contexts").filter(F.size("terms") > 0)
+    found = map_batches(
+        postings,
+        partial(_candidates, window=window, lengths=lengths, shared=filled),
+        "key long, window long, start long, offset int, there binary",
+    )
+    same = found.join(first, ["window", "offset"]).filter(F.col("there") == F.col("terms"))
+    same = materialize(same.select("key", "window", "start", "length").distinct(), "candidates")
+    keys = few(same.filter("length > 1").select("key").distinct())
+    second = anchors.filter("rank = 2").select("window", "term", "offset")
+    lists = index.select("key", "terms", "positions").join(keys, "key", "left_semi")
+    lists = lists.select("key", F.explode(F.arrays_zip("terms", "positions")).alias("p"))
+    lists = lists.select("key", F.col("p.terms").alias("term"), F.col("p.positions").alias("position")).distinct()
+    # The windows found in a document tell which of its second lists are asked for.
+    asked = same.filter("length > 1").join(second, "window")
+    both = asked.join(
+        lists.withColumnRenamed("key", "at"),
+        (F.col("key") == F.col("at")) & (asked["term"] == lists["term"]) & (F.col("position") == F.col("start") + F.col("offset")),
+        "left_semi",
+    )
+    exact = both.select("key", "window", "start", "length").union(same.filter("length = 1"))
+    return exact.distinct().withColumn("exact", F.lit(True))
+
+
 def phrase_matches(index: DataFrame, anchors: DataFrame, window: int = WINDOW, slack: int = 0) -> DataFrame:
     """(key, window, start, length, exact): places where windows occur in the indexed documents.
 
     With ``slack`` 0 only exact matches. Else also places where the window's two rarest words stand
     at most that many words farther from each other, or nearer, than in the window.
     """
+    if not slack:
+        return exact_matches(index, anchors, window)
     postings = index.select("key", F.explode(F.arrays_zip("terms", "positions", "contexts")).alias("p")).select(
         "key", F.col("p.terms").alias("term"), F.col("p.positions").alias("position"), F.col("p.contexts").alias("context")
     )
@@ -170,10 +249,6 @@ def phrase_matches(index: DataFrame, anchors: DataFrame, window: int = WINDOW, s
     rarest = placed.filter("rank = 1").withColumn("exact", F.col("there") == F.col("terms"))
     second = placed.filter("rank = 2").select("key", "window", F.col("start").alias("other"))
     rarest = rarest.select("key", "window", "start", "length", "exact")
-    if not slack:
-        lists = second.withColumnRenamed("other", "start").distinct()
-        both = rarest.filter("exact AND length > 1").join(lists, ["key", "window", "start"], "left_semi")
-        return both.union(rarest.filter("exact AND length = 1")).distinct()
     near = F.explode(F.sequence(F.floor(F.col("other") / slack) - 1, F.floor(F.col("other") / slack) + 1))
     second = second.withColumn("cell", near)
     joined = rarest.withColumn("cell", F.floor(F.col("start") / slack)).join(second, ["key", "window", "cell"])
@@ -181,6 +256,12 @@ def phrase_matches(index: DataFrame, anchors: DataFrame, window: int = WINDOW, s
     return close.union(rarest.filter("length = 1")).distinct()
 
 
+def few(keys: DataFrame) -> DataFrame:
+    """The rows, written; marked for a broadcast if they are counted to be at most ``BROADCAST_KEYS``."""
+    keys = materialize(keys, "keys")
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): key, doc_id, n_words, spans, items.
 
@@ -207,5 +288,5 @@ def clean_of(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Dat
     """The rows of ``docs`` in which no benchmark window occurs, with all their columns."""
     key = unused("hit_key", docs.columns)
     hit = contamination(docs.select("doc_id", "text"), benchmark, window).filter("spans IS NOT NULL")
-    hit = hit.select(F.col("key").alias(key)).distinct()
-    return docs.join(hit.hint("shuffle_hash"), F.xxhash64("doc_id", "text") == F.col(key), "left_anti")
+    hit = few(hit.select(F.col("key").alias(key)).distinct())
+    return docs.join(hit, F.xxhash64("doc_id", "text") == F.col(key), "left_anti")
