@@ -97,3 +97,16 @@ def test_sample_is_bounded(documents, monkeypatch):
     monkeypatch.setattr(l, "SAMPLE_DOCUMENTS", 4)
     docs = documents(["a"] * 60 + ["a" * 10_000], None, ["en"] * 40 + ["fr"] * 21)
     assert sorted(r.lang for r in l.training_sample(docs).collect()) == ["en"] * 4 + ["fr"] * 4
+
+
+def test_language_of_long_documents_only(documents):
+    """Documents of any length are learned from, a piece of the long ones."""
+    french, english = "le chat là bas et le chien à côté ", "the cat and the dog in the house "
+    docs = documents([french * 400] * 30 + [english] * 30, None, ["fr"] * 30 + ["en"] * 30)
+    model = l.fit(docs)
+    assert model.languages == ["en", "fr"]
+    assert [(r.doc_id <= 30) == (r.lang_pred == "fr") for r in l.predict(docs, model).collect()] == [True] * 60
+    sample = l.training_sample(docs).collect()
+    assert all(len(r.text) == min(l.SAMPLE_CHARACTERS, len(french if r.lang == "fr" else english) * (400 if r.lang == "fr" else 1)) for r in sample)
+    pieces = {r.text for r in sample if r.lang == "fr"}
+    assert len(pieces) > 5 and all(piece in french * 401 for piece in pieces)

@@ -23,9 +23,10 @@ from tidebook.llm.arrow import Batches, batch, longs, map_batches
 from tidebook.llm.words import fold_table, slices, text_buffers
 
 ORDER = 3
-# The training sample: per language at most so many documents of at most so many bytes.
+# The training sample: per language at most so many documents, and of each at most so many
+# characters (32 KB), from a place that a hash tells.
 SAMPLE_DOCUMENTS = 1000
-SAMPLE_BYTES = 8192
+SAMPLE_CHARACTERS = 8192
 DRAWN = 4
 UNKNOWN = "und"
 PIECE = 1 << 16
@@ -65,11 +66,13 @@ def _grams(batches: Batches) -> Batches:
 def training_sample(docs: DataFrame) -> DataFrame:
     """(lang, text) of up to ``SAMPLE_DOCUMENTS`` documents per language, by the hash of their ids.
 
-    Documents whose crc32 of the id as text leaves 1 by 3 are held out.
+    Documents of any length are drawn; of one longer than ``SAMPLE_CHARACTERS`` a piece is learned
+    from, so the sample's bytes are bounded for each language. Documents whose crc32 of the id as
+    text leaves 1 by 3, and those without an id, a language or a text, are not learned from.
     """
     usable = docs.filter(
         F.col("lang").isNotNull()
-        & (F.octet_length("text") <= SAMPLE_BYTES)
+        & F.col("text").isNotNull()
         & (F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
     )
     # A draw that leaves a few times as many as wanted, so that no task ranks a whole language.
@@ -80,7 +83,10 @@ def training_sample(docs: DataFrame) -> DataFrame:
         "place", F.row_number().over(W.partitionBy("lang").orderBy("draw", "doc_id"))
     )
     chosen = F.broadcast(ids.filter(F.col("place") <= SAMPLE_DOCUMENTS).select("doc_id", "lang").distinct())
-    return usable.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
+    sampled = usable.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
+    spare = F.greatest(F.length("text") - SAMPLE_CHARACTERS, F.lit(0)) + 1
+    start = F.pmod(F.xxhash64("doc_id", F.length("text")), spare).cast("int") + 1
+    return sampled.select("lang", F.col("text").substr(start, F.lit(SAMPLE_CHARACTERS)).alias("text"))
 
 
 @dataclass
