@@ -1,26 +1,30 @@
 """LM scoring with a log-frequency Bloom filter of word n-grams.
 
-Words and word pairs of all training documents are counted by their 64-bit hashes, and the counts
-quantised to logarithmic levels. A gram of level q is entered in the filter q times, with the level
-as part of its key; asking for levels 1, 2, ... until one is missing gives its level back, and so
-its count within the factor of a step, never underrated. The filter has a part for each bucket of
-grams, made where the bucket is counted and sized by what is entered there, so it is equally full
-whatever the corpus. Up to a stated size it is broadcast; beyond it the documents' grams are sent
-to the parts of their buckets and the levels sent back. Smoothed probabilities come from the levels.
+Words and word pairs of all training documents are counted by their hashes, and the counts quantised
+to levels (1, 2, 3, 4, 6, 8, 12, ...). A gram of level q is entered in the filter q times, with the
+level as part of its key; asking for levels 1, 2, ... until one is missing gives its level back, and
+so bounds of its count. The filter has a part for each bucket of grams, made where the bucket is
+counted and sized by what is entered there, so it is equally full whatever the corpus.
+
+A filter of a whole corpus grows with it and has no bound that would allow a broadcast. It stays in
+its parts, at every size: documents are gathered in units of some megabytes, a unit's distinct grams
+are sent to the parts of their buckets, and the levels are sent back.
+
+Probabilities of a word after another use the lower bound of the pair's count and the upper bound of
+the first word's, so that those of all words after one word sum to 1 at most.
 """
 
 from __future__ import annotations
 
-import gc
 import math
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass, replace
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import partial
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,26 +32,26 @@ from tidebook.llm.arrow import Batches, batch, binaries, longs, map_batches, run
 from tidebook.llm.words import LOWER_WORDS, Words, mix, slices, words_of
 from tidebook.session import materialize
 
-# Bits for each level entered. With six probes 22 % are set, and one level in 9,000 is overrated.
-BITS_EACH = 24
-PROBES = 6
-# Filters of up to so many bits (128 MB) are broadcast.
-BROADCAST_BITS = 1 << 30
-# Training tokens for each bucket, whose counts are held in one task.
-TOKENS_PER_BUCKET = 1 << 21
+# Bits for each level entered and probe: half of the filter's bits are set.
+BITS_EACH = 1.45
+# Text of a bucket, whose counts are held in one task, and of a unit of documents.
+BUCKET_BYTES = 4 << 20
+UNIT_BYTES = 16 << 20
 LEAST_BUCKETS = 16
-# Level q stands for counts of about STEP ** (q - 1).
-STEP = 2.0
-MOST_LEVELS = 48
-# What a pair's estimate gives to the estimate of its second word.
+LEAST_PROBES = 16
+# Bits of a pair's key within its bucket.
+SHORT = 40
+# What a pair's share gives to the share of its second word.
 BACKOFF = 0.4
-# Words whose exact counts are sent to all tasks have at least this share of all tokens, so there
-# are no more than its inverse (16 bytes each).
-HEAD_SHARE = 1 / 1_000_000
-ROWS_PER_TASK = 1 << 33
+UNITS_PER_TASK = 1 << 33
+_PIECE = 1 << 16
+
+# The smallest count of each level, level 1 first.
+THRESHOLDS = np.array(sorted({1 << k for k in range(62)} | {3 << k for k in range(60)}), np.int64)
 
 _END = mix(np.array([0xE0D], np.uint64))[0]
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
+_SINGLES, _PAIRS = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25)
 
 
 def _tokens(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -67,365 +71,357 @@ def _pairs(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return mix(before * _PAIR + tokens)
 
 
-def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
-    """Buckets by the upper bits, so sorted grams are sorted by bucket; a power of two of them."""
-    return (grams >> np.uint64(65 - buckets.bit_length())).astype(np.int64)
+def _units(batches: Batches) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]]:
+    """Documents of ``UNIT_BYTES`` of text together: their rows without text, tokens and offsets."""
+    rows, tokens, ends, size = [], [], [np.zeros(1, np.int64)], 0
 
+    def whole() -> tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]:
+        return rows, np.concatenate(tokens), np.concatenate(ends)
 
-def _by_bucket(grams: np.ndarray, buckets: int) -> tuple[list[int], list[slice]]:
-    """Buckets that sorted grams fall into, and where."""
-    cuts = np.searchsorted(_bucket(grams, buckets), np.arange(buckets + 1)).tolist()
-    full = [i for i in range(buckets) if cuts[i] < cuts[i + 1]]
-    return full, [slice(cuts[i], cuts[i + 1]) for i in full]
+    for part in slices(batches, "text"):
+        found, offsets = _tokens(words_of(part.column("text"), LOWER_WORDS))
+        rows.append(part.drop_columns(["text"]))
+        tokens.append(found)
+        ends.append(ends[-1][-1] + offsets[1:])
+        size += part.nbytes
+        if size >= UNIT_BYTES:
+            yield whole()
+            rows, tokens, ends, size = [], [], [np.zeros(1, np.int64)], 0
+    if rows:
+        yield whole()
+
+
+# Bytes of whole numbers
 
 
-def _planes(values: np.ndarray) -> np.ndarray:
-    """Bytes of equal weight together: files and shuffles compress the upper ones."""
-    return values.view(np.uint8).reshape(-1, values.itemsize).T
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers as bytes of equal weight together, only as many as the largest needs."""
+    width = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
+    planes = values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T[:width]
+    return bytes([width]) + planes.tobytes()
 
 
-def _from_planes(blob: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(blob, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+def _unpacked(blob: bytes) -> np.ndarray:
+    width = blob[0]
+    out = np.zeros(((len(blob) - 1) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(blob, np.uint8, offset=1).reshape(width, -1).T
+    return out.view(np.uint64).ravel()
 
 
-def _steps(grams: np.ndarray) -> np.ndarray:
-    """Sorted grams as the bytes of their differences."""
-    return _planes(np.diff(grams, prepend=np.uint64(0)))
+def _steps(grams: np.ndarray) -> bytes:
+    """Sorted grams by their differences."""
+    return _packed(np.diff(grams, prepend=np.uint64(0)))
 
 
 def _from_steps(blob: bytes) -> np.ndarray:
-    return np.cumsum(_from_planes(blob, np.uint64), dtype=np.uint64)
+    return np.cumsum(_unpacked(blob), dtype=np.uint64)
+
+
+def _blobs(parts: list[bytes]) -> pa.Array:
+    return pa.array(parts, pa.binary())
+
+
+def _squeezed(blob: bytes) -> bytes:
+    return len(blob).to_bytes(8, "little") + pa.Codec("zstd").compress(blob, asbytes=True)
+
+
+def _unsqueezed(blob: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
+
+
+def _cuts(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket begins among sorted grams. Buckets go by the upper bits."""
+    edges = np.arange(1, buckets, dtype=np.uint64) << np.uint64(65 - buckets.bit_length())
+    return np.concatenate([[0], np.searchsorted(grams, edges), [len(grams)]])
+
+
+def _short(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """The bits of grams that follow those of the bucket."""
+    return (grams << np.uint64(buckets.bit_length() - 1)) >> np.uint64(64 - SHORT)
+
+
+def _by_bucket(singles: np.ndarray, pairs: np.ndarray, buckets: int) -> Iterator[tuple[int, slice, slice]]:
+    """Buckets that sorted grams fall into, and where."""
+    a, b = _cuts(singles, buckets), _cuts(pairs, buckets)
+    for i in np.flatnonzero((np.diff(a) > 0) | (np.diff(b) > 0)).tolist():
+        yield i, slice(a[i], a[i + 1]), slice(b[i], b[i + 1])
 
 
-def _count_tokens(batches: Batches) -> Batches:
-    for rows in slices(batches, "text"):
-        tokens, _ = _tokens(words_of(rows.column("text"), LOWER_WORDS))
-        found, times = np.unique(tokens, return_counts=True)
-        yield batch(gram=longs(found), n=longs(times))
+# Counting and the filter
 
 
 def _count_grams(batches: Batches, buckets: int) -> Batches:
-    """Words and pairs with their counts, by bucket."""
-    for rows in slices(batches, "text"):
-        tokens, offsets = _tokens(words_of(rows.column("text"), LOWER_WORDS))
-        found, times = np.unique(np.concatenate([tokens, _pairs(tokens, offsets)]), return_counts=True)
-        times = times.astype(np.uint32)
-        full, places = _by_bucket(found, buckets)
+    """Words and pairs of every unit with their counts, by bucket."""
+    for _, tokens, offsets in _units(batches):
+        singles, n_singles = np.unique(tokens, return_counts=True)
+        pairs, n_pairs = np.unique(_pairs(tokens, offsets), return_counts=True)
+        short = _short(pairs, buckets)
+        places = list(_by_bucket(singles, pairs, buckets))
         yield batch(
-            bucket=pa.array(full, pa.int32()),
-            grams=binaries([_steps(found[x]) for x in places]),
-            times=binaries([times[x] for x in places]),
+            bucket=pa.array([i for i, _, _ in places], pa.int32()),
+            singles=_blobs([_steps(singles[a]) for _, a, _ in places]),
+            n_singles=_blobs([_packed(n_singles[a]) for _, a, _ in places]),
+            pairs=_blobs([_steps(short[b]) for _, _, b in places]),
+            n_pairs=_blobs([_packed(n_pairs[b]) for _, _, b in places]),
         )
 
 
-def _levels(counts: np.ndarray) -> np.ndarray:
-    """The level of each count, from 1."""
-    return 1 + np.floor(np.log(np.maximum(counts, 1)) / math.log(STEP) + 1e-9).astype(np.int64)
+def _rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    for part in batches:
+        for i in range(part.num_rows):
+            yield part.slice(i, 1).to_pylist()[0]
+
+
+def _summed(grams: list[bytes], times: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    every = np.concatenate([_from_steps(g) for g in grams])
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    starts = run_starts(every)
+    counts = np.concatenate([_unpacked(t) for t in times])[order]
+    return every[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
-def _places(grams: np.ndarray, level: int, probe: int, bits: int | np.ndarray) -> np.ndarray:
-    """Bits of grams at a level, within parts of so many bits."""
-    return (mix(grams ^ mix(np.array([level * PROBES + probe], np.uint64))) % np.asarray(bits, np.uint64)).astype(np.int64)
+def _hashed(grams: np.ndarray, level: int, kind: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    first = mix(grams ^ kind ^ mix(np.array([level], np.uint64)))
+    return first, mix(first) | np.uint64(1)
 
 
-def _filter_parts(batches: Batches) -> Batches:
-    """The filter's part of every bucket. Rows come by bucket; one bucket's counts are held."""
-    rows = (
-        row
-        for part in batches
-        for row in zip(*(part.column(c).to_pylist() for c in ("bucket", "grams", "times")))
-    )
-    for bucket, group in groupby(rows, key=lambda row: row[0]):
-        blobs = [(_from_steps(grams), np.frombuffer(times, np.uint32)) for _, grams, times in group]
-        grams = np.concatenate([g for g, _ in blobs])
-        order = np.argsort(grams)
-        grams, counts = grams[order], np.concatenate([t for _, t in blobs])[order].astype(np.int64)
-        starts = run_starts(grams)
-        grams, levels = grams[starts], np.minimum(_levels(np.add.reduceat(counts, starts)), MOST_LEVELS)
-        entered = int(levels.sum())
-        size = -(-BITS_EACH * entered // 64) * 64
-        flags = np.zeros(size, np.uint8)
-        for level in range(1, int(levels.max()) + 1):
-            for probe in range(PROBES):
-                flags[_places(grams[levels >= level], level, probe, size)] = 1
+def _place(hashed: tuple[np.ndarray, np.ndarray], probe: int, size: int) -> np.ndarray:
+    at = (hashed[0] + np.uint64(probe) * hashed[1]) >> np.uint64(32)
+    return ((at * np.uint64(size)) >> np.uint64(32)).astype(np.int64)
+
+
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    return np.searchsorted(THRESHOLDS, counts.astype(np.int64), side="right")
+
+
+def _filter_parts(batches: Batches, probes: int) -> Batches:
+    """The filter's part of every bucket, and its words with their exact counts. Rows come by
+    bucket; one bucket's counts are held."""
+    for bucket, group in groupby(_rows_of(batches), key=lambda row: row["bucket"]):
+        rows = list(group)
+        singles, n_singles = _summed([r["singles"] for r in rows], [r["n_singles"] for r in rows])
+        pairs, n_pairs = _summed([r["pairs"] for r in rows], [r["n_pairs"] for r in rows])
+        kinds = [(singles, levels_of(n_singles), _SINGLES), (pairs, levels_of(n_pairs), _PAIRS)]
+        size = 64 * math.ceil(BITS_EACH * probes * sum(int(levels.sum()) for _, levels, _ in kinds) / 64)
+        flags = np.zeros(size, bool)
+        for grams, levels, kind in kinds:
+            for level in range(1, int(levels.max(initial=0)) + 1):
+                hashed = _hashed(grams[levels >= level], level, kind)
+                for probe in range(probes):
+                    flags[_place(hashed, probe, size)] = True
         yield batch(
             bucket=pa.array([bucket], pa.int32()),
             size=longs(np.array([size])),
             n_set=longs(np.array([np.count_nonzero(flags)])),
+            n_tokens=longs(np.array([n_singles.sum()], np.int64)),
+            n_distinct=longs(np.array([len(singles)])),
             bits=binaries([np.packbits(flags, bitorder="little")]),
+            singles=_blobs([_steps(singles)]),
+            n_singles=_blobs([_packed(n_singles)]),
         )
 
 
-def _probed(grams: np.ndarray, bits: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Levels of grams, 0 for unknown ones, by probing one level after the other. A gram's part
-    has ``size`` bits from ``first`` on, none if nothing is known of its bucket."""
-    out = np.zeros(len(grams), np.int64)
-    left = np.flatnonzero(size > 0)
-    for level in range(1, MOST_LEVELS + 1):
-        for probe in range(PROBES):
-            at = first[left] + _places(grams[left], level, probe, size[left])
-            left = left[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
-        if not len(left):
-            break
-        out[left] = level
+def probed(grams: np.ndarray, kind: np.uint64, bits: np.ndarray, size: int, probes: int) -> np.ndarray:
+    """Levels of grams, 0 for unknown ones, by probing one level after the other."""
+    out = np.zeros(len(grams), np.uint8)
+    for start in range(0, len(grams) if size else 0, _PIECE):
+        piece = grams[start : start + _PIECE]
+        left = np.arange(len(piece))
+        for level in range(1, len(THRESHOLDS) + 1):
+            first, second = _hashed(piece[left], level, kind)
+            for probe in range(probes):
+                at = _place((first, second), probe, size)
+                hit = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                if not hit.all():
+                    left, first, second = left[hit], first[hit], second[hit]
+            if not len(left):
+                break
+            out[start + left] = level
     return out
 
 
 @dataclass
 class Model:
-    """The filter, and the number of training tokens and of distinct ones.
+    """The filter in ``parts``, a row for each bucket, and the number of training tokens and of
+    distinct ones. ``fill`` is the share of bits that are set."""
 
-    ``starts`` has the first bit of every bucket's part and the end of the last. A filter that is
-    too large to broadcast stays in ``parts`` (bucket, size, n_set, bits). ``fill`` is the share
-    of bits that are set.
-    """
-
-    bits: np.ndarray | None
+    parts: DataFrame
+    buckets: int
+    probes: int
     n_tokens: int
     n_distinct: int
-    starts: np.ndarray | None = None
-    parts: DataFrame | None = None
-    buckets: int = LEAST_BUCKETS
-    fill: float = 0.0
-
-    def levels(self, grams: np.ndarray) -> np.ndarray:
-        """Levels of n-grams, 0 for unknown ones; of a broadcast filter only."""
-        if self.starts is None:
-            starts, bucket = np.array([0, len(self.bits) * 8]), np.zeros(len(grams), np.int64)
-        else:
-            starts, bucket = self.starts, _bucket(grams, self.buckets)
-        return _probed(grams, self.bits, starts[bucket], np.diff(starts)[bucket])
-
-    def log10(
-        self, tokens: np.ndarray, offsets: np.ndarray, levels: Callable[[np.ndarray], np.ndarray] | None = None
-    ) -> np.ndarray:
-        """log10 of every token's probability after the one before it.
-
-        A pair's share of its first word's count, and the second word's smoothed share of all
-        tokens, are mixed by ``BACKOFF``; a first word counts as often as its pairs do at least.
-        ``levels`` gives the levels of n-grams where the filter is not at hand.
-        """
-        counts = partial(_estimated, levels or self.levels)
-        singles, where = np.unique(tokens, return_inverse=True)
-        single = counts(singles)
-        pairs, which = np.unique(_pairs(tokens, offsets), return_inverse=True)
-        pair = counts(pairs)[which]
-        before = np.empty(len(tokens))
-        before[1:] = single[where[:-1]]
-        before[offsets[:-1]] = counts(np.array([_END]))[0]
-        alone = (single[where] + 0.5) / (self.n_tokens + 0.5 * (self.n_distinct + 1))
-        joint = pair / np.maximum(np.maximum(before, pair), 1)
-        return np.log10((1 - BACKOFF) * joint + BACKOFF * np.minimum(alone, 1))
-
-
-def _estimated(levels: Callable[[np.ndarray], np.ndarray], grams: np.ndarray) -> np.ndarray:
-    """Estimated counts: the middle of the level, on the logarithmic scale; 0 if unknown."""
-    found = levels(grams)
-    return np.where(found > 1, STEP ** (found - 0.5), found)
-
-
-def fit(docs: DataFrame, bits: int = BROADCAST_BITS) -> tuple[Model, DataFrame]:
-    """The model of all of ``docs`` (text), and the exact counts (gram, n) of its tokens. Filters
-    of up to ``bits`` are broadcast."""
+    fill: float
+
+    def vocabulary(self) -> DataFrame:
+        """(gram, n): hashes of all training tokens with their exact counts."""
+        return map_batches(self.parts.select("singles", "n_singles"), _listed, "gram long, n long")
+
+
+def _listed(batches: Batches) -> Batches:
+    for row in _rows_of(batches):
+        yield batch(gram=longs(_from_steps(row["singles"])), n=longs(_unpacked(row["n_singles"]).astype(np.int64)))
+
+
+def fit(docs: DataFrame) -> Model:
+    """The model of all of ``docs`` (text).
+
+    The number of probes grows with the logarithm of the corpus, so that after any word far less than
+    one word of the whole vocabulary is wrongly taken for known, on the average.
+    """
     texts = docs.select("text")
-    tokens = map_batches(texts, _count_tokens, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    tokens = materialize(tokens, "tokens")
-    total, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    buckets = max(LEAST_BUCKETS, 1 << (total // TOKENS_PER_BUCKET).bit_length())
-    grams = map_batches(texts, partial(_count_grams, buckets=buckets), "bucket int, grams binary, times binary")
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(LEAST_BUCKETS, 1 << (size // BUCKET_BYTES).bit_length())
+    probes = max(LEAST_PROBES, (size >> 7).bit_length())
+    grams = map_batches(
+        texts, partial(_count_grams, buckets=buckets), "bucket int, singles binary, n_singles binary, pairs binary, n_pairs binary"
+    )
     by_bucket = grams.repartition("bucket").sortWithinPartitions("bucket")
-    parts = materialize(map_batches(by_bucket, _filter_parts, "bucket int, size long, n_set long, bits binary"), "filter")
-    size, n_set = parts.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("n_set"), F.lit(0))).first()
-    model = Model(None, total, distinct, buckets=buckets, fill=n_set / max(size, 1))
-    if size > bits:
-        # Nothing refers to the counting shuffle any more, and Spark's cleaner removes its files
-        # when the driver's garbage collection finds that.
-        del grams, by_bucket
-        gc.collect()
-        docs.sparkSession.sparkContext._jvm.System.gc()
-        return replace(model, parts=parts), tokens
-    sizes = np.zeros(buckets + 1, np.int64)
-    for r in parts.select("bucket", "size").toLocalIterator():
-        sizes[r.bucket + 1] = r.size
-    starts = np.cumsum(sizes)
-    out = np.zeros(size // 8, np.uint8)
-    for r in parts.select("bucket", "bits").toLocalIterator():
-        out[starts[r.bucket] // 8 : starts[r.bucket + 1] // 8] = np.frombuffer(r.bits, np.uint8)
-    return replace(model, bits=out, starts=starts), tokens
-
-
-# Filters that are not broadcast
-
-
-def _sliced(batches: Batches) -> Batches:
-    """Documents in slices, a row each: distinct tokens, and each token's place among them."""
-    at = TaskContext.get().partitionId() * ROWS_PER_TASK
-    for rows in slices(batches, "text"):
-        tokens, offsets = _tokens(words_of(rows.column("text"), LOWER_WORDS))
-        distinct, where = np.unique(tokens, return_inverse=True)
-        yield batch(
-            slice=longs(np.array([at])),
-            doc_id=pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows.column("doc_id")),
-            distinct=binaries([_steps(distinct)]),
-            places=binaries([_planes(where.astype(np.uint32))]),
-            ends=binaries([offsets.astype(np.int64)]),
-        )
-        at += 1
+    schema = "bucket int, size long, n_set long, n_tokens long, n_distinct long, bits binary, singles binary, n_singles binary"
+    parts = materialize(map_batches(by_bucket, partial(_filter_parts, probes=probes), schema), "filter")
+    sums = parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("size", "n_set", "n_tokens", "n_distinct")]).first()
+    return Model(parts, buckets, probes, sums["n_tokens"], sums["n_distinct"], sums["n_set"] / max(sums["size"], 1))
 
 
-def _sliced_tokens(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    return _from_steps(row["distinct"])[_from_planes(row["places"], np.uint32)], np.frombuffer(row["ends"], np.int64)
+def token_shares(model_size: tuple[int, int, int], single: np.ndarray, before: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """Probabilities of tokens after others, from the levels of the token, the one before and both.
 
+    ``model_size`` has the number of tokens, of distinct ones and of probes. A pair's share is its
+    least count by the most that the first word's can be, and one more and the expected number for
+    words that the filter wrongly knows after it; a word's share is its least count and a half. They
+    are mixed by ``BACKOFF``, or the word's share is taken alone where the first word is unknown.
+    Shares of all words after one word sum to 1 at most, unless the filter is wrong about more words.
+    """
+    n_tokens, n_distinct, probes = model_size
+    least = np.concatenate([[0.0], THRESHOLDS.astype(float)])
+    most = np.concatenate([[0.0], THRESHOLDS[1:].astype(float) - 1, [float(THRESHOLDS[-1]) * 2]])
+    alone = (least[single] + 0.5) / (n_tokens + 0.5 * (n_distinct + 1))
+    joint = least[pair] / (most[before] + 1 + n_distinct * 2.0**-probes)
+    return np.where(before > 0, (1 - BACKOFF) * np.minimum(joint, 1) + BACKOFF * alone, alone)
 
-def _slice_grams(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """All n-grams that scoring a slice asks for, sorted."""
-    return np.unique(np.concatenate([tokens, _pairs(tokens, offsets), np.array([_END])]))
 
+# Scoring
 
-def _rows_of(batches: Batches) -> Iterator[dict]:
-    for part in batches:
-        for i in range(part.num_rows):
-            yield part.slice(i, 1).to_pylist()[0]
+
+UNITS = "unit long, doc_id array<long>, singles binary, places binary, ends binary"
+
+
+def _gathered(batches: Batches) -> Batches:
+    """A row for each unit of documents: its distinct tokens, and each token's place among them, the
+    commonest first, as most places are small numbers then."""
+    unit = TaskContext.get().partitionId() * UNITS_PER_TASK
+    for rows, tokens, offsets in _units(batches):
+        singles, where, n = np.unique(tokens, return_inverse=True, return_counts=True)
+        rank = np.empty(len(n), np.int64)
+        rank[np.argsort(-n, kind="stable")] = np.arange(len(n))
+        ids = pa.concat_arrays([r.column("doc_id") for r in rows])
+        yield batch(
+            unit=longs(np.array([unit])),
+            doc_id=pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+            singles=_blobs([_steps(singles)]),
+            places=_blobs([_squeezed(_packed(rank[where]) + _packed(rank))]),
+            ends=_blobs([_packed(offsets)]),
+        )
+        unit += 1
+
+
+def _tokens_of(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a unit: distinct tokens, each token's place among them, and where documents end."""
+    singles, offsets = _from_steps(row["singles"]), _unpacked(row["ends"]).astype(np.int64)
+    blob = _unsqueezed(row["places"])
+    cut = 1 + blob[0] * int(offsets[-1])
+    of_rank = np.empty(len(singles), np.int64)
+    of_rank[_unpacked(blob[cut:]).astype(np.int64)] = np.arange(len(singles))
+    return singles, of_rank[_unpacked(blob[:cut]).astype(np.int64)], offsets
 
 
 def _asked(batches: Batches, buckets: int) -> Batches:
-    """The grams of every slice by bucket."""
+    """The distinct grams of every unit by bucket."""
     for row in _rows_of(batches):
-        grams = _slice_grams(*_sliced_tokens(row))
-        full, places = _by_bucket(grams, buckets)
+        singles, where, offsets = _tokens_of(row)
+        pairs = np.unique(_pairs(singles[where], offsets))
+        short = _short(pairs, buckets)
+        places = list(_by_bucket(singles, pairs, buckets))
         yield batch(
-            bucket=pa.array(full, pa.int32()),
-            slice=longs(np.full(len(full), row["slice"])),
-            size=longs(np.zeros(len(full), np.int64)),
-            blob=binaries([_steps(grams[x]) for x in places]),
+            bucket=pa.array([i for i, _, _ in places], pa.int32()),
+            unit=longs(np.full(len(places), row["unit"])),
+            singles=_blobs([_steps(singles[a]) for _, a, _ in places]),
+            pairs=_blobs([_steps(short[b]) for _, _, b in places]),
         )
 
 
-def _answered(batches: Batches) -> Batches:
-    """Levels of the grams asked for. Rows come by bucket, its part of the filter first."""
+def _answered(batches: Batches, probes: int) -> Batches:
+    """Levels of the grams asked for and counts of the words. Rows come by bucket, its part of the
+    filter first; of a bucket without one, nothing is known."""
     held, size, bits = -1, 0, np.zeros(0, np.uint8)
+    known, counts = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     for row in _rows_of(batches):
-        if row["slice"] < 0:
-            held, size, bits = row["bucket"], row["size"], np.frombuffer(row["blob"], np.uint8)
+        if row["unit"] < 0:
+            held, size, bits = row["bucket"], row["size"], np.frombuffer(row["bits"], np.uint8)
+            known, counts = _from_steps(row["singles"]), _unpacked(row["n_singles"])
             continue
-        grams = _from_steps(row["blob"])
-        known = np.full(len(grams), size if row["bucket"] == held else 0)
+        singles, pairs = _from_steps(row["singles"]), _from_steps(row["pairs"])
+        here = row["bucket"] == held and len(known) > 0
+        exact = np.zeros(len(singles), np.uint64)
+        if here:
+            at = np.minimum(np.searchsorted(known, singles), len(known) - 1)
+            exact = np.where(known[at] == singles, counts[at], np.uint64(0))
         yield batch(
-            slice=longs(np.array([row["slice"]])),
+            unit=longs(np.array([row["unit"]])),
             bucket=pa.array([row["bucket"]], pa.int32()),
-            levels=binaries([_probed(grams, bits, np.zeros(len(grams), np.int64), known).astype(np.uint8)]),
+            levels=binaries([probed(singles, _SINGLES, bits, size if here else 0, probes)]),
+            counts=_blobs([_packed(exact)]),
+            pair_levels=binaries([probed(pairs, _PAIRS, bits, size if here else 0, probes)]),
         )
 
 
-def _sliced_scores(batches: Batches, shared: Broadcast) -> Batches:
-    """``_scored`` for slices. Rows come by slice, the slice itself before its levels by bucket."""
-    number = TaskContext.get().partitionId() * ROWS_PER_TASK
-    for _, group in groupby(_rows_of(batches), key=lambda row: row["slice"]):
+def _scored(batches: Batches, sizes: tuple[int, int, int]) -> Batches:
+    """Per document its tokens and scores. Rows come by unit, the unit itself before its answers."""
+    n_tokens, n_distinct, _ = sizes
+    floor = n_tokens + 0.5 * (n_distinct + 1)
+    for _, group in groupby(_rows_of(batches), key=lambda row: row["unit"]):
         head = next(group)
-        tokens, offsets = _sliced_tokens(head)
-        grams = _slice_grams(tokens, offsets)
-        found = np.concatenate([np.frombuffer(row["levels"], np.uint8) for row in group]).astype(np.int64)
-        if len(found) != len(grams):
-            raise ValueError(f"{len(found)} levels for {len(grams)} n-grams")
-        yield _slice_scores(
-            pa.array(head["doc_id"], pa.int64()), tokens, offsets, number, shared.value, lambda g: found[np.searchsorted(grams, g)]
+        singles, where, offsets = _tokens_of(head)
+        pairs, which = np.unique(_pairs(singles[where], offsets), return_inverse=True)
+        answers = list(group)
+        levels = np.concatenate([np.frombuffer(r["levels"], np.uint8) for r in answers])
+        exact = np.concatenate([_unpacked(r["counts"]) for r in answers]).astype(np.float64)
+        pair_levels = np.concatenate([np.frombuffer(r["pair_levels"], np.uint8) for r in answers])
+        if len(levels) != len(singles) or len(pair_levels) != len(pairs):
+            raise ValueError(f"{len(levels)} and {len(pair_levels)} levels for {len(singles)} and {len(pairs)} n-grams")
+        single = levels[where]
+        before = np.empty_like(single)
+        before[1:] = single[:-1]
+        before[offsets[:-1]] = levels[np.searchsorted(singles, _END)]
+        score = np.log10(token_shares(sizes, single, before, pair_levels[which])) if n_distinct else np.zeros(len(where))
+        base = np.log10((exact + 0.5) / floor)[where]
+        starts = offsets[:-1]
+        yield batch(
+            doc_id=pa.array(head["doc_id"], pa.int64()),
+            n_tokens=longs(np.diff(offsets)),
+            n_known=longs(np.add.reduceat((exact > 0).astype(np.int64)[where], starts)),
+            base_score=pa.array(np.add.reduceat(base, starts)),
+            score=pa.array(np.add.reduceat(score, starts)),
         )
-        number += len(offsets) - 1
 
 
-def _scored_by_parts(docs: DataFrame, model: Model, shared: Broadcast) -> DataFrame:
-    held = materialize(
-        map_batches(docs, _sliced, "slice long, doc_id array<long>, distinct binary, places binary, ends binary"), "slices"
-    )
-    asked = map_batches(held, partial(_asked, buckets=model.buckets), "bucket int, slice long, size long, blob binary")
-    parts = model.parts.select("bucket", F.lit(-1).cast("long").alias("slice"), "size", F.col("bits").alias("blob"))
-    by_bucket = parts.unionByName(asked).repartition("bucket").sortWithinPartitions("bucket", "slice")
-    answers = map_batches(by_bucket, _answered, "slice long, bucket int, levels binary")
-    both = held.withColumn("bucket", F.lit(-1)).unionByName(answers, allowMissingColumns=True)
-    by_slice = both.repartition("slice").sortWithinPartitions("slice", "bucket")
-    return map_batches(by_slice, partial(_sliced_scores, shared=shared), SCORED)
-
-
-SCORED = (
-    "doc_id long, row long, n_tokens long, score double, head_score double, head_known long,"
-    " rare array<long>, times array<long>"
-)
-
-
-def _scored(batches: Batches, shared: Broadcast) -> Batches:
-    """Per document: tokens, the model's score, exact sums over common words, and the others."""
-    row = TaskContext.get().partitionId() * ROWS_PER_TASK
-    for rows in slices(batches, "text"):
-        tokens, offsets = _tokens(words_of(rows.column("text"), LOWER_WORDS))
-        yield _slice_scores(rows.column("doc_id"), tokens, offsets, row, shared.value)
-        row += rows.num_rows
-
-
-def _slice_scores(
-    doc_id: pa.Array, tokens: np.ndarray, offsets: np.ndarray, row: int, shared: tuple, levels: Callable[[np.ndarray], np.ndarray] | None = None
-) -> pa.RecordBatch:
-    model, head, head_counts = shared
-    floor = model.n_tokens + 0.5 * (model.n_distinct + 1)
-    n = len(doc_id)
-    sums = np.concatenate([[0.0], np.cumsum(model.log10(tokens, offsets, levels))]) if model.n_distinct else np.zeros(len(tokens) + 1)
-    distinct, where = np.unique(tokens, return_inverse=True)
-    at = np.minimum(np.searchsorted(head, distinct), max(len(head) - 1, 0))
-    common = (head[at] == distinct) if len(head) else np.zeros(len(distinct), bool)
-    log = np.zeros(len(distinct))
-    if common.any():
-        log[common] = np.log10((head_counts[at[common]] + 0.5) / floor)
-    exact = np.concatenate([[0.0], np.cumsum(log[where])])
-    known = np.concatenate([[0], np.cumsum(common[where])])
-    text = np.repeat(np.arange(n), np.diff(offsets))
-    rare = ~common[where]
-    pairs, times = np.unique(text[rare] * len(distinct) + where[rare], return_counts=True)
-    own, gram = np.divmod(pairs, max(len(distinct), 1))
-    ends = pa.array(np.searchsorted(own, np.arange(n + 1)).astype(np.int32))
-    return batch(
-        doc_id=doc_id,
-        row=longs(row + np.arange(n)),
-        n_tokens=longs(np.diff(offsets)),
-        score=pa.array(sums[offsets[1:]] - sums[offsets[:-1]]),
-        head_score=pa.array(exact[offsets[1:]] - exact[offsets[:-1]]),
-        head_known=longs(known[offsets[1:]] - known[offsets[:-1]]),
-        rare=pa.ListArray.from_arrays(ends, longs(distinct[gram])),
-        times=pa.ListArray.from_arrays(ends, longs(times)),
-    )
-
-
-def score(docs: DataFrame, model: Model, tokens: DataFrame) -> DataFrame:
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_tokens, n_known, base_score, score.
 
     Tokens are runs without blanks (A-Z as a-z) and one end; a null text is empty and has the end
-    only. ``base_score`` and ``n_known`` use exact counts: those of common words are sent to all
-    tasks, at most ``1 / HEAD_SHARE`` of them, those of other words are joined to them. ``score`` is
-    the model's log10 probability, or 0 if nothing was learned. Repeated rows get equal results.
-    Other columns are ignored.
+    only. ``base_score`` and ``n_known`` use exact counts. ``score`` is the model's log10
+    probability of the text, or 0 if nothing was learned. Repeated rows get equal results, and rows
+    of equal or null id are documents of their own. Other columns are ignored. An empty table gives
+    no rows.
     """
-    least = max(1, math.ceil(model.n_tokens * HEAD_SHARE))
-    head = tokens.filter(F.col("n") >= least).toArrow()
-    order = np.argsort(head.column("gram").to_numpy().view(np.uint64))
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (replace(model, parts=None), head.column("gram").to_numpy().view(np.uint64)[order], head.column("n").to_numpy()[order])
-    )
-    texts = docs.select("doc_id", "text")
-    if model.parts is None:
-        scored = map_batches(texts, partial(_scored, shared=shared), SCORED)
-    else:
-        scored = _scored_by_parts(texts, model, shared)
-    scored = materialize(scored, "scores")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r"))
-    rare = rare.select("row", F.col("r.rare").alias("gram"), F.col("r.times").alias("times"))
-    floor = model.n_tokens + 0.5 * (model.n_distinct + 1)
-    seen = F.coalesce("n", F.lit(0))
-    rest = rare.join(tokens.filter(F.col("n") < least), "gram", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((seen + 0.5) / floor)).alias("rest"),
-        F.sum(F.when(seen > 0, F.col("times")).otherwise(0)).alias("known"),
-    )
-    return scored.drop("rare", "times").join(rest, "row", "left").select(
-        "doc_id",
-        "n_tokens",
-        (F.col("head_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        (F.col("head_score") + F.coalesce("rest", F.lit(0.0))).alias("base_score"),
-        "score",
+    held = materialize(map_batches(docs.select("doc_id", "text"), _gathered, UNITS), "units")
+    asked = map_batches(held, partial(_asked, buckets=model.buckets), "bucket int, unit long, singles binary, pairs binary")
+    parts = model.parts.select("bucket", F.lit(-1).cast("long").alias("unit"), "singles", "size", "bits", "n_singles")
+    by_bucket = parts.unionByName(asked, allowMissingColumns=True).repartition("bucket").sortWithinPartitions("bucket", "unit")
+    answers = map_batches(
+        by_bucket, partial(_answered, probes=model.probes), "unit long, bucket int, levels binary, counts binary, pair_levels binary"
     )
+    both = held.withColumn("bucket", F.lit(-1)).unionByName(answers, allowMissingColumns=True)
+    by_unit = both.repartition("unit").sortWithinPartitions("unit", "bucket")
+    sizes = (model.n_tokens, model.n_distinct, model.probes)
+    return map_batches(by_unit, partial(_scored, sizes=sizes), "doc_id long, n_tokens long, n_known long, base_score double, score double")

@@ -23,8 +23,8 @@ def op1_quality_rules(spark: SparkSession, root: str) -> DataFrame:
 def op2_lm_scoring(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
-    model, tokens = lm_scoring.fit(docs.filter(F.coalesce(~held_out, F.lit(True))))
-    scored = lm_scoring.score(docs, model, tokens)
+    model = lm_scoring.fit(docs.filter(F.coalesce(~held_out, F.lit(True))))
+    scored = lm_scoring.score(docs, model)
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
         F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score",
