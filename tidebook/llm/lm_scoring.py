@@ -20,7 +20,7 @@ import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,8 @@ SHORT = 40
 # What a pair's share gives to the share of its second word.
 BACKOFF = 0.4
 UNITS_PER_TASK = 1 << 33
+# Bytes of grams that a task answers at once.
+CHUNK_BYTES = 8 << 20
 _PIECE = 1 << 16
 
 # The smallest count of each level, level 1 first.
@@ -350,29 +352,50 @@ def _asked(batches: Batches, buckets: int) -> Batches:
         )
 
 
+def _chunks(rows: Iterable[dict]) -> Iterator[list[dict]]:
+    """Rows in lists of about ``CHUNK_BYTES`` of grams."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row["singles"]) + len(row["pairs"])
+        if size >= CHUNK_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _answered(batches: Batches, probes: int) -> Batches:
     """Levels of the grams asked for and counts of the words. Rows come by bucket, its part of the
-    filter first; of a bucket without one, nothing is known."""
-    held, size, bits = -1, 0, np.zeros(0, np.uint8)
-    known, counts = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    for row in _rows_of(batches):
-        if row["unit"] < 0:
-            held, size, bits = row["bucket"], row["size"], np.frombuffer(row["bits"], np.uint8)
-            known, counts = _from_steps(row["singles"]), _unpacked(row["n_singles"])
-            continue
-        singles, pairs = _from_steps(row["singles"]), _from_steps(row["pairs"])
-        here = row["bucket"] == held and len(known) > 0
-        exact = np.zeros(len(singles), np.uint64)
-        if here:
-            at = np.minimum(np.searchsorted(known, singles), len(known) - 1)
-            exact = np.where(known[at] == singles, counts[at], np.uint64(0))
-        yield batch(
-            unit=longs(np.array([row["unit"]])),
-            bucket=pa.array([row["bucket"]], pa.int32()),
-            levels=binaries([probed(singles, _SINGLES, bits, size if here else 0, probes)]),
-            counts=_blobs([_packed(exact)]),
-            pair_levels=binaries([probed(pairs, _PAIRS, bits, size if here else 0, probes)]),
-        )
+    filter first; of a bucket without one, nothing is known. A gram that many units ask for is
+    probed once."""
+    for bucket, group in groupby(_rows_of(batches), key=lambda row: row["bucket"]):
+        first = next(group)
+        rows = group if first["unit"] < 0 else chain([first], group)
+        size, bits, known, counts = 0, np.zeros(0, np.uint8), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        if first["unit"] < 0:
+            size, bits = first["size"], np.frombuffer(first["bits"], np.uint8)
+            known, counts = _from_steps(first["singles"]), _unpacked(first["n_singles"])
+        for chunk in _chunks(rows):
+            singles, pairs = ([_from_steps(row[name]) for row in chunk] for name in ("singles", "pairs"))
+            levels, exact = [], np.zeros(0, np.uint64)
+            for asked, kind in ((singles, _SINGLES), (pairs, _PAIRS)):
+                distinct, where = np.unique(np.concatenate(asked), return_inverse=True)
+                levels.append(probed(distinct, kind, bits, size, probes)[where])
+                if kind == _SINGLES:
+                    exact = np.zeros(len(distinct), np.uint64)
+                    if len(known):
+                        at = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
+                        exact = np.where(known[at] == distinct, counts[at], exact)
+                    exact = exact[where]
+            ends = [np.cumsum([0, *map(len, asked)]) for asked in (singles, pairs)]
+            yield batch(
+                unit=longs(np.array([row["unit"] for row in chunk])),
+                bucket=pa.array([bucket] * len(chunk), pa.int32()),
+                levels=binaries([levels[0][a:b] for a, b in zip(ends[0][:-1], ends[0][1:])]),
+                counts=_blobs([_packed(exact[a:b]) for a, b in zip(ends[0][:-1], ends[0][1:])]),
+                pair_levels=binaries([levels[1][a:b] for a, b in zip(ends[1][:-1], ends[1][1:])]),
+            )
 
 
 def _scored(batches: Batches, sizes: tuple[int, int, int]) -> Batches:
