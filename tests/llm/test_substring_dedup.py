@@ -66,7 +66,7 @@ def test_against_brute_force(documents):
 
 def test_split_seeds_and_a_full_filter(documents, monkeypatch):
     """Seeds dealt over several tasks, and a filter that lets everything pass."""
-    monkeypatch.setattr(substring_dedup, "SPLIT_SEEDS", 10**9)
+    monkeypatch.setattr(substring_dedup, "BROADCAST_SEEDS", 0)
     monkeypatch.setattr(substring_dedup, "SHARE", 3)
     monkeypatch.setattr(substring_dedup, "FILTER_BITS", 64)
     texts = fixture(6) + fixture(6)[:5] * 4

@@ -32,9 +32,10 @@ WINDOW = 35
 SEED = 12
 # Bits of the filter: at most this many (16 MB).
 FILTER_BITS = 1 << 27
-# Occurrences of a seed that one task handles; seeds above it, at most SPLIT_SEEDS, are split.
-SHARE = 10_000
-SPLIT_SEEDS = 100_000
+# Occurrences of a seed that one task handles; seeds above it are split, whatever the corpus.
+SHARE = 4_000
+# Up to so many split seeds are told to all tasks (16 bytes each); more are joined by a shuffle.
+BROADCAST_SEEDS = 1_000_000
 
 
 def _seeds(words: Words, window: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,8 +68,9 @@ def _count_seeds(batches: Batches, window: int, seed: int) -> Batches:
 
 
 def _occurrences(batches: Batches, window: int, seed: int, shared: Broadcast) -> Batches:
-    """Each occurrence of a seed that passes: document, first window, hashes of its windows."""
-    found, split, times = shared.value
+    """Each occurrence of a seed that passes: document, first window, hashes of its windows, and a
+    draw that tells its share if the seed is split."""
+    found = shared.value
     for rows in slices(batches, "text"):
         words = words_of(rows.column("text"), EXACT_WORDS)
         starts, values, places = _seeds(words, window, seed)
@@ -81,17 +83,12 @@ def _occurrences(batches: Batches, window: int, seed: int, shared: Broadcast) ->
         flat = np.repeat(runs, lengths) + np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         text = np.searchsorted(words.offsets, starts[runs], side="right") - 1
         key = rows.column("key").to_numpy()[text]
-        salt = np.zeros(len(runs), np.int64)
-        if len(split):
-            at = np.minimum(np.searchsorted(split, values[runs]), len(split) - 1)
-            shares = np.where(split[at] == values[runs], times[at] // SHARE + 1, 1)
-            salt = (mix(key.view(np.uint64) ^ mix(starts[runs].astype(np.uint64))) % shares.astype(np.uint64)).astype(np.int64)
-            salt = np.where(shares > 1, salt + 1, 0)
+        draw = mix(key.view(np.uint64) ^ mix(starts[runs].astype(np.uint64)))
         bounds = np.concatenate([[0], np.cumsum(lengths)])
         raw = hashes[starts[flat]].tobytes()
         yield batch(
             seed=longs(values[runs]),
-            salt=longs(salt),
+            draw=longs(draw),
             key=longs(key),
             first=longs(starts[runs] - words.offsets[text]),
             windows=pa.Array.from_buffers(
@@ -153,22 +150,21 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     spark = docs.sparkSession
     seeds = map_batches(docs.select("text"), partial(_count_seeds, window=window, seed=seed), "seed long, n long")
     repeated = materialize(seeds.groupBy("seed").agg(F.sum("n").alias("n")).filter("n > 1"), "seeds")
-    n_repeated, total = repeated.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    split = repeated.filter(F.col("n") > max(SHARE, total // SPLIT_SEEDS)).toArrow()
-    order = np.argsort(split.column("seed").to_numpy().view(np.uint64))
-    shared = spark.sparkContext.broadcast(
-        (
-            bloom_filter(repeated.select("seed"), n_repeated, FILTER_BITS),
-            split.column("seed").to_numpy().view(np.uint64)[order],
-            split.column("n").to_numpy()[order],
-        )
+    n_repeated = repeated.count()
+    split = materialize(
+        repeated.filter(F.col("n") > SHARE).select("seed", (F.col("n") / SHARE + 1).cast("long").alias("shares")), "split"
     )
+    if split.count() <= BROADCAST_SEEDS:
+        split = F.broadcast(split)
+    shared = spark.sparkContext.broadcast(bloom_filter(repeated.select("seed"), n_repeated, FILTER_BITS))
     occurrences = map_batches(
         docs.select("key", "text"),
         partial(_occurrences, window=window, seed=seed, shared=shared),
-        "seed long, salt long, key long, first long, windows binary",
+        "seed long, draw long, key long, first long, windows binary",
     )
-    dealt = occurrences.repartition("seed", "salt").sortWithinPartitions("seed", "salt")
+    salt = F.coalesce(F.pmod("draw", "shares") + 1, F.lit(0).cast("long")).alias("salt")
+    salted = occurrences.join(split, "seed", "left").select("seed", salt, "key", "first", "windows")
+    dealt = salted.repartition("seed", "salt").sortWithinPartitions("seed", "salt")
     found = materialize(
         map_batches(dealt, _repeats, "key long, start long, last long, seed long, window long"), "repeats"
     )
