@@ -36,7 +36,7 @@ from tidebook.session import materialize
 BITS_EACH = 1.45
 # Text of a bucket, whose counts are held in one task, and of a unit of documents.
 BUCKET_BYTES = 4 << 20
-UNIT_BYTES = 16 << 20
+UNIT_BYTES = 24 << 20
 LEAST_BUCKETS = 16
 LEAST_PROBES = 16
 # Bits of a pair's key within its bucket.
@@ -274,7 +274,7 @@ def fit(docs: DataFrame) -> Model:
     texts = docs.select("text")
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(LEAST_BUCKETS, 1 << (size // BUCKET_BYTES).bit_length())
-    probes = max(LEAST_PROBES, (size >> 7).bit_length())
+    probes = max(LEAST_PROBES, (size >> 9).bit_length())
     grams = map_batches(
         texts, partial(_count_grams, buckets=buckets), "bucket int, singles binary, n_singles binary, pairs binary, n_pairs binary"
     )
