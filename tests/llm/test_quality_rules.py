@@ -64,7 +64,7 @@ TEXTS = [
 def test_edges(spark, documents, monkeypatch, bits):
     monkeypatch.setattr(q, "POSITION_BITS", bits)
     labels = [(10, 1, 0), (10, 1, 0), (12, 1, 0), (5, 0, 0), (6, 1, 1), (None, 1, 0), (7, None, 0), (8, 1, None), (99, 1, 0)]
-    docs = documents(TEXTS).selectExpr("*", "1 AS words", "2 AS hashes", "3 AS good", "4 AS bucket")
+    docs = documents(TEXTS).selectExpr("*", "1 AS words", "2 AS hashes", "3 AS good", "4 AS bucket", "5 AS weight", "6 AS row")
     assert found(docs, spark.createDataFrame(labels, LABELS)) == brute_force(list(enumerate(TEXTS, 1)), labels)
 
 
@@ -76,13 +76,23 @@ def test_repeated_rows_null_ids_no_labels_and_empty_tables(spark, documents):
     assert found(docs.limit(0), none) == []
 
 
-def test_junk_goes_and_clean_text_stays(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_junk_goes_and_clean_text_stays(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    labels = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet")
     rows = q.quality(docs, labels).filter("n_words >= 50").join(labels, "doc_id").collect()
     good = [r.kept for r in rows if r.quality == 1 and not r.toxic]
     junk = [r.kept for r in rows if r.quality == 0]
-    assert sum(good) >= 0.99 * len(good) and sum(junk) <= 0.15 * len(junk)
+    assert sum(good) >= 0.99 * len(good) and sum(junk) <= 0.01 * len(junk)
+
+
+def test_good_documents_that_are_not_trusted_stay(spark):
+    """Half of the good labels are held back; those documents are judged all the same."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").filter("quality = 1 AND toxic = 0")
+    rows = q.quality(docs, labels.filter("doc_id % 2 = 0")).filter("NOT base_failed").join(labels, "doc_id").collect()
+    held = [r.kept for r in rows if r.doc_id % 2]
+    assert len(held) > 50 and sum(held) >= 0.97 * len(held)
 
 
 def test_native(spark, documents):

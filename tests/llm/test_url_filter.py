@@ -2,6 +2,7 @@ import math
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidebook.llm import url_filter as u
 
@@ -59,24 +60,43 @@ def test_against_brute_force(spark, model):
     assert sorted(got, key=repr) == sorted(expected, key=repr)
 
 
-def test_unwanted_hosts_of_the_table(spark, model):
+def test_hosts_of_the_table(spark, model):
+    """None of these hosts was labelled. Ordinary ones stay; most unwanted ones are found."""
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
     rows = u.judge(pages, model, rules=[]).collect()
     unwanted = re.compile("ads-track|free-bets|cheap-pills|spam-farm|casino-win|adult-x")
-    wrong = [r.host for r in rows if (r.verdict == "block") != bool(unwanted.search(r.host))]
-    assert len(wrong) <= 0.02 * len(rows), set(wrong)
+    blocked = {True: [], False: []}
+    for r in rows:
+        blocked[bool(unwanted.search(r.host))].append(r.verdict == "block")
+    assert sum(blocked[False]) <= 0.01 * len(blocked[False])
+    assert sum(blocked[True]) >= 0.8 * len(blocked[True])
+
+
+# Hosts that no rule of the labelled table builds; most hold a word that it does not know.
+ABSENT_ORDINARY = """government-portal physics-institute adventure-park wind-energy downtown-hospital volunteer-firefighters
+cardiology-today photosynthesis quiet-lakes sailing-school oldtown-brewery astronomy-night marble-sculptures tax-office
+kindergarten-news bookbinding beekeepers volleyball-league meteorology sextant-navigation""".split()
+ABSENT_UNWANTED = """royal-casino-club best-poker-online bet365win mega-jackpots cheapviagra24 online-pharmacy-pills hot-porn-videos
+xxx-webcams seo-backlinks-shop spam-blaster adserver-network click-tracker popupads freecracks warez-planet keygen-world
+payday-loans-now torrent-free escorts-city lottery-winner""".split()
+
+
+def test_absent_hosts(spark, model):
+    known = {r.host for r in u.labelled_urls(spark).select(u.host_of(F.col("url")).alias("host")).collect()}
+    for hosts, verdict in ((ABSENT_ORDINARY, "allow"), (ABSENT_UNWANTED, "block")):
+        assert not {f"{h}{d}" for h in hosts for d in u.DOMAINS} & known
+        pages = spark.createDataFrame([(i, f"https://{h}.example/en/{i}") for i, h in enumerate(hosts)], PAGES)
+        judged = u.judge(pages, model, []).collect()
+        assert sum(r.verdict == verdict for r in judged) >= 0.8 * len(hosts), [r.host for r in judged if r.verdict != verdict]
 
 
 def test_held_out_urls(spark):
-    """Trained on two thirds of the labelled table, right on two thirds of the rest at least."""
-    for fold in range(3):
-        from pyspark.sql import functions as F
-
-        rows = u.labelled_urls(spark).withColumn("held", F.pmod(F.crc32("url"), F.lit(3)) == fold)
-        model = u.fit(rows.filter("NOT held"))
-        judged = u.judge(rows.filter("held").select(F.col("label").cast("long").alias("page_id"), "url"), model, []).collect()
-        right = sum((r.verdict == "block") == bool(r.page_id) for r in judged)
-        assert right >= 0.65 * len(judged)
+    """Trained without a third of the URLs, right on nine tenths of them."""
+    rows = u.labelled_urls(spark).withColumn("held", F.pmod(F.crc32("url"), F.lit(3)) == 0)
+    model = u.fit(rows.filter("NOT held"))
+    judged = u.judge(rows.filter("held").select(F.col("label").cast("long").alias("page_id"), "url"), model, []).collect()
+    right = sum((r.verdict == "block") == bool(r.page_id) for r in judged)
+    assert right >= 0.9 * len(judged)
 
 
 def test_equal_models_and_empty_table(spark, model):

@@ -91,9 +91,9 @@ docs AS (
 places AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs),
 hashed AS (SELECT word, {crc32(utf8_codes("word"))} AS h FROM (SELECT DISTINCT word FROM places), crc),
 grams AS (
-    SELECT r, h % 16381 AS b FROM places JOIN hashed USING (word)
+    SELECT r, h % 1048576 AS b FROM places JOIN hashed USING (word)
     UNION ALL
-    SELECT a.r, (x.h * 31 + y.h) % 16381
+    SELECT a.r, (x.h * 31 + y.h) % 1048576
     FROM places a JOIN places c ON c.r = a.r AND c.i = a.i + 1
     JOIN hashed x ON x.word = a.word JOIN hashed y ON y.word = c.word),
 good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND toxic = 0),

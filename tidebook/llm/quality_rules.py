@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 16381
+from tidebook.session import materialize
+
+BUCKETS = 1 << 20
 PAIR_FACTOR = 31
 # Added to a bucket's count in the target, and to the count expected from the raw corpus.
 SMOOTHING = 5.0
@@ -57,26 +59,16 @@ def trusted_ids(labels: DataFrame, limit: int = TRUSTED_DOCUMENTS) -> DataFrame:
 
 
 def bucket_weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """One row: the array of all buckets' weights. Counts cover all documents."""
+    """(bucket, weight) of the buckets whose weight is not 0, at most BUCKETS rows. Counts cover all
+    documents and are written, so that their totals and the weights need one pass over the texts."""
     flagged = docs.select("doc_id", "text").join(F.broadcast(trusted.withColumn("good", F.lit(1))), "doc_id", "left")
     grams = _hashed(flagged).select(F.explode(_buckets("hashes")).alias("bucket"), F.coalesce("good", F.lit(0)).alias("good"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
-    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    # A row for each bucket, at most BUCKETS of them, so they may meet in one task.
-    dense = every.join(F.broadcast(counts), "bucket", "left").select(
-        "bucket", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target")
-    )
-    listed = dense.agg(
-        F.sort_array(F.collect_list(F.struct("bucket", "raw", "target"))).alias("all"),
-        F.sum("raw").alias("n_raw"),
-        F.sum("target").alias("n_target"),
-    )
-
-    def weight(row: Column) -> Column:
-        expected = row["raw"] * F.col("n_target") / F.col("n_raw")
-        return F.round(F.log((row["target"] + SMOOTHING) / (expected + SMOOTHING)) * SCALE).cast("long")
-
-    return listed.select(F.transform("all", lambda r: F.when(F.col("n_raw") > 0, weight(r)).otherwise(F.lit(0).cast("long"))).alias("w"))
+    counted = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
+    counts = materialize(counted, "bucket_counts")
+    n_raw, n_target = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.coalesce(F.sum("target"), F.lit(0))).first()
+    expected = F.col("raw").cast("double") * F.lit(float(n_target)) / F.lit(float(max(n_raw, 1)))
+    weight = F.round(F.log((F.col("target") + SMOOTHING) / (expected + SMOOTHING)) * SCALE).cast("long")
+    return counts.select("bucket", weight.alias("weight")).filter("weight != 0")
 
 
 def _repeated_words(words: str, windows: str) -> Column:
@@ -145,13 +137,15 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     without trusted documents, and ``kept`` needs at least -0.1. Repeated rows are judged alike;
     labels that are null, repeated or of unknown ids are harmless. Other columns are ignored.
     """
-    # A weight per bucket, whatever the corpus: they travel as one constant of the plan.
-    listed = " ".join(map(str, bucket_weights(docs, trusted_ids(labels)).first().w))
-    weights = F.split(F.lit(listed), " ").cast("array<bigint>")
-    base = _base(docs.select("doc_id", "text")).withColumn("buckets", _buckets("hashes"))
-    total = F.aggregate("buckets", F.lit(0).cast("long"), lambda a, b: a + F.get(weights, b))
+    # At most BUCKETS weights, whatever the corpus. The n-grams of a row are added up in the task
+    # that reads it; one line per row is shuffled, with the columns counted before.
+    weights = bucket_weights(docs, trusted_ids(labels))
+    base = _base(docs.select("doc_id", "text")).withColumn("row", F.monotonically_increasing_id())
+    keys = [c for c in base.columns if c != "hashes"]
+    grams = base.select(*keys, F.explode_outer(_buckets("hashes")).alias("bucket"))
+    weighed = grams.join(F.broadcast(weights), "bucket", "left")
+    scored = weighed.groupBy(*keys).agg(F.count("bucket").alias("n_grams"), F.coalesce(F.sum("weight"), F.lit(0)).alias("total"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
-    scored = base.withColumn("n_grams", F.size("buckets").cast("long")).withColumn("total", total)
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"),

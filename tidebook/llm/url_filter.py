@@ -21,28 +21,36 @@ ITERATIONS = 60
 THRESHOLD = 0.5
 BLOCK, ALLOW = "block", "allow"
 
-# Labelled URLs that the filter learns from by default: hosts and paths of kinds that are blocked
-# anywhere, and ordinary ones, both under the usual subdomains.
-UNWANTED = """
-http://free-bets.test/ http://m.best-bets-online.test/en/ https://www.bet-win.test/de/4 http://blog.sports-bets.test/odds
-http://m.casino-royal.test/ https://www.casino-win.test/en/15 http://blog.mega-casino.test/slots http://online-casino-bonus.test/
-http://m.poker-slots.test/en/7 http://win-jackpot.test/claim https://blog.lucky-win.test/ http://free-prize-win.test/fr/9
-http://www.cheap-pills.test/en/3 https://m.pills-online.test/buy http://cheap-meds-pills.test/order http://blog.cheap-loans.test/
-http://m.cheap-viagra.test/ http://spam-farm.test/en/20 https://www.spam-links.test/a http://m.link-farm-seo.test/ http://blog.seo-spam.test/de/31
-http://adult-x.test/ https://m.adult-videos.test/en/8 http://blog.xxx-adult.test/ http://www.adult-dating.test/join http://porn-x.test/
-http://ads-track.test/en/1 https://m.ads-track.test/pixel http://blog.ad-tracker.test/click http://track-ads-click.test/ https://www.ads-server.test/es/2
-http://m.free-download-crack.test/warez http://blog.crack-serial.test/ http://www.phish-login.test/verify http://payday-loans-cheap.test/
-""".split()
+# Vocabulary of the default labelled table: common words of kinds of sites that are blocked
+# anywhere, one line a kind (gambling, pills, sex, spam and search tricks, advertising, stolen
+# software and fraud), and everyday words of ordinary sites, written down from general knowledge.
+UNWANTED = (
+    "casino poker roulette blackjack jackpot slots bet bets betting bingo lottery wager gamble win",
+    "pills viagra cialis meds pharmacy steroids diet discount cheap tablets",
+    "adult xxx porn sex nude escort webcam erotic dating",
+    "spam seo backlinks traffic links clicks followers boost",
+    "ads ad adserver banner popup tracker tracking track pixel affiliate",
+    "crack warez keygen torrent serial phishing payday loans prize free",
+)
 ORDINARY = """
-http://www.library.test/en/12 https://blog.garden.test/de/340.html http://news.city.test/fr/88 https://m.recipes.test/es/4#top
-http://university.test/en/physics https://docs.software.test/en/guide http://museum.test/de/9 https://www.history.test/fr/3.html
-http://weather.test/en/77?page=2 https://blog.travel.test/en/516 http://school.test/de/41 https://m.music.test/fr/60
-http://forum.chess.test/en/5 https://www.health.test/en/about http://science.test/es/231 https://books.test/de/1234/
-http://www.thesis.test/en/8 https://blog.theatre.test/fr/55 http://other.test/en/21 https://thunder.test/de/7 http://station.test/en/6
-https://m.nation.test/es/17 http://theory.test/en/400 https://blog.method.test/de/2 http://rather.test/fr/10 https://within.test/en/31
-http://www.ratio.test/en/45 https://tradition.test/en/66 http://m.health.test/de/93 https://mountain.test/es/18 http://then.test/en/2
-https://anthem.test/fr/29 http://blog.thread.test/en/301 https://worth.test/en/1 http://www.north.test/de/81 https://there.test/es/9
+library garden news city recipes university docs museum history weather travel school music forum chess health science books
+theatre gallery orchard hospital office parliament court police station railway
+airport harbour bridge village county region nation state embassy ministry council election economy finance bank market trade
+industry factory engine machine computer software network data research journal article paper thesis method theory logic number
+algebra geometry biology chemistry medicine doctor clinic nurse dentist insurance family children parents kitchen bakery coffee
+restaurant hotel holiday island mountain river ocean forest animal bird horse flower tree farmhouse tractor agriculture water
+solar planet star rocket camera photo painting design fashion clothes shoes jewellery furniture house building architecture road
+bicycle car truck train boat flight map country language english german french spanish dictionary grammar teacher student exam
+career job work project team club sport football tennis swimming running winter summer spring autumn festival concert guitar
+piano orchestra film television radio magazine letter postcard shop store catalogue review guide help about contact support
+alphabet better shadow address header spelling pillow between another tradition mention nature feature weekend together
 """.split()
+# Subdomains and paths, given to both kinds alike.
+SUBDOMAINS = ("", "www.", "m.", "blog.")
+DOMAINS = (".test", ".site.test", ".pages.test")
+PATHS = ("/", "/en/12", "/de/340", "/fr/8.html", "/es/77?page=2", "/en/about", "/index", "/de/3#top")
+# Blocked hosts per word; there are as many ordinary ones, of far more words.
+PARTNERS = 10
 
 # (pattern, verdict); a pattern is a host, which stands for its subdomains too, and the path's start.
 RULES = [("net/", BLOCK), ("example.net/en/", ALLOW), ("example.com/de/", BLOCK), ("org/fr/", ALLOW)]
@@ -95,12 +103,29 @@ def with_grams(pages: DataFrame) -> DataFrame:
     return pages.withColumn("grams", grams).drop("host_chars", "path_chars")
 
 
-def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(url, label) of the default labelled table; label 1 is to be blocked."""
-    def listed(urls: list[str], label: float) -> DataFrame:
-        return spark.range(1).select(F.explode(F.split(F.lit(" ".join(urls)), " ")).alias("url"), F.lit(label).alias("label"))
+def _hosts(words: list[str], n: int) -> list[str]:
+    """``n`` names of one or two words: every word alone, then with others at growing distances."""
+    names = list(words)
+    for step in range(1, len(words)):
+        joint = "-" if step % 2 else ""
+        names += [f"{w}{joint}{words[(i + step) % len(words)]}" for i, w in enumerate(words)]
+    return names[:n]
 
-    return listed(UNWANTED, 1.0).union(listed(ORDINARY, 0.0))
+
+def labelled_urls(spark: SparkSession) -> DataFrame:
+    """(url, label) of the default labelled table, some 550 rows; label 1 is to be blocked. Hosts
+    are built from the vocabulary by a rule, and no table that is judged adds to them."""
+    kinds = [kind.split() for kind in UNWANTED]
+    unwanted = [host for words in kinds for host in _hosts(words, PARTNERS * len(words))]
+    ordinary = _hosts(ORDINARY, len(unwanted))
+
+    def listed(hosts: list[str], label: float) -> list[tuple[str, float]]:
+        places = enumerate(hosts)
+        return [
+            (f"http://{SUBDOMAINS[i % 4]}{h}{DOMAINS[i % 3]}{PATHS[i // 4 % 8]}", label) for i, h in places
+        ]
+
+    return spark.createDataFrame(listed(unwanted, 1.0) + listed(ordinary, 0.0), "url string, label double")
 
 
 @dataclass
