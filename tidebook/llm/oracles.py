@@ -122,7 +122,7 @@ judged AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     coalesce(n_grams, 0) AS n_grams,
     CASE WHEN n_grams > 0 THEN total / (n_grams * 1000000.0::DOUBLE) ELSE 0.0::DOUBLE END AS score,
-    NOT base_failed AND coalesce(total >= -100000 * n_grams, true) AS kept
+    NOT base_failed AND coalesce(total >= -150000 * n_grams, true) AS kept
 FROM judged LEFT JOIN scores USING (r)
 """
 

@@ -49,8 +49,10 @@ alphabet better shadow address header spelling pillow between another tradition
 SUBDOMAINS = ("", "www.", "m.", "blog.")
 DOMAINS = (".test", ".site.test", ".pages.test")
 PATHS = ("/", "/en/12", "/de/340", "/fr/8.html", "/es/77?page=2", "/en/about", "/index", "/de/3#top")
-# Blocked hosts per word; there are as many ordinary ones, of far more words.
+# Blocked hosts per word, of words of its kind and with ordinary words; there are as many ordinary
+# ones, of far more words.
 PARTNERS = 10
+ORDINARY_PARTNERS = 4
 
 # (pattern, verdict); a pattern is a host, which stands for its subdomains too, and the path's start.
 RULES = [("net/", BLOCK), ("example.net/en/", ALLOW), ("example.com/de/", BLOCK), ("org/fr/", ALLOW)]
@@ -113,10 +115,12 @@ def _hosts(words: list[str], n: int) -> list[str]:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(url, label) of the default labelled table, some 550 rows; label 1 is to be blocked. Hosts
+    """(url, label) of the default labelled table, some 1,500 rows; label 1 is to be blocked. Hosts
     are built from the vocabulary by a rule, and no table that is judged adds to them."""
     kinds = [kind.split() for kind in UNWANTED]
     unwanted = [host for words in kinds for host in _hosts(words, PARTNERS * len(words))]
+    mixed = enumerate(w for words in kinds for w in words for _ in range(ORDINARY_PARTNERS))
+    unwanted += ["-".join((w, ORDINARY[i % len(ORDINARY)])[:: 1 if i % 2 else -1]) for i, w in mixed]
     ordinary = _hosts(ORDINARY, len(unwanted))
 
     def listed(hosts: list[str], label: float) -> list[tuple[str, float]]:
