@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from helpers import plan_of, rows
@@ -68,6 +69,12 @@ def test_fractions_add_up_to_whole_units(spark):
         monthly_units(o, i.limit(1)).collect()
 
 
+def test_fractional_units(spark):
+    o = orders(spark, [(1, 1, "2024-01-15", 1.0, "s", "p"), (2, 1, "2024-02-15", 1.0, "s", "p")])
+    i = spark.createDataFrame([(1, 1, 2.4), (1, 1, 2.5), (2, 1, 0.000001), (2, 1, None)], "order_id bigint, product_id bigint, quantity double")
+    assert sorted(r.units for r in monthly_units(o, i, fractional=True).collect()) == [Decimal("0.000001"), Decimal("4.9")]
+
+
 def test_empty_months_count_as_zero(spark):
     o = orders(
         spark,

@@ -144,6 +144,33 @@ def test_two_loads_at_once_are_detected(spark, source, tmp_path):
         warehouse.open_tables(spark, dest)
 
 
+def test_the_later_of_two_loads_leaves_nothing(spark, source, tmp_path, monkeypatch):
+    """Both find the folder empty; the one that publishes second is refused and cleaned away."""
+    dest = str(tmp_path / "dest")
+    paths, schemas = prepared(spark, source)
+    warehouse.load_all(spark, paths, schemas, dest)
+    before = sorted(os.listdir(dest))
+    monkeypatch.setattr(warehouse, "require_empty", lambda *_: None)
+    with pytest.raises(warehouse.AlreadyLoaded, match="meanwhile"):
+        warehouse.load_all(spark, paths, schemas, dest)
+    assert sorted(os.listdir(dest)) == before
+    assert warehouse.open_tables(spark, dest)["people"].count() == 3
+
+
+def test_failed_publication_leaves_nothing(spark, source, tmp_path, monkeypatch):
+    dest = str(tmp_path / "dest")
+    paths, schemas = prepared(spark, source)
+
+    def broken(*_):
+        raise OSError("no space")
+
+    with monkeypatch.context() as patched, pytest.raises(OSError):
+        patched.setattr(warehouse, "create_file", broken)
+        warehouse.load_all(spark, paths, schemas, dest)
+    assert not [name for name in os.listdir(dest) if name.startswith("run-")]
+    assert warehouse.load_all(spark, paths, schemas, dest)["people"].count() == 3
+
+
 def test_reconcile(spark, source, tmp_path):
     paths, schemas = prepared(spark, source)
     loaded = warehouse.load_all(spark, paths, schemas, str(tmp_path / "dest"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +33,11 @@ def whole_units(total: Column) -> Column:
     return F.when(total % 1_000_000 == 0, units).when(total.isNotNull(), F.raise_error(message).cast("bigint"))
 
 
+def exact_units(total: Column) -> Column:
+    """Summed millionths as a decimal of six places, for goods by weight or length."""
+    return (total.cast("decimal(20,0)") * F.lit(Decimal("0.000001"))).cast("decimal(27,6)")
+
+
 def wide_sum(whole: Column) -> Column:
     """Sum of whole numbers whose total may exceed 64 bits."""
     return F.sum(whole.cast("decimal(20,0)"))

@@ -8,14 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions.dates import month
-from tidebook.functions.numbers import millionths, whole_units
+from tidebook.functions.numbers import exact_units, millionths, whole_units
 
 
-def monthly_units(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Units sold per product and month, for the cells that have any."""
+def monthly_units(orders: DataFrame, items: DataFrame, fractional: bool = False) -> DataFrame:
+    """Units sold per product and month, for the cells that have any. ``fractional`` units are a
+    decimal of six places; otherwise they are whole, and a fraction stops the query."""
+    units = exact_units if fractional else whole_units
     sold = items.join(orders.select("order_id", "order_date"), "order_id")
     return sold.groupBy("product_id", month(F.col("order_date")).alias("month")).agg(
-        whole_units(F.sum(millionths(F.col("quantity")))).alias("units")
+        units(F.sum(millionths(F.col("quantity")))).alias("units")
     )
 
 

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidebook.functions.numbers import cents, from_cents, millionths, ratio, round2, whole_units
+from tidebook.functions.numbers import cents, exact_units, from_cents, millionths, ratio, round2, whole_units
 from tidebook.operators.ranking import numbered, top
 from tidebook.session import materialize
 
@@ -136,11 +136,11 @@ def loyal_customers(
 
 
 def loyal_categories(
-    orders: DataFrame, items: DataFrame, products: DataFrame, ranking: Ranking
+    orders: DataFrame, items: DataFrame, products: DataFrame, ranking: Ranking, fractional: bool = False
 ) -> DataFrame:
     """Units per category bought by the ranked customers, most bought first.
 
-    Units are added up per product before the product table is joined. Those of products that it
+    ``fractional`` units are a decimal of six places. Units are added up per product before the product table is joined. Those of products that it
     does not list stand under a null category.
     """
     chosen = orders_of(orders, ranking).select("order_id")
@@ -150,7 +150,7 @@ def loyal_categories(
     per_category = (
         per_product.join(products.select("product_id", "category_id", "category"), "product_id", "left")
         .groupBy("category_id", "category")
-        .agg(whole_units(F.sum("units")).alias("n_items"))
+        .agg((exact_units if fractional else whole_units)(F.sum("units")).alias("n_items"))
     )
     order = [F.desc("n_items"), F.asc_nulls_last("category_id"), F.asc_nulls_last("category")]
     return numbered(per_category, order).orderBy("position")

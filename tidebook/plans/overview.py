@@ -9,17 +9,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions.dates import month
-from tidebook.functions.numbers import cents, from_cents, millionths, ratio, round2, wide_sum
+from tidebook.functions.numbers import cents, from_cents, ratio, round2, wide_sum
 
 
 def table_eda(df: DataFrame, value: str) -> DataFrame:
-    """Rows, columns and the mean of one column of numbers, rounded once at the end."""
+    """Rows, columns and the mean of one column of numbers, rounded once at the end.
+
+    Whole parts and billionths are summed apart, both exactly: values may reach 9.2e18.
+    """
+    number = F.col(value).cast("double")
+    whole = F.floor(number).cast("bigint")
     by_value = df.agg(
         F.count("*").alias("n_rows"),
         F.count(value).alias("n_values"),
-        wide_sum(millionths(F.col(value))).alias("millionths"),
+        wide_sum(whole).alias("whole"),
+        wide_sum(F.rint((number - whole) * 1_000_000_000).cast("bigint")).alias("billionths"),
     )
-    total = F.col("millionths").cast("double") / 1_000_000
+    total = F.col("whole").cast("double") + F.col("billionths").cast("double") / 1_000_000_000
     return by_value.select(
         "n_rows",
         F.lit(len(df.columns)).cast("bigint").alias("n_columns"),

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 MEGABYTE = 1024 * 1024
@@ -112,6 +113,27 @@ def discard(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist yet; False, and nothing changed, if it does.
+
+    Creating without overwriting is one step of the file system, so of two writers one wins.
+    """
+    system, place = _file_system(spark, path)
+    try:
+        stream = system.create(place, False)
+    except Py4JJavaError:
+        if system.exists(place):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+        stream.close()
+    except Py4JJavaError:
+        system.delete(place, False)
+        raise
+    return True
+
+
 def run_together(job: Callable[[Any], Any], inputs: Iterable[Any]) -> list[Any]:
     """Submit independent Spark jobs side by side, so that small ones do not leave a cluster idle.
 

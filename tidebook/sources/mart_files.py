@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidebook.functions.numbers import plain_text
-from tidebook.session import discard, holds_files, materialize, run_together
+from tidebook.session import create_file, discard, holds_files, materialize, run_together
 from tidebook.sources.csv_tables import CSV_DIALECT, read_typed
 
 PUBLISHED = "_published"
@@ -120,12 +121,14 @@ def publish_marts(marts: dict[str, Mart], folder: str, refresh: bool = False) ->
             lambda name: write_mart(staged[name], f"{folder}/{run}/{name}", marts[name].order, marts[name].single_file),
             marts,
         )
+        entries = [{"sequence": last + 1, "mart": name, "path": f"{run}/{name}"} for name in marts]
+        # Each publication has a number, and a number can be taken once.
+        listed = "\n".join(json.dumps(entry) for entry in entries)
+        if not create_file(spark, f"{folder}/{PUBLISHED}/{last + 1:010d}.json", listed):
+            raise AlreadyPublished(f"{folder} was published by another run meanwhile")
     except Exception:
         discard(spark, f"{folder}/{run}")
         raise
-    entries = [(last + 1, name, f"{run}/{name}") for name in marts]
-    listed = spark.createDataFrame(entries, PUBLISHED_SCHEMA).coalesce(1)
-    listed.write.mode("append").json(f"{folder}/{PUBLISHED}")
     return counts
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -9,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidebook.session import discard, holds_files, run_together
+from tidebook.session import create_file, discard, holds_files, run_together
 from tidebook.sources.csv_tables import read_tables
 
 PUBLISHED = "_published"
+MANIFEST = "manifest.json"
 PUBLISHED_SCHEMA = "table_name string, path string"
 
 
@@ -30,7 +32,8 @@ def load_all(
     """Load every CSV table to parquet below ``dest`` and publish the set.
 
     Tables are written to a folder of this run that no reader looks at. The list of tables is
-    written last, as one small file; only with it does the load exist. A failure before that
+    written last, as one small file; only with it does the load exist. Of two loads at once, one
+    creates that file and the other is refused. A failure up to then, that of the list included,
     leaves nothing behind. A destination that holds anything is refused, so that no row is loaded
     twice or mixed with other data.
     """
@@ -42,13 +45,12 @@ def load_all(
             lambda name: tables[name].write.mode("errorifexists").parquet(f"{dest}/{run}/{name}"),
             tables,
         )
+        listed = [json.dumps({"table_name": name, "path": f"{run}/{name}"}) for name in paths]
+        if not create_file(spark, f"{dest}/{PUBLISHED}/{MANIFEST}", "\n".join(listed)):
+            raise AlreadyLoaded(f"{dest} was loaded meanwhile; nothing of this load stays")
     except Exception:
         discard(spark, f"{dest}/{run}")
         raise
-    entries = [(name, f"{run}/{name}") for name in paths]
-    spark.createDataFrame(entries, PUBLISHED_SCHEMA).coalesce(1).write.mode(
-        "errorifexists"
-    ).json(f"{dest}/{PUBLISHED}")
     return open_tables(spark, dest, schemas)
 
 
