@@ -33,7 +33,7 @@ def brute_force(rows, labels):
     n_raw, n_target = sum(raw.values()), sum(target.values())
 
     def weight(b):
-        return round(math.log((target[b] + 5) / (raw[b] * n_target / n_raw + 5)) * 1e6)
+        return round(math.log((target[b] + 1) / (raw[b] * n_target / n_raw + 1)) * 1e6)
 
     out = []
     for doc_id, text in rows:
@@ -43,9 +43,12 @@ def brute_force(rows, labels):
         failed = len(words) < 50 or 100 * repeated > 50 * len(words)
         own = grams(text)
         total = sum(weight(b) for b in own)
+        below = sum(min(weight(b) + 2_000_000, 0) for b in own)
+        mean, foreign = (total / (len(own) * 1e6), below / (len(own) * 1e6)) if own else (0.0, 0.0)
+        kept = not failed and total >= -380_000 * len(own) and below >= -12_000 * len(own)
         out.append(
             (doc_id, len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), repeated,
-             failed, len(own), total / (len(own) * 1e6) if own else 0.0, not failed and total >= -150_000 * len(own))
+             failed, len(own), mean, foreign, kept)
         )
     return sorted(out, key=repr)
 
@@ -64,7 +67,7 @@ TEXTS = [
 def test_edges(spark, documents, monkeypatch, bits):
     monkeypatch.setattr(q, "POSITION_BITS", bits)
     labels = [(10, 1, 0), (10, 1, 0), (12, 1, 0), (5, 0, 0), (6, 1, 1), (None, 1, 0), (7, None, 0), (8, 1, None), (99, 1, 0)]
-    docs = documents(TEXTS).selectExpr("*", "1 AS words", "2 AS hashes", "3 AS good", "4 AS bucket", "5 AS weight", "6 AS row")
+    docs = documents(TEXTS).selectExpr("*", "1 AS words", "2 AS hashes", "3 AS good", "4 AS bucket", "5 AS weight", "6 AS row", "7 AS total", "8 AS foreign")
     assert found(docs, spark.createDataFrame(labels, LABELS)) == brute_force(list(enumerate(TEXTS, 1)), labels)
 
 
@@ -87,6 +90,24 @@ def test_junk_goes_and_clean_text_stays(spark, sf, most_junk):
     assert sum(good) >= 0.99 * len(good) and sum(junk) <= most_junk * len(junk)
 
 
+def test_toxic_documents_go_and_held_back_good_ones_stay(spark):
+    """Half of the good labels are held back. Toxic: labelled so, with words that other labels lack."""
+    root = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{root}/documents.parquet"), spark.read.parquet(f"{root}/labels.parquet")
+    trusted = labels.filter("quality = 1 AND toxic = 0 AND doc_id % 2 = 0")
+    verdicts = {r.doc_id: r.kept for r in q.quality(docs, trusted).filter("NOT base_failed").collect()}
+    texts = {True: [], False: []}
+    for r in docs.join(labels.filter("quality = 1"), "doc_id").select("doc_id", "text", "toxic").collect():
+        if r.doc_id in verdicts:
+            texts[r.toxic == 1].append((r.doc_id, set(words_of(r.text))))
+    clean = set().union(*(w for _, w in texts[False]))
+    often = {w for w, n in Counter(w for _, own in texts[True] for w in own).items() if n >= 20 and w not in clean}
+    toxic = [verdicts[i] for i, own in texts[True] if own & often]
+    held = [verdicts[i] for i, _ in texts[False] if i % 2]
+    assert len(toxic) > 200 and sum(toxic) <= 0.03 * len(toxic)
+    assert len(held) > 1000 and sum(held) >= 0.99 * len(held)
+
+
 def test_good_documents_that_are_not_trusted_stay(spark):
     """Half of the good labels are held back; those documents are judged all the same."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

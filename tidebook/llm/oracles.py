@@ -102,9 +102,11 @@ counts AS (
     FROM grams JOIN docs USING (r) LEFT JOIN good g ON g.doc_id = docs.doc_id GROUP BY b),
 totals AS (SELECT sum(n_all)::DOUBLE AS a, sum(n_good)::BIGINT AS g FROM counts),
 weights AS (
-    SELECT b, CAST(round(ln((n_good + 5.0::DOUBLE) / (n_all * g / a + 5.0::DOUBLE)) * 1000000) AS BIGINT) AS weight
+    SELECT b, CAST(round(ln((n_good + 1.0::DOUBLE) / (n_all * g / a + 1.0::DOUBLE)) * 1000000) AS BIGINT) AS weight
     FROM counts, totals),
-scores AS (SELECT r, count(*) AS n_grams, sum(weight)::BIGINT AS total FROM grams JOIN weights USING (b) GROUP BY r),
+scores AS (
+    SELECT r, count(*) AS n_grams, sum(weight)::BIGINT AS total, sum(least(weight + 2000000, 0))::BIGINT AS below
+    FROM grams JOIN weights USING (b) GROUP BY r),
 windows AS (SELECT r, i, w[i : i + 2] AS t FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM docs WHERE len(w) > 2)),
 twice AS (SELECT r, t FROM windows GROUP BY r, t HAVING count(*) > 1),
 repeats AS (
@@ -122,7 +124,8 @@ judged AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     coalesce(n_grams, 0) AS n_grams,
     CASE WHEN n_grams > 0 THEN total / (n_grams * 1000000.0::DOUBLE) ELSE 0.0::DOUBLE END AS score,
-    NOT base_failed AND coalesce(total >= -150000 * n_grams, true) AS kept
+    CASE WHEN n_grams > 0 THEN below / (n_grams * 1000000.0::DOUBLE) ELSE 0.0::DOUBLE END AS "foreign",
+    NOT base_failed AND coalesce(total >= -380000 * n_grams AND below >= -12000 * n_grams, true) AS kept
 FROM judged LEFT JOIN scores USING (r)
 """
 

@@ -3,8 +3,10 @@ hashed n-grams between a trusted target and the raw corpus.
 
 Words and word pairs of every text are hashed to buckets. Their counts over all documents and over
 the trusted ones give two multinomials; a bucket's weight is the logarithm of the ratio of its
-smoothed probabilities, in whole millionths. A document's score is the mean weight of its n-grams;
-sums of whole numbers do not depend on their order, so the threshold is the same everywhere.
+smoothed probabilities, in whole millionths. A document's score is the mean weight of its n-grams. A
+few foreign words do not move the mean of a long text, so a second mean takes only what weights fall
+below a floor: it tells how much of a text is all but unknown to the target. Sums of whole numbers do
+not depend on their order, so the thresholds are the same everywhere.
 """
 
 from __future__ import annotations
@@ -17,11 +19,15 @@ from tidebook.session import materialize
 BUCKETS = 1 << 20
 PAIR_FACTOR = 31
 # Added to a bucket's count in the target, and to the count expected from the raw corpus.
-SMOOTHING = 5.0
+SMOOTHING = 1.0
 SCALE = 1_000_000
 # Least mean log-likelihood ratio, in millionths. Chosen on labels that were held back: good documents
 # of which the target holds no copy score lower than trusted ones.
-LEAST_SCORE = -150_000
+LEAST_SCORE = -380_000
+# Weights below the floor count for the second mean, by as much as they are below it, and the least
+# mean. Chosen on held-back labels too: a word in fifty that the target never has is too much.
+FLOOR = -2_000_000
+LEAST_FOREIGN = -12_000
 # The trusted target: at most so many labelled documents, by the hash of their ids (broadcast).
 TRUSTED_DOCUMENTS = 100_000
 MIN_WORDS = 50
@@ -130,12 +136,13 @@ def _base(docs: DataFrame) -> DataFrame:
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_words, word_chars, n_symbols,
-    n_dup_lines, n_repeat_words, base_failed, n_grams, score, kept.
+    n_dup_lines, n_repeat_words, base_failed, n_grams, score, foreign, kept.
 
     Words are runs without blanks, unchanged; a null or empty text has none and fails the base
     rules, as every text of fewer than 50 words does, or with more than half of its words in
     repeated 3-word windows. ``score`` is the mean log-likelihood ratio, 0 without n-grams or
-    without trusted documents, and ``kept`` needs at least -0.15. Repeated rows are judged alike;
+    without trusted documents; ``foreign`` is the mean of what weights fall below -2. ``kept`` needs
+    a score of at least -0.38 and at least -0.012 of ``foreign``. Repeated rows are judged alike;
     labels that are null, repeated or of unknown ids are harmless. Other columns are ignored.
     """
     # At most BUCKETS weights, whatever the corpus. The n-grams of a row are added up in the task
@@ -145,12 +152,23 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     keys = [c for c in base.columns if c != "hashes"]
     grams = base.select(*keys, F.explode_outer(_buckets("hashes")).alias("bucket"))
     weighed = grams.join(F.broadcast(weights), "bucket", "left")
-    scored = weighed.groupBy(*keys).agg(F.count("bucket").alias("n_grams"), F.coalesce(F.sum("weight"), F.lit(0)).alias("total"))
+    below = F.least(F.col("weight") - FLOOR, F.lit(0))
+    scored = weighed.groupBy(*keys).agg(
+        F.count("bucket").alias("n_grams"),
+        F.coalesce(F.sum("weight"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(below), F.lit(0)).alias("foreign"),
+    )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
+    enough = (F.col("total") >= LEAST_SCORE * F.col("n_grams")) & (F.col("foreign") >= LEAST_FOREIGN * F.col("n_grams"))
+
+    def mean(sums: str) -> Column:
+        return F.when(F.col("n_grams") > 0, F.col(sums) / (F.col("n_grams") * float(SCALE))).otherwise(F.lit(0.0))
+
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"),
         "n_grams",
-        F.when(F.col("n_grams") > 0, F.col("total") / (F.col("n_grams") * float(SCALE))).otherwise(F.lit(0.0)).alias("score"),
-        (~failed & (F.col("total") >= LEAST_SCORE * F.col("n_grams"))).alias("kept"),
+        mean("total").alias("score"),
+        mean("foreign").alias("foreign"),
+        (~failed & enough).alias("kept"),
     )
