@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidebook.llm import jaccard_join
 from tidebook.llm.components import components
 from tidebook.llm.jaccard_join import _Tree, _bitmap, _folded, jaccard_components, one_per_group
 from tidebook.llm.words import LOWER_WORDS, words_of
@@ -103,6 +104,29 @@ def test_families_of_near_copies(documents, seed):
     assert found(documents(texts)) == brute_force(list(enumerate(texts, 1)))
 
 
+def test_large_blocks_are_cut(documents, monkeypatch):
+    """Every block is large here: one passage is most of many sets, with and without a link."""
+    monkeypatch.setattr(jaccard_join, "GROUP", 8)
+    monkeypatch.setattr(jaccard_join, "SHARE", 16)
+    opened = []
+    whole = jaccard_join._open_blocks
+
+    def watched(*args):
+        rows = whole(*args)
+        opened.append([r["count"] for r in rows.groupBy("cell").count().collect()])
+        return rows
+
+    monkeypatch.setattr(jaccard_join, "_open_blocks", watched)
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(95)]
+    texts = []
+    for own in [4, 8, 10, 11, 12, 13, 14, 18] * 20:
+        texts.append(" ".join([f"o{rng.randrange(10**6)}" for _ in range(own)] + passage[: rng.choice([95, 95, 60])]))
+    texts += [noisy(passage, rng.choice([0, 0.01, 0.03, 0.05]), rng) for _ in range(60)]
+    assert found(documents(texts)) == brute_force(list(enumerate(texts, 1)))
+    assert opened[0] and max(opened[0]) <= 8 * 8
+
+
 def test_tree_keeps_every_link():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 300, dtype=np.uint64)

@@ -14,12 +14,17 @@ threshold, and every document gets the smallest id that links reach.
 4. Blocks that still hold several components get a signature tree: every tree node has the union
    of its members' bitmaps and their range of sizes, and a dual traversal drops pairs of tree
    nodes that lie in one component or cannot overlap enough. What is left is compared exactly.
+   The block of the first shingle that two sets share finds them, so the shingles from there on
+   (``rest``) bound their overlap too.
+5. A block of more than ``GROUP`` nodes is cut by size and, where a component is large, by component.
+   Pairs of these groups that can hold a link are dealt over tasks, each with a tree of its own.
 
 No group is expanded into all its pairs: members that are already connected are skipped.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -28,7 +33,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidebook.llm.arrow import Batches, batch, binaries, longs, map_batches, run_starts, unused, whole_groups
@@ -46,8 +51,12 @@ LEVEL_STEP = 8
 THRESHOLDS = tuple(1 << k for k in range(1, 31))
 FULLEST = 0.3
 BUCKETS = 1024
+# Rows of a block that are handled together; larger blocks are cut. ``BANDS`` bands of sizes span the
+# ratio of sizes that can be linked.
+GROUP = 2_048
+BANDS = 8
 # Rows of related blocks in one task, and pairs that it holds back to make them unique.
-SHARE = 50_000
+SHARE = 4_096
 HELD_PAIRS = 1_000_000
 # Above so many ids, documents are found again by a shuffle instead of a broadcast.
 BROADCAST_IDS = 1_000_000
@@ -178,6 +187,7 @@ def _signed(batches: Batches, n: int, percent: int, shared: Broadcast) -> Batche
     """Per document: size, fingerprint of the set, and its first shingles in the common order.
 
     Shingles known to be in no other document are left out: they come first and are in no block.
+    ``skipped`` is their number.
     A set that this task has entered before gets no second entry.
     """
     levels: Levels = shared.value
@@ -186,7 +196,7 @@ def _signed(batches: Batches, n: int, percent: int, shared: Broadcast) -> Batche
         hashes, ends = shingle_sets(words_of(rows.column("text"), LOWER_WORDS), n)
         level = levels.of(hashes)
         sizes = np.diff(ends)
-        firsts, nodes = [], np.zeros(len(sizes), np.uint64)
+        firsts, nodes, skipped = [], np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.int64)
         sums = _set_prints(hashes, ends)
         for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])):
             nodes[i] = sums[i]
@@ -199,6 +209,7 @@ def _signed(batches: Batches, n: int, percent: int, shared: Broadcast) -> Batche
             if alone >= count:
                 firsts.append(hashes[:0])
                 continue
+            skipped[i] = alone
             order = np.argsort(level[a:b], kind="stable")
             firsts.append(hashes[a:b][order[alone:count]])
         lengths = np.array([len(f) for f in firsts])
@@ -208,6 +219,7 @@ def _signed(batches: Batches, n: int, percent: int, shared: Broadcast) -> Batche
             key=rows.column("key"),
             n_shingles=longs(sizes),
             node=longs(nodes),
+            skipped=longs(skipped),
             firsts=pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), longs(flat)
             ),
@@ -220,24 +232,25 @@ def _set_prints(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return mix((sums[ends[1:]] - sums[ends[:-1]]) ^ mix(np.diff(ends).astype(np.uint64)))
 
 
-def _blocks(batches: Batches) -> Batches:
-    """Blocks of two nodes or more, with a fingerprint of their members. Sorted by token, node."""
-    for rows in whole_groups(batches, "token"):
-        token, node, size = (rows.column(c).to_numpy() for c in ("token", "node", "n_shingles"))
-        once = np.ones(len(token), bool)
-        once[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-        token, node, size = token[once], node[once], size[once]
-        starts = run_starts(token)
-        lengths = np.diff(np.concatenate([starts, [len(token)]]))
-        prints = np.add.reduceat(mix(node.view(np.uint64)), starts)
-        keep = np.repeat(lengths > 1, lengths)
-        yield batch(
-            token=longs(token[keep]),
-            node=longs(node[keep]),
-            n_shingles=longs(size[keep]),
-            members=longs(np.repeat(prints, lengths)[keep]),
-            n_members=longs(np.repeat(lengths, lengths)[keep]),
-        )
+def _blocks(signed: DataFrame) -> DataFrame:
+    """Blocks of two nodes or more: (token, node, n_shingles, rest, n_members).
+
+    Of blocks with the same members only that of the first token in the common order stays, which
+    is the one with the lowest places in all of them.
+    """
+    entries = signed.select("node", "n_shingles", "skipped", F.posexplode("firsts").alias("at", "token"))
+    entries = entries.select("token", "node", "n_shingles", (F.col("skipped") + F.col("at")).alias("place")).distinct()
+    entries = materialize(entries, "entries")
+    members = entries.groupBy("token").agg(
+        F.count("*").alias("n_members"),
+        F.bit_xor(F.xxhash64("node")).alias("a"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("b"),
+        F.sum("place").alias("places"),
+    )
+    alike = members.filter("n_members > 1").groupBy("n_members", "a", "b")
+    chosen = alike.agg(F.min(F.struct("places", "token")).alias("first")).select("first.token", "n_members")
+    rest = (F.col("n_shingles") - F.col("place")).alias("rest")
+    return materialize(entries.join(chosen, "token").select("token", "node", "n_shingles", rest, "n_members"), "blocks")
 
 
 # Sets of the nodes that are in blocks, and pairs of them
@@ -260,18 +273,30 @@ def _sets(batches: Batches, n: int) -> Batches:
 
 
 def _chains(batches: Batches, percent: int) -> Batches:
-    """Pairs that link a block along its leaves. Rows sorted by token, size, node."""
-    for rows in whole_groups(batches, "token"):
-        token, node, size = (rows.column(c).to_numpy() for c in ("token", "node", "n_shingles"))
-        starts = run_starts(token)
-        first = np.repeat(starts, np.diff(np.concatenate([starts, [len(token)]])))
-        place = np.arange(len(token))
+    """Pairs that link a cell along its leaves. Rows sorted by cell, size, node."""
+    for rows in whole_groups(batches, "cell"):
+        cell, node, size = (rows.column(c).to_numpy() for c in ("cell", "node", "n_shingles"))
+        starts = run_starts(cell)
+        first = np.repeat(starts, np.diff(np.concatenate([starts, [len(cell)]])))
+        place = np.arange(len(cell))
         leaf = first + (place - first) // LEAF * LEAF
         other = np.where(place == leaf, np.maximum(leaf - LEAF, first), leaf)
         near = (other != place) & (100 * size[other] >= percent * size)
         yield _pairs(node[other[near]], node[place[near]])
 
 
+def _near(blocks: DataFrame, percent: int) -> DataFrame:
+    """Pairs that connect most copies. A large block is dealt over cells by hash, and the first nodes
+    of its cells are paired with the block's first."""
+    cells = F.ceil(F.col("n_members") / GROUP)
+    dealt = blocks.withColumn("cell", F.xxhash64("token", F.pmod(F.xxhash64("node"), cells)))
+    rows = dealt.select("cell", "n_shingles", "node").repartition("cell").sortWithinPartitions("cell", "n_shingles", "node")
+    chained = map_batches(rows, partial(_chains, percent=percent), "u long, v long")
+    firsts = dealt.filter(F.col("n_members") > GROUP).groupBy("token", "cell").agg(F.min("node").alias("node"))
+    lead = firsts.groupBy("token").agg(F.min("node").alias("u"))
+    return chained.union(firsts.join(lead, "token").filter("u < node").select("u", F.col("node").alias("v")))
+
+
 def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64)
     return batch(u=longs(found[:, 0]), v=longs(found[:, 1]))
@@ -299,60 +324,86 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 class _Tree:
-    """Levels of nodes over members sorted by size; level 0 holds the members themselves."""
+    """Levels of nodes over members sorted by side and size; level 0 holds the members themselves.
 
-    def __init__(self, sizes: np.ndarray, parts: np.ndarray, maps: np.ndarray):
+    ``rests`` bounds the overlap of every member. With two ``sides``, only pairs across them count.
+    """
+
+    def __init__(
+        self,
+        sizes: np.ndarray,
+        parts: np.ndarray,
+        maps: np.ndarray,
+        rests: np.ndarray | None = None,
+        sides: np.ndarray | None = None,
+    ):
         bits = np.bitwise_count(maps).sum(axis=1).astype(np.int64)
-        level = {"low": sizes, "high": sizes, "part_low": parts, "part_high": parts, "spare": sizes - bits, "maps": maps}
+        sides = np.zeros(len(sizes), np.int64) if sides is None else sides
+        self.across = bool(len(sides)) and sides[0] != sides[-1]
+        level = {
+            "low": sizes, "high": sizes, "part_low": parts, "part_high": parts, "side_low": sides, "side_high": sides,
+            "spare": sizes - bits, "rest": sizes if rests is None else rests, "maps": maps,
+        }
+        merge = {"low": np.minimum, "part_low": np.minimum, "side_low": np.minimum, "maps": np.bitwise_or}
         self.levels = [level]
         while len(level["low"]) > 1:
             at = np.arange(0, len(level["low"]), LEAF)
-            level = {
-                "low": np.minimum.reduceat(level["low"], at),
-                "high": np.maximum.reduceat(level["high"], at),
-                "part_low": np.minimum.reduceat(level["part_low"], at),
-                "part_high": np.maximum.reduceat(level["part_high"], at),
-                "spare": np.maximum.reduceat(level["spare"], at),
-                "maps": np.bitwise_or.reduceat(level["maps"], at, axis=0),
-            }
+            level = {name: merge.get(name, np.maximum).reduceat(values, at, axis=0) for name, values in level.items()}
             self.levels.append(level)
 
     def survivors(self, depth: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
         """Which pairs of nodes (a before b) can hold a link between two components.
 
         Shingles that share no bit are different, so an overlap is at most the common bits plus
-        the shingles that a set has beyond its bits.
+        the shingles that a set has beyond its bits; and at most what either set has left.
         """
         x = self.levels[depth]
-        apart = (x["part_low"][a] != x["part_low"][b]) | (x["part_high"][a] != x["part_high"][b]) | (x["part_low"][a] != x["part_high"][a])
-        keep = np.flatnonzero(apart & (100 * x["high"][a] >= percent * x["low"][b]))
+
+        def differ(name: str) -> np.ndarray:
+            low, high = x[name + "_low"], x[name + "_high"]
+            return (low[a] != low[b]) | (high[a] != high[b]) | (low[a] != high[a])
+
+        needed = _needed(x["low"][a], x["low"][b], percent)
+        fit = differ("part") & (100 * x["high"][a] >= percent * x["low"][b])
+        fit &= np.minimum(x["rest"][a], x["rest"][b]) >= needed
+        if self.across:
+            fit &= differ("side")
+        keep = np.flatnonzero(fit)
         a, b = a[keep], b[keep]
         shared = np.empty(len(a), np.int64)
         for i in range(0, len(a), 4096):
             common = x["maps"][a[i : i + 4096]] & x["maps"][b[i : i + 4096]]
             shared[i : i + 4096] = np.bitwise_count(common).sum(axis=1)
         most = shared + np.minimum(x["spare"][a], x["spare"][b])
-        return keep[most >= _needed(x["low"][a], x["low"][b], percent)]
-
-    def pairs(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """Dual traversal from the root to pairs of members."""
+        return keep[most >= needed[keep]]
+
+    def _below(self, depth: int, a: np.ndarray, b: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The surviving children of pairs of nodes, some pairs at a time."""
+        n = len(self.levels[depth]["low"])
+        for i in range(0, len(a), 1024):
+            x = (a[i : i + 1024, None, None] * LEAF + np.arange(LEAF)[None, :, None]) + np.zeros((1, 1, LEAF), np.int64)
+            y = (b[i : i + 1024, None, None] * LEAF + np.arange(LEAF)[None, None, :]) + np.zeros((1, LEAF, 1), np.int64)
+            x, y = x.ravel(), y.ravel()
+            fit = (x < n) & (y < n) & ((x < y) | ((x == y) & (depth > 0)))
+            x, y = x[fit], y[fit]
+            keep = self.survivors(depth, x, y, percent)
+            yield x[keep], y[keep]
+
+    def chunks(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Dual traversal from the root to pairs of members, which come in chunks."""
         a = b = np.zeros(1, np.int64)
-        for depth in range(len(self.levels) - 2, -1, -1):
-            n = len(self.levels[depth]["low"])
-            found_a, found_b = [], []
-            for i in range(0, len(a), 1024):
-                x = (a[i : i + 1024, None, None] * LEAF + np.arange(LEAF)[None, :, None]) + np.zeros((1, 1, LEAF), np.int64)
-                y = (b[i : i + 1024, None, None] * LEAF + np.arange(LEAF)[None, None, :]) + np.zeros((1, LEAF, 1), np.int64)
-                x, y = x.ravel(), y.ravel()
-                fit = (x < n) & (y < n) & ((x < y) | ((x == y) & (depth > 0)))
-                x, y = x[fit], y[fit]
-                keep = self.survivors(depth, x, y, percent)
-                found_a.append(x[keep])
-                found_b.append(y[keep])
-            a, b = np.concatenate(found_a), np.concatenate(found_b)
+        for depth in range(len(self.levels) - 2, 0, -1):
+            a, b = (np.concatenate(x) for x in zip(*self._below(depth, a, b, percent)))
             if not len(a):
-                break
-        return a, b
+                return
+        if len(self.levels) > 1:
+            yield from self._below(0, a, b, percent)
+
+    def pairs(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """All chunks together."""
+        none = np.empty(0, np.int64)
+        a, b = zip((none, none), *self.chunks(percent))
+        return np.concatenate(a), np.concatenate(b)
 
 
 def _folded(maps: list[bytes]) -> np.ndarray:
@@ -365,43 +416,99 @@ def _folded(maps: list[bytes]) -> np.ndarray:
 
 
 def _crossing(batches: Batches, percent: int) -> Batches:
-    """Pairs across components that the trees of the blocks cannot rule out. Rows sorted by token.
+    """Pairs across components that the trees of the cells cannot rule out. Rows sorted by cell, side.
 
     Blocks of the same documents find the same pairs, so pairs are made unique before they leave.
     """
     found: list[np.ndarray] = []
     n = 0
-    for rows in whole_groups(batches, "token"):
-        token, node, size, part = (rows.column(c).to_numpy() for c in ("token", "node", "n_shingles", "part"))
+    for rows in whole_groups(batches, "cell"):
+        cell, side, node, size, rest, part = (
+            rows.column(c).to_numpy() for c in ("cell", "side", "node", "n_shingles", "rest", "part")
+        )
         maps = rows.column("bitmap").to_pylist()
-        edges = np.concatenate([run_starts(token), [len(token)]])
+        edges = np.concatenate([run_starts(cell), [len(cell)]])
         for a, b in zip(edges[:-1], edges[1:]):
-            x, y = _Tree(size[a:b], part[a:b], _folded(maps[a:b])).pairs(percent)
-            u, v = node[a:b][x], node[a:b][y]
-            found.append(np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1))
-            n += len(u)
-            if n >= HELD_PAIRS:
-                found = [np.unique(np.concatenate(found), axis=0)]
-                if len(found[0]) >= HELD_PAIRS // 2:
-                    yield _pairs(found[0][:, 0], found[0][:, 1])
-                    found = []
-                n = sum(map(len, found))
+            tree = _Tree(size[a:b], part[a:b], _folded(maps[a:b]), rest[a:b], side[a:b])
+            for x, y in tree.chunks(percent):
+                u, v = node[a:b][x], node[a:b][y]
+                found.append(np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1))
+                n += len(u)
+                if n >= HELD_PAIRS:
+                    found = [np.unique(np.concatenate(found), axis=0)]
+                    if len(found[0]) >= HELD_PAIRS // 2:
+                        yield _pairs(found[0][:, 0], found[0][:, 1])
+                        found = []
+                    n = sum(map(len, found))
     if found:
         every = np.concatenate(found)
         yield _pairs(every[:, 0], every[:, 1])
 
 
-def _open_blocks(blocks: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame:
-    """Blocks with several components: (token, node, n_shingles, part, bitmap), sorted by token and
-    size. Blocks with the same first component go to one task, up to ``SHARE`` rows a task."""
+def _grouped(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows of large blocks with the band of their size and their group.
+
+    Groups have about ``GROUP`` rows. A component with as many in a band has groups of its own, so
+    that they need not be compared with each other.
+    """
+    step = math.log(100 / percent) * 1.0001 / BANDS if percent < 100 else 1e-9
+    rows = rows.withColumn("band", F.floor(F.log("n_shingles") / step))
+    counted = rows.groupBy("token", "band", "part").agg(F.count("*").alias("n"))
+    counted = counted.withColumn("own", F.when(F.col("n") >= GROUP, F.col("part")))
+    others = counted.filter("own IS NULL").groupBy("token", "band").agg(F.ceil(F.sum("n") / GROUP).alias("n_others"))
+    own = counted.filter("own IS NOT NULL").select("token", "band", "part", "own", F.ceil(F.col("n") / GROUP).alias("n_own"))
+    known = rows.join(own, ["token", "band", "part"], "left").join(others, ["token", "band"], "left")
+    share = F.pmod(F.xxhash64("node", F.lit(2)), F.coalesce("n_own", "n_others"))
+    group = F.xxhash64("token", "band", F.col("own").isNull(), F.coalesce("own", F.lit(0)), share)
+    return known.withColumn("group", group).select("token", "node", "n_shingles", "rest", "part", "band", "group")
+
+
+def _group_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(cell, group, side) of the pairs of groups that can hold a link; of a group with itself once."""
+    groups = rows.groupBy("token", "band", "group").agg(
+        F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"), F.max("rest").alias("rest"),
+        F.min("part").alias("part_low"), F.max("part").alias("part_high"),
+    )
+    groups = materialize(groups, "groups")
+    above = F.explode(F.sequence("band", F.col("band") + BANDS))
+    a = groups.select("token", above.alias("band"), F.col("band").alias("own_band"), *[F.col(c).alias(c + "_a") for c in groups.columns[2:]])
+    both = a.join(groups, ["token", "band"])
+    needed = F.ceil(percent * (F.col("low_a") + F.col("low")) / (100 + percent))
+    one_part = (F.col("part_low_a") == F.col("part_high_a")) & (F.col("part_low") == F.col("part_high")) & (F.col("part_low_a") == F.col("part_low"))
+    able = (
+        ((F.col("own_band") < F.col("band")) | (F.col("group_a") <= F.col("group")))
+        & ~one_part
+        & (100 * F.col("high_a") >= percent * F.col("low"))
+        & (F.least("rest_a", "rest") >= needed)
+    )
+
+    def placed(side: int, group: Column) -> Column:
+        return F.struct(group.alias("group"), F.lit(side).alias("side"))
+
+    first, second = placed(0, F.col("group_a")), placed(1, F.col("group"))
+    sides = F.when(F.col("group_a") == F.col("group"), F.array(first)).otherwise(F.array(first, second))
+    return both.filter(able).select(F.xxhash64("group_a", "group").alias("cell"), F.inline(sides))
+
+
+def _open_blocks(blocks: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Cells of blocks with several components: (cell, side, node, n_shingles, rest, part, bitmap),
+    sorted by cell, side and size. A cell is a block, or a pair of groups of a large one. Blocks with
+    the same first component go to one task, up to ``SHARE`` rows a task."""
     parted = blocks.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    mixed = parted.groupBy("token").agg(F.min("part").alias("lead"), F.max("part").alias("b"), F.count("*").alias("n"))
-    mixed = mixed.filter("lead <> b").select("token", "lead", "n")
-    shares = mixed.groupBy("lead").agg((F.sum("n") / SHARE + 1).cast("long").alias("shares"))
-    placed = mixed.join(shares, "lead").select("token", "lead", F.pmod("token", "shares").alias("share"))
-    rows = parted.join(placed, "token").join(sets.select("node", "bitmap"), "node")
-    dealt = rows.repartition("lead", "share").sortWithinPartitions("lead", "share", "token", "n_shingles", "node")
-    return dealt.select("token", "node", "n_shingles", "part", "bitmap")
+    mixed = parted.groupBy("token").agg(F.min("part").alias("lead"), F.max("part").alias("last"))
+    mixed = mixed.filter("lead <> last").select("token", "lead")
+    opened = materialize(parted.join(mixed, "token"), "opened")
+    columns = ["deal", "cell", "side", "node", "n_shingles", "rest", "part"]
+    small = opened.filter(F.col("n_members") <= GROUP)
+    shares = small.groupBy("lead").agg(F.ceil(F.count("*") / SHARE).alias("shares"))
+    small = small.join(shares, "lead").withColumn("deal", F.xxhash64("lead", F.pmod("token", "shares")))
+    small = small.withColumn("cell", F.col("token")).withColumn("side", F.lit(0))
+    grouped = _grouped(opened.filter(F.col("n_members") > GROUP), percent)
+    grouped = materialize(grouped, "grouped")
+    large = grouped.join(_group_pairs(grouped, percent), "group").withColumn("deal", F.col("cell"))
+    rows = small.select(columns).union(large.select(columns)).join(sets.select("node", "bitmap"), "node")
+    dealt = rows.repartition("deal").sortWithinPartitions("deal", "cell", "side", "n_shingles", "node")
+    return dealt.select("cell", "side", "node", "n_shingles", "rest", "part", "bitmap")
 
 
 def _placed(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -413,27 +520,15 @@ def _placed(docs: DataFrame, n: int, percent: int) -> DataFrame:
         map_batches(
             docs,
             partial(_signed, n=n, percent=percent, shared=levels),
-            "doc_id long, key long, n_shingles long, node long, firsts array<long>",
+            "doc_id long, key long, n_shingles long, node long, skipped long, firsts array<long>",
         ),
         "signed",
     )
-    entries = signed.select(F.explode("firsts").alias("token"), "node", "n_shingles")
-    entries = entries.repartition("token").sortWithinPartitions("token", "node")
-    blocks = materialize(
-        map_batches(entries, _blocks, "token long, node long, n_shingles long, members long, n_members long"),
-        "blocks",
-    )
-    chosen = blocks.groupBy("members", "n_members").agg(F.min("token").alias("token")).select("token")
-    blocks = materialize(blocks.select("token", "node", "n_shingles").join(chosen, "token", "left_semi"), "chosen")
+    blocks = _blocks(signed)
     sets = _needed_sets(docs, signed, blocks, n)
-
-    def by_token(rows: DataFrame) -> DataFrame:
-        return rows.repartition("token").sortWithinPartitions("token", "n_shingles", "node")
-
-    near = map_batches(by_token(blocks), partial(_chains, percent=percent), "u long, v long")
-    links = _verify(near, sets, percent)
+    links = _verify(_near(blocks, percent), sets, percent)
     parts = components(links).withColumnRenamed("component", "part")
-    crossing = map_batches(_open_blocks(blocks, parts, sets), partial(_crossing, percent=percent), "u long, v long")
+    crossing = map_batches(_open_blocks(blocks, parts, sets, percent), partial(_crossing, percent=percent), "u long, v long")
     links = links.union(_verify(crossing, sets, percent))
     groups = components(links)
     placed = signed.select("doc_id", "key", "n_shingles", "node").join(groups, "node", "left")
