@@ -495,14 +495,14 @@ def _open_blocks(blocks: DataFrame, parts: DataFrame, sets: DataFrame, percent:
     sorted by cell, side and size. A cell is a block, or a pair of groups of a large one. Blocks with
     the same first component go to one task, up to ``SHARE`` rows a task."""
     parted = blocks.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    mixed = parted.groupBy("token").agg(F.min("part").alias("lead"), F.max("part").alias("last"))
-    mixed = mixed.filter("lead <> last").select("token", "lead")
-    opened = materialize(parted.join(mixed, "token"), "opened")
+    mixed = parted.groupBy("token").agg(F.min("part").alias("lead"), F.max("part").alias("last"), F.count("*").alias("n"))
+    mixed = mixed.filter("lead <> last")
+    shares = mixed.filter(F.col("n") <= GROUP).groupBy("lead").agg(F.ceil(F.sum("n") / SHARE).alias("shares"))
+    placed = mixed.join(shares, "lead", "left").select("token", "lead", "shares")
+    opened = materialize(parted.join(placed, "token"), "opened")
     columns = ["deal", "cell", "side", "node", "n_shingles", "rest", "part"]
     small = opened.filter(F.col("n_members") <= GROUP)
-    shares = small.groupBy("lead").agg(F.ceil(F.count("*") / SHARE).alias("shares"))
-    small = small.join(shares, "lead").withColumn("deal", F.xxhash64("lead", F.pmod("token", "shares")))
-    small = small.withColumn("cell", F.col("token")).withColumn("side", F.lit(0))
+    small = small.withColumn("deal", F.xxhash64("lead", F.pmod("token", "shares"))).withColumn("cell", F.col("token")).withColumn("side", F.lit(0))
     grouped = _grouped(opened.filter(F.col("n_members") > GROUP), percent)
     grouped = materialize(grouped, "grouped")
     large = grouped.join(_group_pairs(grouped, percent), "group").withColumn("deal", F.col("cell"))
