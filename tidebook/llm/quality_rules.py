@@ -44,13 +44,14 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
 
 
-def _buckets(hashes: str) -> Column:
-    """Buckets of the words and of the pairs of neighbours; ``hashes`` is a column name."""
-    pairs = F.transform(
-        F.when(F.size(hashes) > 1, F.sequence(F.lit(1), F.size(hashes) - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: ((F.get(hashes, i - 1) * PAIR_FACTOR + F.get(hashes, i)) % BUCKETS).cast("int"),
-    )
-    return F.concat(F.transform(hashes, lambda h: (h % BUCKETS).cast("int")), pairs)
+def _grams(hashes: str) -> Column:
+    """Hashes of the words and of the pairs of neighbours, and a null; ``hashes`` is a column name."""
+    following = F.slice(hashes, 2, F.size(hashes))
+    return F.concat(hashes, F.zip_with(hashes, following, lambda a, b: a * PAIR_FACTOR + b))
+
+
+def _bucket() -> Column:
+    return (F.col("gram") % BUCKETS).cast("int").alias("bucket")
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
@@ -69,8 +70,8 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """(bucket, weight) of the buckets whose weight is not 0, at most BUCKETS rows. Counts cover all
     documents and are written, so that their totals and the weights need one pass over the texts."""
     flagged = docs.select("doc_id", "text").join(F.broadcast(trusted.withColumn("good", F.lit(1))), "doc_id", "left")
-    grams = _hashed(flagged).select(F.explode(_buckets("hashes")).alias("bucket"), F.coalesce("good", F.lit(0)).alias("good"))
-    counted = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
+    grams = _hashed(flagged).select(F.explode(_grams("hashes")).alias("gram"), F.coalesce("good", F.lit(0)).alias("good"))
+    counted = grams.filter("gram IS NOT NULL").select(_bucket(), "good").groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
     counts = materialize(counted, "bucket_counts")
     n_raw, n_target = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.coalesce(F.sum("target"), F.lit(0))).first()
     expected = F.col("raw").cast("double") * F.lit(float(n_target)) / F.lit(float(max(n_raw, 1)))
@@ -150,7 +151,7 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     weights = bucket_weights(docs, trusted_ids(labels))
     base = _base(docs.select("doc_id", "text")).withColumn("row", F.monotonically_increasing_id())
     keys = [c for c in base.columns if c != "hashes"]
-    grams = base.select(*keys, F.explode_outer(_buckets("hashes")).alias("bucket"))
+    grams = base.select(*keys, F.explode_outer(_grams("hashes")).alias("gram")).select(*keys, _bucket())
     weighed = grams.join(F.broadcast(weights), "bucket", "left")
     below = F.least(F.col("weight") - FLOOR, F.lit(0))
     scored = weighed.groupBy(*keys).agg(
