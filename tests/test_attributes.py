@@ -1,7 +1,12 @@
+import itertools
+
 import pytest
-from helpers import plan_of, rows
+from helpers import SMALL, plan_after, plan_of, rows
+from pyspark.sql import functions as F
 
+from tidebook.operators import attributes
 from tidebook.operators.attributes import long_values, typed_values, usual_spelling, value_problems, wide_values
+from tidebook.plans.registry import QUERIES
 
 DICTIONARY = [
     ("color", "text"), ("length_m", "number"), ("waterproof", "boolean"), ("odd", "money"), ("twice", "text"),
@@ -110,3 +115,25 @@ def test_long_rows_unfold_without_a_shuffle(spark):
     long = long_values(df, "id", {"name": df["name"], "size": df["size"]})
     assert rows(long) == sorted([(1, "name", "a"), (1, "size", "2.5"), (2, "name", None), (2, "size", None)], key=repr)
     assert "Exchange" not in plan_of(long)
+
+
+def test_blanks_around_a_value_go_as_the_pattern_takes_them(spark):
+    """The plain trim gives what the pattern gives, before ends of lines that Java knows too."""
+    parts = ["", " ", "\t", "\n", "\r\n", "\x0b\f", "\x85", " ", " ", "\x1c", "\xa0", "a", "é"]
+    texts = ["".join(t) for t in itertools.product(parts, repeat=4)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "value string")
+    by_pattern = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
+    assert df.filter(~attributes._trimmed(F.col("value")).eqNullSafe(by_pattern)).collect() == []
+
+
+@pytest.mark.parametrize("name", ["typed_event_values", "event_value_problems", "event_value_spellings", "users_wide"])
+def test_values_are_not_shuffled_by_attribute(spark, name):
+    """There are few attributes, and most rows of a task would be of one."""
+    before_grouping = plan_of(QUERIES[name](spark, SMALL)).split("Generate explode")[0]
+    joins = [line for line in before_grouping.splitlines() if "LeftOuter" in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)
+
+
+def test_values_are_typed_once_for_both_sides_of_the_spellings(spark):
+    plan = plan_after(QUERIES["event_value_spellings"](spark, SMALL))
+    assert "ReusedExchange" in plan and plan.count("FileScan") == 1

@@ -16,8 +16,8 @@ EVENT_VALUES = (*EVENT_TYPES, "shade")
 
 def event_values(spark: SparkSession, root: str) -> DataFrame:
     """entity (user), event_id, attribute, value of all events."""
-    events = table(spark, root, "events")
-    properties = F.from_json("props", "map<string,string>")
+    events = table(spark, root, "events").withColumn("properties", F.from_json("props", "map<string,string>"))
+    properties = F.col("properties")
     columns = {
         "k": properties["k"],
         "value": F.col("value"),
@@ -30,7 +30,10 @@ def event_values(spark: SparkSession, root: str) -> DataFrame:
 
 
 def event_dictionary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(EVENT_TYPES.items()), "attribute string, data_type string")
+    """The types as literal rows: their size is known to the planner, so they are broadcast and the
+    values, of which each attribute has very many, are not shuffled by attribute."""
+    rows = ", ".join(f"('{name}', '{kind}')" for name, kind in EVENT_TYPES.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(attribute, data_type)")
 
 
 def typed_event_values(spark: SparkSession, root: str) -> DataFrame:
