@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import defaultdict
 
@@ -8,7 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidebook.llm.packing import CAPACITY, WordEncoder, pack, pieces
+from tidebook.llm import packing
+from tidebook.llm.packing import CAPACITY, WordEncoder, pack, pieces, split_words
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -81,6 +83,30 @@ def test_words_are_encoded_as_in_whole_texts(texts):
         assert np.frombuffer(ids, "<u4").tolist() + [2] == expected_ids(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=40) | st.text("aBé.,!? \t\n\x0b\x1c1<|>", max_size=40), max_size=4))
+def test_words_are_split_at_blanks_and_before_final_stops(texts):
+    texts = [t.encode() for t in texts]
+    words, first = split_words(texts)
+    expected = [re.sub(rb"(?<=[A-Za-z])([.,;:!?])(?=\s|\Z)", rb" \1", t).split() for t in texts]
+    assert [words[a:b].to_pylist() for a, b in zip(first, first[1:])] == expected
+    assert len(first) == len(texts) + 1 and first[-1] == len(words)
+
+
+def test_words_that_occur_again_are_not_learned_again(monkeypatch):
+    """However full the memory is, it keeps the words of the last texts."""
+    monkeypatch.setattr(packing, "CACHED_WORDS", 3)
+    encoder, learned = WordEncoder(PATH), []
+    for name in ("_learn", "_learn_plain"):
+        method = getattr(encoder, name)
+        monkeypatch.setattr(encoder, name, lambda words, method=method: (learned.extend(words), method(words)))
+    for i in range(50):
+        text = f"often Again, 12 new{i} " + " ".join("xyz"[: 1 + i % 3] + "ab" * j for j in range(3))
+        assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() + [2] == expected_ids(text)
+        assert len(encoder.known) + len(encoder.older) < 30
+    assert [learned.count(w) for w in (b"often", b"again", b",", b"12")] == [1, 1, 1, 1]
+
+
 def test_crc_matches_the_ids(spark, documents):
     from tidebook.llm.queries import piece_digests
 

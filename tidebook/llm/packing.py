@@ -32,12 +32,34 @@ CACHED_WORDS = 500_000
 LONGEST_CACHED = 48
 
 
-# Punctuation that ends a word after a letter is a token of its own, so it may be split off.
-_STOPS = re.compile(rb"(?<=[A-Za-z])([.,;:!?])(?=\s|\Z)")
+# Kinds of bytes. Punctuation that ends a word after a letter is a token of its own, so it may be split off.
+_BLANK, _LETTER, _STOP = 1, 2, 3
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(b" \t\n\r\x0b\f")] = _BLANK
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_KIND[list(b".,;:!?")] = _STOP
 # Lower-case letters that neither normalisation nor case folding changes: one run of letters.
 _PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
 
+def split_words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, and the number of words before each text and after the last."""
+    joined = np.frombuffer(b"".join(part for t in texts for part in (t, b"\n")), np.uint8)
+    kind = _KIND[joined]
+    blank = kind == _BLANK
+    starts = ~blank
+    starts[1:] &= blank[:-1]
+    starts[1:-1] |= (kind[1:-1] == _STOP) & (kind[:-2] == _LETTER) & blank[2:]
+    begin = np.flatnonzero(starts)
+    # A word ends before a blank, or where the next one starts.
+    end = np.flatnonzero(~blank[:-1] & (blank[1:] | starts[1:])) + 1
+    offsets = np.concatenate([[0], np.cumsum(end - begin)])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(joined[~blank])]
+    words = pa.Array.from_buffers(pa.large_binary(), len(begin), buffers)
+    at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)])
+    return words, np.searchsorted(begin, at)
+
+
 class WordEncoder:
     """Token ids of texts, as little-endian 32-bit numbers, for tokenizers that never join what is
     on both sides of a blank: each word is encoded once and remembered.
@@ -51,7 +73,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Once the first is full it becomes the second, from which words that occur again come back.
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -59,22 +83,30 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         # Folded case makes words equal that the tokenizer does not tell apart; control strings,
         # which it takes literally, are left alone.
-        split = [_STOPS.sub(rb" \1", t if b"<|" in t else t.lower()).split() for t in texts]
-        known = self.known
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        missing = set().union(*split) - known.keys()
+        words, first = split_words([t if b"<|" in t else t.lower() for t in texts])
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known) > CACHED_WORDS:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        missing = [w for w in distinct if w not in known]
+        known.update([(w, older[w]) for w in missing if w in older])
+        missing = [w for w in missing if w not in known]
         plain = [w for w in missing if _PLAIN.fullmatch(w)]
         for i in range(0, len(plain), 8192):
             self._learn_plain(plain[i : i + 8192])
         rest = [w for w in missing if w not in known]
         for i in range(0, len(rest), 4096):
             self._learn(rest[i : i + 4096])
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        ids = pa.array(list(map(known.__getitem__, distinct)), pa.large_binary()).take(coded.indices)
         for word in missing:
             if len(word) > LONGEST_CACHED:
                 del known[word]
-        return out
+        # The ids of all words lie one after the other.
+        _, offsets, raw = ids.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[first].tolist()
+        raw = memoryview(raw or b"")
+        return [bytes(raw[a:b]) for a, b in zip(bounds, bounds[1:])]
 
     def _learn(self, words: list[bytes]) -> None:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
