@@ -4,6 +4,8 @@ import zlib
 from collections import Counter
 
 import pytest
+from helpers import plan_after
+from pyspark.sql import functions as F
 
 from tidebook.llm import quality_rules as q
 
@@ -120,3 +122,14 @@ def test_good_documents_that_are_not_trusted_stay(spark):
 def test_native(spark, documents):
     plan = q.quality(documents(["a"]), spark.createDataFrame([], LABELS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_a_line_for_each_word_and_one_broadcast(spark, documents):
+    """Words and their pairs are weighed on one line, without arrays of hashes; the weights are sent once."""
+    docs = documents(["a b a", "b", "", None])
+    assert sorted(tuple(r) for r in q._grams(q._base(docs), "doc_id").filter("word IS NOT NULL").select("doc_id", F.coalesce("pair", F.lit(-1))).collect()) == sorted(
+        [(1, grams("a b")[2]), (1, grams("b a")[2]), (1, -1), (2, -1)]
+    )
+    plan = plan_after(q.quality(docs, spark.createDataFrame([(1, 1, 0)], LABELS)))
+    assert "zip_with(hashes" not in plan and "crc32(cast(lambda" not in plan
+    assert plan.count("BroadcastHashJoin") == 2 and "ReusedExchange" in plan

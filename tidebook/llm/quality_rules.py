@@ -11,6 +11,8 @@ not depend on their order, so the thresholds are the same everywhere.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,23 +43,22 @@ POSITION_BITS = 20
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
-
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
 
-def _grams(hashes: str) -> Column:
-    """Hashes of the words and of the pairs of neighbours, and a null; ``hashes`` is a column name."""
-    following = F.slice(hashes, 2, F.size(hashes))
-    return F.concat(hashes, F.zip_with(hashes, following, lambda a, b: a * PAIR_FACTOR + b))
 
+def _grams(docs: DataFrame, *keep: str) -> DataFrame:
+    """One line for each of ``words``: kept columns, ``word`` and ``pair``, the buckets of the word and
+    of it with the next one; a row without words has one line of nulls.
 
-def _bucket() -> Column:
-    return (F.col("gram") % BUCKETS).cast("int").alias("bucket")
+    The next word is read from the row's own array, so neither pairs nor hashes are put into arrays.
+    """
+    each = docs.select("words", *keep, F.posexplode_outer("words").alias("i", "this"))
+    this, following = (F.crc32(w.cast("binary")) for w in (F.col("this"), F.get("words", F.col("i") + 1)))
+    return each.select(*keep, _bucket(this).alias("word"), _bucket(this * PAIR_FACTOR + following).alias("pair"))
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
-    """``docs`` with words and their hashes, each worked out once."""
-    hashed = docs.withColumn("words", _words(F.col("text")))
-    return hashed.withColumn("hashes", F.transform("words", lambda w: F.crc32(w.cast("binary"))))
+def _bucket(gram: Column) -> Column:
+    return (gram % BUCKETS).cast("int")
 
 
 def trusted_ids(labels: DataFrame, limit: int = TRUSTED_DOCUMENTS) -> DataFrame:
@@ -70,8 +71,9 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """(bucket, weight) of the buckets whose weight is not 0, at most BUCKETS rows. Counts cover all
     documents and are written, so that their totals and the weights need one pass over the texts."""
     flagged = docs.select("doc_id", "text").join(F.broadcast(trusted.withColumn("good", F.lit(1))), "doc_id", "left")
-    grams = _hashed(flagged).select(F.explode(_grams("hashes")).alias("gram"), F.coalesce("good", F.lit(0)).alias("good"))
-    counted = grams.filter("gram IS NOT NULL").select(_bucket(), "good").groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
+    worded = flagged.select(_words(F.col("text")).alias("words"), F.coalesce("good", F.lit(0)).alias("good"))
+    grams = _grams(worded, "good").select("good", F.explode(F.array("word", "pair")).alias("bucket"))
+    counted = grams.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
     counts = materialize(counted, "bucket_counts")
     n_raw, n_target = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.coalesce(F.sum("target"), F.lit(0))).first()
     expected = F.col("raw").cast("double") * F.lit(float(n_target)) / F.lit(float(max(n_raw, 1)))
@@ -116,20 +118,20 @@ def _repeated_words(words: str, windows: str) -> Column:
 
 
 def _base(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) with words, hashes and the counted columns."""
+    """``docs`` (doc_id, text) with words and the counted columns."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(A_WORD))
     windows = F.transform(
         F.when(F.size("words") > 2, F.sequence(F.lit(0), F.size("words") - 3)).otherwise(F.array().cast("array<int>")),
         lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)),
     )
-    counted = _hashed(docs).withColumn("lines", lines).withColumn("windows", windows)
+    counted = docs.withColumn("words", _words(F.col("text"))).withColumn("lines", lines).withColumn("windows", windows)
     return counted.select(
         "doc_id",
-        "hashes",
+        "words",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _repeated_words("words", "windows").alias("n_repeat_words"),
     )
@@ -150,14 +152,18 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # that reads it; one line per row is shuffled, with the columns counted before.
     weights = bucket_weights(docs, trusted_ids(labels))
     base = _base(docs.select("doc_id", "text")).withColumn("row", F.monotonically_increasing_id())
-    keys = [c for c in base.columns if c != "hashes"]
-    grams = base.select(*keys, F.explode_outer(_grams("hashes")).alias("gram")).select(*keys, _bucket())
-    weighed = grams.join(F.broadcast(weights), "bucket", "left")
-    below = F.least(F.col("weight") - FLOOR, F.lit(0))
+    keys = [c for c in base.columns if c != "words"]
+    weighed = _grams(base, *keys)
+    for gram in ("word", "pair"):
+        weighed = weighed.join(F.broadcast(weights.toDF(gram, f"{gram}_weight")), gram, "left")
+
+    def both(value: Callable[[Column], Column]) -> Column:
+        return F.sum(sum(F.coalesce(value(F.col(f"{gram}_weight")), F.lit(0)) for gram in ("word", "pair")))
+
     scored = weighed.groupBy(*keys).agg(
-        F.count("bucket").alias("n_grams"),
-        F.coalesce(F.sum("weight"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(below), F.lit(0)).alias("foreign"),
+        (F.count("word") + F.count("pair")).alias("n_grams"),
+        both(lambda w: w).alias("total"),
+        both(lambda w: F.least(w - FLOOR, F.lit(0))).alias("foreign"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     enough = (F.col("total") >= LEAST_SCORE * F.col("n_grams")) & (F.col("foreign") >= LEAST_FOREIGN * F.col("n_grams"))
